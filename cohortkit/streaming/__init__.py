@@ -1,0 +1,5 @@
+"""Incremental ingestion with Structured Streaming (same rules as the batch path)."""
+
+from cohortkit.streaming.ingest import clean_stream
+
+__all__ = ["clean_stream"]
