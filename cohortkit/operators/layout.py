@@ -1,0 +1,21 @@
+"""Partition layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over at least ``min_partitions`` tasks before CPU-heavy per-row work.
+
+    Only when the input comes from fewer files than that (a lower bound of
+    its scan splits, read from metadata, nothing executed); on a large
+    table with many files this is a no-op and no shuffle is added.
+    """
+    spark = df.sparkSession
+    n = min_partitions or spark.sparkContext.defaultParallelism
+    try:
+        files = len(df.inputFiles())
+    except Exception:  # noqa: BLE001 - sources without a file listing
+        files = 0
+    return df if files >= n else df.repartition(n)

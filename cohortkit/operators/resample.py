@@ -1,9 +1,10 @@
 """Resampled noise baselines, all replicates in one job.
 
-Replicates are generated by ``explode(sequence(1, R))`` and drawn with a
-hash of ``(row id, replicate)``: deterministic, reproducible by any SQL
-engine with ``md5``, and evaluated inside each task, so the shuffle carries
-only one partial aggregate per replicate and partition, never the rows.
+Replicate draws come from ``sha256(row id || ':' || block)``: each digest
+holds eight 32-bit draws, one per replicate of the block.  Deterministic,
+reproducible by any SQL engine with ``sha256``, and evaluated inside each
+task, so the shuffle carries only partial aggregates per block and task,
+never the rows; all replicates run in one job.
 """
 
 from __future__ import annotations
@@ -15,61 +16,91 @@ from pyspark.sql import functions as F
 
 from cohortkit.functions.numeric import pct, round_half_up_ratio
 from cohortkit.operators.joins import combine_scalars
+from cohortkit.operators.layout import ensure_parallelism
 
 TWO_32 = 4294967296
+SLOTS = 8  # 32-bit draws per SHA-256 digest (64 hex digits)
 
 
-def draw_number(id_col: Column | str, rep_col: Column | str) -> Column:
-    """Uniform 32-bit integer from ``md5(id || ':' || rep)`` (first 8 hex digits)."""
+def block_digest(id_col: Column | str, block_col: Column | str) -> Column:
+    """``sha256(id || ':' || block)`` as 64 lowercase hex digits."""
     i = F.col(id_col) if isinstance(id_col, str) else id_col
-    r = F.col(rep_col) if isinstance(rep_col, str) else rep_col
-    h = F.md5(F.concat(i.cast("string"), F.lit(":"), r.cast("string")))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+    b = F.col(block_col) if isinstance(block_col, str) else block_col
+    return F.sha2(F.concat(i.cast("string"), F.lit(":"), b.cast("string")), 256)
 
 
-def _attach(df: DataFrame, scalars: DataFrame) -> DataFrame:
-    """Attach a one-row frame to every row (broadcast hash join on a constant)."""
-    return df.withColumn("__j", F.lit(1)).join(F.broadcast(scalars.withColumn("__j", F.lit(1))), "__j").drop("__j")
+def slot_hex(digest: Column, slot: int) -> Column:
+    """Draw ``slot`` (0..7) of a block: 8 hex digits, i.e. a uniform 32-bit number.
+
+    Replicate ``r`` (1-based) uses block ``(r-1) div 8`` and slot ``(r-1) % 8``.
+    Fixed-width lowercase hex compares like the number it encodes.
+    """
+    return F.substring(digest, SLOTS * slot + 1, 8)
+
+
+def hex32(value: Column) -> Column:
+    """A number in [0, 2**32) as 8 lowercase hex digits, for comparison with ``slot_hex``."""
+    return F.lpad(F.lower(F.hex(value)), 8, "0")
+
+
+def _blocks(reps: int) -> int:
+    return (reps + SLOTS - 1) // SLOTS
 
 
 def bootstrap_rate(spark: SparkSession, population: DataFrame, observed: DataFrame, id_col: str,
                    flag: Column, reps: int = 200) -> DataFrame:
     """How often a random draw from ``population`` reaches the ``observed`` flag rate.
 
-    Each replicate keeps a row when its draw number is below
+    Each replicate keeps a row when its 32-bit draw is below
     ``2**32 * |observed| / |population|`` (Bernoulli draw with expected size
-    equal to the observed cohort; the size is not fixed exactly).  Rates are
-    compared by cross-multiplication, so no float rounding enters.
+    equal to the observed cohort; the size is not fixed exactly).  Rows are
+    expanded per block of 8 replicates only, and the per-replicate counts
+    are partial aggregates per block, so the shuffle is a few rows per task.
+    Rates are compared by cross-multiplication, so no float rounding enters.
     """
     obs = observed.agg(F.count(F.lit(1)).alias("observed_total"),
                        F.count_if(F.coalesce(flag, F.lit(False))).alias("observed_n"))
     pop = population.agg(F.count(F.lit(1)).alias("population_total"))
     scal = combine_scalars(obs, pop).withColumn(
         "threshold", F.expr(f"({TWO_32} * observed_total) div population_total"))
-    rows = population.select(F.col(id_col).alias("__id"), F.coalesce(flag, F.lit(False)).alias("__flag"))
-    drawn = (_attach(rows, scal.select("threshold"))
-             .select("__id", "__flag", "threshold", F.explode(F.sequence(F.lit(1), F.lit(reps))).alias("rep"))
-             .filter(draw_number("__id", "rep") < F.col("threshold")))
-    per_rep = drawn.groupBy("rep").agg(F.count(F.lit(1)).alias("d"), F.count_if("__flag").alias("k"))
-    all_reps = spark.range(1, reps + 1).select(F.col("id").cast("int").alias("rep"))
+    scal = scal.withColumn("all_in", F.col("threshold") >= F.lit(TWO_32)).withColumn(
+        "thr_hex", hex32(F.least(F.col("threshold"), F.lit(TWO_32 - 1))))
+    # one-row results enter the row-level plan as scalar subqueries (computed once)
+    thr_hex, all_in = scal.select("thr_hex").scalar(), scal.select("all_in").scalar()
+    rows = ensure_parallelism(
+        population.select(F.col(id_col).alias("__id"), F.coalesce(flag, F.lit(False)).alias("__flag")))
+    blocks = (rows.select("__flag", "__id", F.explode(F.sequence(F.lit(0), F.lit(_blocks(reps) - 1))).alias("block"))
+              .withColumn("__h", block_digest("__id", "block")))
+    aggs = []
+    for j in range(SLOTS):
+        sel = all_in | (slot_hex(F.col("__h"), j) < thr_hex)
+        aggs += [F.count_if(sel).alias(f"d{j}"), F.count_if(sel & F.col("__flag")).alias(f"k{j}")]
+    per_block = blocks.groupBy("block").agg(*aggs)
+    per_rep = (per_block.select("block", F.explode(F.array(*[
+        F.struct(F.lit(j).alias("slot"), F.col(f"d{j}").alias("d"), F.col(f"k{j}").alias("k"))
+        for j in range(SLOTS)])).alias("s"))
+        .select((F.col("block") * SLOTS + F.col("s.slot") + 1).alias("rep"), "s.d", "s.k")
+        .filter(F.col("rep") <= reps))
+    all_reps = spark.range(1, reps + 1).select(F.col("id").alias("rep"))
     per_rep = (all_reps.join(per_rep, "rep", "left")
                .select("rep", F.coalesce("d", F.lit(0)).alias("d"), F.coalesce("k", F.lit(0)).alias("k")))
-    j = _attach(per_rep, scal.select("observed_total", "observed_n"))
-    reach = (F.col("d") > 0) & (F.col("k") * F.col("observed_total") >= F.col("observed_n") * F.col("d"))
-    out = j.agg(F.count(F.lit(1)).alias("reps"), F.count_if(reach).alias("reach"),
-                F.sum("d").cast("bigint").alias("drawn_rows"),
-                F.first("observed_total").alias("observed_total"), F.first("observed_n").alias("observed_n"))
+    obs_total, obs_n = scal.select("observed_total").scalar(), scal.select("observed_n").scalar()
+    reach = (F.col("d") > 0) & (F.col("k") * obs_total >= obs_n * F.col("d"))
+    out = per_rep.agg(F.count(F.lit(1)).alias("reps"), F.count_if(reach).alias("reach"),
+                      F.sum("d").cast("bigint").alias("drawn_rows"),
+                      F.max(obs_total).alias("observed_total"), F.max(obs_n).alias("observed_n"))
     return out.select("reps", "observed_total", "observed_n",
                       pct("observed_n", "observed_total").alias("observed_pct"),
                       "drawn_rows", "reach", round_half_up_ratio("reach", "reps", 4).alias("reach_share"))
 
 
-def poisson_weight(u: Column, lam: float = 1.0, max_k: int = 12) -> Column:
-    """Poisson(``lam``) count by inverse CDF of a uniform ``u`` in [0, 1)."""
+def poisson_weight(draw_hex: Column, lam: float = 1.0, max_k: int = 12) -> Column:
+    """Poisson(``lam``) count by inverse CDF of a uniform 32-bit draw given as 8 hex digits."""
     w, cdf, p = F.lit(0), 0.0, math.exp(-lam)
     for k in range(max_k):
         cdf += p
-        w = w + F.when(u >= F.lit(cdf), 1).otherwise(0)
+        cut = min(int(cdf * TWO_32), TWO_32 - 1)
+        w = w + F.when(draw_hex >= F.lit(f"{cut:08x}"), 1).otherwise(0)
         p *= lam / (k + 1)
     return w
 
@@ -78,10 +109,14 @@ def bootstrap_median(cell: DataFrame, id_col: str, value_col: str, reps: int = 2
                      ci: tuple[float, float] = (0.025, 0.975)) -> DataFrame:
     """Poisson-bootstrap interval of one cell's median (exact weighted median per replicate)."""
     rows = cell.select(F.col(id_col).alias("__id"), F.col(value_col).alias("__x")).filter(F.col("__x").isNotNull())
-    rep = F.explode(F.sequence(F.lit(1), F.lit(reps))).alias("rep")
-    weighted = (rows.select("__id", "__x", rep)
-                .withColumn("__w", poisson_weight(draw_number("__id", "rep") / F.lit(float(TWO_32))))
-                .filter(F.col("__w") > 0))
+    blocks = ensure_parallelism(rows)
+    blocks = (blocks.select("__id", "__x", F.explode(F.sequence(F.lit(0), F.lit(_blocks(reps) - 1))).alias("block"))
+              .withColumn("__h", block_digest("__id", "block")))
+    slots = F.explode(F.array(*[F.struct(F.lit(j).alias("slot"), poisson_weight(slot_hex(F.col("__h"), j)).alias("w"))
+                                for j in range(SLOTS)])).alias("s")
+    weighted = (blocks.select("__x", "block", slots)
+                .select("__x", (F.col("block") * SLOTS + F.col("s.slot") + 1).alias("rep"), F.col("s.w").alias("__w"))
+                .filter((F.col("rep") <= reps) & (F.col("__w") > 0)))
     per_rep = weighted.groupBy("rep").agg(F.percentile("__x", 0.5, F.col("__w")).alias("m"))
     point = rows.agg(F.median("__x").alias("median"), F.count(F.lit(1)).alias("n"))
     band = per_rep.agg(F.count(F.lit(1)).alias("reps"),

@@ -507,10 +507,11 @@ obs AS (SELECT COUNT(*) AS observed_total, COUNT(*) FILTER (WHERE o_orderstatus
         FROM t WHERE cohort = 'flagged'),
 pop AS (SELECT o_orderkey, COALESCE(o_orderstatus = 'F', false) AS flag FROM t WHERE cohort = 'rest'),
 thr AS (SELECT (4294967296 * (SELECT observed_total FROM obs)) // (SELECT COUNT(*) FROM pop) AS threshold),
-reps AS (SELECT CAST(range AS INTEGER) AS rep FROM range(1, {R + 1})),
+reps AS (SELECT range AS rep FROM range(1, {R + 1})),
 d AS (SELECT r.rep, p.flag FROM pop p, reps r
-      WHERE ('0x' || substr(md5(CAST(p.o_orderkey AS VARCHAR) || ':' || CAST(r.rep AS VARCHAR)), 1, 8))::BIGINT
-            < (SELECT threshold FROM thr)),
+      WHERE (SELECT threshold FROM thr) >= 4294967296
+         OR ('0x' || substr(sha256(CAST(p.o_orderkey AS VARCHAR) || ':' || CAST((r.rep - 1) // 8 AS VARCHAR)),
+                            8 * ((r.rep - 1) % 8) + 1, 8))::BIGINT < (SELECT threshold FROM thr)),
 per AS (SELECT reps.rep, COUNT(d.rep) AS d, COUNT(*) FILTER (WHERE d.flag) AS k
         FROM reps LEFT JOIN d ON reps.rep = d.rep GROUP BY reps.rep)
 SELECT COUNT(*) AS reps, (SELECT observed_total FROM obs) AS observed_total, (SELECT observed_n FROM obs) AS observed_n,
