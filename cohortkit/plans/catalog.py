@@ -483,9 +483,9 @@ def cohort_contrast(spark, base):
     s = category_share(spark, base)
     wide = measures.pivot_cohorts(s, ["level"], "cohort", {"pct": F.first("pct_of_cohort")}, COHORTS)
     gap, ratio = measures.contrast(F.col("pct_flagged"), F.col("pct_rest"))
-    top = s.agg(F.max("pct_of_cohort").alias("max_pct")).withColumn("__j", F.lit(1))
-    out = wide.withColumn("__j", F.lit(1)).join(F.broadcast(top), "__j").drop("__j")  # 1-row side
-    return out.select("level", "pct_flagged", "pct_rest", gap.alias("gap_pp"), ratio.alias("ratio"), "max_pct")
+    top = s.agg(F.max("pct_of_cohort")).scalar()  # shared scale: a scalar subquery, no join
+    return wide.select("level", "pct_flagged", "pct_rest", gap.alias("gap_pp"), ratio.alias("ratio"),
+                       top.alias("max_pct"))
 
 
 @query("topk_rank_compare")

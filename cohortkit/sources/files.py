@@ -39,8 +39,10 @@ def read_quoted_csv(spark: SparkSession, path: str, schema: StructType | Sequenc
 
     Pass a schema (or a column list, read as strings) to avoid inference.
     """
+    # An unquoted empty field is NULL and a quoted "" an empty string: the NUL
+    # sentinel keeps Spark from mapping both to NULL.
     reader = (spark.read.option("header", header).option("multiLine", True)
-              .option("quote", '"').option("escape", '"'))
+              .option("quote", '"').option("escape", '"').option("nullValue", "\u0000"))
     if schema is not None:
         reader = reader.schema(schema if isinstance(schema, StructType) else all_strings(schema))
     return reader.csv(path)
