@@ -19,14 +19,26 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def with_totals(counts: DataFrame, group: str | Sequence[str], n: str = "n", out: str = "total") -> DataFrame:
+    """Attach the per-group sum of ``n`` to every count row.
+
+    The totals hold one row per group (a cohort label, so a handful of
+    rows): they are broadcast, and the counts table is never gathered into
+    one task per cohort as a window over the whole cohort would do.
+    """
+    keys = [group] if isinstance(group, str) else list(group)
+    totals = counts.groupBy(*keys).agg(F.sum(n).cast("bigint").alias(out))
+    return counts.join(F.broadcast(totals), keys)
+
+
 def category_share(df: DataFrame, cohort: str, category: str, out_category: str | None = None,
                    keep: Column | None = None) -> DataFrame:
-    """``(cohort, category, n, pct_of_cohort)``; totals by a window sum over the counts."""
+    """``(cohort, category, n, pct_of_cohort)``."""
     src = df.filter(keep) if keep is not None else df
     counts = src.groupBy(cohort, F.col(category).alias(out_category or category)).agg(
         F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy(cohort))
-    return counts.withColumn("pct_of_cohort", pct(F.col("n"), total))
+    return (with_totals(counts, cohort, out="__total")
+            .withColumn("pct_of_cohort", pct("n", "__total")).drop("__total"))
 
 
 def top_k(df: DataFrame, cohort: str, category: str, k: int = 10, out_category: str | None = None,
@@ -41,11 +53,13 @@ def top_k(df: DataFrame, cohort: str, category: str, k: int = 10, out_category:
     src = df.filter(keep) if keep is not None else df
     n = F.sum(weight).cast("bigint") if weight else F.count(F.lit(1))
     counts = src.groupBy(cohort, F.col(category).alias(name)).agg(n.alias("n"))
-    w_total = Window.partitionBy(cohort)
     w_rank = Window.partitionBy(cohort).orderBy(F.desc("n"), F.asc(name))
-    return (counts.withColumn("pct_of_cohort", pct(F.col("n"), F.sum("n").over(w_total)))
-            .withColumn("rank", F.row_number().over(w_rank))
-            .filter(F.col("rank") <= k))
+    # rank first (WindowGroupLimit keeps k rows per cohort and map task), then
+    # attach the cohort totals computed by aggregation
+    top = counts.withColumn("rank", F.row_number().over(w_rank)).filter(F.col("rank") <= k)
+    totals = counts.groupBy(cohort).agg(F.sum("n").cast("bigint").alias("__total"))
+    return (top.join(F.broadcast(totals), cohort)
+            .withColumn("pct_of_cohort", pct("n", "__total")).drop("__total"))
 
 
 def flag_rate(df: DataFrame, cohort: str, flag: Column, prefix: str = "flag") -> DataFrame:
@@ -91,16 +105,21 @@ def ordinal_rank(col: Column | str, order: Sequence[str]) -> Column:
 
 
 def cumulative_share(counts: DataFrame, cohort: str, order_col: str, ascending: bool = True,
-                     out: str = "cum_pct") -> DataFrame:
+                     out: str = "cum_pct", totals: DataFrame | None = None) -> DataFrame:
     """Running share of ``n`` within each cohort in ``order_col`` order.
 
     Computed from running counts (not from summed rounded percentages).
+    ``counts`` should be short per cohort (ordinal levels, or a top-k
+    result); pass ``totals`` ``(cohort, total)`` when ``counts`` holds only
+    the top rows of a longer list.
     """
     o = F.asc(order_col) if ascending else F.desc(order_col)
     w = Window.partitionBy(cohort).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.sum("n").over(Window.partitionBy(cohort))
+    if totals is None:
+        totals = counts.groupBy(cohort).agg(F.sum("n").cast("bigint").alias("total"))
     return (counts.withColumn("cum_n", F.sum("n").over(w).cast("bigint"))
-            .withColumn(out, pct(F.col("cum_n"), total)))
+            .join(F.broadcast(totals.select(cohort, F.col("total").alias("__total"))), cohort)
+            .withColumn(out, pct("cum_n", "__total")).drop("__total"))
 
 
 def pivot_cohorts(df: DataFrame, index: Sequence[str], cohort: str, values: Mapping[str, Column],

@@ -392,13 +392,13 @@ def ladder_cumulative(spark, base):
 
 
 @query("cumulative_topk")
-def cumulative_topk(spark, base):
+def cumulative_topk(spark, base, k: int = 10):
     counts = (_with_part(spark, base, "p_brand").groupBy("cohort", "p_brand")
               .agg(F.sum("cnt").cast("bigint").alias("n")))
-    w = Window.partitionBy("cohort").orderBy(F.desc("n"), F.asc("p_brand"))
-    ranked = counts.withColumn("rank", F.row_number().over(w))
-    c = measures.cumulative_share(ranked, "cohort", "rank", ascending=True)
-    return c.filter(F.col("rank") <= 10).select("cohort", "p_brand", "rank", "n", "cum_n", "cum_pct")
+    top = measures.top_k(counts, "cohort", "p_brand", k=k, weight="n")
+    totals = counts.groupBy("cohort").agg(F.sum("n").cast("bigint").alias("total"))
+    c = measures.cumulative_share(top.drop("pct_of_cohort"), "cohort", "rank", ascending=True, totals=totals)
+    return c.select("cohort", "p_brand", "rank", "n", "cum_n", "cum_pct")
 
 
 # ---------------------------------------------------------------- series figures
@@ -593,9 +593,9 @@ SMALL_CELL_MIN = 50
 
 @query("small_cells")
 def small_cells(spark, base):
-    c = (_nation_counts(spark, base).groupBy("cohort", "region").agg(F.sum("cnt").cast("bigint").alias("n"))
-         .withColumn("pct_of_cohort", pct(F.col("n"), F.sum("n").over(Window.partitionBy("cohort")))))
-    return measures.small_cells(c, SMALL_CELL_MIN, ["pct_of_cohort"])
+    c = _nation_counts(spark, base).groupBy("cohort", "region").agg(F.sum("cnt").cast("bigint").alias("n"))
+    c = measures.with_totals(c, "cohort", out="__total").withColumn("pct_of_cohort", pct("n", "__total"))
+    return measures.small_cells(c.drop("__total"), SMALL_CELL_MIN, ["pct_of_cohort"])
 
 
 # alternative code sets for the sensitivity of the set share (a parameter table)
