@@ -92,10 +92,16 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str, exact: bool = F
 
     ``exact=False`` is ``percentile_approx`` (a real element, mergeable
     sketch of bounded size; ``accuracy`` trades memory for rank error).
-    ``exact=True`` is the interpolated ``median``.
+    ``exact=True`` is the interpolated median of an integral column (scale
+    money to cents first), found by radix selection so that no group is
+    ever merged in one task (see ``quantiles.exact_median``).
     """
     x = F.col(value)
-    med = F.median(x) if exact else F.percentile_approx(x, 0.5, accuracy)
+    if exact:
+        from cohortkit.operators.quantiles import exact_median
+
+        return exact_median(df, keys, value, out=out, count_col=count_col)
+    med = F.percentile_approx(x, 0.5, accuracy)
     return df.filter(x.isNotNull()).groupBy(*keys).agg(med.alias(out), F.count(F.lit(1)).alias(count_col))
 
 

@@ -78,3 +78,18 @@ def test_fuzzy_pairs_match_brute_force(spark):
 def test_both_sided_strata(spark):
     df = spark.createDataFrame([("s1", "flagged", 1), ("s1", "rest", 2), ("s2", "rest", 3)], "s string, cohort string, n int")
     assert sorted(r[0] for r in rows(cohort.both_sided_strata(df, "s"), "s")) == ["s1", "s1"]
+
+
+def test_exact_median_matches_builtin_on_skewed_groups(spark):
+    import random
+
+    from cohortkit.operators.quantiles import exact_median
+
+    rnd = random.Random(7)
+    data = [("hot", rnd.randint(-10**12, 10**12)) for _ in range(3000)]
+    data += [("hot", 5)] * 500 + [("cold", rnd.randint(0, 50)) for _ in range(7)] + [("one", 42), (None, 3), (None, 9)]
+    df = spark.createDataFrame(data, "g string, v bigint")
+    got = sorted(rows(exact_median(df, ["g"], "v"), "g", "median", "n"), key=str)
+    want = sorted(rows(df.groupBy("g").agg(F.median("v").alias("m"), F.count("v").alias("n")), "g", "m", "n"),
+                  key=str)
+    assert got == want
