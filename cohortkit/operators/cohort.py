@@ -54,9 +54,13 @@ def semi_join_count(facts: DataFrame, member_keys: DataFrame, fact_key: str,
                     member_key: str | None = None) -> DataFrame:
     """Number of fact rows whose key is a member (``IN (SELECT DISTINCT ...)``)."""
     member_key = member_key or fact_key
-    m = member_keys.select(F.col(member_key).alias("__k"))
-    return (facts.join(m, F.col(fact_key) == F.col("__k"), "left_semi")
-            .agg(F.count(F.lit(1)).alias("matched_facts")))
+    spark = facts.sparkSession
+    # SQL over named relations (``{facts}``/``{members}`` are bound DataFrames, no
+    # global view is created); ``IN (subquery)`` is planned as a left semi join.
+    return spark.sql(
+        f"SELECT COUNT(*) AS matched_facts FROM {{facts}} "
+        f"WHERE `{fact_key}` IN (SELECT `{member_key}` FROM {{members}})",
+        facts=facts, members=member_keys)
 
 
 def join_diagnostic(facts: DataFrame, events: DataFrame, fact_key: str, event_key: str) -> DataFrame:
