@@ -20,9 +20,21 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
-def load(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """One Parquet table ``<base>/<name>.parquet``."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+_LOADED: dict[tuple[str, str], DataFrame] = {}
+
+
+def load(spark: SparkSession, base: str, name: str, refresh: bool = False) -> DataFrame:
+    """One Parquet table ``<base>/<name>.parquet``.
+
+    The DataFrame (a plan that re-reads the files whenever it runs) is kept
+    per application and path, so repeated queries do not list the files and
+    read the footers again; ``refresh=True`` picks up changed files.
+    """
+    path = f"{base.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if refresh or key not in _LOADED:
+        _LOADED[key] = spark.read.parquet(path)
+    return _LOADED[key]
 
 
 def load_tables(spark: SparkSession, base: str, names: Iterable[str] = TABLES) -> dict[str, DataFrame]:
