@@ -61,3 +61,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/cohortkit-{name}-{uuid.uuid4().hex}"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, split_bytes: int = 512 << 20,
+                 max_shuffle_partitions: int = 100_000) -> dict:
+    """Partition sizing for a large cluster, to pass as ``get_session(extra=...)``.
+
+    * scan splits of ``split_bytes`` (Parquet row groups permitting);
+    * initial shuffle partitions sized for a shuffle as large as half the
+      input, never fewer than three waves of cores, capped to keep map-output
+      tracking manageable; AQE coalesces small ones at run time and splits
+      skewed ones (a partition 5x the median and above 1 GiB);
+    * static broadcast threshold 64 MiB, used only on Spark's size estimate;
+      AQE re-checks with measured sizes.
+    """
+    splits = -(-input_bytes // split_bytes)
+    shuffle = min(max(3 * total_cores, splits // 2), max_shuffle_partitions)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
