@@ -74,7 +74,7 @@ def set_rate(df: DataFrame, cohort: str, code: str, code_set: Sequence[str], pre
     inside = F.col(code).isin(list(code_set))
     return (df.groupBy(cohort).agg(F.count(F.lit(1)).alias("total"),
                                    F.count_if(F.coalesce(inside, F.lit(False))).alias(f"{prefix}_n"))
-            .withColumn(f"other_n", F.col("total") - F.col(f"{prefix}_n"))
+            .withColumn("other_n", F.col("total") - F.col(f"{prefix}_n"))
             .withColumn(f"{prefix}_pct", pct(f"{prefix}_n", "total")))
 
 

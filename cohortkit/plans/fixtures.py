@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.functions.clean import canonical_key
 from cohortkit.operators import cohort, rules
 from cohortkit.operators.joins import join_dimension
 from cohortkit.sources.files import load

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from cohortkit.functions import clean
 from cohortkit.functions.numeric import pct, round_half_up_ratio

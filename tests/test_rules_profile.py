@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from cohortkit.operators import profile, rules
 from tests.conftest import rows
