@@ -634,9 +634,10 @@ def bootstrap_median(spark, base):
     t = _tagged(spark, base).filter((F.col("cohort") == cohort.IN_LABEL) & (F.col("o_orderpriority") == "1-URGENT"))
     cell = t.select("o_orderkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
     r = resample.bootstrap_median(cell, "o_orderkey", "cents", reps=BOOTSTRAP_REPS)
+    # reported in cents precision (dollars, 2 places)
     return r.select(F.lit(cohort.IN_LABEL).alias("cohort"), F.lit("1-URGENT").alias("level"), "n", "reps",
-                    (F.col("median") / 100).alias("median"), (F.col("ci_low") / 100).alias("ci_low"),
-                    (F.col("ci_high") / 100).alias("ci_high"))
+                    F.round(F.col("median") / 100, 2).alias("median"), F.round(F.col("ci_low") / 100, 2).alias("ci_low"),
+                    F.round(F.col("ci_high") / 100, 2).alias("ci_high"))
 
 
 FUZZY_MAX_DIST = 1

@@ -520,6 +520,38 @@ SELECT COUNT(*) AS reps, (SELECT observed_total FROM obs) AS observed_total, (SE
        COUNT(*) FILTER (WHERE d > 0 AND k * (SELECT observed_total FROM obs) >= (SELECT observed_n FROM obs) * d) AS reach,
        {ratio('COUNT(*) FILTER (WHERE d > 0 AND k * (SELECT observed_total FROM obs) >= (SELECT observed_n FROM obs) * d)', 'COUNT(*)', 4)} AS reach_share
 FROM per""")
+
+def _poisson_sql(hex_expr: str) -> str:
+    import math
+
+    from cohortkit.operators.resample import TWO_32
+
+    terms, cdf, prob = [], 0.0, math.exp(-1.0)
+    for k in range(12):
+        cdf += prob
+        cut = min(int(cdf * TWO_32), TWO_32 - 1)
+        terms.append(f"CASE WHEN {hex_expr} >= '{cut:08x}' THEN 1 ELSE 0 END")
+        prob /= k + 1
+    return " + ".join(terms)
+
+
+_draw_hex = ("substr(sha256(CAST(c.id AS VARCHAR) || ':' || CAST((r.rep - 1) // 8 AS VARCHAR)), "
+             "8 * ((r.rep - 1) % 8) + 1, 8)")
+q("bootstrap_median", f"""
+WITH cell AS (SELECT o_orderkey AS id, CAST(round(o_totalprice * 100) AS BIGINT) AS x FROM ({TAGGED})
+              WHERE cohort = 'flagged' AND o_orderpriority = '1-URGENT' AND o_totalprice IS NOT NULL),
+reps AS (SELECT range AS rep FROM range(1, {R + 1})),
+w AS (SELECT r.rep, c.x, {_poisson_sql(_draw_hex)} AS w FROM cell c, reps r),
+agg AS (SELECT rep, x, SUM(w) AS w FROM w WHERE w > 0 GROUP BY rep, x),
+cum AS (SELECT rep, x, SUM(w) OVER (PARTITION BY rep ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cw,
+               SUM(w) OVER (PARTITION BY rep) AS total FROM agg),
+pos AS (SELECT DISTINCT rep, (total - 1) // 2 AS p_lo, total // 2 AS p_hi FROM cum),
+m AS (SELECT p.rep, (MIN(c.x) FILTER (WHERE c.cw > p.p_lo) + MIN(c.x) FILTER (WHERE c.cw > p.p_hi)) / 2.0 AS m
+      FROM pos p JOIN cum c ON c.rep = p.rep GROUP BY p.rep)
+SELECT 'flagged' AS cohort, '1-URGENT' AS level, (SELECT COUNT(*) FROM cell) AS n, COUNT(*) AS reps,
+       ROUND((SELECT median(x) FROM cell) / 100, 2) AS median,
+       ROUND(quantile_cont(m, 0.025) / 100, 2) AS ci_low, ROUND(quantile_cont(m, 0.975) / 100, 2) AS ci_high
+FROM m""")
 q("fuzzy_key_match", f"""
 WITH d AS ({DIRTY_CUSTOMERS}),
 k AS (SELECT DISTINCT {KEY} AS key FROM d WHERE {KEY} IS NOT NULL AND {KEY} <> ''),

@@ -15,7 +15,7 @@ def test_entry_contract(spark):
     assert df.count() > 0 and set(df.columns) == {"cohort", "level", "median", "n"}
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 68
-    assert set(q) - set(o) == entry.NO_ORACLE
+    assert set(q) - set(o) == set(entry.NO_ORACLE)
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark, base):
