@@ -65,12 +65,15 @@ def bootstrap_rate(spark: SparkSession, population: DataFrame, observed: DataFra
         "threshold", F.expr(f"({TWO_32} * observed_total) div population_total"))
     scal = scal.withColumn("all_in", F.col("threshold") >= F.lit(TWO_32)).withColumn(
         "thr_hex", hex32(F.least(F.col("threshold"), F.lit(TWO_32 - 1))))
-    # one-row results enter the row-level plan as scalar subqueries (computed once)
-    thr_hex, all_in = scal.select("thr_hex").scalar(), scal.select("all_in").scalar()
+    # the one-row result enters the row-level plan as one scalar subquery (a struct),
+    # evaluated once and reused wherever a field of it is read
+    # (projected into a column once per stage: each reference is planned separately)
+    sc = scal.select(F.struct("thr_hex", "all_in", "observed_total", "observed_n").alias("s")).scalar()
+    thr_hex, all_in = F.col("__s.thr_hex"), F.col("__s.all_in")
     rows = ensure_parallelism(
         population.select(F.col(id_col).alias("__id"), F.coalesce(flag, F.lit(False)).alias("__flag")))
     blocks = (rows.select("__flag", "__id", F.explode(F.sequence(F.lit(0), F.lit(_blocks(reps) - 1))).alias("block"))
-              .withColumn("__h", block_digest("__id", "block")))
+              .withColumn("__h", block_digest("__id", "block")).withColumn("__s", sc))
     aggs = []
     for j in range(SLOTS):
         sel = all_in | (slot_hex(F.col("__h"), j) < thr_hex)
@@ -84,7 +87,8 @@ def bootstrap_rate(spark: SparkSession, population: DataFrame, observed: DataFra
     all_reps = spark.range(1, reps + 1).select(F.col("id").alias("rep"))
     per_rep = (all_reps.join(per_rep, "rep", "left")
                .select("rep", F.coalesce("d", F.lit(0)).alias("d"), F.coalesce("k", F.lit(0)).alias("k")))
-    obs_total, obs_n = scal.select("observed_total").scalar(), scal.select("observed_n").scalar()
+    per_rep = per_rep.withColumn("__s", sc)
+    obs_total, obs_n = F.col("__s.observed_total"), F.col("__s.observed_n")
     reach = (F.col("d") > 0) & (F.col("k") * obs_total >= obs_n * F.col("d"))
     out = per_rep.agg(F.count(F.lit(1)).alias("reps"), F.count_if(reach).alias("reach"),
                       F.sum("d").cast("bigint").alias("drawn_rows"),
