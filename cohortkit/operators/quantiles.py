@@ -6,8 +6,9 @@ k-th smallest value of each group is found by *radix selection*: every pass
 counts the group's remaining candidates in at most 65,536 equal-width
 buckets (partial aggregation on the map side, whatever the group size),
 picks the bucket holding rank k from that bounded histogram, and narrows
-the interval to it.  Four passes resolve any 64-bit range; the whole
-search is one lazy plan (each pass re-reads the input, column-pruned).
+the interval to it.  Four passes resolve any 64-bit range; each pass
+re-reads the input (column-pruned) and the search stops early once every
+interval holds a single value.
 """
 
 from __future__ import annotations
@@ -27,37 +28,59 @@ def _on(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
-def kth_smallest(values: DataFrame, targets: DataFrame, keys: Sequence[str], passes: int = 4) -> DataFrame:
+def _refine(values: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """One radix pass: narrow every unresolved target to the bucket holding its rank."""
+    st = state.withColumn("__w", F.expr(f"(__hi - __lo) div {BUCKETS} + 1"))
+    carry = [c for c in state.columns if c not in keys + ["which", "k", "__lo", "__hi"]]
+    j = (values.alias("l").join(st.alias("r"), _on(values, st, keys))
+         .select(*[F.col(f"r.{k}").alias(k) for k in keys], "r.which", "r.k", "l.__v", "r.__lo", "r.__w",
+                 "r.__hi", *[F.col(f"r.{c}").alias(c) for c in carry])
+         .filter(F.col("__v").between(F.col("__lo"), F.col("__hi"))))
+    # k, __lo, __hi, __w (and carried columns) depend only on (keys, which):
+    # grouping by them keeps each pass a single reference to the previous state
+    hist = (j.withColumn("__b", F.expr("(__v - __lo) div __w"))
+            .groupBy(*keys, "which", "k", "__lo", "__hi", "__w", *carry, "__b").agg(F.count(F.lit(1)).alias("__c")))
+    w = (Window.partitionBy(*keys, "which").orderBy("__b")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    h = hist.withColumn("__cum", F.sum("__c").over(w))  # <= 65,536 rows per target
+    before = F.col("__cum") - F.col("__c")
+    chosen = h.filter((before < F.col("k")) & (F.col("k") <= F.col("__cum")))
+    new_lo = F.col("__lo") + F.col("__b") * F.col("__w")
+    return chosen.select(*keys, "which", (F.col("k") - before).alias("k"), new_lo.alias("__lo"),
+                         F.least(F.col("__hi"), new_lo + F.col("__w") - 1).alias("__hi"), *carry)
+
+
+def kth_smallest(values: DataFrame, targets: DataFrame, keys: Sequence[str], passes: int = 4,
+                 iterate: bool = True) -> DataFrame:
     """Resolve ``(keys, which, k)`` targets to the k-th smallest ``__v`` of each group.
 
-    ``values``: ``(keys, __v bigint)``; ``targets``: ``(keys, which, k, __lo, __hi)``
-    with ``__lo``/``__hi`` the group's min/max.  Returns ``(keys, which, value)``.
+    ``values``: ``(keys, __v bigint)``; ``targets``: ``(keys, which, k, __lo, __hi, ...)``
+    with ``__lo``/``__hi`` the group's min/max; extra columns are carried
+    along.  Returns the targets with ``value``.
+
+    ``iterate=True`` runs one job per pass: the small target table is
+    checkpointed to the shared checkpoint folder (lineage cut, survives
+    executor loss) and the loop stops once every interval is a single
+    value, so a narrow value range costs fewer passes.  ``iterate=False``
+    builds all passes into one lazy plan.
     """
     keys = list(keys)
-    state = targets
+    if iterate:
+        from cohortkit.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(values.sparkSession)
+    state = targets.checkpoint() if iterate else targets
     for _ in range(passes):
-        st = state.withColumn("__w", F.expr(f"(__hi - __lo) div {BUCKETS} + 1"))
-        j = (values.alias("l").join(st.alias("r"), _on(values, st, keys))
-             .select(*[F.col(f"r.{k}").alias(k) for k in keys], "r.which", "r.k", "l.__v", "r.__lo", "r.__w",
-                     "r.__hi")
-             .filter(F.col("__v").between(F.col("__lo"), F.col("__hi"))))
-        # k, __lo, __hi, __w depend only on (keys, which): carrying them as grouping
-        # keys keeps each pass a single reference to the previous state (linear plan)
-        hist = (j.withColumn("__b", F.expr("(__v - __lo) div __w"))
-                .groupBy(*keys, "which", "k", "__lo", "__hi", "__w", "__b").agg(F.count(F.lit(1)).alias("__c")))
-        w = (Window.partitionBy(*keys, "which").orderBy("__b")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        h = hist.withColumn("__cum", F.sum("__c").over(w))  # <= 65,536 rows per target
-        before = F.col("__cum") - F.col("__c")
-        chosen = h.filter((before < F.col("k")) & (F.col("k") <= F.col("__cum")))
-        new_lo = F.col("__lo") + F.col("__b") * F.col("__w")
-        state = chosen.select(*keys, "which", (F.col("k") - before).alias("k"), new_lo.alias("__lo"),
-                              F.least(F.col("__hi"), new_lo + F.col("__w") - 1).alias("__hi"))
-    return state.select(*keys, "which", F.col("__lo").alias("value"))
+        if iterate and state.filter(F.col("__lo") < F.col("__hi")).limit(1).count() == 0:
+            break
+        state = _refine(values, state, keys)
+        if iterate:
+            state = state.checkpoint()
+    return state.withColumn("value", F.col("__lo")).drop("k", "__lo", "__hi")
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
-                 count_col: str = "n", passes: int = 4) -> DataFrame:
+                 count_col: str = "n", passes: int = 4, iterate: bool = True) -> DataFrame:
     """Interpolated median per group (same as ``median``) of an integral column.
 
     Scale money to cents (or any fixed point) before calling; the value range
@@ -70,12 +93,11 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
     # 0-based positions floor((n-1)/2) and n div 2; equal when n is odd
     pos = F.array(F.struct(F.lit(0).alias("which"), F.expr(f"({count_col} - 1) div 2 + 1").alias("k")),
                   F.struct(F.lit(1).alias("which"), F.expr(f"{count_col} div 2 + 1").alias("k")))
-    targets = (stats.select(*keys, "__lo", "__hi", F.explode(pos).alias("t"))
-               .select(*keys, "t.which", "t.k", "__lo", "__hi"))
-    picked = kth_smallest(data, targets, keys, passes)
+    targets = (stats.select(*keys, count_col, "__lo", "__hi", F.explode(pos).alias("t"))
+               .select(*keys, "t.which", "t.k", "__lo", "__hi", count_col))
+    picked = kth_smallest(data, targets, keys, passes, iterate)
     both = picked.groupBy(*keys).agg(F.max(F.when(F.col("which") == 0, F.col("value"))).alias("__a"),
-                                     F.max(F.when(F.col("which") == 1, F.col("value"))).alias("__b"))
-    res = (both.alias("l").join(stats.alias("r"), _on(both, stats, keys))
-           .select(*[F.col(f"r.{k}").alias(k) for k in keys], "l.__a", "l.__b", f"r.{count_col}"))
+                                     F.max(F.when(F.col("which") == 1, F.col("value"))).alias("__b"),
+                                     F.max(count_col).alias(count_col))
     med = F.col("__a").cast("double") + (F.col("__b") - F.col("__a")).cast("double") * F.lit(0.5)
-    return res.select(*keys, med.alias(out), count_col)
+    return both.select(*keys, med.alias(out), count_col)

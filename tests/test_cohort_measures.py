@@ -93,3 +93,12 @@ def test_exact_median_matches_builtin_on_skewed_groups(spark):
     want = sorted(rows(df.groupBy("g").agg(F.median("v").alias("m"), F.count("v").alias("n")), "g", "m", "n"),
                   key=str)
     assert got == want
+
+
+def test_exact_median_lazy_and_iterative_agree(spark):
+    from cohortkit.operators.quantiles import exact_median
+
+    df = spark.createDataFrame([("a", v) for v in [5, 1, 9, 7, 7, 2**40, -3]] + [("b", 4)], "g string, v bigint")
+    a = sorted(rows(exact_median(df, ["g"], "v", iterate=True)))
+    b = sorted(rows(exact_median(df, ["g"], "v", iterate=False)))
+    assert a == b == [("a", 7.0, 7), ("b", 4.0, 1)]
