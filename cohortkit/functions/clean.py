@@ -37,9 +37,18 @@ def split_part(col: Column | str, index: int, sep: str = ",") -> Column:
 
 
 def epoch_millis_to_date(col: Column | str) -> Column:
-    """Epoch milliseconds held as text (``'1713397508000.0'``) to a UTC date."""
+    """Epoch milliseconds held as text (``'1713397508000.0'``) to a UTC date.
+
+    Whole days since the epoch, so the result does not depend on the
+    session time zone.
+    """
     millis = _c(col).try_cast("double")
-    return F.to_date(F.timestamp_millis(millis.cast("long")))
+    return F.date_from_unix_date(F.floor(millis / F.lit(86400000)).cast("int"))
+
+
+def ntz_epoch_millis(col: Column | str) -> Column:
+    """Epoch milliseconds of a ``timestamp_ntz`` wall-clock value read as UTC (zone-independent)."""
+    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _c(col))
 
 
 def parse_date(col: Column | str, fmt: str = EVENT_DATE_FORMAT) -> Column:

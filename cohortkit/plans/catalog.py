@@ -132,7 +132,7 @@ def split_location(spark, base):
 @query("epoch_millis_date")
 def epoch_millis_date(spark, base):
     e = L(spark, base, "events")
-    millis = F.concat(F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), F.lit(".0"))
+    millis = F.concat(clean.ntz_epoch_millis("ts").cast("string"), F.lit(".0"))
     text = F.when(F.col("event_id") % 10 == 0, F.lit("")).otherwise(millis)
     return (e.select("event_id", text.alias("millis_text"))
             .withColumn("event_date", clean.epoch_millis_to_date("millis_text")))

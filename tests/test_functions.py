@@ -1,6 +1,8 @@
 import datetime as dt
 
 
+from pyspark.sql import functions as F
+
 from cohortkit.functions import clean
 from cohortkit.functions.numeric import pct, round_half_up_ratio
 from cohortkit.operators import keys
@@ -73,3 +75,15 @@ def test_lookup_label_passes_unknown_through(spark):
     df = one_col(spark, ["JO", "QU", None])
     got = [r[0] for r in rows(df.select(clean.lookup_label("c", {"JO": "job_openings_rate"})))]
     assert got == ["job_openings_rate", "QU", None]
+
+
+def test_epoch_functions_ignore_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([(dt.datetime(2024, 4, 17, 23, 45, 8, 123456),)], "ts timestamp_ntz")
+        got = rows(df.select(clean.ntz_epoch_millis("ts").alias("m"),
+                             clean.epoch_millis_to_date(F.lit("1713397508000.0")).alias("d")))
+        assert got == [(1713397508123, dt.date(2024, 4, 17))]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
