@@ -19,17 +19,20 @@ from cohortkit.operators.layout import ensure_parallelism
 
 
 def deletion_variants(keys: DataFrame, max_dist: int) -> DataFrame:
-    """``(s, v)``: every string ``v`` reachable from ``s`` by at most ``max_dist`` deletions."""
+    """``(s, v)``: every string ``v`` reachable from ``s`` by at most ``max_dist`` deletions.
+
+    Each pass explodes positions ``0..len`` of the current variants, where 0
+    keeps the variant and ``i`` deletes its i-th character, so the input is
+    read once and no union is needed.
+    """
     out = keys.select("s", F.col("s").alias("v"))
-    frontier = out
     for _ in range(max_dist):
-        i = F.explode(F.sequence(F.lit(1), F.greatest(F.length("v"), F.lit(1)))).alias("i")
-        frontier = (frontier.filter(F.length("v") > 0).select("s", "v", i)
-                    .select("s", F.concat(F.substring("v", 1, F.col("i") - 1),
-                                          F.substring("v", F.col("i") + 1, 1 << 30)).alias("v"))
-                    .distinct())
-        out = out.unionByName(frontier)
-    return out.distinct()
+        i = F.col("i")
+        cut = F.concat(F.substring("v", 1, i - 1), F.substring("v", i + 1, 1 << 30))
+        out = (out.select("s", "v", F.explode(F.sequence(F.lit(0), F.length("v"))).alias("i"))
+               .select("s", F.when(i == 0, F.col("v")).otherwise(cut).alias("v"))
+               .distinct())
+    return out
 
 
 def fuzzy_pairs(left: DataFrame, left_col: str, right: DataFrame, right_col: str, max_dist: int = 1,
