@@ -6,9 +6,10 @@ from cohortkit.sources.files import (
     load_tables,
     read_padded_tsv,
     read_quoted_csv,
+    read_result,
     union_all,
 )
 from cohortkit.sources.sinks import write_parquet, write_quoted_csv, write_single_csv
 
-__all__ = ["TABLES", "load", "load_tables", "read_padded_tsv", "read_quoted_csv", "union_all",
+__all__ = ["TABLES", "load", "load_tables", "read_padded_tsv", "read_quoted_csv", "read_result", "union_all",
            "write_parquet", "write_quoted_csv", "write_single_csv"]

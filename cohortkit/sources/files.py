@@ -10,8 +10,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+import warnings
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -60,6 +62,21 @@ def read_quoted_csv(spark: SparkSession, path: str, schema: StructType | Sequenc
     return reader.csv(path)
 
 
+def read_result(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """A written result directory (CSV with header) read back with explicit types.
+
+    Returns ``None`` with a warning when the directory does not exist, so a
+    report can skip a result that was not produced.
+    """
+    try:
+        return read_quoted_csv(spark, path, schema)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        warnings.warn(f"no result at {path}; skipped", stacklevel=2)
+        return None
+
+
 def read_padded_tsv(spark: SparkSession, path: str, cols: Sequence[str] | None = None) -> DataFrame:
     """Tab-separated file with padded header names and values, trimmed, all strings.
 

@@ -66,3 +66,17 @@ def test_clean_stream_applies_rules_per_batch(spark):
     assert sorted(r[0] for r in rows(spark.read.parquet(out_clean), "id")) == [2, 3]
     audit = {m: v for m, v in rows(spark.read.parquet(out_audit), "metric", "value")}
     assert audit["dropped_inverted"] == 1 and audit["raw_row_count"] == 3
+
+
+def test_read_result_typed_and_missing(spark):
+    import datetime as dt
+
+    import pytest
+    from pyspark.sql.types import DateType, DoubleType
+
+    df = spark.createDataFrame([(dt.date(2023, 7, 1), 1.1)], "obs_date date, v double")
+    path = sinks.write_single_csv(df, scratch_path(spark, "t-res"))
+    schema = StructType([StructField("obs_date", DateType()), StructField("v", DoubleType())])
+    assert rows(files.read_result(spark, path, schema)) == [(dt.date(2023, 7, 1), 1.1)]
+    with pytest.warns(UserWarning):
+        assert files.read_result(spark, path + "-missing", schema) is None
