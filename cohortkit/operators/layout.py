@@ -19,3 +19,4 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     except Exception:  # noqa: BLE001 - sources without a file listing
         files = 0
     return df if files >= n else df.repartition(n)
+

@@ -19,6 +19,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pyspark import StorageLevel
+
 BUCKETS = 1 << 16
 
 
@@ -58,24 +60,27 @@ def kth_smallest(values: DataFrame, targets: DataFrame, keys: Sequence[str], pas
     with ``__lo``/``__hi`` the group's min/max; extra columns are carried
     along.  Returns the targets with ``value``.
 
-    ``iterate=True`` runs one job per pass: the small target table is
-    checkpointed to the shared checkpoint folder (lineage cut, survives
-    executor loss) and the loop stops once every interval is a single
-    value, so a narrow value range costs fewer passes.  ``iterate=False``
+    ``iterate=True`` runs one job per pass on a persisted (tiny) target
+    table and stops once every interval is a single value, so a narrow
+    value range costs fewer passes over the data.  ``iterate=False``
     builds all passes into one lazy plan.
     """
     keys = list(keys)
-    if iterate:
-        from cohortkit.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(values.sparkSession)
-    state = targets.checkpoint() if iterate else targets
-    for _ in range(passes):
-        if iterate and state.filter(F.col("__lo") < F.col("__hi")).limit(1).count() == 0:
+    state, previous = targets, None
+    for p in range(passes + 1):
+        if iterate:
+            # the target table is tiny: keep it (recomputed from lineage if an executor is lost);
+            # one job fills the cache and counts the unresolved targets
+            state = state.persist(StorageLevel.MEMORY_AND_DISK)
+            open_targets = state.agg(F.count_if(F.col("__lo") < F.col("__hi"))).first()[0]
+            if previous is not None:
+                previous.unpersist()
+            previous = state
+            if not open_targets:
+                break
+        if p == passes:
             break
         state = _refine(values, state, keys)
-        if iterate:
-            state = state.checkpoint()
     return state.withColumn("value", F.col("__lo")).drop("k", "__lo", "__hi")
 
 
