@@ -27,3 +27,14 @@ def rows(df, *cols):
     if not cols:
         return [tuple(r) for r in df.collect()]
     return [tuple(r[c] for c in cols) for r in df.select(*cols).collect()]
+
+
+def plan_text(df, mode: str = "formatted") -> str:
+    """The text of ``df.explain(mode)`` (the final adaptive plan once ``df`` has run)."""
+    import io
+    from contextlib import redirect_stdout
+
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()

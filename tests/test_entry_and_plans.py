@@ -3,10 +3,7 @@ import importlib
 from pyspark.sql import functions as F
 
 from cohortkit.plans import catalog
-
-
-def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+from tests.conftest import plan_text
 
 
 def test_entry_contract(spark):
@@ -20,13 +17,13 @@ def test_entry_contract(spark):
 
 def test_scan_prunes_columns_and_pushes_filters(spark, base):
     df = catalog.L(spark, base, "orders").filter(F.col("o_orderpriority") == "1-URGENT").select("o_custkey")
-    s = df._jdf.queryExecution().executedPlan().toString()
+    s = plan_text(df)
     assert "PushedFilters: [IsNotNull(o_orderpriority), EqualTo(o_orderpriority,1-URGENT)]" in s
     assert "ReadSchema: struct<o_custkey:bigint,o_orderpriority:string>" in s
 
 
 def test_topk_uses_window_group_limit(spark, base):
-    s = catalog.topk_tags(spark, base)._jdf.queryExecution().optimizedPlan().toString()
+    s = plan_text(catalog.topk_tags(spark, base))
     assert "WindowGroupLimit" in s
 
 
@@ -34,5 +31,5 @@ def test_no_cartesian_products_in_catalogue(spark, base):
     heavy = ["join_hit_rate", "integrity_checks", "orphan_tags", "bootstrap_rate", "cohort_contrast",
              "weighted_hit_rate", "fuzzy_key_match", "topk_rank_compare"]
     for name in heavy:
-        s = catalog.QUERIES[name](spark, base)._jdf.queryExecution().executedPlan().toString()
+        s = plan_text(catalog.QUERIES[name](spark, base), "simple")
         assert "CartesianProduct" not in s and "BroadcastNestedLoopJoin" not in s, name

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from cohortkit.operators import cohort, measures
+from tests.conftest import plan_text
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -29,9 +30,9 @@ def test_hot_key_tag_join_is_split_and_complete(spark):
         # key 0 is a member (10,000 rows); other even ids are members
         want_flagged = n // 3 + sum(1 for i in range(n) if i % 3 != 0 and i % 2 == 0)
         assert got == {"flagged": want_flagged, "rest": n - want_flagged}
-        plan = tagged._jdf.queryExecution().executedPlan().toString()
+        plan = plan_text(tagged, "simple")
         tagged.collect()  # finalizes this frame's adaptive plan
-        final = tagged._jdf.queryExecution().executedPlan().toString()
+        final = plan_text(tagged, "simple")
         assert "SortMergeJoin" in plan + final
         assert "skew=true" in final, final
     finally:
