@@ -20,7 +20,12 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its row count is proven small, else ``df`` unchanged."""
+    """``F.broadcast(df)`` when its row count is proven small, else ``df`` unchanged.
+
+    Meant for lookups read from a table (scan, filter, projection), where the
+    check reads only ``max_rows + 1`` rows.  For a derived aggregate the
+    check would compute it in full; leave those to AQE's measured sizes.
+    """
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 

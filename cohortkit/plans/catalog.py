@@ -448,8 +448,8 @@ def series_composite(spark, base):
                          F.col("o_orderstatus")), series.INDUSTRY_BY_CODE)
     weights = (L(spark, base, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("weight"))
                .select(labels.alias("industry"), "weight").filter(F.col("industry").isNotNull()))
-    from cohortkit.operators.joins import broadcast_if_small
-    return series.composite(fx.clean_series(spark, base), broadcast_if_small(weights, 10_000))
+    # weights are an aggregate (one row per status): the join is left to AQE's measured sizes
+    return series.composite(fx.clean_series(spark, base), weights)
 
 
 # ---------------------------------------------------------------- cohort contrasts
