@@ -28,6 +28,8 @@ HEADLINE = [
     "flag_rate", "topk_region", "series_code_decode", "series_select", "series_pivot",
     # profiling, cleaning and bridge (scripts 01-03)
     "profile_long", "clean_audit", "top_values", "numeric_summary", "dedup_pairs", "csv_multiline_roundtrip",
+    # row-heavy outputs (every fact or bridge row reaches the sink)
+    "cohort_tag", "lookup_left_join", "alias_dictionary",
     # heavier derived operators
     "median_exact", "topk_rank_compare", "bootstrap_rate", "fuzzy_key_match", "integrity_checks",
 ]

@@ -60,3 +60,12 @@ def test_numeric_summary_is_numeric_not_lexicographic(spark):
     df = spark.createDataFrame([("9",), ("100000",), ("20",)], "v string")
     got = {m: v for _, m, v in rows(profile.numeric_summary(df, ["v"]))}
     assert got["min"] == 9.0 and got["max"] == 100000.0 and got["mean"] == 33343.0
+
+
+def test_profile_approx_distinct_close_to_exact(spark):
+    df = spark.range(20000).selectExpr("id % 5000 AS k", "CAST(NULL AS STRING) AS s")
+    exact = {c: int(v) for _, c, m, v in rows(profile.profile(df, "t", distinct_cols=["k", "s"])) if m == "distinct_count"}
+    approx = {c: int(v) for _, c, m, v in rows(profile.profile(df, "t", distinct_cols=["k", "s"], approx_distinct=True))
+              if m == "distinct_count"}
+    assert exact == {"k": 5000, "s": 1}
+    assert abs(approx["k"] - 5000) <= 250 and approx["s"] == 1
