@@ -68,4 +68,5 @@ def test_profile_approx_distinct_close_to_exact(spark):
     approx = {c: int(v) for _, c, m, v in rows(profile.profile(df, "t", distinct_cols=["k", "s"], approx_distinct=True))
               if m == "distinct_count"}
     assert exact == {"k": 5000, "s": 1}
-    assert abs(approx["k"] - 5000) <= 250 and approx["s"] == 1
+    # approx_count_distinct has a 5 % relative standard deviation by default: allow 3 sigma
+    assert abs(approx["k"] - 5000) <= 750 and approx["s"] == 1
