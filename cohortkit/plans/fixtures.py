@@ -11,6 +11,8 @@ can rebuild them exactly.  All of it is lazy and grows with the tables.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,17 +33,39 @@ COHORT_MIN_VALUE = 8.0
 STATUS_INDUSTRY = {"F": "000000", "O": "510000", "P": "520000"}
 # ---------------------------------------------------------------------------
 
+_MEMO: dict[tuple, DataFrame] = {}
+
+
+def memo(fn):
+    """Build a derived frame once per application, base folder and arguments.
+
+    A DataFrame is an immutable plan that re-reads its inputs whenever it
+    runs, so reusing it only saves driver-side planning (and the size checks
+    of its dimension joins); it caches no data.
+    """
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, base: str, *args):
+        key = (fn.__name__, spark.sparkContext.applicationId, base.rstrip("/"),
+               *[tuple(a) if isinstance(a, list) else a for a in args])
+        if key not in _MEMO:
+            _MEMO[key] = fn(spark, base, *args)
+        return _MEMO[key]
+    return wrapper
+
 
+@memo
 def cohort_events(spark: SparkSession, base: str) -> DataFrame:
     """Rows that define the cohort (the reference's layoff events)."""
     ev = load(spark, base, "events")
     return ev.filter((F.col("event_type") == COHORT_EVENT) & (F.col("value") > COHORT_MIN_VALUE))
 
 
+@memo
 def member_keys(spark: SparkSession, base: str) -> DataFrame:
     return cohort.members(cohort_events(spark, base), "user_id", measures=["value"])
 
 
+@memo
 def tagged_orders(spark: SparkSession, base: str, cols: list[str] | None = None) -> DataFrame:
     """Orders with ``cohort`` in {flagged, rest}; column pruning reaches the scan."""
     orders = load(spark, base, "orders")
@@ -50,11 +74,13 @@ def tagged_orders(spark: SparkSession, base: str, cols: list[str] | None = None)
     return cohort.tag(orders, member_keys(spark, base), "o_custkey", "user_id")
 
 
+@memo
 def urgent_orders(spark: SparkSession, base: str) -> DataFrame:
     """Facts of the join diagnostic: urgent orders only, so some members have none."""
     return load(spark, base, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
 
 
+@memo
 def dirty_customers(spark: SparkSession, base: str) -> DataFrame:
     """Customers with a dirty name and a ``"nation, region"`` location (every third comma-less)."""
     c = load(spark, base, "customer")
@@ -73,6 +99,7 @@ def dirty_customers(spark: SparkSession, base: str) -> DataFrame:
                          "c_nationkey", "c_mktsegment")
 
 
+@memo
 def dirty_orders(spark: SparkSession, base: str) -> DataFrame:
     """Orders with nullable range bounds, a bounded measure, two sparse measures and flag text."""
     o = load(spark, base, "orders")
@@ -103,6 +130,7 @@ def _tenths_text(k, n):
     return F.concat(F.expr(f"{v10} div 10").cast("string"), F.lit("."), F.expr(f"{v10} % 10").cast("string"))
 
 
+@memo
 def raw_series(spark: SparkSession, base: str) -> DataFrame:
     """Coded monthly series derived from orders: ``(series_id, year, period, value)`` text.
 
@@ -136,6 +164,7 @@ def raw_series(spark: SparkSession, base: str) -> DataFrame:
                     F.col("y").cast("string").alias("year"), "period", F.col("e.value").alias("value")))
 
 
+@memo
 def clean_series(spark: SparkSession, base: str) -> DataFrame:
     from cohortkit.operators import series
 
