@@ -492,7 +492,8 @@ def cohort_contrast(spark, base):
 def topk_rank_compare(spark, base, k: int = 10):
     counts = (_with_part(spark, base, "p_brand").groupBy("cohort", "p_brand")
               .agg(F.sum("cnt").cast("bigint").alias("n")))
-    top = measures.top_k(counts, "cohort", "p_brand", k=k, weight="n")
+    w = Window.partitionBy("cohort").orderBy(F.desc("n"), F.asc("p_brand"))
+    top = counts.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k)  # WindowGroupLimit
     cands = top.select("p_brand").distinct()                      # at most 2k brands
     own = counts.join(F.broadcast(cands), "p_brand", "inner")     # candidate counts per cohort
     # exact rank = 1 + brands of the same cohort ahead of it (more items, or tie and smaller name)

@@ -157,7 +157,8 @@ WITH nn AS (UNPIVOT (SELECT {", ".join(f"COUNT({c}) AS {c}" for c in ORDER_COLS)
             ON {", ".join(ORDER_COLS)} INTO NAME column_name VALUE non_null)
 SELECT 'orders' AS dataset, c.column_name AS "column",
        CASE c.data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
-            WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'INTEGER' THEN 'int' ELSE lower(c.data_type) END AS data_type,
+            WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'TIMESTAMP_NS' THEN 'timestamp_ntz'
+            WHEN 'TIMESTAMP_US' THEN 'timestamp_ntz' WHEN 'INTEGER' THEN 'int' ELSE lower(c.data_type) END AS data_type,
        CAST(c.ordinal_position AS INTEGER) AS position, nn.non_null
 FROM information_schema.columns c JOIN nn ON c.column_name = nn.column_name
 WHERE c.table_name = 'orders'""")
