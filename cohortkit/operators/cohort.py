@@ -36,20 +36,57 @@ def members(events: DataFrame, key: str, measures: Sequence[str] = (), where: Co
 
 
 def tag(facts: DataFrame, member_keys: DataFrame, fact_key: str, member_key: str | None = None,
-        labels: tuple[str, str] = (IN_LABEL, OUT_LABEL), cohort_col: str = "cohort") -> DataFrame:
+        labels: tuple[str, str] = (IN_LABEL, OUT_LABEL), cohort_col: str = "cohort",
+        hot_key_fraction: float | None = None, salts: int = 64) -> DataFrame:
     """Facts with a cohort label; NULL-key facts are removed.
 
     ``member_keys`` must be distinct on its key (``members`` guarantees it),
     so the left join never fans out.
+
+    By default Spark picks the join: a broadcast when the member set is
+    small, else a sort-merge join.  A member set built by ``distinct()`` is
+    already partitioned by the key, so AQE cannot split a hot fact key in
+    that sort-merge join; ``hot_key_fraction`` (e.g. ``1e-4``) switches to
+    an explicit, exact skew path: keys holding at least that fraction of the
+    facts (at most ``1 / hot_key_fraction`` of them, so their table is a
+    bounded broadcast) have their facts spread over ``salts`` salt values
+    and their members replicated once per salt; all other keys keep salt 0.
+    The join on (key, salt) then spreads a hot key over ``salts`` tasks.
     """
     member_key = member_key or fact_key
     m = member_keys.select(F.col(member_key).alias("__member_key")).withColumn("__hit", F.lit(True))
-    joined = facts.filter(F.col(fact_key).isNotNull()).join(
-        m, F.col(fact_key) == F.col("__member_key"), "left")
+    f = facts.filter(F.col(fact_key).isNotNull())
+    if hot_key_fraction:
+        joined = _salted_left_join(f, m, fact_key, hot_key_fraction, salts)
+    else:
+        joined = f.join(m, F.col(fact_key) == F.col("__member_key"), "left")
     return (joined.withColumn(cohort_col, F.when(F.col("__hit"), F.lit(labels[0])).otherwise(F.lit(labels[1])))
             .drop("__member_key", "__hit"))
 
 
+def hot_keys(df: DataFrame, key: str, fraction: float) -> DataFrame:
+    """Keys holding at least ``fraction`` of the rows: at most ``1 / fraction`` rows.
+
+    One aggregate over the key column (partial aggregation on the map side).
+    """
+    counts = df.groupBy(F.col(key).alias("__hot_key")).agg(F.count(F.lit(1)).alias("__c"))
+    total = counts.agg(F.sum("__c")).scalar()
+    return counts.filter(F.col("__c") >= F.lit(fraction) * total).select("__hot_key")
+
+
+def _salted_left_join(f: DataFrame, m: DataFrame, fact_key: str, fraction: float, salts: int) -> DataFrame:
+    hot = F.broadcast(hot_keys(f, fact_key, fraction).withColumn("__is_hot", F.lit(True)))  # bounded
+    row_hash = F.xxhash64(*[F.col(c) for c in f.columns])
+    fs = (f.join(hot, F.col(fact_key) == F.col("__hot_key"), "left")
+          .withColumn("__salt", F.when(F.col("__is_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)))
+          .drop("__hot_key", "__is_hot"))
+    every_salt = F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    ms = (m.join(hot, F.col("__member_key") == F.col("__hot_key"), "left")
+          .select("__member_key", "__hit", F.explode(every_salt.cast("array<bigint>")).alias("__msalt")))
+    cond = (F.col(fact_key) == F.col("__member_key")) & (F.col("__salt") == F.col("__msalt"))
+    return fs.join(ms, cond, "left").drop("__salt", "__msalt")
+
+
 def semi_join_count(facts: DataFrame, member_keys: DataFrame, fact_key: str,
                     member_key: str | None = None) -> DataFrame:
     """Number of fact rows whose key is a member (``IN (SELECT DISTINCT ...)``)."""

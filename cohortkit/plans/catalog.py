@@ -272,10 +272,14 @@ def cohort_members(spark, base):
     return fx.member_keys(spark, base)
 
 
+HOT_KEY_FRACTION = 1e-3
+
+
 @query("cohort_tag")
 def cohort_tag(spark, base):
-    return fx.tagged_orders(spark, base, ["o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"]).select(
-        "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice", "cohort")
+    # the skew-safe tag: customers with >= 0.1 % of all orders are salted over 64 tasks
+    o = L(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+    return cohort.tag(o, fx.member_keys(spark, base), "o_custkey", "user_id", hot_key_fraction=HOT_KEY_FRACTION)
 
 
 @query("semi_join_count")

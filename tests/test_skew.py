@@ -52,3 +52,29 @@ def test_hot_group_median_and_topk_are_exact(spark):
     med = measures.group_median(df.filter(F.col("cat") == "hot"), ["cat"], "v", exact=True).collect()[0]
     want = df.filter(F.col("cat") == "hot").agg(F.median("v")).collect()[0][0]
     assert med["median"] == want and med["n"] == 9000
+
+
+def test_salted_tag_spreads_a_hot_key_exactly(spark):
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30000
+        facts = spark.range(n).select(F.col("id").alias("fid"),
+                                      F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"))
+        # the member set comes from distinct(): already partitioned by key, so AQE cannot split
+        ev = spark.range(0, 3 * n).select((F.col("id") % n).alias("k"), (F.col("id") % 7).alias("v"))
+        mem = cohort.members(ev.filter(F.col("k") % 2 == 0), "k", ["v"])
+        plain = cohort.tag(facts, mem, "k")
+        salted = cohort.tag(facts, mem, "k", hot_key_fraction=0.01, salts=16)
+        a = sorted((r["fid"], r["cohort"]) for r in plain.collect())
+        b = sorted((r["fid"], r["cohort"]) for r in salted.collect())
+        assert a == b and len(b) == n
+        s = plan_text(salted, "simple")
+        assert "__salt" in s and "skew=true" not in plan_text(plain, "simple")
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
