@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.functions.numeric import pct
-from cohortkit.operators.joins import combine_scalars
+from cohortkit.operators.joins import combine_scalars, skew_join
 
 IN_LABEL, OUT_LABEL = "flagged", "rest"
 
@@ -57,36 +57,13 @@ def tag(facts: DataFrame, member_keys: DataFrame, fact_key: str, member_key: str
     m = member_keys.select(F.col(member_key).alias("__member_key")).withColumn("__hit", F.lit(True))
     f = facts.filter(F.col(fact_key).isNotNull())
     if hot_key_fraction:
-        joined = _salted_left_join(f, m, fact_key, hot_key_fraction, salts)
+        joined = skew_join(f, m, fact_key, "__member_key", "left", hot_key_fraction, salts)
     else:
         joined = f.join(m, F.col(fact_key) == F.col("__member_key"), "left")
     return (joined.withColumn(cohort_col, F.when(F.col("__hit"), F.lit(labels[0])).otherwise(F.lit(labels[1])))
             .drop("__member_key", "__hit"))
 
 
-def hot_keys(df: DataFrame, key: str, fraction: float) -> DataFrame:
-    """Keys holding at least ``fraction`` of the rows: at most ``1 / fraction`` rows.
-
-    One aggregate over the key column (partial aggregation on the map side).
-    """
-    counts = df.groupBy(F.col(key).alias("__hot_key")).agg(F.count(F.lit(1)).alias("__c"))
-    total = counts.agg(F.sum("__c")).scalar()
-    return counts.filter(F.col("__c") >= F.lit(fraction) * total).select("__hot_key")
-
-
-def _salted_left_join(f: DataFrame, m: DataFrame, fact_key: str, fraction: float, salts: int) -> DataFrame:
-    hot = F.broadcast(hot_keys(f, fact_key, fraction).withColumn("__is_hot", F.lit(True)))  # bounded
-    row_hash = F.xxhash64(*[F.col(c) for c in f.columns])
-    fs = (f.join(hot, F.col(fact_key) == F.col("__hot_key"), "left")
-          .withColumn("__salt", F.when(F.col("__is_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)))
-          .drop("__hot_key", "__is_hot"))
-    every_salt = F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    ms = (m.join(hot, F.col("__member_key") == F.col("__hot_key"), "left")
-          .select("__member_key", "__hit", F.explode(every_salt.cast("array<bigint>")).alias("__msalt")))
-    cond = (F.col(fact_key) == F.col("__member_key")) & (F.col("__salt") == F.col("__msalt"))
-    return fs.join(ms, cond, "left").drop("__salt", "__msalt")
-
-
 def semi_join_count(facts: DataFrame, member_keys: DataFrame, fact_key: str,
                     member_key: str | None = None) -> DataFrame:
     """Number of fact rows whose key is a member (``IN (SELECT DISTINCT ...)``)."""
@@ -131,20 +108,35 @@ def join_diagnostic(facts: DataFrame, events: DataFrame, fact_key: str, event_ke
 
 
 def unmatched(events: DataFrame, facts: DataFrame, event_key: str, fact_key: str,
-              order_by: Sequence[Column], k: int = 20) -> DataFrame:
-    """Event rows whose key has no fact (anti join), top ``k`` by ``order_by``."""
+              order_by: Sequence[Column], k: int = 20, hot_key_fraction: float | None = None) -> DataFrame:
+    """Event rows whose key has no fact (anti join), top ``k`` by ``order_by``.
+
+    ``hot_key_fraction`` salts hot event keys (``joins.skew_join``).
+    """
     fk = facts.filter(F.col(fact_key).isNotNull()).select(F.col(fact_key).alias("__k")).distinct()
-    rest = events.filter(F.col(event_key).isNotNull()).join(fk, F.col(event_key) == F.col("__k"), "left_anti")
+    ev = events.filter(F.col(event_key).isNotNull())
+    if hot_key_fraction:
+        rest = skew_join(ev, fk, event_key, "__k", "left_anti", hot_key_fraction)
+    else:
+        rest = ev.join(fk, F.col(event_key) == F.col("__k"), "left_anti")
     return rest.orderBy(*order_by).limit(k)
 
 
 def recency_tag(facts: DataFrame, events: DataFrame, fact_key: str, event_key: str, ts_col: str,
                 cutoff: str, labels: tuple[str, str, str] = ("recent", "lapsed", "none"),
-                cohort_col: str = "cohort") -> DataFrame:
-    """Three-way cohort on the latest event per key: at/after ``cutoff``, before it, or no event."""
+                cohort_col: str = "cohort", hot_key_fraction: float | None = None) -> DataFrame:
+    """Three-way cohort on the latest event per key: at/after ``cutoff``, before it, or no event.
+
+    The per-key latest events come partitioned by key; ``hot_key_fraction``
+    salts hot fact keys in the join (``joins.skew_join``).
+    """
     last = (events.filter(F.col(event_key).isNotNull()).groupBy(F.col(event_key).alias("__k"))
             .agg(F.max(ts_col).alias("__last")))
-    joined = facts.filter(F.col(fact_key).isNotNull()).join(last, F.col(fact_key) == F.col("__k"), "left")
+    f = facts.filter(F.col(fact_key).isNotNull())
+    if hot_key_fraction:
+        joined = skew_join(f, last, fact_key, "__k", "left", hot_key_fraction)
+    else:
+        joined = f.join(last, F.col(fact_key) == F.col("__k"), "left")
     label = (F.when(F.col("__last").isNull(), F.lit(labels[2]))
              .when(F.col("__last") >= F.lit(cutoff).cast(dict(events.dtypes)[ts_col]), F.lit(labels[0]))
              .otherwise(F.lit(labels[1])))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.numeric import pct
-from cohortkit.operators.joins import combine_scalars
+from cohortkit.operators.joins import combine_scalars, skew_join
 
 
 def _check(name: str, agg: DataFrame, observed: str, passed) -> DataFrame:
@@ -40,10 +40,17 @@ def reconcile(facts: DataFrame, tagged: DataFrame, key: str, cohort_col: str = "
     return _check("cohorts_reconcile", gap, "gap", F.col("gap") == 0)
 
 
-def orphans(bridge: DataFrame, facts: DataFrame, bridge_key: str, fact_key: str) -> DataFrame:
-    """F8: bridge rows whose key is absent from the facts (anti join), with their share."""
+def orphans(bridge: DataFrame, facts: DataFrame, bridge_key: str, fact_key: str,
+            hot_key_fraction: float | None = None) -> DataFrame:
+    """F8: bridge rows whose key is absent from the facts (anti join), with their share.
+
+    ``hot_key_fraction`` salts hot bridge keys (``joins.skew_join``).
+    """
     k = facts.select(F.col(fact_key).alias("__k")).distinct()
-    orphan = bridge.join(k, F.col(bridge_key) == F.col("__k"), "left_anti")
+    if hot_key_fraction:
+        orphan = skew_join(bridge, k, bridge_key, "__k", "left_anti", hot_key_fraction)
+    else:
+        orphan = bridge.join(k, F.col(bridge_key) == F.col("__k"), "left_anti")
     o = orphan.agg(F.count(F.lit(1)).alias("orphan_rows"))
     t = bridge.agg(F.count(F.lit(1)).alias("bridge_rows"))
     return (combine_scalars(o, t)

@@ -44,3 +44,40 @@ def combine_scalars(*rows: DataFrame) -> DataFrame:
     for r in rows[1:]:
         merged = merged.unionByName(r, allowMissingColumns=True)
     return merged.agg(*[F.max(c).alias(c) for c in merged.columns])
+
+
+def hot_keys(df: DataFrame, key: str, fraction: float) -> DataFrame:
+    """``(__hot_key)``: keys holding at least ``fraction`` of the rows, so at most ``1 / fraction`` rows.
+
+    One aggregate over the key column (partial aggregation on the map side).
+    """
+    counts = df.groupBy(F.col(key).alias("__hot_key")).agg(F.count(F.lit(1)).alias("__c"))
+    total = counts.agg(F.sum("__c")).scalar()
+    return counts.filter(F.col("__c") >= F.lit(fraction) * total).select("__hot_key")
+
+
+def skew_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left",
+              hot_fraction: float = 1e-4, salts: int = 64) -> DataFrame:
+    """Equi-join with exact salting of hot left keys; ``right`` must be unique on ``right_key``.
+
+    Keys holding at least ``hot_fraction`` of the left rows (at most
+    ``1 / hot_fraction`` of them: a bounded broadcast) give their left rows a
+    salt from a row hash and have their single right row replicated once per
+    salt; every other key keeps salt 0.  The join on (key, salt) spreads a
+    hot key over ``salts`` tasks whatever the partitioning of ``right``
+    (AQE cannot split a join whose side is already partitioned by the key,
+    such as the output of ``distinct()`` or ``groupBy(key)``).  Works for
+    ``left``, ``inner``, ``left_semi`` and ``left_anti``; no row is dropped
+    or sampled.
+    """
+    hot = F.broadcast(hot_keys(left, left_key, hot_fraction).withColumn("__is_hot", F.lit(True)))
+    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
+    ls = (left.join(hot, F.col(left_key) == F.col("__hot_key"), "left")
+          .withColumn("__salt", F.when(F.col("__is_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)))
+          .drop("__hot_key", "__is_hot"))
+    every_salt = F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    rs = (right.join(hot, F.col(right_key) == F.col("__hot_key"), "left")
+          .select(*right.columns, F.explode(every_salt.cast("array<bigint>")).alias("__rsalt")))
+    cond = (F.col(left_key) == F.col(right_key)) & (F.col("__salt") == F.col("__rsalt"))
+    out = ls.join(rs, cond, how)
+    return out.drop("__salt", "__rsalt") if how in ("left", "inner") else out.drop("__salt")

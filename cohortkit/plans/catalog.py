@@ -22,6 +22,9 @@ from cohortkit.sources import files, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# keys holding >= 0.1 % of a join's left rows take the salted skew path (joins.skew_join)
+HOT_KEY_FRACTION = 1e-3
+
 
 def query(name: str):
     def deco(fn):
@@ -272,9 +275,6 @@ def cohort_members(spark, base):
     return fx.member_keys(spark, base)
 
 
-HOT_KEY_FRACTION = 1e-3
-
-
 @query("cohort_tag")
 def cohort_tag(spark, base):
     # the skew-safe tag: customers with >= 0.1 % of all orders are salted over 64 tasks
@@ -298,7 +298,8 @@ def join_hit_rate(spark, base):
 def unmatched_top(spark, base):
     ev = fx.cohort_events(spark, base).select("event_id", "user_id", "value", "ts")
     return cohort.unmatched(ev, fx.urgent_orders(spark, base), "user_id", "o_custkey",
-                            [F.desc_nulls_last("value"), F.asc("event_id")], k=20)
+                            [F.desc_nulls_last("value"), F.asc("event_id")], k=20,
+                            hot_key_fraction=HOT_KEY_FRACTION)
 
 
 # ---------------------------------------------------------------- cohort measures
@@ -551,7 +552,8 @@ def _clean_orders(spark, base):
 @query("orphan_tags")
 def orphan_tags(spark, base):
     li = L(spark, base, "lineitem").select("l_orderkey")
-    return integrity.orphans(li, _clean_orders(spark, base), "l_orderkey", "o_orderkey")
+    return integrity.orphans(li, _clean_orders(spark, base), "l_orderkey", "o_orderkey",
+                             hot_key_fraction=HOT_KEY_FRACTION)
 
 
 @query("integrity_checks")
@@ -571,7 +573,7 @@ RECENCY_CUTOFF = "2024-01-15"
 def recency_cohort(spark, base):
     ev = L(spark, base, "events").filter(F.col("event_type") == fx.COHORT_EVENT)
     o = L(spark, base, "orders").select("o_orderkey", "o_custkey")
-    t = cohort.recency_tag(o, ev, "o_custkey", "user_id", "ts", RECENCY_CUTOFF)
+    t = cohort.recency_tag(o, ev, "o_custkey", "user_id", "ts", RECENCY_CUTOFF, hot_key_fraction=HOT_KEY_FRACTION)
     return t.groupBy("cohort").agg(F.count(F.lit(1)).alias("n_orders"),
                                    F.count_distinct("o_custkey").alias("n_customers"))
 
