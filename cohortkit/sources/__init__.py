@@ -9,7 +9,7 @@ from cohortkit.sources.files import (
     read_result,
     union_all,
 )
-from cohortkit.sources.sinks import write_parquet, write_quoted_csv, write_single_csv
+from cohortkit.sources.sinks import write_bucketed, write_parquet, write_quoted_csv, write_single_csv
 
 __all__ = ["TABLES", "load", "load_tables", "read_padded_tsv", "read_quoted_csv", "read_result", "union_all",
-           "write_parquet", "write_quoted_csv", "write_single_csv"]
+           "write_bucketed", "write_parquet", "write_quoted_csv", "write_single_csv"]

@@ -38,3 +38,17 @@ def write_single_csv(df: DataFrame, path: str, order_by: Sequence[str] | None =
         df = df.orderBy(*order_by)
     write_quoted_csv(df.coalesce(1), path)
     return path
+
+
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str) -> DataFrame:
+    """Write ``df`` as a table bucketed and sorted by ``keys`` at ``path``; return the table.
+
+    Tables bucketed on the same keys with the same bucket count join without
+    a shuffle (each bucket pair is joined by one task), so a fact table and
+    its bridge that are joined again and again are written this way once.
+    The table is external (its files live at ``path``, e.g. under the shared
+    checkpoint folder) and registered in the session catalog.
+    """
+    (df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)

@@ -80,3 +80,21 @@ def test_read_result_typed_and_missing(spark):
     assert rows(files.read_result(spark, path, schema)) == [(dt.date(2023, 7, 1), 1.1)]
     with pytest.warns(UserWarning):
         assert files.read_result(spark, path + "-missing", schema) is None
+
+
+def test_bucketed_tables_join_without_shuffle(spark, base):
+    from tests.conftest import plan_text
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders = files.load(spark, base, "orders").select("o_orderkey", "o_custkey")
+        items = files.load(spark, base, "lineitem").select("l_orderkey", "l_partkey")
+        o = sinks.write_bucketed(orders, "t_orders_b", ["o_orderkey"], 8, scratch_path(spark, "b-orders"))
+        li = sinks.write_bucketed(items, "t_items_b", ["l_orderkey"], 8, scratch_path(spark, "b-items"))
+        j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+        plan = plan_text(j, "simple")
+        assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+        assert j.count() == items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
