@@ -47,13 +47,17 @@ def combine_scalars(*rows: DataFrame) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, key: str, fraction: float) -> DataFrame:
-    """``(__hot_key)``: keys holding at least ``fraction`` of the rows, so at most ``1 / fraction`` rows.
+    """``(__hot_key)``: candidate keys holding at least ``fraction`` of the rows.
 
-    One aggregate over the key column (partial aggregation on the map side).
+    Spark's frequent-items aggregate (``freqItems``, the algorithm of Karp et
+    al.) keeps at most ``1 / fraction`` counters per task and merges them in
+    one bounded step: no shuffle of the distinct keys, and at most
+    ``1 / fraction`` keys come out.  Every key above the threshold is among
+    them; a few colder keys may be too, which only salts them needlessly.
     """
-    counts = df.groupBy(F.col(key).alias("__hot_key")).agg(F.count(F.lit(1)).alias("__c"))
-    total = counts.agg(F.sum("__c")).scalar()
-    return counts.filter(F.col("__c") >= F.lit(fraction) * total).select("__hot_key")
+    col = f"{key}_freqItems"
+    return (df.select(key).freqItems([key], fraction)
+            .select(F.explode(F.col(col)).alias("__hot_key")))
 
 
 def skew_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left",

@@ -23,7 +23,7 @@ from cohortkit.sources import files, sinks
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # keys holding >= 0.1 % of a join's left rows take the salted skew path (joins.skew_join)
-HOT_KEY_FRACTION = 1e-3
+HOT_KEY_FRACTION = fx.HOT_KEY_FRACTION
 
 
 def query(name: str):
@@ -591,7 +591,8 @@ def matched_strata(spark, base):
 
 @query("null_aware_rate")
 def null_aware_rate(spark, base):
-    d = cohort.tag(fx.dirty_orders(spark, base), fx.member_keys(spark, base), "o_custkey", "user_id")
+    d = cohort.tag(fx.dirty_orders(spark, base), fx.member_keys(spark, base), "o_custkey", "user_id",
+                   hot_key_fraction=HOT_KEY_FRACTION)
     return measures.null_aware_rate(d, "cohort", clean.to_nullable_flag("flag_text"), "flag")
 
 

@@ -27,6 +27,7 @@ NAME_SUFFIXES = [" Inc", " Corp.", ", LLC", " Limited", " corporation", " Ltd. "
 PRIORITY_ORDER = ["5-LOW", "4-NOT SPECIFIED", "3-MEDIUM", "2-HIGH", "1-URGENT"]
 TYPE_SET = ["ECONOMY", "SMALL"]
 BOUNDS = (10000.0, 1000000.0)
+HOT_KEY_FRACTION = 1e-3
 COHORT_EVENT = "error"
 COHORT_MIN_VALUE = 8.0
 # Series roles: order status -> 6-digit industry code; priority -> data element.
@@ -71,7 +72,8 @@ def tagged_orders(spark: SparkSession, base: str, cols: list[str] | None = None)
     orders = load(spark, base, "orders")
     if cols:
         orders = orders.select(*sorted(set(cols) | {"o_custkey"}))
-    return cohort.tag(orders, member_keys(spark, base), "o_custkey", "user_id")
+    # skew-safe tag: customers with >= 0.1 % of the orders are salted (exact, see joins.skew_join)
+    return cohort.tag(orders, member_keys(spark, base), "o_custkey", "user_id", hot_key_fraction=HOT_KEY_FRACTION)
 
 
 @memo
