@@ -203,7 +203,8 @@ def alias_dictionary(spark, base):
     d = fx.dirty_customers(spark, base).select("c_custkey", clean.canonical_key("dirty_name").alias("key"))
     o = L(spark, base, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     facts = o.join(d, "c_custkey", "inner").select("o_orderkey", "key")
-    return keys.apply_alias_table(facts, "key", alias_table(spark, base), out="resolved")
+    return keys.apply_alias_table(facts, "key", alias_table(spark, base), out="resolved",
+                                  hot_key_fraction=HOT_KEY_FRACTION)
 
 
 # ---------------------------------------------------------------- series decode / filters

@@ -87,11 +87,15 @@ def clean_series(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return series.decode(rules.apply_rules(raw, rs)), rules.audit(raw, rs, "series_clean")
 
 
-def tag_postings(postings: DataFrame, layoffs: DataFrame) -> DataFrame:
-    """Postings with ``subcohort``; aliases applied on the postings side; NULL keys removed."""
+def tag_postings(postings: DataFrame, layoffs: DataFrame, hot_key_fraction: float | None = 1e-3) -> DataFrame:
+    """Postings with ``subcohort``; aliases applied on the postings side; NULL keys removed.
+
+    Companies with at least ``hot_key_fraction`` of the postings are salted in the join.
+    """
     p = keys.apply_aliases(postings, "company_normalized", keys.REFERENCE_ALIASES)
     m = cohort.members(layoffs, "company_normalized", ["total_laid_off", "percentage_laid_off"])
-    return cohort.tag(p, m, "company_normalized", labels=COHORT_LABELS, cohort_col="subcohort")
+    return cohort.tag(p, m, "company_normalized", labels=COHORT_LABELS, cohort_col="subcohort",
+                      hot_key_fraction=hot_key_fraction)
 
 
 def median_salary_by_level(tagged: DataFrame) -> DataFrame:
