@@ -12,8 +12,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     its scan splits, read from metadata, nothing executed); on a large
     table with many files this is a no-op and no shuffle is added.
     """
-    spark = df.sparkSession
-    n = min_partitions or spark.sparkContext.defaultParallelism
+    from cohortkit.session import default_parallelism
+
+    n = min_partitions or default_parallelism(df.sparkSession)
     try:
         files = len(df.inputFiles())
     except Exception:  # noqa: BLE001 - sources without a file listing

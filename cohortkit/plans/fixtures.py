@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.operators import cohort, rules
 from cohortkit.operators.joins import join_dimension
+from cohortkit.session import app_id
 from cohortkit.sources.files import load
 
 # --- fixed values of the test-role mapping ---------------------------------
@@ -46,7 +47,7 @@ def memo(fn):
     """
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, base: str, *args):
-        key = (fn.__name__, spark.sparkContext.applicationId, base.rstrip("/"),
+        key = (fn.__name__, app_id(spark), base.rstrip("/"),
                *[tuple(a) if isinstance(a, list) else a for a in args])
         if key not in _MEMO:
             _MEMO[key] = fn(spark, base, *args)

@@ -41,12 +41,32 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (also on a Spark Connect session)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return int(spark.conf.get("spark.default.parallelism", None) or
+                   spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
     Only when nothing is configured (local tests) a private folder is set.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: read the setting only
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="cohortkit-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from cohortkit.session import app_id
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -33,7 +35,7 @@ def load(spark: SparkSession, base: str, name: str, refresh: bool = False) -> Da
     read the footers again; ``refresh=True`` picks up changed files.
     """
     path = f"{base.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (app_id(spark), path)
     if refresh or key not in _LOADED:
         _LOADED[key] = spark.read.parquet(path)
     return _LOADED[key]
