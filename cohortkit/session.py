@@ -101,6 +101,8 @@ def cluster_conf(input_bytes: int, total_cores: int, split_bytes: int = 512 << 2
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        # coalesce to the advisory size (on a busy cluster, not to the default parallelism)
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
