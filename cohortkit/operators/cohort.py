@@ -37,7 +37,7 @@ def members(events: DataFrame, key: str, measures: Sequence[str] = (), where: Co
 
 def tag(facts: DataFrame, member_keys: DataFrame, fact_key: str, member_key: str | None = None,
         labels: tuple[str, str] = (IN_LABEL, OUT_LABEL), cohort_col: str = "cohort",
-        hot_key_fraction: float | None = None, salts: int = 64) -> DataFrame:
+        hot_key_fraction: float | None = None, salts: int = 64, hot: DataFrame | None = None) -> DataFrame:
     """Facts with a cohort label; NULL-key facts are removed.
 
     ``member_keys`` must be distinct on its key (``members`` guarantees it),
@@ -52,12 +52,14 @@ def tag(facts: DataFrame, member_keys: DataFrame, fact_key: str, member_key: str
     bounded broadcast) have their facts spread over ``salts`` salt values
     and their members replicated once per salt; all other keys keep salt 0.
     The join on (key, salt) then spreads a hot key over ``salts`` tasks.
+    ``hot`` passes the fact table's hot keys when they are computed once
+    for many tags (``joins.hot_keys``).
     """
     member_key = member_key or fact_key
     m = member_keys.select(F.col(member_key).alias("__member_key")).withColumn("__hit", F.lit(True))
     f = facts.filter(F.col(fact_key).isNotNull())
     if hot_key_fraction:
-        joined = skew_join(f, m, fact_key, "__member_key", "left", hot_key_fraction, salts)
+        joined = skew_join(f, m, fact_key, "__member_key", "left", hot_key_fraction, salts, hot)
     else:
         joined = f.join(m, F.col(fact_key) == F.col("__member_key"), "left")
     return (joined.withColumn(cohort_col, F.when(F.col("__hit"), F.lit(labels[0])).otherwise(F.lit(labels[1])))

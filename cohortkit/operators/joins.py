@@ -61,7 +61,7 @@ def hot_keys(df: DataFrame, key: str, fraction: float) -> DataFrame:
 
 
 def skew_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left",
-              hot_fraction: float = 1e-4, salts: int = 64) -> DataFrame:
+              hot_fraction: float = 1e-4, salts: int = 64, hot: DataFrame | None = None) -> DataFrame:
     """Equi-join with exact salting of hot left keys; ``right`` must be unique on ``right_key``.
 
     Keys holding at least ``hot_fraction`` of the left rows (at most
@@ -72,9 +72,12 @@ def skew_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     (AQE cannot split a join whose side is already partitioned by the key,
     such as the output of ``distinct()`` or ``groupBy(key)``).  Works for
     ``left``, ``inner``, ``left_semi`` and ``left_anti``; no row is dropped
-    or sampled.
+    or sampled.  ``hot`` passes a precomputed ``hot_keys`` table (e.g. one
+    computed once per fact table and reused by many joins).
     """
-    hot = F.broadcast(hot_keys(left, left_key, hot_fraction).withColumn("__is_hot", F.lit(True)))
+    if hot is None:
+        hot = hot_keys(left, left_key, hot_fraction)
+    hot = F.broadcast(hot.withColumn("__is_hot", F.lit(True)))
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     ls = (left.join(hot, F.col(left_key) == F.col("__hot_key"), "left")
           .withColumn("__salt", F.when(F.col("__is_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)))

@@ -280,7 +280,8 @@ def cohort_members(spark, base):
 def cohort_tag(spark, base):
     # the skew-safe tag: customers with >= 0.1 % of all orders are salted over 64 tasks
     o = L(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
-    return cohort.tag(o, fx.member_keys(spark, base), "o_custkey", "user_id", hot_key_fraction=HOT_KEY_FRACTION)
+    return cohort.tag(o, fx.member_keys(spark, base), "o_custkey", "user_id", hot_key_fraction=HOT_KEY_FRACTION,
+                      hot=fx.order_hot_keys(spark, base))
 
 
 @query("semi_join_count")
@@ -593,7 +594,7 @@ def matched_strata(spark, base):
 @query("null_aware_rate")
 def null_aware_rate(spark, base):
     d = cohort.tag(fx.dirty_orders(spark, base), fx.member_keys(spark, base), "o_custkey", "user_id",
-                   hot_key_fraction=HOT_KEY_FRACTION)
+                   hot_key_fraction=HOT_KEY_FRACTION, hot=fx.order_hot_keys(spark, base))
     return measures.null_aware_rate(d, "cohort", clean.to_nullable_flag("flag_text"), "flag")
 
 

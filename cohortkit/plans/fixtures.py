@@ -16,7 +16,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.operators import cohort, rules
+from cohortkit.operators import cohort, joins, rules
 from cohortkit.operators.joins import join_dimension
 from cohortkit.session import app_id
 from cohortkit.sources.files import load
@@ -67,6 +67,17 @@ def member_keys(spark: SparkSession, base: str) -> DataFrame:
     return cohort.members(cohort_events(spark, base), "user_id", measures=["value"])
 
 
+@memo
+def order_hot_keys(spark: SparkSession, base: str) -> DataFrame:
+    """Customers holding >= HOT_KEY_FRACTION of the orders, computed once per application.
+
+    At most 1 / HOT_KEY_FRACTION rows; kept in memory (recomputed from its
+    lineage if an executor is lost) and shared by every cohort tag of orders.
+    """
+    orders = load(spark, base, "orders").filter(F.col("o_custkey").isNotNull())
+    return joins.hot_keys(orders, "o_custkey", HOT_KEY_FRACTION).persist()
+
+
 @memo
 def tagged_orders(spark: SparkSession, base: str, cols: list[str] | None = None) -> DataFrame:
     """Orders with ``cohort`` in {flagged, rest}; column pruning reaches the scan."""
@@ -74,7 +85,8 @@ def tagged_orders(spark: SparkSession, base: str, cols: list[str] | None = None)
     if cols:
         orders = orders.select(*sorted(set(cols) | {"o_custkey"}))
     # skew-safe tag: customers with >= 0.1 % of the orders are salted (exact, see joins.skew_join)
-    return cohort.tag(orders, member_keys(spark, base), "o_custkey", "user_id", hot_key_fraction=HOT_KEY_FRACTION)
+    return cohort.tag(orders, member_keys(spark, base), "o_custkey", "user_id", hot_key_fraction=HOT_KEY_FRACTION,
+                      hot=order_hot_keys(spark, base))
 
 
 @memo
