@@ -85,3 +85,12 @@ def test_series_preset(spark):
     assert rows(presets.layoff_rate_series(s)) == [(dt.date(2023, 7, 1), 2023, 7, "Information", 1.1)]
     a = {m: v for _, m, v in rows(audit)}
     assert a["dropped_non_target_series"] == 1 and a["dropped_period_m13"] == 1
+
+
+def test_top_skills_share_and_tie_break(spark):
+    tagged = spark.createDataFrame([("1", "layoff_affected"), ("2", "layoff_affected")], "job_id string, subcohort string")
+    bridge = spark.createDataFrame([("1", "ENG", "Engineering"), ("1", "SALE", "Sales"), ("2", "ENG", "Engineering"),
+                                    ("2", "ADM", "Administrative")], "job_id string, skill_abr string, skill_name string")
+    got = rows(presets.top_skills(tagged, bridge, k=2))
+    # Engineering 2 of 4 tags; Administrative and Sales tie at 1, the lower name is kept
+    assert got == [("layoff_affected", "Engineering", 2, 50.0), ("layoff_affected", "Administrative", 1, 25.0)]
