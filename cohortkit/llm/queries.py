@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding, token_store, url_filter
+from . import ann, packing, sharding, token_store, url_filter
 from .common import table
 
 #: The rules of the url query.
@@ -36,7 +36,11 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_url_filter, op8_token_store, op9_sharding)}
+def op10_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, k=10)
+
+
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_url_filter, op8_token_store, op9_sharding, op10_hilbert_neighbours)}
 
 SQL = {
     "op3_url_filter": r"""
