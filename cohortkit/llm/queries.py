@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, packing, sharding, token_store, url_filter
+from . import ann, decontam, packing, sharding, token_store, url_filter
 from .common import table
 
 #: The rules of the url query.
@@ -26,6 +26,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encode_and_read(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
 
@@ -40,7 +44,7 @@ def op10_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, k=10)
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_url_filter, op8_token_store, op9_sharding, op10_hilbert_neighbours)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_url_filter, op6_decontamination, op8_token_store, op9_sharding, op10_hilbert_neighbours)}
 
 SQL = {
     "op3_url_filter": r"""
