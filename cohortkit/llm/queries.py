@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, packing, sharding, token_store, url_filter
+from . import ann, decontam, packing, quality, sharding, token_store, toxicity, url_filter
 from .common import table
 
 #: The rules of the url query.
@@ -17,6 +17,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"), folds=5, held_out=0)
+    return toxicity.score_texts(docs, lexicon, folds=5, held_out=0)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=0)
     return packing.pack(pieces, capacity=2048)
@@ -30,6 +36,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"), folds=3, held_out=1)
+    return quality.score_texts(docs, model, folds=3, held_out=1)
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encode_and_read(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
 
@@ -44,7 +56,7 @@ def op10_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, k=10)
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_url_filter, op6_decontamination, op8_token_store, op9_sharding, op10_hilbert_neighbours)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_url_filter, op6_decontamination, op7_quality, op8_token_store, op9_sharding, op10_hilbert_neighbours)}
 
 SQL = {
     "op3_url_filter": r"""
