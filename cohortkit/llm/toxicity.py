@@ -164,50 +164,58 @@ class Lexicon:
 
 
 def feature_counts(sample: DataFrame, shortest: int, longest: int) -> DataFrame:
-    """``feature, toxic, clean``: texts that hold a word (``word=``) or a word's beginning (``stem-``)."""
-    tokens = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_']+"), 0))
-    stems = F.flatten(F.transform(tokens, lambda w: F.transform(
-        F.sequence(F.lit(shortest), F.greatest(F.least(F.length(w) - 1, F.lit(longest)), F.lit(shortest))), lambda n: F.concat(F.substring(w, F.lit(1), n), F.lit("-")))))
-    features = F.array_distinct(F.concat(F.transform(tokens, lambda w: F.concat(w, F.lit("="))), stems))
-    rows = sample.select("y", F.explode(features).alias("feature"))
-    return rows.groupBy("feature").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"))
+    """``feature, toxic, clean``: contexts of a word (``word=``) or a word's beginning (``stem-``).
+
+    A context is a word with its two neighbours and counts once however many
+    texts hold it, so copies of one text are no evidence.
+    """
+    tokens = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_']+"), 0)
+    spots = sample.select("y", tokens.alias("w")).select("y", F.expr(
+        "explode(transform(w, (x, i) -> named_struct('word', x, 'near', xxhash64(get(w, i - 1), get(w, i + 1)))))").alias("s"))
+    spots = spots.select("y", "s.word", "s.near").groupBy("word", "near").agg(F.max("y").alias("y"))
+    words = spots.groupBy("word").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"))
+    stems = F.expr(f"transform(filter(sequence({shortest}, {longest}), n -> n < length(word)), n -> concat(substring(word, 1, n), '-'))")
+    rows = words.select("toxic", "clean", F.explode(F.concat(F.array(F.concat("word", F.lit("="))), stems)).alias("feature"))
+    return rows.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, label: str = "toxic", rows_per_class: int = 3000,
-          shortest: int = 4, longest: int = 8) -> Lexicon:
+          shortest: int = 4, longest: int = 8, purity: float = 0.9, margin: float = 5.0) -> Lexicon:
     """Learn the lexicon and the curve from at most ``rows_per_class`` training texts of each label.
 
-    A feature is kept if its likelihood ratio is such that less than one chance
-    feature is expected among all that were tried; a stem makes longer ones and
-    words with it needless.
+    A feature is kept if at least ``purity`` of its contexts are toxic, and if its
+    likelihood ratio is such that fewer than exp(-``margin``) chance features are
+    expected among all that were tried.  Of a word and its beginnings the most telling is kept.
     """
     sample = training_sample(docs, labels, label, folds, held_out, rows_per_class).persist()
+    counts = None
     try:
-        size = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-        pos, neg = size.get(1, 0), size.get(0, 0)
-        if not pos or not neg:
+        if {r.y for r in sample.select("y").distinct().collect()} != {0, 1}:
             return Lexicon({}, {})
         counts = feature_counts(sample, shortest, longest).persist()
-        tried = counts.count()
+        whole = counts.filter("endswith(feature, '=')").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
+        base, tried = whole.t / max(whole.t + whole.c, 1), counts.count()
         t, c = F.col("toxic").cast("double"), F.col("clean").cast("double")
         part = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(F.lit(0.0))
-        share = (t + c) / (pos + neg)
-        ratio = part(t, share * pos) + part(c, share * neg) + part(pos - t, (1 - share) * pos) + part(neg - c, (1 - share) * neg)
-        kept = counts.filter((t / pos > 10 * (c + 0.5) / neg) & (ratio > math.log(max(tried, 2)))).collect()
-        counts.unpersist()
-        found = sorted(((r.feature[:-1], r.feature[-1], math.log((r.toxic + 0.5) / pos) - math.log((r.clean + 0.5) / neg)) for r in kept), key=lambda f: (f[1] != "-", len(f[0]), f[0]))
+        ratio = part(t, (t + c) * base) + part(c, (t + c) * (1 - base))
+        pure = counts.withColumn("ratio", ratio).filter((t >= purity * (t + c)) & (F.col("ratio") > math.log(max(tried, 2)) + margin))
         words: dict[str, float] = {}
         stems: dict[str, float] = {}
-        for feature, kind, weight in found:
-            shorter = max((stems.get(feature[:n], 0.0) for n in range(shortest, len(feature) + 1)), default=0.0)
-            if weight > shorter + 1.5:
-                (stems if kind == "-" else words)[feature] = weight
+        begun: set[str] = set()  # beginnings of what is kept
+        for r in sorted(pure.collect(), key=lambda r: (-r.ratio, -len(r.feature), r.feature)):
+            name, kind = r.feature[:-1], r.feature[-1]
+            if not (any(name[:n] in stems for n in range(shortest, len(name) + 1)) or kind == "-" and name in begun):
+                weight = math.log((r.toxic + 0.5) / (r.clean + 0.5)) - math.log(base / (1 - base))
+                (stems if kind == "-" else words)[name] = weight
+                begun.update(name[:n] for n in range(shortest, len(name) + 1))
         lexicon = Lexicon(words, stems)
         scored = sample.select("y", "text").mapInArrow(_measure(lexicon), "y int, s double").collect()
         lexicon.slope, lexicon.offset = _logistic(np.log1p([r.s for r in scored]), np.array([r.y for r in scored], float))
         return lexicon
     finally:
         sample.unpersist()
+        if counts is not None:
+            counts.unpersist()
 
 
 def _measure(lexicon: Lexicon):
