@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, jaccard, packing, quality, sharding, token_store, toxicity, url_filter
+from . import ann, decontam, jaccard, packing, quality, sharding, substrings, token_store, toxicity, url_filter
 from .common import table
 
 #: The rules of the url query.
@@ -32,6 +32,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), jaccard.Rule(words=3, num=90, den=100))
 
@@ -60,7 +64,7 @@ def op10_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, k=10)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_url_filter, op5_jaccard_join, op6_decontamination, op7_quality, op8_token_store, op9_sharding, op10_hilbert_neighbours)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_url_filter, op4_suffix_dedup, op5_jaccard_join, op6_decontamination, op7_quality, op8_token_store, op9_sharding, op10_hilbert_neighbours)}
 
 SQL = {
     "op3_url_filter": r"""
