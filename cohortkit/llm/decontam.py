@@ -28,7 +28,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import fresh, materialize
 
 EMPTY = F.expr("CAST(array() AS ARRAY<INT>)")
 
@@ -125,3 +125,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, s
     best = every.groupBy("id", "item").agg(F.max(F.struct(F.col("s"), (-F.col("start")).alias("at"), "len")).alias("x"))
     return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), F.col("x.s").alias("similarity"),
                        (-F.col("x.at")).alias("start"), F.col("x.len").alias("n_words"))
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", broadcast_bytes: int = 8 << 20) -> DataFrame:
+    """The rows of ``docs`` whose id has no passage similar to an item."""
+    leaks = find_leaks(docs, benchmark, similarity=similarity, id_col=id_col, broadcast_bytes=broadcast_bytes)
+    mark = fresh(docs.columns, "leak_id")
+    ids = materialize(leaks.select(F.col(id_col).alias(mark)).distinct(), "leaks")
+    side = F.broadcast(ids) if ids.count() * 16 <= broadcast_bytes else ids
+    return docs.join(side, F.col(id_col).eqNullSafe(F.col(mark)), "left_anti")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import fresh, materialize
 from .components import components
 from .shingles import mix, odd_sketch, set_id, shingle_set, sketch_difference
 
@@ -226,7 +226,7 @@ def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, rule: Rule) ->
 
 
 def jaccard_classes(docs: DataFrame, rule: Rule, frequent: int = 24) -> tuple[DataFrame, DataFrame]:
-    """Rows ``doc_id, n_shingles, cid`` and the components ``cid, root`` of the classes that are not their own root."""
+    """Rows ``doc_id, n_shingles, cid, text_hash`` and the components ``cid, root`` of the classes that are not their own root."""
     rows = materialize(first_pass(docs, rule), "shingle-sets")
     classes = rows.filter("n > 0").groupBy("cid").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("low").alias("low"))
@@ -255,7 +255,7 @@ def jaccard_classes(docs: DataFrame, rule: Rule, frequent: int = 24) -> tuple[Da
     late = verify(docs, materialize(refuse_by_sketch(pairs, classes, rule), "late-pairs"), classes, rule)
     links = materialize(links.unionByName(late), "all-links")
     found = components(links).select(F.col("v").alias("cid"), "root")
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), "cid"), found
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), "cid", "text_hash"), found
 
 
 def jaccard_components(docs: DataFrame, rule: Rule, frequent: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -267,3 +267,26 @@ def jaccard_components(docs: DataFrame, rule: Rule, frequent: int = 24, id_col:
     out = placed.join(smallest, "root", "left")
     return out.select(F.col("doc_id").alias(id_col), F.col("n_shingles").cast("long").alias("n_shingles"),
                       F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, rule: Rule, frequent: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the row with the smallest id stays.
+
+    Rows with an empty set all stay.  Of rows with one id and one text that are
+    to stay, one does.  The rows that go are found by id and text hash, so texts
+    are shuffled only when the list of these rows is too large to broadcast.
+    """
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows, found = jaccard_classes(source, rule, frequent)
+    placed = rows.filter("cid IS NOT NULL").join(found, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    stays = placed.groupBy("root").agg(F.min(place).alias("stays"))
+    each = placed.select("root", place.alias("place")).groupBy("root", "place").agg(F.count(F.lit(1)).alias("copies"))
+    gone = each.join(stays, "root").select("place.doc_id", "place.text_hash", "copies", (F.col("place") == F.col("stays")).alias("stays"))
+    listed = materialize(gone.filter(~F.col("stays") | (F.col("copies") > 1)), "near-copies")
+    names = docs.columns
+    d, h, again = (fresh(names, n) for n in ("copy_id", "copy_hash", "copy_again"))
+    side = small_side(listed.select(F.col("doc_id").alias(d), F.col("text_hash").alias(h), F.col("stays").alias(again)), 40)
+    joined = docs.join(side, F.col(id_col).eqNullSafe(F.col(d)) & (F.xxhash64(text_col) == F.col(h)), "left")
+    first = joined.filter(F.col(again)).dropDuplicates([d, h])
+    return joined.filter(F.col(again).isNull()).unionByName(first).select(*(F.col(f"`{n}`") for n in names))

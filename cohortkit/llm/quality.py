@@ -177,3 +177,17 @@ def score_texts(docs: DataFrame, model: AttentionMIL | None, folds: int, held_ou
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(id_col, F.coalesce(remainder(F.col(id_col), folds) == held_out, F.lit(False)).alias(held), F.col(text_col))
     return rows.mapInArrow(run, f"`{id_col}` {kind}, {held} boolean, score double, predicted int")
+
+
+def keep_good(docs: DataFrame, model: AttentionMIL | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score at least 0.5, with all their columns."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for a in range(0, b.num_rows, 200):
+                part = b.slice(a, 200)
+                keep = model.scores([passage_features(t) for t in part.column(at).to_pylist()]) >= 0.5
+                yield part.filter(pa.array(keep))
+
+    return docs if model is None else docs.mapInArrow(run, docs.schema)

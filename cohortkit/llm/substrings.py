@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_partitions
+from .common import fresh, materialize, shuffle_partitions
 from .suffixes import anchors, context_keys, equal_classes, gram_keys, sort_suffixes
 
 LAST = np.iinfo(np.int64).max
@@ -402,19 +402,19 @@ def digests(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
 def cut_texts(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     """``docs`` with ``text`` cut; half characters at a cut go too, and null stays null."""
     plan = plan or default_plan(docs)
-    rows = sources(docs)
-    keys = find_repeats(rows, plan)
-    keys = keys.select(F.col("doc_id").alias("id_"), F.col("row").alias("row_"), "codes", "spans")
-    size = keys.agg(F.count(F.lit(1)), F.sum(F.octet_length("codes"))).first()
-    side = F.broadcast(keys) if size[0] * 48 + (size[1] or 0) <= BROADCAST else keys
-    joined = docs.join(side, (F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))) == F.col("id_")) & (F.xxhash64("text") == F.col("row_")), "left")
     names = docs.columns
+    i, r, codes, spans = (fresh(names, n) for n in ("repeat_id", "repeat_row", "repeat_codes", "repeat_spans"))
+    found = find_repeats(sources(docs), plan)
+    size = found.agg(F.count(F.lit(1)), F.sum(F.octet_length("codes"))).first()
+    keys = found.select(F.col("doc_id").alias(i), F.col("row").alias(r), F.col("codes").alias(codes), F.col("spans").alias(spans))
+    side = F.broadcast(keys) if size[0] * 48 + (size[1] or 0) <= BROADCAST else keys
+    joined = docs.join(side, (F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))) == F.col(i)) & (F.xxhash64("text") == F.col(r)), "left")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [None if not t.is_valid else kept_bytes(t.as_py(), c, s, plan)[0].decode("utf-8", "ignore")
                      for t, c, s in zip(b.column(names.index("text")), b.column(len(names)).to_pylist(), b.column(len(names) + 1).to_pylist())]
-            cols = [pa.array(texts, pa.string()) if n == "text" else b.column(i) for i, n in enumerate(names)]
+            cols = [pa.array(texts, pa.string()) if n == "text" else b.column(k) for k, n in enumerate(names)]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return joined.select(*(F.col(f"`{n}`") for n in names), "codes", "spans").mapInArrow(run, docs.schema)
+    return joined.select(*(F.col(f"`{n}`") for n in names), codes, spans).mapInArrow(run, docs.schema)
