@@ -4,19 +4,24 @@ A *member set* is the distinct, non-null keys of an event table that carry
 at least one non-null measure.  *Tagging* labels every fact row by whether
 its key is in the member set (rows with a NULL key belong to neither
 cohort).  The member set is never force-broadcast: it can grow with the
-data, so Spark's size estimate and AQE's runtime statistics decide; hot
-fact keys are handled by AQE's skew-join split.
+data, so Spark's size estimate and AQE's runtime statistics decide.
+
+Measures that only count rows should tag *counts* (``key_counts``): the
+facts are first grouped by key and category, with map-side partial
+aggregation, so a hot key is a few rows before any join.  Queries that
+return fact rows tag the rows; a hot key is then split by AQE, which the
+layout of the member set allows (``joins.per_key``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.functions.numeric import pct
-from cohortkit.operators.joins import combine_scalars, skew_join
+from cohortkit.operators.joins import combine_scalars, per_key
 
 IN_LABEL, OUT_LABEL = "flagged", "rest"
 
@@ -32,51 +37,43 @@ def members(events: DataFrame, key: str, measures: Sequence[str] = (), where: Co
         cond = cond & any_measure
     if where is not None:
         cond = cond & where
-    return events.filter(cond).select(F.col(key).alias(out or key)).distinct()
+    return per_key(events.filter(cond).select(F.col(key).alias(out or key)), out or key)
+
+
+def key_counts(facts: DataFrame, key: str, by: Mapping[str, Column] | None = None, n: str = "n") -> DataFrame:
+    """``(key, *by, n)``: fact rows per non-null key and category, for measures that count rows."""
+    cols = [c.alias(name) for name, c in (by or {}).items()]
+    return facts.filter(F.col(key).isNotNull()).groupBy(F.col(key), *cols).agg(F.count(F.lit(1)).alias(n))
 
 
 def tag(facts: DataFrame, member_keys: DataFrame, fact_key: str, member_key: str | None = None,
-        labels: tuple[str, str] = (IN_LABEL, OUT_LABEL), cohort_col: str = "cohort",
-        hot_key_fraction: float | None = None, salts: int = 64, hot: DataFrame | None = None) -> DataFrame:
+        labels: tuple[str, str] = (IN_LABEL, OUT_LABEL), cohort_col: str = "cohort") -> DataFrame:
     """Facts with a cohort label; NULL-key facts are removed.
 
     ``member_keys`` must be distinct on its key (``members`` guarantees it),
     so the left join never fans out.
-
-    By default Spark picks the join: a broadcast when the member set is
-    small, else a sort-merge join.  A member set built by ``distinct()`` is
-    already partitioned by the key, so AQE cannot split a hot fact key in
-    that sort-merge join; ``hot_key_fraction`` (e.g. ``1e-4``) switches to
-    an explicit, exact skew path: keys holding at least that fraction of the
-    facts (at most ``1 / hot_key_fraction`` of them, so their table is a
-    bounded broadcast) have their facts spread over ``salts`` salt values
-    and their members replicated once per salt; all other keys keep salt 0.
-    The join on (key, salt) then spreads a hot key over ``salts`` tasks.
-    ``hot`` passes the fact table's hot keys when they are computed once
-    for many tags (``joins.hot_keys``).
     """
     member_key = member_key or fact_key
     m = member_keys.select(F.col(member_key).alias("__member_key")).withColumn("__hit", F.lit(True))
-    f = facts.filter(F.col(fact_key).isNotNull())
-    if hot_key_fraction:
-        joined = skew_join(f, m, fact_key, "__member_key", "left", hot_key_fraction, salts, hot)
-    else:
-        joined = f.join(m, F.col(fact_key) == F.col("__member_key"), "left")
+    joined = facts.filter(F.col(fact_key).isNotNull()).join(m, F.col(fact_key) == F.col("__member_key"), "left")
     return (joined.withColumn(cohort_col, F.when(F.col("__hit"), F.lit(labels[0])).otherwise(F.lit(labels[1])))
             .drop("__member_key", "__hit"))
 
 
 def semi_join_count(facts: DataFrame, member_keys: DataFrame, fact_key: str,
                     member_key: str | None = None) -> DataFrame:
-    """Number of fact rows whose key is a member (``IN (SELECT DISTINCT ...)``)."""
+    """Number of fact rows whose key is a member (``IN (SELECT DISTINCT ...)``).
+
+    The facts are counted per key first, so a hot key is one row in the join.
+    """
     member_key = member_key or fact_key
     spark = facts.sparkSession
     # SQL over named relations (``{facts}``/``{members}`` are bound DataFrames, no
     # global view is created); ``IN (subquery)`` is planned as a left semi join.
     return spark.sql(
-        f"SELECT COUNT(*) AS matched_facts FROM {{facts}} "
+        f"SELECT COALESCE(SUM(n), 0) AS matched_facts FROM {{facts}} "
         f"WHERE `{fact_key}` IN (SELECT `{member_key}` FROM {{members}})",
-        facts=facts, members=member_keys)
+        facts=key_counts(facts, fact_key), members=member_keys)
 
 
 def join_diagnostic(facts: DataFrame, events: DataFrame, fact_key: str, event_key: str) -> DataFrame:
@@ -110,35 +107,20 @@ def join_diagnostic(facts: DataFrame, events: DataFrame, fact_key: str, event_ke
 
 
 def unmatched(events: DataFrame, facts: DataFrame, event_key: str, fact_key: str,
-              order_by: Sequence[Column], k: int = 20, hot_key_fraction: float | None = None) -> DataFrame:
-    """Event rows whose key has no fact (anti join), top ``k`` by ``order_by``.
-
-    ``hot_key_fraction`` salts hot event keys (``joins.skew_join``).
-    """
-    fk = facts.filter(F.col(fact_key).isNotNull()).select(F.col(fact_key).alias("__k")).distinct()
+              order_by: Sequence[Column], k: int = 20) -> DataFrame:
+    """Event rows whose key has no fact (anti join), top ``k`` by ``order_by``."""
+    fk = per_key(facts.filter(F.col(fact_key).isNotNull()).select(F.col(fact_key).alias("__k")), "__k")
     ev = events.filter(F.col(event_key).isNotNull())
-    if hot_key_fraction:
-        rest = skew_join(ev, fk, event_key, "__k", "left_anti", hot_key_fraction)
-    else:
-        rest = ev.join(fk, F.col(event_key) == F.col("__k"), "left_anti")
-    return rest.orderBy(*order_by).limit(k)
+    return ev.join(fk, F.col(event_key) == F.col("__k"), "left_anti").orderBy(*order_by).limit(k)
 
 
 def recency_tag(facts: DataFrame, events: DataFrame, fact_key: str, event_key: str, ts_col: str,
                 cutoff: str, labels: tuple[str, str, str] = ("recent", "lapsed", "none"),
-                cohort_col: str = "cohort", hot_key_fraction: float | None = None) -> DataFrame:
-    """Three-way cohort on the latest event per key: at/after ``cutoff``, before it, or no event.
-
-    The per-key latest events come partitioned by key; ``hot_key_fraction``
-    salts hot fact keys in the join (``joins.skew_join``).
-    """
-    last = (events.filter(F.col(event_key).isNotNull()).groupBy(F.col(event_key).alias("__k"))
-            .agg(F.max(ts_col).alias("__last")))
-    f = facts.filter(F.col(fact_key).isNotNull())
-    if hot_key_fraction:
-        joined = skew_join(f, last, fact_key, "__k", "left", hot_key_fraction)
-    else:
-        joined = f.join(last, F.col(fact_key) == F.col("__k"), "left")
+                cohort_col: str = "cohort") -> DataFrame:
+    """Three-way cohort on the latest event per key: at/after ``cutoff``, before it, or no event."""
+    dated = events.filter(F.col(event_key).isNotNull()).select(F.col(event_key).alias("__k"), ts_col)
+    last = per_key(dated, "__k", F.max(ts_col).alias("__last"))
+    joined = facts.filter(F.col(fact_key).isNotNull()).join(last, F.col(fact_key) == F.col("__k"), "left")
     label = (F.when(F.col("__last").isNull(), F.lit(labels[2]))
              .when(F.col("__last") >= F.lit(cutoff).cast(dict(events.dtypes)[ts_col]), F.lit(labels[0]))
              .otherwise(F.lit(labels[1])))

@@ -15,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.operators.layout import ensure_parallelism
-
 
 def deletion_variants(keys: DataFrame, max_dist: int) -> DataFrame:
     """``(s, v)``: every string ``v`` reachable from ``s`` by at most ``max_dist`` deletions.
@@ -40,7 +38,6 @@ def fuzzy_pairs(left: DataFrame, left_col: str, right: DataFrame, right_col: str
     """``(left_key, right_key, distance)`` for distinct non-null keys with distance <= ``max_dist``."""
     lk = left.select(F.col(left_col).alias("s")).filter(F.col("s").isNotNull()).distinct()
     rk = right.select(F.col(right_col).alias("s")).filter(F.col("s").isNotNull()).distinct()
-    lk, rk = ensure_parallelism(lk), ensure_parallelism(rk)
     lv = deletion_variants(lk, max_dist).withColumnRenamed("s", "left_key")
     rv = deletion_variants(rk, max_dist).withColumnRenamed("s", "right_key")
     cands = lv.join(rv, "v").select("left_key", "right_key").distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.numeric import pct
-from cohortkit.operators.joins import combine_scalars, skew_join
+from cohortkit.operators.joins import combine_scalars
 
 
 def _check(name: str, agg: DataFrame, observed: str, passed) -> DataFrame:
@@ -40,18 +40,15 @@ def reconcile(facts: DataFrame, tagged: DataFrame, key: str, cohort_col: str = "
     return _check("cohorts_reconcile", gap, "gap", F.col("gap") == 0)
 
 
-def orphans(bridge: DataFrame, facts: DataFrame, bridge_key: str, fact_key: str,
-            hot_key_fraction: float | None = None) -> DataFrame:
-    """F8: bridge rows whose key is absent from the facts (anti join), with their share.
+def orphans(bridge: DataFrame, facts: DataFrame, bridge_key: str, fact_key: str) -> DataFrame:
+    """F8: bridge rows whose key is absent from the facts, with their share (a NULL key is absent).
 
-    ``hot_key_fraction`` salts hot bridge keys (``joins.skew_join``).
+    One scan of the bridge: its rows are counted per key, the counts meet the
+    distinct fact keys, and both totals come from one aggregate.
     """
-    k = facts.select(F.col(fact_key).alias("__k")).distinct()
-    if hot_key_fraction:
-        orphan = skew_join(bridge, k, bridge_key, "__k", "left_anti", hot_key_fraction)
-    else:
-        orphan = bridge.join(k, F.col(bridge_key) == F.col("__k"), "left_anti")
-    o = orphan.agg(F.count(F.lit(1)).alias("orphan_rows"))
-    t = bridge.agg(F.count(F.lit(1)).alias("bridge_rows"))
-    return (combine_scalars(o, t)
+    counts = bridge.groupBy(F.col(bridge_key).alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+    known = facts.filter(F.col(fact_key).isNotNull()).select(F.col(fact_key).alias("__k")).distinct()
+    j = counts.join(known, F.col("__b") == F.col("__k"), "left")
+    return (j.agg(F.coalesce(F.sum(F.when(F.col("__k").isNull(), F.col("__n"))), F.lit(0)).cast("bigint").alias("orphan_rows"),
+                  F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("bridge_rows"))
             .withColumn("orphan_pct", pct("orphan_rows", "bridge_rows")))

@@ -1,39 +1,10 @@
-"""Join helpers with an explicit size check before any broadcast."""
+"""Join helpers.  No join is forced: Spark's size estimate and AQE's measured sizes decide."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension this small (rows) is shipped to every executor; anything larger
-# goes through Spark's own planning (static size estimate, then AQE runtime
-# statistics, which can still pick a broadcast from measured sizes).
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Runs one bounded job: the scan stops after ``max_rows + 1`` rows.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its row count is proven small, else ``df`` unchanged.
-
-    Meant for lookups read from a table (scan, filter, projection), where the
-    check reads only ``max_rows + 1`` rows.  For a derived aggregate the
-    check would compute it in full; leave those to AQE's measured sizes.
-    """
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def join_dimension(facts: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a fact table to a lookup; broadcast the lookup only after a size check."""
-    return facts.join(broadcast_if_small(dim, max_rows), on=on, how=how)
-
 
 def combine_scalars(*rows: DataFrame) -> DataFrame:
     """Merge one-row aggregates with distinct column names into one row.
@@ -46,45 +17,18 @@ def combine_scalars(*rows: DataFrame) -> DataFrame:
     return merged.agg(*[F.max(c).alias(c) for c in merged.columns])
 
 
-def hot_keys(df: DataFrame, key: str, fraction: float) -> DataFrame:
-    """``(__hot_key)``: candidate keys holding at least ``fraction`` of the rows.
-
-    Spark's frequent-items aggregate (``freqItems``, the algorithm of Karp et
-    al.) keeps at most ``1 / fraction`` counters per task and merges them in
-    one bounded step: no shuffle of the distinct keys, and at most
-    ``1 / fraction`` keys come out.  Every key above the threshold is among
-    them; a few colder keys may be too, which only salts them needlessly.
-    """
-    col = f"{key}_freqItems"
-    return (df.select(key).freqItems([key], fraction)
-            .select(F.explode(F.col(col)).alias("__hot_key")))
-
-
-def skew_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left",
-              hot_fraction: float = 1e-4, salts: int = 64, hot: DataFrame | None = None) -> DataFrame:
-    """Equi-join with exact salting of hot left keys; ``right`` must be unique on ``right_key``.
+def per_key(df: DataFrame, key: str, *aggs: Column) -> DataFrame:
+    """One row per ``key`` (with ``aggs``), laid out so that a join on ``key`` can still be split.
 
-    Keys holding at least ``hot_fraction`` of the left rows (at most
-    ``1 / hot_fraction`` of them: a bounded broadcast) give their left rows a
-    salt from a row hash and have their single right row replicated once per
-    salt; every other key keeps salt 0.  The join on (key, salt) spreads a
-    hot key over ``salts`` tasks whatever the partitioning of ``right``
-    (AQE cannot split a join whose side is already partitioned by the key,
-    such as the output of ``distinct()`` or ``groupBy(key)``).  Works for
-    ``left``, ``inner``, ``left_semi`` and ``left_anti``; no row is dropped
-    or sampled.  ``hot`` passes a precomputed ``hot_keys`` table (e.g. one
-    computed once per fact table and reused by many joins).
+    An aggregate leaves its rows partitioned by the grouping columns.  A
+    join on the same key would reuse that layout, and AQE cannot split the
+    hot partitions of such a join.  Grouping by the key and its hash as well
+    gives the same rows in another layout, so the join gets an exchange of
+    its own on both sides: a second shuffle of the (small) key table, in
+    return for which AQE's skew handling splits a hot key of the other side
+    over many tasks, whatever columns that side has.
     """
-    if hot is None:
-        hot = hot_keys(left, left_key, hot_fraction)
-    hot = F.broadcast(hot.withColumn("__is_hot", F.lit(True)))
-    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
-    ls = (left.join(hot, F.col(left_key) == F.col("__hot_key"), "left")
-          .withColumn("__salt", F.when(F.col("__is_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)))
-          .drop("__hot_key", "__is_hot"))
-    every_salt = F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    rs = (right.join(hot, F.col(right_key) == F.col("__hot_key"), "left")
-          .select(*right.columns, F.explode(every_salt.cast("array<bigint>")).alias("__rsalt")))
-    cond = (F.col(left_key) == F.col(right_key)) & (F.col("__salt") == F.col("__rsalt"))
-    out = ls.join(rs, cond, how)
-    return out.drop("__salt", "__rsalt") if how in ("left", "inner") else out.drop("__salt")
+    h = F.xxhash64(key).alias("__layout")
+    grouped = df.groupBy(F.col(key), h)
+    out = grouped.agg(*aggs) if aggs else df.select(F.col(key), h).distinct()
+    return out.drop("__layout")

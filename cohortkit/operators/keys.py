@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.operators.joins import broadcast_if_small, skew_join
+from cohortkit.operators.joins import per_key
 
 # --- fixed values (the reference's fact-side alias list) -------------------
 REFERENCE_ALIASES = {"x": "twitter", "x corp": "twitter"}
@@ -28,29 +28,17 @@ def apply_aliases(df: DataFrame, key: str, aliases: Mapping[str, str], out: str
 
 
 def apply_alias_table(df: DataFrame, key: str, table: DataFrame, alias_col: str = "alias",
-                      canonical_col: str = "canonical", out: str | None = None,
-                      max_broadcast_rows: int | None = None,
-                      hot_key_fraction: float | None = None) -> DataFrame:
+                      canonical_col: str = "canonical", out: str | None = None) -> DataFrame:
     """Resolve ``key`` through an alias dictionary held as a table.
 
     The dictionary is reduced to one canonical per alias (the smallest, so
     a conflicting dictionary still resolves deterministically) and joined on
-    the alias.  By default Spark decides the join from its size estimate and
-    AQE's measured sizes (the reduced dictionary is an aggregate: proving a
-    row bound up front would compute it twice); ``max_broadcast_rows``
-    forces the explicit check, for a dictionary read straight from a table.
-    The reduced dictionary arrives partitioned by alias, so a hot key is
-    salted when ``hot_key_fraction`` is given (``joins.skew_join``).
+    the alias.  Spark decides the join; a hot key is split by AQE
+    (``joins.per_key``).
     """
     out = out or key
-    resolved = (table.filter(F.col(alias_col).isNotNull())
-                .groupBy(F.col(alias_col).alias("__alias"))
-                .agg(F.min(canonical_col).alias("__canonical")))
-    if max_broadcast_rows:
-        resolved = broadcast_if_small(resolved, max_broadcast_rows)
-    if hot_key_fraction:
-        joined = skew_join(df, resolved, key, "__alias", "left", hot_key_fraction)
-    else:
-        joined = df.join(resolved, F.col(key) == F.col("__alias"), "left")
+    named = table.filter(F.col(alias_col).isNotNull()).select(F.col(alias_col).alias("__alias"), canonical_col)
+    resolved = per_key(named, "__alias", F.min(canonical_col).alias("__canonical"))
+    joined = df.join(resolved, F.col(key) == F.col("__alias"), "left")
     return (joined.withColumn(out, F.coalesce(F.col("__canonical"), F.col(key)))
             .drop("__alias", "__canonical"))

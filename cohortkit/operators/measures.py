@@ -22,21 +22,28 @@ def _c(col: Column | str) -> Column:
 def with_totals(counts: DataFrame, group: str | Sequence[str], n: str = "n", out: str = "total") -> DataFrame:
     """Attach the per-group sum of ``n`` to every count row.
 
-    The totals hold one row per group (a cohort label, so a handful of
-    rows): they are broadcast, and the counts table is never gathered into
-    one task per cohort as a window over the whole cohort would do.
+    The totals are an aggregate and Spark picks the join from its measured
+    size, so the counts table is never gathered into one task per cohort as
+    a window over the whole cohort would do.
     """
     keys = [group] if isinstance(group, str) else list(group)
     totals = counts.groupBy(*keys).agg(F.sum(n).cast("bigint").alias(out))
-    return counts.join(F.broadcast(totals), keys)
+    return counts.join(totals, keys)
+
+
+def _rows(weight: str | None, cond: Column | None = None) -> Column:
+    """Number of rows (that fit ``cond``): counted, or the sum of a pre-aggregated count column."""
+    if weight is None:
+        return F.count(F.lit(1)) if cond is None else F.count_if(cond)
+    n = F.col(weight) if cond is None else F.when(cond, F.col(weight)).otherwise(F.lit(0))
+    return F.sum(n).cast("bigint")
 
 
 def category_share(df: DataFrame, cohort: str, category: str, out_category: str | None = None,
-                   keep: Column | None = None) -> DataFrame:
-    """``(cohort, category, n, pct_of_cohort)``."""
+                   keep: Column | None = None, weight: str | None = None) -> DataFrame:
+    """``(cohort, category, n, pct_of_cohort)``; ``weight`` sums a pre-aggregated count column."""
     src = df.filter(keep) if keep is not None else df
-    counts = src.groupBy(cohort, F.col(category).alias(out_category or category)).agg(
-        F.count(F.lit(1)).alias("n"))
+    counts = src.groupBy(cohort, F.col(category).alias(out_category or category)).agg(_rows(weight).alias("n"))
     return (with_totals(counts, cohort, out="__total")
             .withColumn("pct_of_cohort", pct("n", "__total")).drop("__total"))
 
@@ -51,21 +58,21 @@ def top_k(df: DataFrame, cohort: str, category: str, k: int = 10, out_category:
     """
     name = out_category or category
     src = df.filter(keep) if keep is not None else df
-    n = F.sum(weight).cast("bigint") if weight else F.count(F.lit(1))
+    n = _rows(weight)
     counts = src.groupBy(cohort, F.col(category).alias(name)).agg(n.alias("n"))
     w_rank = Window.partitionBy(cohort).orderBy(F.desc("n"), F.asc(name))
     # rank first (WindowGroupLimit keeps k rows per cohort and map task), then
     # attach the cohort totals computed by aggregation
     top = counts.withColumn("rank", F.row_number().over(w_rank)).filter(F.col("rank") <= k)
     totals = counts.groupBy(cohort).agg(F.sum("n").cast("bigint").alias("__total"))
-    return (top.join(F.broadcast(totals), cohort)
+    return (top.join(totals, cohort)
             .withColumn("pct_of_cohort", pct("n", "__total")).drop("__total"))
 
 
-def flag_rate(df: DataFrame, cohort: str, flag: Column, prefix: str = "flag") -> DataFrame:
+def flag_rate(df: DataFrame, cohort: str, flag: Column, prefix: str = "flag", weight: str | None = None) -> DataFrame:
     """``(cohort, total, <prefix>_n, <prefix>_pct)``: conditional count over all rows."""
-    return (df.groupBy(cohort).agg(F.count(F.lit(1)).alias("total"),
-                                   F.count_if(F.coalesce(flag, F.lit(False))).alias(f"{prefix}_n"))
+    return (df.groupBy(cohort).agg(_rows(weight).alias("total"),
+                                   _rows(weight, F.coalesce(flag, F.lit(False))).alias(f"{prefix}_n"))
             .withColumn(f"{prefix}_pct", pct(f"{prefix}_n", "total")))
 
 
@@ -78,10 +85,11 @@ def set_rate(df: DataFrame, cohort: str, code: str, code_set: Sequence[str], pre
             .withColumn(f"{prefix}_pct", pct(f"{prefix}_n", "total")))
 
 
-def null_aware_rate(df: DataFrame, cohort: str, flag: Column, prefix: str = "flag") -> DataFrame:
+def null_aware_rate(df: DataFrame, cohort: str, flag: Column, prefix: str = "flag",
+                    weight: str | None = None) -> DataFrame:
     """Rate among known values (unknown excluded from the denominator) next to the plain rate."""
-    return (df.groupBy(cohort).agg(F.count(F.lit(1)).alias("total"), F.count(flag).alias("known"),
-                                   F.count_if(F.coalesce(flag, F.lit(False))).alias(f"{prefix}_n"))
+    return (df.groupBy(cohort).agg(_rows(weight).alias("total"), _rows(weight, flag.isNotNull()).alias("known"),
+                                   _rows(weight, F.coalesce(flag, F.lit(False))).alias(f"{prefix}_n"))
             .withColumn(f"{prefix}_pct_known", pct(f"{prefix}_n", "known"))
             .withColumn(f"{prefix}_pct_all", pct(f"{prefix}_n", "total")))
 
@@ -124,7 +132,7 @@ def cumulative_share(counts: DataFrame, cohort: str, order_col: str, ascending:
     if totals is None:
         totals = counts.groupBy(cohort).agg(F.sum("n").cast("bigint").alias("total"))
     return (counts.withColumn("cum_n", F.sum("n").over(w).cast("bigint"))
-            .join(F.broadcast(totals.select(cohort, F.col("total").alias("__total"))), cohort)
+            .join(totals.select(cohort, F.col("total").alias("__total")), cohort)
             .withColumn(out, pct("cum_n", "__total")).drop("__total"))
 
 

@@ -116,3 +116,36 @@ def schema_rows(df: DataFrame, dataset: str) -> DataFrame:
     return (row.select(F.explode(types).alias("t"))
             .select(F.lit(dataset).alias("dataset"), "t.column", "t.data_type", "t.position",
                     "t.non_null"))
+
+
+def table_profile(df: DataFrame, dataset: str, categoricals: Sequence[str] = (), numerics: Sequence[str] = (),
+                  k: int = 10, digits: int = 2, blank_is_null: bool = False) -> DataFrame:
+    """The whole profile as ``(dataset, column, metric, value)`` text rows.
+
+    Row count; null count of every column; distinct count and the ``k`` most
+    frequent values of each categorical (``top_<rank>_value`` and
+    ``top_<rank>_count``); count, mean, stddev, min and max of each numeric,
+    fixed at ``digits`` places.
+    """
+    parts = [profile(df, dataset, categoricals, blank_is_null)]
+    if categoricals:
+        top = top_values(df, categoricals, k)
+        entries = F.explode(F.array(
+            F.struct(F.format_string("top_%d_value", "rank").alias("metric"), F.col("value")),
+            F.struct(F.format_string("top_%d_count", "rank").alias("metric"), F.col("n").cast("string").alias("value")))).alias("m")
+        parts.append(top.select("column", entries).select(F.lit(dataset).alias("dataset"), "column", "m.metric", "m.value"))
+    if numerics:
+        text = F.when(F.col("metric") == "count", F.col("value").cast("bigint").cast("string")).otherwise(
+            F.format_string(f"%.{digits}f", "value"))
+        text = F.when(F.col("value").isNotNull(), text)
+        numbers = numeric_summary(df, numerics, digits + 6)
+        parts.append(numbers.select(F.lit(dataset).alias("dataset"), "column", "metric", text.alias("value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """Any ``n`` rows, as a look at the table; which ones is not defined (``orderBy`` first for a fixed sample)."""
+    return df.limit(n)

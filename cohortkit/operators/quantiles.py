@@ -2,13 +2,13 @@
 
 ``percentile`` / ``median`` keep a value -> count map per group, so one hot
 group with many distinct values must be merged in a single task.  Here the
-k-th smallest value of each group is found by *radix selection*: every pass
-counts the group's remaining candidates in at most 65,536 equal-width
-buckets (partial aggregation on the map side, whatever the group size),
-picks the bucket holding rank k from that bounded histogram, and narrows
-the interval to it.  Four passes resolve any 64-bit range; each pass
-re-reads the input (column-pruned) and the search stops early once every
-interval holds a single value.
+k-th smallest value of each group is found by *radix selection*.  Values are
+counted once per group and written to the shared folder (one job, with
+map-side partial aggregation); every pass then adds up the counts of the
+group's remaining candidates in at most 65,536 equal-width buckets, picks
+the bucket holding rank k from that bounded histogram, and narrows the
+interval to it.  Four passes resolve any 64-bit range; they read only the
+counted values and form one lazy plan.
 """
 
 from __future__ import annotations
@@ -19,90 +19,90 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pyspark import StorageLevel
+from cohortkit.session import scratch_path
 
 BUCKETS = 1 << 16
+PASSES = 4
 
 
-def _on(left: DataFrame, right: DataFrame, keys: Sequence[str]):
+def counted(values: DataFrame, keys: Sequence[str], weight: str | None = None) -> DataFrame:
+    """``(keys, __v, __n)`` from ``(keys, __v[, weight])``, written to the shared folder and read back."""
+    n = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
+    path = scratch_path(values.sparkSession, "counted-values")
+    table = values.groupBy(*keys, "__v").agg(n.alias("__n"))
+    table.write.parquet(path)
+    return values.sparkSession.read.schema(table.schema).parquet(path)
+
+
+def _same(left: str, right: str, keys: Sequence[str]):
     """Null-safe equality on ``keys`` between two aliased frames."""
-    conds = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys], F.lit(True))
 
 
 def _refine(values: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
-    """One radix pass: narrow every unresolved target to the bucket holding its rank."""
-    st = state.withColumn("__w", F.expr(f"(__hi - __lo) div {BUCKETS} + 1"))
+    """One radix pass: narrow every target to the bucket holding its rank.
+
+    Differences are taken in DECIMAL, so intervals may span the whole range
+    of a 64-bit integer.
+    """
+    wide = "CAST({} AS DECIMAL(38, 0))"
+    st = state.withColumn("__w", F.expr(f"CAST(({wide.format('__hi')} - __lo) div {BUCKETS} + 1 AS BIGINT)"))
     carry = [c for c in state.columns if c not in keys + ["which", "k", "__lo", "__hi"]]
-    j = (values.alias("l").join(st.alias("r"), _on(values, st, keys))
-         .select(*[F.col(f"r.{k}").alias(k) for k in keys], "r.which", "r.k", "l.__v", "r.__lo", "r.__w",
+    j = (values.alias("l").join(st.alias("r"), _same("l", "r", keys))
+         .select(*[F.col(f"r.{k}").alias(k) for k in keys], "r.which", "r.k", "l.__v", "l.__n", "r.__lo", "r.__w",
                  "r.__hi", *[F.col(f"r.{c}").alias(c) for c in carry])
          .filter(F.col("__v").between(F.col("__lo"), F.col("__hi"))))
     # k, __lo, __hi, __w (and carried columns) depend only on (keys, which):
     # grouping by them keeps each pass a single reference to the previous state
-    hist = (j.withColumn("__b", F.expr("(__v - __lo) div __w"))
-            .groupBy(*keys, "which", "k", "__lo", "__hi", "__w", *carry, "__b").agg(F.count(F.lit(1)).alias("__c")))
+    hist = (j.withColumn("__b", F.expr(f"CAST(({wide.format('__v')} - __lo) div __w AS BIGINT)"))
+            .groupBy(*keys, "which", "k", "__lo", "__hi", "__w", *carry, "__b").agg(F.sum("__n").cast("long").alias("__c")))
     w = (Window.partitionBy(*keys, "which").orderBy("__b")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     h = hist.withColumn("__cum", F.sum("__c").over(w))  # <= 65,536 rows per target
     before = F.col("__cum") - F.col("__c")
     chosen = h.filter((before < F.col("k")) & (F.col("k") <= F.col("__cum")))
-    new_lo = F.col("__lo") + F.col("__b") * F.col("__w")
-    return chosen.select(*keys, "which", (F.col("k") - before).alias("k"), new_lo.alias("__lo"),
-                         F.least(F.col("__hi"), new_lo + F.col("__w") - 1).alias("__hi"), *carry)
+    low = f"{wide.format('__lo')} + {wide.format('__b')} * __w"
+    return chosen.select(*keys, "which", (F.col("k") - before).alias("k"), F.expr(f"CAST({low} AS BIGINT)").alias("__lo"),
+                         F.expr(f"CAST(least({wide.format('__hi')}, {low} + __w - 1) AS BIGINT)").alias("__hi"), *carry)
 
 
-def kth_smallest(values: DataFrame, targets: DataFrame, keys: Sequence[str], passes: int = 4,
-                 iterate: bool = True) -> DataFrame:
+def kth_smallest(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Resolve ``(keys, which, k)`` targets to the k-th smallest ``__v`` of each group.
 
-    ``values``: ``(keys, __v bigint)``; ``targets``: ``(keys, which, k, __lo, __hi, ...)``
-    with ``__lo``/``__hi`` the group's min/max; extra columns are carried
-    along.  Returns the targets with ``value``.
-
-    ``iterate=True`` runs one job per pass on a persisted (tiny) target
-    table and stops once every interval is a single value, so a narrow
-    value range costs fewer passes over the data.  ``iterate=False``
-    builds all passes into one lazy plan.
+    ``values``: ``(keys, __v bigint, __n bigint)``, each value counted ``__n``
+    times; ``targets``: ``(keys, which, k, __lo, __hi, ...)`` with
+    ``__lo``/``__hi`` the group's min/max; extra columns are carried along.
+    Returns the targets with ``value``.
     """
-    keys = list(keys)
-    state, previous = targets, None
-    for p in range(passes + 1):
-        if iterate:
-            # the target table is tiny: keep it (recomputed from lineage if an executor is lost);
-            # one job fills the cache and counts the unresolved targets
-            state = state.persist(StorageLevel.MEMORY_AND_DISK)
-            open_targets = state.agg(F.count_if(F.col("__lo") < F.col("__hi"))).first()[0]
-            if previous is not None:
-                previous.unpersist()
-            previous = state
-            if not open_targets:
-                break
-        if p == passes:
-            break
-        state = _refine(values, state, keys)
+    state = targets
+    for _ in range(PASSES):
+        state = _refine(values, state, list(keys))
     return state.withColumn("value", F.col("__lo")).drop("k", "__lo", "__hi")
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
-                 count_col: str = "n", passes: int = 4, iterate: bool = True) -> DataFrame:
-    """Interpolated median per group (same as ``median``) of an integral column.
-
-    Scale money to cents (or any fixed point) before calling; the value range
-    of a group must fit in a signed 64-bit integer.
-    """
+def median_of_counts(values: DataFrame, keys: Sequence[str], out: str = "median", count_col: str = "n") -> DataFrame:
+    """Interpolated median per group of a ``counted`` table."""
     keys = list(keys)
-    data = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("long").alias("__v"))
-    stats = data.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col), F.min("__v").alias("__lo"),
-                                    F.max("__v").alias("__hi"))
-    # 0-based positions floor((n-1)/2) and n div 2; equal when n is odd
+    stats = values.groupBy(*keys).agg(F.sum("__n").cast("long").alias(count_col), F.min("__v").alias("__lo"),
+                                      F.max("__v").alias("__hi"))
+    # 1-based positions of the two middle values; equal when n is odd
     pos = F.array(F.struct(F.lit(0).alias("which"), F.expr(f"({count_col} - 1) div 2 + 1").alias("k")),
                   F.struct(F.lit(1).alias("which"), F.expr(f"{count_col} div 2 + 1").alias("k")))
     targets = (stats.select(*keys, count_col, "__lo", "__hi", F.explode(pos).alias("t"))
                .select(*keys, "t.which", "t.k", "__lo", "__hi", count_col))
-    picked = kth_smallest(data, targets, keys, passes, iterate)
+    picked = kth_smallest(values, targets, keys)
     both = picked.groupBy(*keys).agg(F.max(F.when(F.col("which") == 0, F.col("value"))).alias("__a"),
                                      F.max(F.when(F.col("which") == 1, F.col("value"))).alias("__b"),
                                      F.max(count_col).alias(count_col))
-    med = F.col("__a").cast("double") + (F.col("__b") - F.col("__a")).cast("double") * F.lit(0.5)
-    return both.select(*keys, med.alias(out), count_col)
+    a, b = F.col("__a").cast("decimal(38,0)"), F.col("__b").cast("decimal(38,0)")
+    return both.select(*keys, ((a + b).cast("double") * F.lit(0.5)).alias(out), count_col)
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median", count_col: str = "n") -> DataFrame:
+    """Interpolated median per group (same as ``median``) of an integral column.
+
+    Runs one job that writes the counted values; scale money to cents (or
+    any fixed point) before calling.
+    """
+    data = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("long").alias("__v"))
+    return median_of_counts(counted(data, list(keys)), keys, out, count_col)

@@ -11,12 +11,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.numeric import pct, round_half_up_ratio
-from cohortkit.operators.joins import combine_scalars
-from cohortkit.operators.layout import ensure_parallelism
+from cohortkit.operators.quantiles import counted, median_of_counts
 
 TWO_32 = 4294967296
 SLOTS = 8  # 32-bit draws per SHA-256 digest (64 hex digits)
@@ -47,31 +46,32 @@ def _blocks(reps: int) -> int:
     return (reps + SLOTS - 1) // SLOTS
 
 
-def bootstrap_rate(spark: SparkSession, population: DataFrame, observed: DataFrame, id_col: str,
+def bootstrap_rate(tagged: DataFrame, cohort_col: str, observed: str, population: str, id_col: str,
                    flag: Column, reps: int = 200) -> DataFrame:
-    """How often a random draw from ``population`` reaches the ``observed`` flag rate.
+    """How often a random draw from cohort ``population`` reaches the flag rate of cohort ``observed``.
 
     Each replicate keeps a row when its 32-bit draw is below
     ``2**32 * |observed| / |population|`` (Bernoulli draw with expected size
     equal to the observed cohort; the size is not fixed exactly).  Rows are
     expanded per block of 8 replicates only, and the per-replicate counts
     are partial aggregates per block, so the shuffle is a few rows per task.
-    Rates are compared by cross-multiplication, so no float rounding enters.
+    All totals come from one conditional aggregate of ``tagged``.  Products
+    of counts are DECIMAL, so nothing overflows or is rounded.
     """
-    obs = observed.agg(F.count(F.lit(1)).alias("observed_total"),
-                       F.count_if(F.coalesce(flag, F.lit(False))).alias("observed_n"))
-    pop = population.agg(F.count(F.lit(1)).alias("population_total"))
-    scal = combine_scalars(obs, pop).withColumn(
-        "threshold", F.expr(f"({TWO_32} * observed_total) div population_total"))
+    is_in, is_out = F.col(cohort_col) == observed, F.col(cohort_col) == population
+    hit = F.coalesce(flag, F.lit(False))
+    scal = tagged.agg(F.count_if(is_in).alias("observed_total"), F.count_if(is_in & hit).alias("observed_n"),
+                      F.count_if(is_out).alias("population_total"))
+    scal = scal.withColumn("threshold", F.expr(
+        f"(CAST({TWO_32} AS DECIMAL(20, 0)) * CAST(observed_total AS DECIMAL(18, 0))) div nullif(population_total, 0)"))
     scal = scal.withColumn("all_in", F.col("threshold") >= F.lit(TWO_32)).withColumn(
-        "thr_hex", hex32(F.least(F.col("threshold"), F.lit(TWO_32 - 1))))
+        "thr_hex", hex32(F.least(F.col("threshold"), F.lit(TWO_32 - 1)).cast("bigint")))
     # the one-row result enters the row-level plan as one scalar subquery (a struct),
     # evaluated once and reused wherever a field of it is read
     # (projected into a column once per stage: each reference is planned separately)
     sc = scal.select(F.struct("thr_hex", "all_in", "observed_total", "observed_n").alias("s")).scalar()
     thr_hex, all_in = F.col("__s.thr_hex"), F.col("__s.all_in")
-    rows = ensure_parallelism(
-        population.select(F.col(id_col).alias("__id"), F.coalesce(flag, F.lit(False)).alias("__flag")))
+    rows = tagged.filter(is_out).select(F.col(id_col).alias("__id"), hit.alias("__flag"))
     blocks = (rows.select("__flag", "__id", F.explode(F.sequence(F.lit(0), F.lit(_blocks(reps) - 1))).alias("block"))
               .withColumn("__h", block_digest("__id", "block")).withColumn("__s", sc))
     aggs = []
@@ -84,12 +84,13 @@ def bootstrap_rate(spark: SparkSession, population: DataFrame, observed: DataFra
         for j in range(SLOTS)])).alias("s"))
         .select((F.col("block") * SLOTS + F.col("s.slot") + 1).alias("rep"), "s.d", "s.k")
         .filter(F.col("rep") <= reps))
-    all_reps = spark.range(1, reps + 1).select(F.col("id").alias("rep"))
+    all_reps = tagged.sparkSession.range(1, reps + 1).select(F.col("id").alias("rep"))
     per_rep = (all_reps.join(per_rep, "rep", "left")
                .select("rep", F.coalesce("d", F.lit(0)).alias("d"), F.coalesce("k", F.lit(0)).alias("k")))
     per_rep = per_rep.withColumn("__s", sc)
+    wide = lambda c: c.cast("decimal(19,0)")
     obs_total, obs_n = F.col("__s.observed_total"), F.col("__s.observed_n")
-    reach = (F.col("d") > 0) & (F.col("k") * obs_total >= obs_n * F.col("d"))
+    reach = (F.col("d") > 0) & (wide(F.col("k")) * wide(obs_total) >= wide(obs_n) * wide(F.col("d")))
     out = per_rep.agg(F.count(F.lit(1)).alias("reps"), F.count_if(reach).alias("reach"),
                       F.sum("d").cast("bigint").alias("drawn_rows"),
                       F.max(obs_total).alias("observed_total"), F.max(obs_n).alias("observed_n"))
@@ -98,31 +99,52 @@ def bootstrap_rate(spark: SparkSession, population: DataFrame, observed: DataFra
                       "drawn_rows", "reach", round_half_up_ratio("reach", "reps", 4).alias("reach_share"))
 
 
-def poisson_weight(draw_hex: Column, lam: float = 1.0, max_k: int = 12) -> Column:
-    """Poisson(``lam``) count by inverse CDF of a uniform 32-bit draw given as 8 hex digits."""
-    w, cdf, p = F.lit(0), 0.0, math.exp(-lam)
-    for k in range(max_k):
+def poisson_cuts(lam: float = 1.0) -> list[int]:
+    """The 32-bit numbers from which the Poisson(``lam``) count of a uniform 32-bit draw is 1, 2, ...
+
+    The list ends where a further count has less than one draw out of 2**32.
+    """
+    cuts, cdf, p, k = [], 0.0, math.exp(-lam), 0
+    while True:
         cdf += p
-        cut = min(int(cdf * TWO_32), TWO_32 - 1)
+        cut = int(cdf * TWO_32)
+        if cut >= TWO_32 - 1 or (cuts and cut == cuts[-1]):
+            return cuts
+        cuts.append(cut)
+        k += 1
+        p *= lam / k
+
+
+def poisson_weight(draw_hex: Column, lam: float = 1.0) -> Column:
+    """Poisson(``lam``) count by inverse CDF of a uniform 32-bit draw given as 8 hex digits."""
+    w = F.lit(0)
+    for cut in poisson_cuts(lam):
         w = w + F.when(draw_hex >= F.lit(f"{cut:08x}"), 1).otherwise(0)
-        p *= lam / (k + 1)
     return w
 
 
 def bootstrap_median(cell: DataFrame, id_col: str, value_col: str, reps: int = 200,
                      ci: tuple[float, float] = (0.025, 0.975)) -> DataFrame:
-    """Poisson-bootstrap interval of one cell's median (exact weighted median per replicate)."""
-    rows = cell.select(F.col(id_col).alias("__id"), F.col(value_col).alias("__x")).filter(F.col("__x").isNotNull())
-    blocks = ensure_parallelism(rows)
-    blocks = (blocks.select("__id", "__x", F.explode(F.sequence(F.lit(0), F.lit(_blocks(reps) - 1))).alias("block"))
+    """Poisson-bootstrap interval of one cell's median (exact weighted median per replicate).
+
+    ``value_col`` is integral.  The weights are added up per replicate and
+    value and written once; all medians, the cell's own among them, come
+    from one rank search over these counts (``quantiles``), so no task holds
+    a replicate's values.  The band is taken over ``reps`` medians.
+    """
+    rows = (cell.select(F.col(id_col).alias("__id"), F.col(value_col).cast("long").alias("__v"))
+            .filter(F.col("__v").isNotNull()))
+    blocks = (rows.select("__id", "__v", F.explode(F.sequence(F.lit(0), F.lit(_blocks(reps) - 1))).alias("block"))
               .withColumn("__h", block_digest("__id", "block")))
     slots = F.explode(F.array(*[F.struct(F.lit(j).alias("slot"), poisson_weight(slot_hex(F.col("__h"), j)).alias("w"))
                                 for j in range(SLOTS)])).alias("s")
-    weighted = (blocks.select("__x", "block", slots)
-                .select("__x", (F.col("block") * SLOTS + F.col("s.slot") + 1).alias("rep"), F.col("s.w").alias("__w"))
-                .filter((F.col("rep") <= reps) & (F.col("__w") > 0)))
-    per_rep = weighted.groupBy("rep").agg(F.percentile("__x", 0.5, F.col("__w")).alias("m"))
-    point = rows.agg(F.median("__x").alias("median"), F.count(F.lit(1)).alias("n"))
-    band = per_rep.agg(F.count(F.lit(1)).alias("reps"),
-                       F.percentile("m", ci[0]).alias("ci_low"), F.percentile("m", ci[1]).alias("ci_high"))
-    return combine_scalars(point, band)
+    drawn = (blocks.select("__v", "block", slots)
+             .select((F.col("block") * SLOTS + F.col("s.slot") + 1).alias("rep"), "__v", F.col("s.w").alias("__w"))
+             .filter((F.col("rep") <= reps) & (F.col("__w") > 0)))
+    own = rows.select(F.lit(0).alias("rep"), "__v", F.lit(1).alias("__w"))  # replicate 0 is the cell itself
+    medians = median_of_counts(counted(drawn.unionByName(own), ["rep"], "__w"), ["rep"], "m", "n")
+    own_row, draw = F.col("rep") == 0, F.col("rep") > 0
+    return medians.agg(F.max(F.when(own_row, F.col("m"))).alias("median"), F.max(F.when(own_row, F.col("n"))).alias("n"),
+                       F.count_if(draw).alias("reps"),
+                       F.percentile(F.when(draw, F.col("m")), ci[0]).alias("ci_low"),
+                       F.percentile(F.when(draw, F.col("m")), ci[1]).alias("ci_high"))

@@ -15,16 +15,13 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from cohortkit.functions import clean
 from cohortkit.functions.numeric import pct
 from cohortkit.operators import cohort, integrity, keys, measures, profile, rules, series
-from cohortkit.operators.joins import combine_scalars, join_dimension
+from cohortkit.operators.joins import combine_scalars
 from cohortkit.plans import fixtures as fx
 from cohortkit.session import scratch_path
 from cohortkit.sources import files, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# keys holding >= 0.1 % of a join's left rows take the salted skew path (joins.skew_join)
-HOT_KEY_FRACTION = fx.HOT_KEY_FRACTION
-
 
 def query(name: str):
     def deco(fn):
@@ -52,7 +49,7 @@ DOC_SCHEMA = StructType([StructField("doc_id", LongType()), StructField("text",
 def csv_multiline_roundtrip(spark, base):
     path = sinks.write_quoted_csv(L(spark, base, "documents").select(*DOC_SCHEMA.fieldNames()),
                                   scratch_path(spark, "documents-csv"))
-    return files.read_quoted_csv(spark, path, DOC_SCHEMA)
+    return files.read_quoted_csv(spark, path, DOC_SCHEMA, blank_is_null=False)
 
 
 @query("tsv_padded_read")
@@ -85,6 +82,14 @@ def union_by_name(spark, base):
     return files.union_all([c, s])
 
 
+@query("result_csv")
+def result_csv(spark, base):
+    """A result table as one sorted CSV file, read back with its types in file order."""
+    result = category_share(spark, base)
+    path = sinks.write_single_csv(result, scratch_path(spark, "result-csv"), ["level", "cohort"])
+    return files.read_result(spark, path, result.schema)
+
+
 # ---------------------------------------------------------------- profiling
 @query("profile_long")
 def profile_long(spark, base):
@@ -119,6 +124,22 @@ def numeric_summary(spark, base):
                                    ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
 
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@query("profile_table")
+def profile_table(spark, base):
+    return profile.table_profile(L(spark, base, "orders").select(*ORDER_COLUMNS), "orders",
+                                 categoricals=["o_orderstatus", "o_orderpriority"], numerics=["o_totalprice"], k=3)
+
+
+@query("profile_csv")
+def profile_csv(spark, base):
+    path = sinks.write_single_csv(profile_table(spark, base), scratch_path(spark, "profile-csv"),
+                                  ["dataset", "column", "metric"])
+    return files.read_result(spark, path, files.all_strings(["dataset", "column", "metric", "value"]))
+
+
 @query("ordered_sample")
 def ordered_sample(spark, base):
     return L(spark, base, "orders").orderBy("o_orderdate", "o_orderkey").limit(5)
@@ -203,8 +224,7 @@ def alias_dictionary(spark, base):
     d = fx.dirty_customers(spark, base).select("c_custkey", clean.canonical_key("dirty_name").alias("key"))
     o = L(spark, base, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     facts = o.join(d, "c_custkey", "inner").select("o_orderkey", "key")
-    return keys.apply_alias_table(facts, "key", alias_table(spark, base), out="resolved",
-                                  hot_key_fraction=HOT_KEY_FRACTION)
+    return keys.apply_alias_table(facts, "key", alias_table(spark, base), out="resolved")
 
 
 # ---------------------------------------------------------------- series decode / filters
@@ -245,21 +265,29 @@ def clean_audit(spark, base):
 
 
 # ---------------------------------------------------------------- lookups, bridge
+def _items(spark, base):
+    return L(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+
+
 def _part_lookup(spark, base):
-    """Code table: parts up to size 40 (larger ones are missing, so some codes are orphans)."""
+    return L(spark, base, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand")
+
+
+def _short_lookup(spark, base):
+    """Code table that misses the parts above size 40, so that some codes are orphans."""
     return (L(spark, base, "part").filter(F.col("p_size") <= 40)
-            .select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand"))
+            .select(F.col("p_partkey").alias("l_partkey"), "p_type"))
 
 
 @query("lookup_left_join")
 def lookup_left_join(spark, base):
-    li = L(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return join_dimension(li, _part_lookup(spark, base), "l_partkey", "left")
+    return _items(spark, base).join(_part_lookup(spark, base), "l_partkey", "left")
 
 
 @query("lookup_drop_orphans")
 def lookup_drop_orphans(spark, base):
-    return (lookup_left_join(spark, base).filter(F.col("p_type").isNotNull())
+    joined = _items(spark, base).join(_short_lookup(spark, base), "l_partkey", "left")
+    return (joined.filter(F.col("p_type").isNotNull())
             .select("l_orderkey", "l_linenumber", "l_partkey", "p_type"))
 
 
@@ -278,30 +306,26 @@ def cohort_members(spark, base):
 
 @query("cohort_tag")
 def cohort_tag(spark, base):
-    # the skew-safe tag: customers with >= 0.1 % of all orders are salted over 64 tasks
     o = L(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
-    return cohort.tag(o, fx.member_keys(spark, base), "o_custkey", "user_id", hot_key_fraction=HOT_KEY_FRACTION,
-                      hot=fx.order_hot_keys(spark, base))
+    return cohort.tag(o, fx.member_keys(spark, base), "o_custkey", "user_id")
 
 
 @query("semi_join_count")
 def semi_join_count(spark, base):
-    return cohort.semi_join_count(fx.urgent_orders(spark, base), fx.member_keys(spark, base),
-                                  "o_custkey", "user_id")
+    return cohort.semi_join_count(L(spark, base, "orders"), fx.member_keys(spark, base), "o_custkey", "user_id")
 
 
 @query("join_hit_rate")
 def join_hit_rate(spark, base):
-    return cohort.join_diagnostic(fx.urgent_orders(spark, base), fx.cohort_events(spark, base),
-                                  "o_custkey", "user_id")
+    return cohort.join_diagnostic(L(spark, base, "orders"), fx.cohort_events(spark, base), "o_custkey", "user_id")
 
 
 @query("unmatched_top")
 def unmatched_top(spark, base):
-    ev = fx.cohort_events(spark, base).select("event_id", "user_id", "value", "ts")
-    return cohort.unmatched(ev, fx.urgent_orders(spark, base), "user_id", "o_custkey",
-                            [F.desc_nulls_last("value"), F.asc("event_id")], k=20,
-                            hot_key_fraction=HOT_KEY_FRACTION)
+    # every cohort event of the test tables has orders, so the misses are customers without such an event
+    c = L(spark, base, "customer").select("c_custkey", "c_name", "c_acctbal")
+    return cohort.unmatched(c, fx.cohort_events(spark, base), "c_custkey", "user_id",
+                            [F.desc_nulls_last("c_acctbal"), F.asc("c_custkey")], k=20)
 
 
 # ---------------------------------------------------------------- cohort measures
@@ -311,6 +335,7 @@ def _tagged(spark, base):
 
 @query("median_by_level")
 def median_by_level(spark, base):
+    """Approximate median: exact while a group has fewer rows than the accuracy, beyond that within rank error."""
     t = _tagged(spark, base).filter(F.col("o_orderpriority").isNotNull())
     return measures.group_median(t.withColumnRenamed("o_orderpriority", "level"), ["cohort", "level"],
                                  "o_totalprice", accuracy=1_000_000)
@@ -327,8 +352,8 @@ def median_exact(spark, base):
 
 @query("category_share")
 def category_share(spark, base):
-    return measures.category_share(_tagged(spark, base), "cohort", "o_orderpriority", out_category="level",
-                                   keep=F.col("o_orderpriority").isNotNull())
+    t = fx.tagged_counts(spark, base, level=F.col("o_orderpriority"))
+    return measures.category_share(t, "cohort", "level", keep=F.col("level").isNotNull(), weight="n")
 
 
 def _brand_counts_by_part(spark, base):
@@ -351,11 +376,10 @@ def topk_tags(spark, base):
 
 def _nation_counts(spark, base):
     """(cohort, region, cnt) with orders pre-aggregated per customer before the customer join."""
-    per_cust = (fx.tagged_orders(spark, base, ["o_orderkey"]).groupBy("cohort", "o_custkey")
-                .agg(F.count(F.lit(1)).alias("cnt")))
+    per_cust = fx.tagged_counts(spark, base).select("cohort", "o_custkey", F.col("n").alias("cnt"))
     cust = L(spark, base, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     nation = L(spark, base, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    j = join_dimension(per_cust.join(cust, "o_custkey", "inner"), nation, "c_nationkey", "inner")
+    j = per_cust.join(cust, "o_custkey", "inner").join(nation, "c_nationkey", "inner")
     return j.select("cohort", F.upper("n_name").alias("region"), "cnt", "n_name")
 
 
@@ -377,12 +401,13 @@ def tag_set_share(spark, base):
 
 @query("flag_rate")
 def flag_rate(spark, base):
-    return measures.flag_rate(_tagged(spark, base), "cohort", F.col("o_orderstatus") == "F", "fulfilled")
+    t = fx.tagged_counts(spark, base, fulfilled=F.col("o_orderstatus") == "F")
+    return measures.flag_rate(t, "cohort", F.col("fulfilled"), "fulfilled", weight="n")
 
 
 def _level_counts(spark, base):
-    t = _tagged(spark, base).filter(F.col("o_orderpriority").isNotNull())
-    return (t.groupBy("cohort", F.col("o_orderpriority").alias("level")).agg(F.count(F.lit(1)).alias("n"))
+    t = fx.tagged_counts(spark, base, level=F.col("o_orderpriority")).filter(F.col("level").isNotNull())
+    return (t.groupBy("cohort", "level").agg(F.sum("n").cast("bigint").alias("n"))
             .withColumn("level_rank", measures.ordinal_rank("level", fx.PRIORITY_ORDER)))
 
 
@@ -539,7 +564,7 @@ def member_totals(spark, base, k: int = 20):
 def weighted_hit_rate(spark, base):
     ev = (fx.cohort_events(spark, base).groupBy("user_id")
           .agg(F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("w")))
-    keys_ = fx.urgent_orders(spark, base).select(F.col("o_custkey").alias("user_id")).distinct()
+    keys_ = L(spark, base, "orders").select(F.col("o_custkey").alias("user_id")).distinct()
     hit = ev.join(keys_, "user_id", "left_semi")
     r = combine_scalars(ev.agg(F.sum("w").cast("bigint").alias("total_weight")),
                         hit.agg(F.coalesce(F.sum("w"), F.lit(0)).cast("bigint").alias("matched_weight")))
@@ -554,14 +579,13 @@ def _clean_orders(spark, base):
 @query("orphan_tags")
 def orphan_tags(spark, base):
     li = L(spark, base, "lineitem").select("l_orderkey")
-    return integrity.orphans(li, _clean_orders(spark, base), "l_orderkey", "o_orderkey",
-                             hot_key_fraction=HOT_KEY_FRACTION)
+    return integrity.orphans(li, _clean_orders(spark, base), "l_orderkey", "o_orderkey")
 
 
 @query("integrity_checks")
 def integrity_checks(spark, base):
     orders = L(spark, base, "orders")
-    tagged = fx.tagged_orders(spark, base, ["o_orderkey"])
+    tagged = fx.tagged_orders(spark, base, ["o_custkey"])
     return (integrity.duplicate_keys(dedup_pairs(spark, base), ["l_orderkey", "p_type"])
             .unionByName(integrity.all_null_rows(_clean_orders(spark, base), ["a", "b"]))
             .unionByName(integrity.reconcile(orders, tagged, "o_custkey")))
@@ -574,28 +598,27 @@ RECENCY_CUTOFF = "2024-01-15"
 @query("recency_cohort")
 def recency_cohort(spark, base):
     ev = L(spark, base, "events").filter(F.col("event_type") == fx.COHORT_EVENT)
-    o = L(spark, base, "orders").select("o_orderkey", "o_custkey")
-    t = cohort.recency_tag(o, ev, "o_custkey", "user_id", "ts", RECENCY_CUTOFF, hot_key_fraction=HOT_KEY_FRACTION)
-    return t.groupBy("cohort").agg(F.count(F.lit(1)).alias("n_orders"),
-                                   F.count_distinct("o_custkey").alias("n_customers"))
+    o = cohort.key_counts(L(spark, base, "orders"), "o_custkey")  # one row per customer
+    t = cohort.recency_tag(o, ev, "o_custkey", "user_id", "ts", RECENCY_CUTOFF)
+    return t.groupBy("cohort").agg(F.sum("n").cast("bigint").alias("n_orders"), F.count(F.lit(1)).alias("n_customers"))
 
 
 @query("matched_strata")
 def matched_strata(spark, base):
-    per_cust = (_tagged(spark, base).groupBy("cohort", "o_custkey")
-                .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("f")))
+    per_cust = fx.tagged_counts(spark, base, f=F.col("o_orderstatus") == "F")
     cust = L(spark, base, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
     counts = (per_cust.join(cust, "o_custkey", "inner").groupBy("c_mktsegment", "cohort")
-              .agg(F.sum("n").cast("bigint").alias("n"), F.sum("f").cast("bigint").alias("fulfilled_n")))
+              .agg(F.sum("n").cast("bigint").alias("n"),
+                   F.sum(F.when(F.col("f"), F.col("n")).otherwise(0)).cast("bigint").alias("fulfilled_n")))
     kept = cohort.both_sided_strata(counts, "c_mktsegment")
     return kept.withColumn("fulfilled_pct", pct("fulfilled_n", "n"))
 
 
 @query("null_aware_rate")
 def null_aware_rate(spark, base):
-    d = cohort.tag(fx.dirty_orders(spark, base), fx.member_keys(spark, base), "o_custkey", "user_id",
-                   hot_key_fraction=HOT_KEY_FRACTION, hot=fx.order_hot_keys(spark, base))
-    return measures.null_aware_rate(d, "cohort", clean.to_nullable_flag("flag_text"), "flag")
+    counts = cohort.key_counts(fx.dirty_orders(spark, base), "o_custkey", {"known_flag": clean.to_nullable_flag("flag_text")})
+    d = cohort.tag(counts, fx.member_keys(spark, base), "o_custkey", "user_id")
+    return measures.null_aware_rate(d, "cohort", F.col("known_flag"), "flag", weight="n")
 
 
 SMALL_CELL_MIN = 50
@@ -631,9 +654,7 @@ BOOTSTRAP_REPS = 200
 def bootstrap_rate(spark, base):
     from cohortkit.operators import resample
 
-    t = _tagged(spark, base)
-    return resample.bootstrap_rate(spark, t.filter(F.col("cohort") == cohort.OUT_LABEL),
-                                   t.filter(F.col("cohort") == cohort.IN_LABEL), "o_orderkey",
+    return resample.bootstrap_rate(_tagged(spark, base), "cohort", cohort.IN_LABEL, cohort.OUT_LABEL, "o_orderkey",
                                    F.col("o_orderstatus") == "F", reps=BOOTSTRAP_REPS)
 
 

@@ -11,14 +11,10 @@ can rebuild them exactly.  All of it is lazy and grows with the tables.
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.operators import cohort, joins, rules
-from cohortkit.operators.joins import join_dimension
-from cohortkit.session import app_id
+from cohortkit.operators import cohort, rules
 from cohortkit.sources.files import load
 
 # --- fixed values of the test-role mapping ---------------------------------
@@ -28,80 +24,42 @@ NAME_SUFFIXES = [" Inc", " Corp.", ", LLC", " Limited", " corporation", " Ltd. "
 PRIORITY_ORDER = ["5-LOW", "4-NOT SPECIFIED", "3-MEDIUM", "2-HIGH", "1-URGENT"]
 TYPE_SET = ["ECONOMY", "SMALL"]
 BOUNDS = (10000.0, 1000000.0)
-HOT_KEY_FRACTION = 1e-3
 COHORT_EVENT = "error"
 COHORT_MIN_VALUE = 8.0
 # Series roles: order status -> 6-digit industry code; priority -> data element.
 STATUS_INDUSTRY = {"F": "000000", "O": "510000", "P": "520000"}
 # ---------------------------------------------------------------------------
 
-_MEMO: dict[tuple, DataFrame] = {}
-
-
-def memo(fn):
-    """Build a derived frame once per application, base folder and arguments.
-
-    A DataFrame is an immutable plan that re-reads its inputs whenever it
-    runs, so reusing it only saves driver-side planning (and the size checks
-    of its dimension joins); it caches no data.
-    """
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, base: str, *args):
-        key = (fn.__name__, app_id(spark), base.rstrip("/"),
-               *[tuple(a) if isinstance(a, list) else a for a in args])
-        if key not in _MEMO:
-            _MEMO[key] = fn(spark, base, *args)
-        return _MEMO[key]
-    return wrapper
-
-
-@memo
 def cohort_events(spark: SparkSession, base: str) -> DataFrame:
     """Rows that define the cohort (the reference's layoff events)."""
     ev = load(spark, base, "events")
     return ev.filter((F.col("event_type") == COHORT_EVENT) & (F.col("value") > COHORT_MIN_VALUE))
 
 
-@memo
 def member_keys(spark: SparkSession, base: str) -> DataFrame:
     return cohort.members(cohort_events(spark, base), "user_id", measures=["value"])
 
 
-@memo
-def order_hot_keys(spark: SparkSession, base: str) -> DataFrame:
-    """Customers holding >= HOT_KEY_FRACTION of the orders, computed once per application.
-
-    At most 1 / HOT_KEY_FRACTION rows; kept in memory (recomputed from its
-    lineage if an executor is lost) and shared by every cohort tag of orders.
-    """
-    orders = load(spark, base, "orders").filter(F.col("o_custkey").isNotNull())
-    return joins.hot_keys(orders, "o_custkey", HOT_KEY_FRACTION).persist()
-
-
-@memo
 def tagged_orders(spark: SparkSession, base: str, cols: list[str] | None = None) -> DataFrame:
     """Orders with ``cohort`` in {flagged, rest}; column pruning reaches the scan."""
     orders = load(spark, base, "orders")
     if cols:
         orders = orders.select(*sorted(set(cols) | {"o_custkey"}))
-    # skew-safe tag: customers with >= 0.1 % of the orders are salted (exact, see joins.skew_join)
-    return cohort.tag(orders, member_keys(spark, base), "o_custkey", "user_id", hot_key_fraction=HOT_KEY_FRACTION,
-                      hot=order_hot_keys(spark, base))
+    return cohort.tag(orders, member_keys(spark, base), "o_custkey", "user_id")
 
 
-@memo
-def urgent_orders(spark: SparkSession, base: str) -> DataFrame:
-    """Facts of the join diagnostic: urgent orders only, so some members have none."""
-    return load(spark, base, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+def tagged_counts(spark: SparkSession, base: str, **by) -> DataFrame:
+    """``(o_custkey, *by, n, cohort)``: orders counted per customer and category, then tagged."""
+    counts = cohort.key_counts(load(spark, base, "orders"), "o_custkey", by)
+    return cohort.tag(counts, member_keys(spark, base), "o_custkey", "user_id")
 
 
-@memo
 def dirty_customers(spark: SparkSession, base: str) -> DataFrame:
     """Customers with a dirty name and a ``"nation, region"`` location (every third comma-less)."""
     c = load(spark, base, "customer")
     nation = load(spark, base, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = load(spark, base, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    geo = join_dimension(nation, region, "n_regionkey", "left")
+    geo = nation.join(region, "n_regionkey", "left")
     slot = F.col("c_custkey") % 8
     name = F.lit(None).cast("string")
     for i in reversed(range(len(NAME_SUFFIXES))):
@@ -109,12 +67,11 @@ def dirty_customers(spark: SparkSession, base: str) -> DataFrame:
     name = F.when(slot == 6, F.lit("")).otherwise(name)
     loc = F.when(F.col("c_custkey") % 3 == 0, F.col("n_name")).otherwise(
         F.concat(F.col("n_name"), F.lit(", "), F.col("r_name")))
-    joined = join_dimension(c, geo.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey", "left")
+    joined = c.join(geo.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey", "left")
     return joined.select("c_custkey", "c_name", name.alias("dirty_name"), loc.alias("location"),
                          "c_nationkey", "c_mktsegment")
 
 
-@memo
 def dirty_orders(spark: SparkSession, base: str) -> DataFrame:
     """Orders with nullable range bounds, a bounded measure, two sparse measures and flag text."""
     o = load(spark, base, "orders")
@@ -145,7 +102,6 @@ def _tenths_text(k, n):
     return F.concat(F.expr(f"{v10} div 10").cast("string"), F.lit("."), F.expr(f"{v10} % 10").cast("string"))
 
 
-@memo
 def raw_series(spark: SparkSession, base: str) -> DataFrame:
     """Coded monthly series derived from orders: ``(series_id, year, period, value)`` text.
 
@@ -179,7 +135,6 @@ def raw_series(spark: SparkSession, base: str) -> DataFrame:
                     F.col("y").cast("string").alias("year"), "period", F.col("e.value").alias("value")))
 
 
-@memo
 def clean_series(spark: SparkSession, base: str) -> DataFrame:
     from cohortkit.operators import series
 

@@ -7,17 +7,22 @@ half-up rounding: ``(20000*n + t) // (2*t) / 100``.
 
 from __future__ import annotations
 
-from cohortkit.functions.clean import LEGAL_SUFFIX_PATTERN
-from cohortkit.operators.series import (
-    INDUSTRY_BY_CODE,
-    METRIC_BY_ELEMENT,
-    REFERENCE_SERIES_IDS,
-)
-from cohortkit.plans import catalog as cat
-from cohortkit.plans import fixtures as fx
-
 SQL: dict[str, str] = {}
 
+# --- expected values, written out here so that a wrong constant in the library is noticed
+LEGAL_SUFFIX_PATTERN = r"(?i)\s*(inc|corp|corporation|llc|ltd|limited)\.?$"
+NAME_SUFFIXES = [" Inc", " Corp.", ", LLC", " Limited", " corporation", " Ltd. "]
+TEST_ALIASES = {"customer#000000002,": "customer#000000002", "customer#000000005 ltd.": "customer#000000005"}
+STATUS_INDUSTRY = {"F": "000000", "O": "510000", "P": "520000"}
+INDUSTRY_BY_CODE = {"000000": "Total Nonfarm", "510000": "Information"}
+METRIC_BY_ELEMENT = {"JO": "job_openings_rate", "HI": "hires_rate", "LD": "layoffs_discharges_rate"}
+SERIES_IDS = ["JTS000000000000000JOR", "JTS000000000000000HIR", "JTS000000000000000LDR",
+              "JTS510000000000000JOR", "JTS510000000000000HIR", "JTS510000000000000LDR"]
+PRIORITY_ORDER = ["5-LOW", "4-NOT SPECIFIED", "3-MEDIUM", "2-HIGH", "1-URGENT"]
+LEVEL_COLUMNS = {"1-URGENT": "pct_1_urgent", "2-HIGH": "pct_2_high", "3-MEDIUM": "pct_3_medium",
+                 "4-NOT SPECIFIED": "pct_4_not_specified", "5-LOW": "pct_5_low"}
+TYPE_SETS = {"core": ["ECONOMY", "SMALL"], "narrow": ["ECONOMY"], "wide": ["ECONOMY", "SMALL", "STANDARD"]}
+
 
 def pct(n: str, t: str) -> str:
     return f"(CAST((20000 * CAST({n} AS HUGEINT) + ({t})) // (2 * ({t})) AS DOUBLE) / 100)"
@@ -41,13 +46,12 @@ def case_map(expr: str, mapping: dict, default: str) -> str:
 
 
 MEMBERS = ("SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL AND value IS NOT NULL "
-           f"AND event_type = '{fx.COHORT_EVENT}' AND value > {fx.COHORT_MIN_VALUE}")
-COHORT_EVENTS = f"SELECT * FROM events WHERE event_type = '{fx.COHORT_EVENT}' AND value > {fx.COHORT_MIN_VALUE}"
+           f"AND event_type = 'error' AND value > 8.0")
+COHORT_EVENTS = f"SELECT * FROM events WHERE event_type = 'error' AND value > 8.0"
 TAGGED = (f"SELECT o.*, CASE WHEN m.user_id IS NOT NULL THEN 'flagged' ELSE 'rest' END AS cohort "
           f"FROM orders o LEFT JOIN ({MEMBERS}) m ON o.o_custkey = m.user_id WHERE o.o_custkey IS NOT NULL")
-URGENT = "SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'"
 
-_suffix_cases = " ".join(f"WHEN {i} THEN c.c_name || '{s}'" for i, s in enumerate(fx.NAME_SUFFIXES))
+_suffix_cases = " ".join(f"WHEN {i} THEN c.c_name || '{s}'" for i, s in enumerate(NAME_SUFFIXES))
 DIRTY_CUSTOMERS = f"""
 SELECT c.c_custkey, c.c_name,
        CASE c.c_custkey % 8 {_suffix_cases} WHEN 6 THEN '' ELSE NULL END AS dirty_name,
@@ -69,13 +73,13 @@ SELECT o_orderkey, o_custkey,
        CASE o_orderkey % 5 WHEN 0 THEN '1' WHEN 1 THEN '1.0' WHEN 2 THEN '0' WHEN 3 THEN '' ELSE NULL END AS flag_text
 FROM orders"""
 
-LO, HI = fx.BOUNDS
+LO, HI = 10000.0, 1000000.0
 RULE_INVERTED = "(lo IS NOT NULL AND hi IS NOT NULL AND lo > hi)"
 RULE_BOUNDS = f"(val IS NOT NULL AND NOT (val BETWEEN {LO} AND {HI}))"
 RULE_ALLNULL = "(a IS NULL AND b IS NULL)"
 CLEAN_ORDERS = f"SELECT * FROM ({DIRTY_ORDERS}) WHERE NOT {RULE_INVERTED} AND NOT {RULE_BOUNDS} AND NOT {RULE_ALLNULL}"
 
-_status_code = case_map("o_orderstatus", fx.STATUS_INDUSTRY, "'999999'")
+_status_code = case_map("o_orderstatus", STATUS_INDUSTRY, "'999999'")
 _counts = ("COUNT(*) AS n, COUNT(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS jo, "
            "COUNT(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS hi, "
            "COUNT(*) FILTER (WHERE o_orderpriority = '5-LOW') AS ld, "
@@ -96,7 +100,7 @@ SELECT 'JTS' || code || '000000000' || de || 'R' AS series_id, CAST(y AS VARCHAR
        CAST(v10 // 10 AS VARCHAR) || '.' || CAST(v10 % 10 AS VARCHAR) AS value
 FROM e"""
 
-FILTERED_SERIES = (f"SELECT * FROM ({RAW_SERIES}) WHERE series_id IN ({lit_list(REFERENCE_SERIES_IDS)}) "
+FILTERED_SERIES = (f"SELECT * FROM ({RAW_SERIES}) WHERE series_id IN ({lit_list(SERIES_IDS)}) "
                    "AND period <> 'M13'")
 
 
@@ -212,7 +216,7 @@ FROM (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS code,
 q("flag_coerce", f"""
 SELECT o_orderkey, flag_text, COALESCE(TRY_CAST(flag_text AS DOUBLE) = 1, false) AS flag FROM ({DIRTY_ORDERS})""")
 q("normalize_key", f"SELECT c_custkey, dirty_name, {KEY} AS key FROM ({DIRTY_CUSTOMERS})")
-_alias_case = case_map("key", cat.TEST_ALIASES, "key")
+_alias_case = case_map("key", TEST_ALIASES, "key")
 q("alias_map", f"SELECT c_custkey, key, {_alias_case} AS canonical FROM (SELECT c_custkey, {KEY} AS key FROM ({DIRTY_CUSTOMERS}))")
 ALIAS_TABLE = (f"SELECT {KEY} AS alias, lower(c_name) AS canonical FROM ({DIRTY_CUSTOMERS}) "
                f"WHERE dirty_name IS NOT NULL AND {KEY} <> lower(c_name) AND {KEY} <> ''")
@@ -249,15 +253,14 @@ q("clean_audit", _audit_sql(DIRTY_ORDERS, "orders_dirty",
                              ("all_measures_null", RULE_ALLNULL)])
   + "\nUNION ALL\n" +
   _audit_sql(RAW_SERIES, "series_raw",
-             [("non_target_series", f"NOT COALESCE(series_id IN ({lit_list(REFERENCE_SERIES_IDS)}), false)"),
+             [("non_target_series", f"NOT COALESCE(series_id IN ({lit_list(SERIES_IDS)}), false)"),
               ("period_m13", "NOT COALESCE(period <> 'M13', false)")]))
 
 # ---------------------------------------------------------------- lookups, bridge
-PART_LOOKUP = "SELECT p_partkey AS l_partkey, p_type, p_brand FROM part WHERE p_size <= 40"
-LOOKUP = (f"SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_type, p.p_brand FROM lineitem l "
-          f"LEFT JOIN ({PART_LOOKUP}) p ON l.l_partkey = p.l_partkey")
-q("lookup_left_join", LOOKUP)
-NO_ORPHANS = f"SELECT l_orderkey, l_linenumber, l_partkey, p_type FROM ({LOOKUP}) WHERE p_type IS NOT NULL"
+q("lookup_left_join", "SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_type, p.p_brand FROM lineitem l "
+  "LEFT JOIN part p ON l.l_partkey = p.p_partkey")
+NO_ORPHANS = ("SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_type FROM lineitem l "
+              "JOIN part p ON l.l_partkey = p.p_partkey WHERE p.p_size <= 40 AND p.p_type IS NOT NULL")
 q("lookup_drop_orphans", NO_ORPHANS)
 DEDUP = f"SELECT l_orderkey, p_type, MIN(l_partkey) AS l_partkey FROM ({NO_ORPHANS}) GROUP BY l_orderkey, p_type"
 q("dedup_pairs", DEDUP)
@@ -265,14 +268,14 @@ q("dedup_pairs", DEDUP)
 # ---------------------------------------------------------------- cohort core
 q("cohort_members", MEMBERS)
 q("cohort_tag", f"SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice, cohort FROM ({TAGGED})")
-q("semi_join_count", f"SELECT COUNT(*) AS matched_facts FROM ({URGENT}) f WHERE f.o_custkey IN ({MEMBERS})")
+q("semi_join_count", f"SELECT COUNT(*) AS matched_facts FROM orders f WHERE f.o_custkey IN ({MEMBERS})")
 _diag_keys = f"SELECT DISTINCT user_id AS k FROM ({COHORT_EVENTS}) WHERE user_id IS NOT NULL"
-_diag_fk = f"SELECT o_custkey AS k, COUNT(*) AS rows FROM ({URGENT}) WHERE o_custkey IS NOT NULL GROUP BY o_custkey"
+_diag_fk = f"SELECT o_custkey AS k, COUNT(*) AS rows FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey"
 q("join_hit_rate", f"""
 WITH ev AS ({_diag_keys}), fk AS ({_diag_fk}),
 s AS (SELECT (SELECT COUNT(*) FROM ev) AS distinct_member_keys, (SELECT COUNT(*) FROM fk) AS distinct_fact_keys,
              (SELECT COUNT(*) FROM ev JOIN fk USING (k)) AS matched_keys,
-             (SELECT COUNT(*) FROM ({URGENT})) AS total_facts,
+             (SELECT COUNT(*) FROM orders) AS total_facts,
              (SELECT COALESCE(SUM(rows), 0) FROM ev JOIN fk USING (k)) AS matched_facts),
 p AS (SELECT *, COALESCE({pct('matched_keys', 'distinct_member_keys')}, 0.0) AS key_hit_pct,
              COALESCE({pct('matched_facts', 'total_facts')}, 0.0) AS fact_share_pct FROM s)
@@ -284,9 +287,9 @@ UNION ALL SELECT 5, 'total_facts', CAST(total_facts AS VARCHAR) FROM p
 UNION ALL SELECT 6, 'matched_facts', CAST(matched_facts AS VARCHAR) FROM p
 UNION ALL SELECT 7, 'fact_share_pct', CAST(fact_share_pct AS VARCHAR) FROM p""")
 q("unmatched_top", f"""
-SELECT e.event_id, e.user_id, e.value, e.ts FROM ({COHORT_EVENTS}) e
-WHERE e.user_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM ({URGENT}) f WHERE f.o_custkey = e.user_id)
-ORDER BY e.value DESC NULLS LAST, e.event_id LIMIT 20""")
+SELECT c_custkey, c_name, c_acctbal FROM customer c
+WHERE NOT EXISTS (SELECT 1 FROM ({COHORT_EVENTS}) e WHERE e.user_id = c.c_custkey)
+ORDER BY c_acctbal DESC NULLS LAST, c_custkey LIMIT 20""")
 
 # ---------------------------------------------------------------- cohort measures
 q("median_by_level", f"""
@@ -320,14 +323,14 @@ REGION_COUNTS = (f"SELECT t.cohort, upper(n.n_name) AS region, COUNT(*) AS n FRO
 q("topk_region", topk(REGION_COUNTS, "region"))
 q("tag_set_share", f"""
 SELECT cohort, total, set_n, total - set_n AS other_n, {pct('set_n', 'total')} AS set_pct
-FROM (SELECT t.cohort, COUNT(*) AS total, COUNT(*) FILTER (WHERE p.p_type IN ({lit_list(fx.TYPE_SET)})) AS set_n
+FROM (SELECT t.cohort, COUNT(*) AS total, COUNT(*) FILTER (WHERE p.p_type IN ({lit_list(["ECONOMY", "SMALL"])})) AS set_n
       FROM ({TAGGED}) t JOIN lineitem l ON l.l_orderkey = t.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey
       GROUP BY 1)""")
 q("flag_rate", f"""
 SELECT cohort, total, fulfilled_n, {pct('fulfilled_n', 'total')} AS fulfilled_pct
 FROM (SELECT cohort, COUNT(*) AS total, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS fulfilled_n
       FROM ({TAGGED}) GROUP BY 1)""")
-RANKED_LEVELS = (f"SELECT *, CAST(list_position([{lit_list(fx.PRIORITY_ORDER)}], level) AS INTEGER) AS level_rank "
+RANKED_LEVELS = (f"SELECT *, CAST(list_position([{lit_list(PRIORITY_ORDER)}], level) AS INTEGER) AS level_rank "
                  f"FROM ({LEVEL_COUNTS})")
 q("ordinal_levels", f"SELECT cohort, level, level_rank, n FROM ({RANKED_LEVELS})")
 q("ladder_cumulative", f"""
@@ -355,9 +358,9 @@ SELECT obs_date, year, month, industry,
 FROM ({SERIES}) WHERE metric IN ('job_openings_rate', 'hires_rate')
 GROUP BY obs_date, year, month, industry"""
 q("series_pivot", PIVOT + " ORDER BY industry, obs_date")
-W0, W1 = cat.WINDOW
+W0, W1 = "1999-01-01", "2000-12-31"
 INSIDE = f"obs_date BETWEEN DATE '{W0}' AND DATE '{W1}'"
-PY = cat.PEAK_YEAR
+PY = 1997
 q("window_stats", f"""
 WITH s AS ({SERIES}),
 a AS (SELECT industry, metric, ROUND(median(value), 4) AS median_all,
@@ -393,8 +396,8 @@ FROM (SELECT industry, metric, COUNT(*) AS rows, COUNT(DISTINCT obs_date) AS mon
              MIN(obs_date) AS first_month, MAX(obs_date) AS last_month,
              CAST(datediff('month', MIN(obs_date), MAX(obs_date)) + 1 AS INTEGER) AS expected_months
       FROM ({SERIES}) WHERE obs_date IS NOT NULL GROUP BY industry, metric)""")
-_weights_label = case_map(case_map("o_orderstatus", fx.STATUS_INDUSTRY, "NULL"), INDUSTRY_BY_CODE,
-                          case_map("o_orderstatus", fx.STATUS_INDUSTRY, "NULL"))
+_weights_label = case_map(case_map("o_orderstatus", STATUS_INDUSTRY, "NULL"), INDUSTRY_BY_CODE,
+                          case_map("o_orderstatus", STATUS_INDUSTRY, "NULL"))
 q("series_composite", f"""
 WITH w AS (SELECT industry, weight FROM (SELECT {_weights_label} AS industry, COUNT(*) AS weight
                                         FROM orders GROUP BY o_orderstatus) WHERE industry IS NOT NULL)
@@ -414,9 +417,9 @@ FROM (SELECT level, MAX(median) FILTER (WHERE cohort = 'flagged') AS median_flag
              MAX(median) FILTER (WHERE cohort = 'rest') AS median_rest,
              MAX(n) FILTER (WHERE cohort = 'flagged') AS n_flagged, MAX(n) FILTER (WHERE cohort = 'rest') AS n_rest
       FROM ({MEDIANS}) GROUP BY level)""")
-_levels = list(reversed(fx.PRIORITY_ORDER))
+_levels = list(reversed(PRIORITY_ORDER))
 q("share_matrix", "SELECT cohort, " + ", ".join(
-    f"COALESCE(MAX(pct_of_cohort) FILTER (WHERE level = '{lv}'), 0.0) AS {cat._slug(lv)}" for lv in _levels)
+    f"COALESCE(MAX(pct_of_cohort) FILTER (WHERE level = '{lv}'), 0.0) AS {LEVEL_COLUMNS[lv]}" for lv in _levels)
   + f" FROM ({SHARE}) GROUP BY cohort")
 q("cohort_contrast", f"""
 SELECT level, pct_flagged, pct_rest, ROUND(pct_flagged - pct_rest, 2) AS gap_pp,
@@ -445,7 +448,7 @@ FROM ev LEFT JOIN o ON ev.user_id = o.user_id
 ORDER BY total_value DESC, ev.user_id LIMIT 20""")
 q("weighted_hit_rate", f"""
 WITH ev AS (SELECT user_id, SUM(CAST(round(value * 100) AS BIGINT)) AS w FROM ({COHORT_EVENTS}) GROUP BY user_id),
-s AS (SELECT CAST(COALESCE(SUM(w) FILTER (WHERE user_id IN (SELECT o_custkey FROM ({URGENT}))), 0) AS BIGINT)
+s AS (SELECT CAST(COALESCE(SUM(w) FILTER (WHERE user_id IN (SELECT o_custkey FROM orders)), 0) AS BIGINT)
              AS matched_weight, CAST(SUM(w) AS BIGINT) AS total_weight FROM ev)
 SELECT matched_weight, total_weight, {pct('matched_weight', 'total_weight')} AS weighted_pct FROM s""")
 
@@ -467,10 +470,10 @@ FROM (SELECT (SELECT COUNT(*) FROM orders) - (SELECT COUNT(*) FROM ({TAGGED}))
 
 # ---------------------------------------------------------------- proposed (tier P)
 q("recency_cohort", f"""
-WITH last AS (SELECT user_id, MAX(ts) AS last_ts FROM events WHERE event_type = '{fx.COHORT_EVENT}'
+WITH last AS (SELECT user_id, MAX(ts) AS last_ts FROM events WHERE event_type = 'error'
               AND user_id IS NOT NULL GROUP BY user_id),
 t AS (SELECT o.o_orderkey, o.o_custkey,
-             CASE WHEN l.last_ts IS NULL THEN 'none' WHEN l.last_ts >= TIMESTAMP '{cat.RECENCY_CUTOFF}' THEN 'recent'
+             CASE WHEN l.last_ts IS NULL THEN 'none' WHEN l.last_ts >= TIMESTAMP '2024-01-15' THEN 'recent'
                   ELSE 'lapsed' END AS cohort
       FROM orders o LEFT JOIN last l ON o.o_custkey = l.user_id WHERE o.o_custkey IS NOT NULL)
 SELECT cohort, COUNT(*) AS n_orders, COUNT(DISTINCT o_custkey) AS n_customers FROM t GROUP BY cohort""")
@@ -489,11 +492,11 @@ FROM (SELECT cohort, COUNT(*) AS total, COUNT(f) AS known, COUNT(*) FILTER (WHER
             FROM ({DIRTY_ORDERS}) d LEFT JOIN ({MEMBERS}) m ON d.o_custkey = m.user_id WHERE d.o_custkey IS NOT NULL)
       GROUP BY cohort)""")
 q("small_cells", f"""
-SELECT cohort, region, n, CASE WHEN n < {cat.SMALL_CELL_MIN} THEN NULL ELSE pct_of_cohort END AS pct_of_cohort,
-       n < {cat.SMALL_CELL_MIN} AS small_cell
+SELECT cohort, region, n, CASE WHEN n < 50 THEN NULL ELSE pct_of_cohort END AS pct_of_cohort,
+       n < 50 AS small_cell
 FROM (SELECT *, {pct('n', 'SUM(n) OVER (PARTITION BY cohort)')} AS pct_of_cohort FROM ({REGION_COUNTS}))""")
 _sets = " UNION ALL ".join(f"SELECT '{name}' AS set_name, '{code}' AS p_type"
-                           for name, codes in cat.TYPE_SETS.items() for code in codes)
+                           for name, codes in TYPE_SETS.items() for code in codes)
 q("set_sensitivity", f"""
 WITH j AS (SELECT t.cohort, p.p_type FROM ({TAGGED}) t JOIN lineitem l ON l.l_orderkey = t.o_orderkey
            JOIN part p ON p.p_partkey = l.l_partkey),
@@ -501,7 +504,7 @@ tot AS (SELECT cohort, COUNT(*) AS total FROM j GROUP BY cohort),
 s AS (SELECT st.set_name, j.cohort, COUNT(*) AS set_n FROM j JOIN ({_sets}) st ON st.p_type = j.p_type GROUP BY 1, 2)
 SELECT s.set_name, s.cohort, tot.total, s.set_n, {pct('s.set_n', 'tot.total')} AS set_pct
 FROM s JOIN tot USING (cohort)""")
-R = cat.BOOTSTRAP_REPS
+R = 200
 q("bootstrap_rate", f"""
 WITH t AS ({TAGGED}),
 obs AS (SELECT COUNT(*) AS observed_total, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS observed_n
@@ -522,18 +525,13 @@ SELECT COUNT(*) AS reps, (SELECT observed_total FROM obs) AS observed_total, (SE
        {ratio('COUNT(*) FILTER (WHERE d > 0 AND k * (SELECT observed_total FROM obs) >= (SELECT observed_n FROM obs) * d)', 'COUNT(*)', 4)} AS reach_share
 FROM per""")
 
-def _poisson_sql(hex_expr: str) -> str:
-    import math
+# Cumulative Poisson(1) probabilities in units of 2**-32: a draw at or above the k-th is k at least.
+POISSON_CUTS = ["5e2d58d8", "bc5ab1b1", "eb715e1d", "fb239797", "ff1025f5", "ffd90f3b", "fffa8b71", "ffff540c", "ffffed1f",
+                "fffffe21", "ffffffd4", "fffffffc"]
 
-    from cohortkit.operators.resample import TWO_32
 
-    terms, cdf, prob = [], 0.0, math.exp(-1.0)
-    for k in range(12):
-        cdf += prob
-        cut = min(int(cdf * TWO_32), TWO_32 - 1)
-        terms.append(f"CASE WHEN {hex_expr} >= '{cut:08x}' THEN 1 ELSE 0 END")
-        prob /= k + 1
-    return " + ".join(terms)
+def _poisson_sql(hex_expr: str) -> str:
+    return " + ".join(f"CASE WHEN {hex_expr} >= '{c}' THEN 1 ELSE 0 END" for c in POISSON_CUTS)
 
 
 _draw_hex = ("substr(sha256(CAST(c.id AS VARCHAR) || ':' || CAST((r.rep - 1) // 8 AS VARCHAR)), "
@@ -559,5 +557,33 @@ k AS (SELECT DISTINCT {KEY} AS key FROM d WHERE {KEY} IS NOT NULL AND {KEY} <> '
 c AS (SELECT DISTINCT lower(c_name) AS canonical FROM d WHERE c_name IS NOT NULL),
 u AS (SELECT key FROM k WHERE key NOT IN (SELECT canonical FROM c))
 SELECT u.key AS left_key, c.canonical AS right_key, levenshtein(u.key, c.canonical) AS distance
-FROM u JOIN c ON abs(length(u.key) - length(c.canonical)) <= {cat.FUZZY_MAX_DIST}
-WHERE levenshtein(u.key, c.canonical) <= {cat.FUZZY_MAX_DIST} AND u.key <> c.canonical""")
+FROM u JOIN c ON abs(length(u.key) - length(c.canonical)) <= 1
+WHERE levenshtein(u.key, c.canonical) <= 1 AND u.key <> c.canonical""")
+
+# ---------------------------------------------------------------- results written and read back, long profile, sample
+q("result_csv", SHARE)
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+_null_rows = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", 'null_count' AS metric, CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS VARCHAR) AS value FROM orders"
+    for c in _ORDER_COLUMNS)
+_distinct_rows = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", 'distinct_count' AS metric, CAST(COUNT(*) AS VARCHAR) AS value FROM (SELECT DISTINCT {c} FROM orders)"
+    for c in ("o_orderstatus", "o_orderpriority"))
+_top_rows = " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", metric, value FROM (
+  SELECT unnest(['top_' || rank || '_value', 'top_' || rank || '_count']) AS metric,
+         unnest([v, CAST(n AS VARCHAR)]) AS value
+  FROM (SELECT v, n, ROW_NUMBER() OVER (ORDER BY n DESC, v NULLS FIRST) AS rank
+        FROM (SELECT CAST({c} AS VARCHAR) AS v, COUNT(*) AS n FROM orders GROUP BY 1)) WHERE rank <= 3)"""
+                               for c in ("o_orderstatus", "o_orderpriority"))
+_sum_rows = """
+SELECT 'o_totalprice' AS "column", metric, value FROM (
+  SELECT unnest(['count', 'mean', 'stddev', 'min', 'max']) AS metric,
+         unnest([CAST(COUNT(o_totalprice) AS VARCHAR), printf('%.2f', AVG(o_totalprice)), printf('%.2f', stddev_samp(o_totalprice)),
+                 printf('%.2f', MIN(o_totalprice)), printf('%.2f', MAX(o_totalprice))]) AS value FROM orders)"""
+LONG_PROFILE = f"""
+SELECT 'orders' AS dataset, "column", metric, value FROM (
+  SELECT '_dataset' AS "column", 'row_count' AS metric, CAST(COUNT(*) AS VARCHAR) AS value FROM orders
+  UNION ALL {_null_rows} UNION ALL {_distinct_rows} UNION ALL {_top_rows} UNION ALL {_sum_rows})"""
+q("profile_table", LONG_PROFILE)
+q("profile_csv", LONG_PROFILE)

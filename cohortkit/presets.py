@@ -10,12 +10,12 @@ the raw inputs are all-string frames as read by ``sources.read_quoted_csv``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortkit.functions import clean
-from cohortkit.operators import cohort, keys, measures, rules, series
-from cohortkit.operators.joins import join_dimension
+from cohortkit.operators import cohort, keys, measures, profile, rules, series
+from cohortkit.sources import files, sinks
 
 # --- fixed values (must equal the reference for identical results) ---------
 POSTING_COLUMNS = [
@@ -30,6 +30,7 @@ TECH_SKILLS = ["ENG", "IT", "ANLS", "PRDM"]
 EXPERIENCE_ORDER = ["Internship", "Entry level", "Associate", "Mid-Senior level", "Director", "Executive"]
 COHORT_LABELS = ("layoff_affected", "non_affected")
 TOP_K = 10
+SERIES_HEADER = ["series_id", "year", "period", "value", "footnote_codes"]
 # ---------------------------------------------------------------------------
 
 POSTING_NUMERICS = ["min_salary", "max_salary", "med_salary", "normalized_salary", "views", "applies"]
@@ -65,8 +66,7 @@ def clean_layoffs(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def clean_skills(job_skills: DataFrame, skills: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(bridge, audit)``: lookup join, orphan codes dropped, one row per (job_id, skill_abr)."""
-    joined = join_dimension(job_skills.select("job_id", "skill_abr"), skills.select("skill_abr", "skill_name"),
-                            "skill_abr", "left")
+    joined = job_skills.select("job_id", "skill_abr").join(skills.select("skill_abr", "skill_name"), "skill_abr", "left")
     kept = joined.filter(F.col("skill_name").isNotNull())
     bridge = kept.groupBy("job_id", "skill_abr").agg(F.min("skill_name").alias("skill_name"))
     audit = (joined.groupBy("job_id", "skill_abr")
@@ -87,15 +87,11 @@ def clean_series(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return series.decode(rules.apply_rules(raw, rs)), rules.audit(raw, rs, "series_clean")
 
 
-def tag_postings(postings: DataFrame, layoffs: DataFrame, hot_key_fraction: float | None = 1e-3) -> DataFrame:
-    """Postings with ``subcohort``; aliases applied on the postings side; NULL keys removed.
-
-    Companies with at least ``hot_key_fraction`` of the postings are salted in the join.
-    """
+def tag_postings(postings: DataFrame, layoffs: DataFrame) -> DataFrame:
+    """Postings with ``subcohort``; aliases applied on the postings side; NULL keys removed."""
     p = keys.apply_aliases(postings, "company_normalized", keys.REFERENCE_ALIASES)
     m = cohort.members(layoffs, "company_normalized", ["total_laid_off", "percentage_laid_off"])
-    return cohort.tag(p, m, "company_normalized", labels=COHORT_LABELS, cohort_col="subcohort",
-                      hot_key_fraction=hot_key_fraction)
+    return cohort.tag(p, m, "company_normalized", labels=COHORT_LABELS, cohort_col="subcohort")
 
 
 def median_salary_by_level(tagged: DataFrame) -> DataFrame:
@@ -106,9 +102,21 @@ def median_salary_by_level(tagged: DataFrame) -> DataFrame:
     return m.orderBy("experience_level", "subcohort")
 
 
-def experience_level_share(tagged: DataFrame) -> DataFrame:
+def tag_posting_counts(postings: DataFrame, layoffs: DataFrame, by: list[str]) -> DataFrame:
+    """Postings counted (``n``) per company and the columns ``by``, then tagged.
+
+    For the measures that count rows (``weight="n"``): a company with very
+    many postings is a few rows before the join.
+    """
+    p = keys.apply_aliases(postings, "company_normalized", keys.REFERENCE_ALIASES)
+    counts = cohort.key_counts(p, "company_normalized", {c: F.col(c) for c in by})
+    m = cohort.members(layoffs, "company_normalized", ["total_laid_off", "percentage_laid_off"])
+    return cohort.tag(counts, m, "company_normalized", labels=COHORT_LABELS, cohort_col="subcohort")
+
+
+def experience_level_share(tagged: DataFrame, weight: str | None = None) -> DataFrame:
     s = measures.category_share(tagged, "subcohort", "formatted_experience_level", "experience_level",
-                                keep=F.col("formatted_experience_level").isNotNull())
+                                keep=F.col("formatted_experience_level").isNotNull(), weight=weight)
     return s.withColumnRenamed("pct_of_cohort", "pct_of_subcohort").orderBy("experience_level", "subcohort")
 
 
@@ -128,15 +136,15 @@ def tech_skill_share(tagged: DataFrame, bridge: DataFrame) -> DataFrame:
         "tech_skill_tags_n", "tech_skill_tags").orderBy("subcohort")
 
 
-def remote_rate(tagged: DataFrame) -> DataFrame:
-    r = measures.flag_rate(tagged, "subcohort", F.col("remote_allowed"), prefix="remote")
+def remote_rate(tagged: DataFrame, weight: str | None = None) -> DataFrame:
+    r = measures.flag_rate(tagged, "subcohort", F.col("remote_allowed"), prefix="remote", weight=weight)
     return r.select("subcohort", F.col("total").alias("total_postings"), F.col("remote_n").alias("remote_postings"),
                     F.col("remote_pct")).orderBy("subcohort")
 
 
-def top_states(tagged: DataFrame, k: int = TOP_K) -> DataFrame:
+def top_states(tagged: DataFrame, k: int = TOP_K, weight: str | None = None) -> DataFrame:
     keep = F.col("state").isNotNull() & (F.col("state") != "")
-    t = measures.top_k(tagged, "subcohort", "state", k=k, keep=keep)
+    t = measures.top_k(tagged, "subcohort", "state", k=k, keep=keep, weight=weight)
     return (t.withColumnRenamed("pct_of_cohort", "pct_of_subcohort")
             .select("subcohort", "state", "n", "pct_of_subcohort").orderBy("subcohort", F.desc("n")))
 
@@ -147,3 +155,78 @@ def layoff_rate_series(series_df: DataFrame) -> DataFrame:
 
 def openings_hires_series(series_df: DataFrame) -> DataFrame:
     return series.pivot_metrics(series_df, ["job_openings_rate", "hires_rate"])
+
+
+# --- profiles, diagnostic and the whole run --------------------------------
+def read_postings(spark: SparkSession, path: str) -> DataFrame:
+    return files.read_quoted_csv(spark, path)
+
+
+def read_jolts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The three series files (openings, hires, layoffs) as one raw table."""
+    return files.read_series(spark, paths, SERIES_HEADER, ["series_id", "year", "period", "value"])
+
+
+def profile_postings(raw: DataFrame) -> DataFrame:
+    return profile.table_profile(raw, "postings_raw", ["formatted_work_type", "formatted_experience_level", "currency"],
+                                 POSTING_NUMERICS)
+
+
+def profile_layoffs(raw: DataFrame) -> DataFrame:
+    return profile.table_profile(raw, "layoffs_raw", ["industry", "stage", "country"],
+                                 ["total_laid_off", "percentage_laid_off"], blank_is_null=True)
+
+
+def profile_skills(job_skills: DataFrame, skills: DataFrame) -> DataFrame:
+    return profile.table_profile(job_skills, "job_skills_raw", ["skill_abr"]).unionByName(
+        profile.table_profile(skills, "skills_raw", ["skill_abr"]))
+
+
+def profile_series(raw: DataFrame) -> DataFrame:
+    return profile.table_profile(raw, "jolts_raw", ["series_id", "year", "period"])
+
+
+def join_diagnostic(postings: DataFrame, layoffs: DataFrame) -> DataFrame:
+    """Join viability of postings and layoffs as ``(position, metric, value)``."""
+    p = keys.apply_aliases(postings, "company_normalized", keys.REFERENCE_ALIASES)
+    return cohort.join_diagnostic(p, layoffs, "company_normalized", "company_normalized")
+
+
+def run(spark: SparkSession, postings_csv: str, job_skills_csv: str, skills_csv: str, layoffs_csv: str,
+        series_files: list[str], out_dir: str) -> dict[str, str]:
+    """Read, profile, clean, write and measure; returns the path of every written table.
+
+    Clean tables are Parquet; profiles, audits, the diagnostic and results
+    are single sorted CSV files, as they are small.
+    """
+    raw = {"postings": read_postings(spark, postings_csv), "layoffs": files.read_quoted_csv(spark, layoffs_csv),
+           "job_skills": files.read_quoted_csv(spark, job_skills_csv), "skills": files.read_quoted_csv(spark, skills_csv),
+           "jolts": read_jolts(spark, series_files)}
+    cleaned = {"postings": clean_postings(raw["postings"]), "layoffs": clean_layoffs(raw["layoffs"]),
+               "skills": clean_skills(raw["job_skills"], raw["skills"]), "jolts": clean_series(raw["jolts"])}
+    paths = {f"parquet/{name}": sinks.write_parquet(df, f"{out_dir}/parquet/{name}") for name, (df, _) in cleaned.items()}
+    postings, layoffs, bridge, jolts = (spark.read.parquet(paths[f"parquet/{n}"]) for n in ("postings", "layoffs", "skills", "jolts"))
+    profiles = {"postings": profile_postings(raw["postings"]), "layoffs": profile_layoffs(raw["layoffs"]),
+                "skills": profile_skills(raw["job_skills"], raw["skills"]), "jolts": profile_series(raw["jolts"])}
+    tagged = tag_postings(postings, layoffs)
+
+    def counts(*by: str) -> DataFrame:
+        return tag_posting_counts(postings, layoffs, list(by))
+
+    tables = {
+        **{f"profiles/{n}": (p, ["dataset", "column", "metric"]) for n, p in profiles.items()},
+        **{f"audits/{n}": (audit, ["metric"]) for n, (_, audit) in cleaned.items()},
+        "diagnostics/join_hit_rate": (join_diagnostic(postings, layoffs), ["position"]),
+        "results/median_salary_by_level": (median_salary_by_level(tagged), ["experience_level", "subcohort"]),
+        "results/experience_level_share": (experience_level_share(counts("formatted_experience_level"), "n"), ["experience_level", "subcohort"]),
+        "results/top_skills": (top_skills(tagged, bridge), ["subcohort", "-n", "skill_name"]),
+        "results/tech_skill_share": (tech_skill_share(tagged, bridge), ["subcohort"]),
+        "results/remote_rate": (remote_rate(counts("remote_allowed"), "n"), ["subcohort"]),
+        "results/top_states": (top_states(counts("state"), weight="n"), ["subcohort", "-n", "state"]),
+        "results/layoff_rate": (layoff_rate_series(jolts), ["industry", "obs_date"]),
+        "results/openings_hires": (openings_hires_series(jolts), ["industry", "obs_date"]),
+    }
+    for name, (df, order) in tables.items():
+        by = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order]
+        paths[name] = sinks.write_single_csv(df, f"{out_dir}/{name}", by)
+    return paths

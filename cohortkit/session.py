@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -49,30 +51,28 @@ def app_id(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
-        return int(spark.conf.get("spark.default.parallelism", None) or
-                   spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) a private folder is set.
+    A private folder is set only for a local master without that setting (as
+    in tests).  On a cluster the call fails instead: each executor would
+    write to its own disk, and later reads would miss files.
     """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: read the setting only
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="cohortkit-ckpt-")
+    except Exception as e:  # noqa: BLE001 - Spark Connect: the setting is all there is
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share") from e
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="cohortkit-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
@@ -83,20 +83,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/cohortkit-{name}-{uuid.uuid4().hex}"
 
 
-def cluster_conf(input_bytes: int, total_cores: int, split_bytes: int = 512 << 20,
-                 max_shuffle_partitions: int = 100_000) -> dict:
+def cluster_conf(input_bytes: int, total_cores: int, split_bytes: int = 512 << 20) -> dict:
     """Partition sizing for a large cluster, to pass as ``get_session(extra=...)``.
 
     * scan splits of ``split_bytes`` (Parquet row groups permitting);
     * initial shuffle partitions sized for a shuffle as large as half the
-      input, never fewer than three waves of cores, capped to keep map-output
-      tracking manageable; AQE coalesces small ones at run time and splits
-      skewed ones (a partition 5x the median and above 1 GiB);
+      input, never fewer than three waves of cores; AQE coalesces small ones
+      at run time and splits skewed ones (a partition 5x the median and above
+      1 GiB).  Choose a larger ``split_bytes`` for fewer partitions;
     * static broadcast threshold 64 MiB, used only on Spark's size estimate;
       AQE re-checks with measured sizes.
     """
     splits = -(-input_bytes // split_bytes)
-    shuffle = min(max(3 * total_cores, splits // 2), max_shuffle_partitions)
+    shuffle = max(3 * total_cores, splits // 2)
     return {
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),

@@ -95,10 +95,21 @@ def test_exact_median_matches_builtin_on_skewed_groups(spark):
     assert got == want
 
 
-def test_exact_median_lazy_and_iterative_agree(spark):
+def test_exact_median_spans_the_whole_integer_range_and_keeps_nothing_cached(spark):
     from cohortkit.operators.quantiles import exact_median
 
-    df = spark.createDataFrame([("a", v) for v in [5, 1, 9, 7, 7, 2**40, -3]] + [("b", 4)], "g string, v bigint")
-    a = sorted(rows(exact_median(df, ["g"], "v", iterate=True)))
-    b = sorted(rows(exact_median(df, ["g"], "v", iterate=False)))
-    assert a == b == [("a", 7.0, 7), ("b", 4.0, 1)]
+    df = spark.createDataFrame([("a", -2**63), ("a", 2**63 - 1), ("a", 5), ("b", 2**63 - 1), ("b", -2**63)], "g string, v bigint")
+    got = sorted(rows(exact_median(df, ["g"], "v"), "g", "median", "n"))
+    assert got == [("a", 5.0, 3), ("b", -0.5, 2)]
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_bootstrap_rate_survives_totals_beyond_32_bits(spark):
+    from cohortkit.operators import resample
+
+    big = spark.range(4).select(F.col("id"), F.when(F.col("id") == 0, "in").otherwise("out").alias("cohort"))
+    # totals are multiplied in DECIMAL; the same expression with these factors overflows BIGINT
+    wide = spark.sql("SELECT (CAST(4294967296 AS DECIMAL(20, 0)) * CAST(5000000000 AS DECIMAL(18, 0))) div 7000000000 AS t").first()[0]
+    assert wide == 4294967296 * 5000000000 // 7000000000
+    r = resample.bootstrap_rate(big, "cohort", "in", "out", "id", F.lit(True), reps=16).first()
+    assert (r["reps"], r["observed_total"], r["observed_n"]) == (16, 1, 1)

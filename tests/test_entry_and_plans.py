@@ -11,8 +11,8 @@ def test_entry_contract(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and set(df.columns) == {"cohort", "level", "median", "n"}
     q, o = entry.queries(), entry.oracle_sql()
-    assert set(o) <= set(q) and len(q) >= 68
-    assert set(q) - set(o) == set(entry.NO_ORACLE)
+    assert set(o) <= set(q) and set(catalog.QUERIES) <= set(q)
+    assert set(catalog.QUERIES) - set(o) == set(entry.NO_ORACLE)
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark, base):

@@ -94,3 +94,51 @@ def test_top_skills_share_and_tie_break(spark):
     got = rows(presets.top_skills(tagged, bridge, k=2))
     # Engineering 2 of 4 tags; Administrative and Sales tie at 1, the lower name is kept
     assert got == [("layoff_affected", "Engineering", 2, 50.0), ("layoff_affected", "Administrative", 1, 25.0)]
+
+
+def _write(path, text):
+    path.write_text(text)
+    return str(path)
+
+
+def test_whole_run_from_files(spark, tmp_path):
+    cols = presets.POSTING_COLUMNS
+    lines = [",".join(cols)]
+    for i, company in enumerate(['"Acme Inc."', '""', "Other LLC", "Acme"]):
+        row = dict.fromkeys(cols, "")
+        row.update(job_id=str(i), company_name=company, location='"Austin, TX"', remote_allowed="1" if i % 2 else "",
+                   normalized_salary="60000", currency="USD", formatted_experience_level="Director")
+        lines.append(",".join(row[c] for c in cols))
+    postings = _write(tmp_path / "postings.csv", "\n".join(lines) + "\n")
+    job_skills = _write(tmp_path / "job_skills.csv", "job_id,skill_abr\n0,ENG\n2,IT\n2,ZZZ\n")
+    skills = _write(tmp_path / "skills.csv", "skill_abr,skill_name\nENG,Engineering\nIT,Information\n")
+    layoffs = _write(tmp_path / "layoffs.csv", ",".join(presets.LAYOFF_COLUMNS) + "\nAcme,SF,100,4/16/2023,,Tech,IPO,US\n")
+    series = [_write(tmp_path / f"s{i}.tsv", f"series_id  \tyear\tperiod\t  value\tfootnote_codes\nJTS000000000000000{e}R  \t2023\tM01\t  1.{i}\t\n")
+              for i, e in enumerate(["JO", "HI", "LD"])]
+    out = presets.run(spark, postings, job_skills, skills, layoffs, series, str(tmp_path / "out"))
+
+    def read(name):
+        return {tuple(r) for r in spark.read.option("header", True).csv(out[name]).collect()}
+
+    # the quoted blank company is NULL, so its posting belongs to neither cohort
+    assert read("results/remote_rate") == {("layoff_affected", "2", "1", "50.0"), ("non_affected", "1", "0", "0.0")}
+    profile = {(c, m): v for _, c, m, v in read("profiles/postings")}
+    assert profile["company_name", "null_count"] == "1" and profile["_dataset", "row_count"] == "4"
+    assert profile["currency", "top_1_value"] == "USD" and profile["normalized_salary", "mean"] == "60000.00"
+    assert ("3", "matched_keys", "1") in read("diagnostics/join_hit_rate")
+    assert len(read("results/openings_hires")) == 1 and len(read("results/layoff_rate")) == 1
+    assert spark.read.parquet(out["parquet/skills"]).count() == 2
+
+
+def test_remote_rate_reads_only_its_columns(spark, tmp_path):
+    from tests.conftest import plan_text
+
+    postings, _ = presets.clean_postings(_postings(spark))
+    layoffs, _ = presets.clean_layoffs(_layoffs(spark))
+    postings.write.parquet(str(tmp_path / "p"))
+    stored = spark.read.parquet(str(tmp_path / "p"))
+    plain = presets.remote_rate(presets.tag_postings(stored, layoffs))
+    counted = presets.remote_rate(presets.tag_posting_counts(stored, layoffs, ["remote_allowed"]), "n")
+    for df in (plain, counted):
+        assert "ReadSchema: struct<remote_allowed:boolean,company_normalized:string>" in plan_text(df)
+    assert rows(plain) == rows(counted)

@@ -5,10 +5,8 @@ import tempfile
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from cohortkit.operators import rules
 from cohortkit.session import scratch_path
 from cohortkit.sources import files, sinks
-from cohortkit.streaming import clean_stream
 from tests.conftest import rows
 
 TRICKY = ['plain', 'with "quotes" inside', 'multi\nline\ntext', '  padded  ', '', None, 'comma, and "q"\n']
@@ -18,8 +16,10 @@ def test_quoted_csv_roundtrip_exact(spark):
     df = spark.createDataFrame(list(enumerate(TRICKY)), "id long, text string")
     path = sinks.write_quoted_csv(df.repartition(3), scratch_path(spark, "t-csv"))
     schema = StructType([StructField("id", LongType()), StructField("text", StringType())])
-    back = files.read_quoted_csv(spark, path, schema)
+    back = files.read_quoted_csv(spark, path, schema, blank_is_null=False)
     assert sorted(rows(back), key=lambda r: r[0]) == list(enumerate(TRICKY))
+    back = files.read_quoted_csv(spark, path, schema)  # by default a quoted blank is NULL
+    assert sorted(rows(back), key=lambda r: r[0]) == [(i, t or None) for i, t in enumerate(TRICKY)]
 
 
 def test_single_csv_keeps_order(spark):
@@ -39,6 +39,8 @@ def test_padded_tsv(spark):
         fh.write("JTS510000000000000LDR   \t2023\tM07\t  1.1\n")
     got = rows(files.read_padded_tsv(spark, d, ["series_id", "year", "period", "value"]))
     assert got == [("JTS510000000000000LDR", "2023", "M07", "1.1")]
+    both = files.read_series(spark, [d, d], ["series_id", "year", "period", "value"], ["value", "series_id"])
+    assert rows(both) == [("1.1", "JTS510000000000000LDR")] * 2
 
 
 def test_union_by_name_reorders(spark):
@@ -54,20 +56,6 @@ def test_parquet_roundtrip_partitioned(spark):
     assert sorted(rows(back.filter(F.col("p") == "b"), "k", "p")) == [(2, "b")]
 
 
-def test_clean_stream_applies_rules_per_batch(spark):
-    src = tempfile.mkdtemp(prefix="src-")
-    df = spark.createDataFrame([(1, 10.0, 5.0), (2, 5.0, 10.0), (3, None, 1.0)], "id int, lo double, hi double")
-    df.write.mode("overwrite").parquet(os.path.join(src, "batch1"))
-    out_clean, out_audit = scratch_path(spark, "s-clean"), scratch_path(spark, "s-audit")
-    rs = [rules.Rule("inverted", rules.inverted_range("lo", "hi"))]
-    q = clean_stream(spark, os.path.join(src, "batch1"), df.schema, rs, out_clean, out_audit,
-                     scratch_path(spark, "s-ckpt"))
-    q.awaitTermination(120)
-    assert sorted(r[0] for r in rows(spark.read.parquet(out_clean), "id")) == [2, 3]
-    audit = {m: v for m, v in rows(spark.read.parquet(out_audit), "metric", "value")}
-    assert audit["dropped_inverted"] == 1 and audit["raw_row_count"] == 3
-
-
 def test_read_result_typed_and_missing(spark):
     import datetime as dt
 
