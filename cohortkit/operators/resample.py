@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.functions.numeric import pct, round_half_up_ratio
@@ -46,48 +46,63 @@ def _blocks(reps: int) -> int:
     return (reps + SLOTS - 1) // SLOTS
 
 
+def _draws(rows: DataFrame, reps: int) -> DataFrame:
+    """``rows`` (with ``__id``) once for each replicate: ``rep`` and its ``draw`` (8 hex digits)."""
+    blocks = (rows.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(_blocks(reps) - 1))))
+              .withColumn("__h", block_digest("__id", "__block")))
+    slots = F.explode(F.array(*[F.struct(F.lit(j).alias("slot"), slot_hex(F.col("__h"), j).alias("draw"))
+                                for j in range(SLOTS)])).alias("__s")
+    return (blocks.select(*rows.columns, "__block", slots)
+            .select(*rows.columns, (F.col("__block") * SLOTS + F.col("__s.slot") + 1).alias("rep"), F.col("__s.draw").alias("draw"))
+            .filter(F.col("rep") <= reps))
+
+
+def _ranked(rows: DataFrame, size: DataFrame, reps: int) -> DataFrame:
+    """Rows of each replicate in draw order: ``rep, draw, __id, n, hits, rank`` (``rank``: rows up to here).
+
+    ``size`` is one row ``(take, total)``.  The replicate's last row lies
+    near the share ``take / total`` of all draws: rows far below it (8
+    standard deviations) are one aggregated row without a draw, rows far
+    above are left out, and only those between are ranked one by one.
+    """
+    q, total = F.col("take") / F.col("total"), F.col("total").cast("double")
+    spread = 8 * F.sqrt(q / total) + 16 / total
+    cut = lambda x: hex32(F.least(F.greatest(x * TWO_32, F.lit(0.0)), F.lit(float(TWO_32 - 1))).cast("bigint"))
+    bounds = size.select(F.struct(cut(q - spread).alias("low"), cut(q + spread).alias("high")).alias("b")).scalar()
+    near = _draws(rows.withColumn("__b", bounds), reps).filter(F.col("draw") <= F.col("__b.high"))
+    alone = F.col("draw") >= F.col("__b.low")
+    grouped = (near.groupBy("rep", F.when(alone, F.col("draw")).alias("draw"), F.when(alone, F.col("__id")).alias("__id"))
+               .agg(F.count(F.lit(1)).alias("n"), F.count_if("__flag").alias("hits")))
+    w = Window.partitionBy("rep").orderBy(F.asc_nulls_first("draw"), F.asc_nulls_first("__id")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return grouped.withColumn("rank", F.sum("n").over(w))
+
+
+def _sizes(tagged: DataFrame, cohort_col: str, observed: str, population: str, *more: Column) -> DataFrame:
+    """One row: rows of both cohorts, and how many a draw takes (the observed number, or all if there are fewer)."""
+    is_in, is_out = F.col(cohort_col) == observed, F.col(cohort_col) == population
+    row = tagged.agg(F.count_if(is_in).alias("observed_total"), F.count_if(is_out).alias("total"), *more)
+    return row.withColumn("take", F.least("observed_total", "total"))
+
+
 def bootstrap_rate(tagged: DataFrame, cohort_col: str, observed: str, population: str, id_col: str,
-                   flag: Column, reps: int = 200) -> DataFrame:
+                   flag: Column, reps: int = 1000) -> DataFrame:
     """How often a random draw from cohort ``population`` reaches the flag rate of cohort ``observed``.
 
-    Each replicate keeps a row when its 32-bit draw is below
-    ``2**32 * |observed| / |population|`` (Bernoulli draw with expected size
-    equal to the observed cohort; the size is not fixed exactly).  Rows are
-    expanded per block of 8 replicates only, and the per-replicate counts
-    are partial aggregates per block, so the shuffle is a few rows per task.
-    All totals come from one conditional aggregate of ``tagged``.  Products
-    of counts are DECIMAL, so nothing overflows or is rounded.
+    Each replicate takes exactly as many rows as ``observed`` has, without
+    replacement: those with the smallest draws, ties by id.  The shuffle
+    carries one aggregated row per replicate and task, and the few rows near
+    the replicate's last one.  Rates are compared as DECIMAL products.
     """
-    is_in, is_out = F.col(cohort_col) == observed, F.col(cohort_col) == population
     hit = F.coalesce(flag, F.lit(False))
-    scal = tagged.agg(F.count_if(is_in).alias("observed_total"), F.count_if(is_in & hit).alias("observed_n"),
-                      F.count_if(is_out).alias("population_total"))
-    scal = scal.withColumn("threshold", F.expr(
-        f"(CAST({TWO_32} AS DECIMAL(20, 0)) * CAST(observed_total AS DECIMAL(18, 0))) div nullif(population_total, 0)"))
-    scal = scal.withColumn("all_in", F.col("threshold") >= F.lit(TWO_32)).withColumn(
-        "thr_hex", hex32(F.least(F.col("threshold"), F.lit(TWO_32 - 1)).cast("bigint")))
-    # the one-row result enters the row-level plan as one scalar subquery (a struct),
-    # evaluated once and reused wherever a field of it is read
-    # (projected into a column once per stage: each reference is planned separately)
-    sc = scal.select(F.struct("thr_hex", "all_in", "observed_total", "observed_n").alias("s")).scalar()
-    thr_hex, all_in = F.col("__s.thr_hex"), F.col("__s.all_in")
-    rows = tagged.filter(is_out).select(F.col(id_col).alias("__id"), hit.alias("__flag"))
-    blocks = (rows.select("__flag", "__id", F.explode(F.sequence(F.lit(0), F.lit(_blocks(reps) - 1))).alias("block"))
-              .withColumn("__h", block_digest("__id", "block")).withColumn("__s", sc))
-    aggs = []
-    for j in range(SLOTS):
-        sel = all_in | (slot_hex(F.col("__h"), j) < thr_hex)
-        aggs += [F.count_if(sel).alias(f"d{j}"), F.count_if(sel & F.col("__flag")).alias(f"k{j}")]
-    per_block = blocks.groupBy("block").agg(*aggs)
-    per_rep = (per_block.select("block", F.explode(F.array(*[
-        F.struct(F.lit(j).alias("slot"), F.col(f"d{j}").alias("d"), F.col(f"k{j}").alias("k"))
-        for j in range(SLOTS)])).alias("s"))
-        .select((F.col("block") * SLOTS + F.col("s.slot") + 1).alias("rep"), "s.d", "s.k")
-        .filter(F.col("rep") <= reps))
+    size = _sizes(tagged, cohort_col, observed, population, F.count_if((F.col(cohort_col) == observed) & hit).alias("observed_n"))
+    rows = tagged.filter(F.col(cohort_col) == population).select(F.col(id_col).alias("__id"), hit.alias("__flag"))
+    sc = size.select(F.struct("take", "observed_total", "observed_n").alias("s")).scalar()
+    drawn = (_ranked(rows, size, reps).withColumn("__s", sc).filter(F.col("rank") <= F.col("__s.take"))
+             .groupBy("rep").agg(F.sum("n").cast("bigint").alias("d"), F.sum("hits").cast("bigint").alias("k")))
     all_reps = tagged.sparkSession.range(1, reps + 1).select(F.col("id").alias("rep"))
-    per_rep = (all_reps.join(per_rep, "rep", "left")
-               .select("rep", F.coalesce("d", F.lit(0)).alias("d"), F.coalesce("k", F.lit(0)).alias("k")))
-    per_rep = per_rep.withColumn("__s", sc)
+    per_rep = (all_reps.join(drawn, "rep", "left")
+               .select("rep", F.coalesce("d", F.lit(0)).alias("d"), F.coalesce("k", F.lit(0)).alias("k")).withColumn("__s", sc))
     wide = lambda c: c.cast("decimal(19,0)")
     obs_total, obs_n = F.col("__s.observed_total"), F.col("__s.observed_n")
     reach = (F.col("d") > 0) & (wide(F.col("k")) * wide(obs_total) >= wide(obs_n) * wide(F.col("d")))
@@ -99,6 +114,34 @@ def bootstrap_rate(tagged: DataFrame, cohort_col: str, observed: str, population
                       "drawn_rows", "reach", round_half_up_ratio("reach", "reps", 4).alias("reach_share"))
 
 
+def median_baseline(tagged: DataFrame, cohort_col: str, observed: str, population: str, id_col: str, value_col: str,
+                    reps: int = 1000) -> DataFrame:
+    """How often the median of an equal-size random draw from ``population`` reaches the median of ``observed``.
+
+    ``value_col`` is integral; its nulls take no part.  The draws are those
+    of ``bootstrap_rate``: a first pass finds each replicate's last row, a
+    second counts the values up to it, and all medians come from one rank
+    search over these counts.
+    """
+    known = tagged.filter(F.col(value_col).isNotNull())
+    size = _sizes(known, cohort_col, observed, population)
+    rows = (known.filter(F.col(cohort_col) == population)
+            .select(F.col(id_col).alias("__id"), F.lit(False).alias("__flag"), F.col(value_col).cast("long").alias("__v")))
+    take = size.select("take").scalar()
+    last = (_ranked(rows.drop("__v"), size, reps).withColumn("__t", take).filter(F.col("rank") >= F.col("__t"))
+            .groupBy("rep").agg(F.min(F.struct("rank", "draw", "__id")).alias("last")))  # one row a replicate
+    last = last.select("rep", F.col("last.draw").alias("__draw"), F.col("last.__id").alias("__last"))
+    j = _draws(rows, reps).join(last, "rep")
+    drawn = j.filter((F.col("draw") < F.col("__draw")) | ((F.col("draw") == F.col("__draw")) & (F.col("__id") <= F.col("__last"))))
+    own = known.filter(F.col(cohort_col) == observed).select(F.lit(0).alias("rep"), F.col(value_col).cast("long").alias("__v"))
+    medians = median_of_counts(counted(drawn.select("rep", "__v").unionByName(own), ["rep"]), ["rep"], "m", "n")
+    mine = medians.filter(F.col("rep") == 0).select(F.struct("m", "n").alias("s")).scalar()
+    draws = medians.filter(F.col("rep") > 0).withColumn("__s", mine)
+    out = draws.agg(F.count(F.lit(1)).alias("reps"), F.max("__s.n").alias("observed_n"), F.max("__s.m").alias("observed_median"),
+                    F.sum("n").cast("bigint").alias("drawn_rows"), F.count_if(F.col("m") >= F.col("__s.m")).alias("reach"))
+    return out.withColumn("reach_share", round_half_up_ratio("reach", "reps", 4))
+
+
 def poisson_cuts(lam: float = 1.0) -> list[int]:
     """The 32-bit numbers from which the Poisson(``lam``) count of a uniform 32-bit draw is 1, 2, ...
 

@@ -647,6 +647,7 @@ def set_sensitivity(spark, base):
             .select("set_name", "cohort", "total", "set_n", pct("set_n", "total").alias("set_pct")))
 
 
+DRAWS = 1000  # equal-size draws of the noise baselines
 BOOTSTRAP_REPS = 200
 
 
@@ -655,7 +656,15 @@ def bootstrap_rate(spark, base):
     from cohortkit.operators import resample
 
     return resample.bootstrap_rate(_tagged(spark, base), "cohort", cohort.IN_LABEL, cohort.OUT_LABEL, "o_orderkey",
-                                   F.col("o_orderstatus") == "F", reps=BOOTSTRAP_REPS)
+                                   F.col("o_orderstatus") == "F", reps=DRAWS)
+
+
+@query("bootstrap_median_baseline")
+def bootstrap_median_baseline(spark, base):
+    from cohortkit.operators import resample
+
+    t = _tagged(spark, base).select("o_orderkey", "cohort", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    return resample.median_baseline(t, "cohort", cohort.IN_LABEL, cohort.OUT_LABEL, "o_orderkey", "cents", reps=DRAWS)
 
 
 @query("bootstrap_median")

@@ -505,25 +505,36 @@ s AS (SELECT st.set_name, j.cohort, COUNT(*) AS set_n FROM j JOIN ({_sets}) st O
 SELECT s.set_name, s.cohort, tot.total, s.set_n, {pct('s.set_n', 'tot.total')} AS set_pct
 FROM s JOIN tot USING (cohort)""")
 R = 200
+# Equal-size draws: in each replicate the rows with the smallest 32-bit draws, ties by id.
+_DRAWN = """
+reps AS (SELECT range AS rep FROM range(1, 1001)),
+blocks AS (SELECT p.*, b.range AS block, sha256(CAST(p.o_orderkey AS VARCHAR) || ':' || CAST(b.range AS VARCHAR)) AS h
+           FROM pop p, range(0, 125) b),
+d AS (SELECT blocks.*, block * 8 + j.range + 1 AS rep, substr(h, CAST(8 * j.range + 1 AS INTEGER), 8) AS draw FROM blocks, range(0, 8) j),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY rep ORDER BY draw, o_orderkey) AS rank FROM d),
+taken AS (SELECT * FROM r WHERE rank <= (SELECT observed_total FROM obs))"""
 q("bootstrap_rate", f"""
 WITH t AS ({TAGGED}),
 obs AS (SELECT COUNT(*) AS observed_total, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS observed_n
         FROM t WHERE cohort = 'flagged'),
-pop AS (SELECT o_orderkey, COALESCE(o_orderstatus = 'F', false) AS flag FROM t WHERE cohort = 'rest'),
-thr AS (SELECT (4294967296 * (SELECT observed_total FROM obs)) // (SELECT COUNT(*) FROM pop) AS threshold),
-reps AS (SELECT range AS rep FROM range(1, {R + 1})),
-d AS (SELECT r.rep, p.flag FROM pop p, reps r
-      WHERE (SELECT threshold FROM thr) >= 4294967296
-         OR ('0x' || substr(sha256(CAST(p.o_orderkey AS VARCHAR) || ':' || CAST((r.rep - 1) // 8 AS VARCHAR)),
-                            8 * ((r.rep - 1) % 8) + 1, 8))::BIGINT < (SELECT threshold FROM thr)),
-per AS (SELECT reps.rep, COUNT(d.rep) AS d, COUNT(*) FILTER (WHERE d.flag) AS k
-        FROM reps LEFT JOIN d ON reps.rep = d.rep GROUP BY reps.rep)
+pop AS (SELECT o_orderkey, COALESCE(o_orderstatus = 'F', false) AS flag FROM t WHERE cohort = 'rest'), {_DRAWN},
+per AS (SELECT reps.rep, COUNT(taken.rep) AS d, COUNT(*) FILTER (WHERE taken.flag) AS k
+        FROM reps LEFT JOIN taken ON reps.rep = taken.rep GROUP BY reps.rep)
 SELECT COUNT(*) AS reps, (SELECT observed_total FROM obs) AS observed_total, (SELECT observed_n FROM obs) AS observed_n,
        {pct('(SELECT observed_n FROM obs)', '(SELECT observed_total FROM obs)')} AS observed_pct,
        CAST(SUM(d) AS BIGINT) AS drawn_rows,
        COUNT(*) FILTER (WHERE d > 0 AND k * (SELECT observed_total FROM obs) >= (SELECT observed_n FROM obs) * d) AS reach,
        {ratio('COUNT(*) FILTER (WHERE d > 0 AND k * (SELECT observed_total FROM obs) >= (SELECT observed_n FROM obs) * d)', 'COUNT(*)', 4)} AS reach_share
 FROM per""")
+q("bootstrap_median_baseline", f"""
+WITH t AS (SELECT o_orderkey, cohort, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM ({TAGGED}) WHERE o_totalprice IS NOT NULL),
+obs AS (SELECT COUNT(*) AS observed_total, median(cents) AS m FROM t WHERE cohort = 'flagged'),
+pop AS (SELECT o_orderkey, cents FROM t WHERE cohort = 'rest'), {_DRAWN},
+per AS (SELECT rep, COUNT(*) AS d, median(cents) AS m FROM taken GROUP BY rep)
+SELECT COUNT(*) AS reps, (SELECT observed_total FROM obs) AS observed_n, (SELECT m FROM obs) AS observed_median,
+       CAST(SUM(d) AS BIGINT) AS drawn_rows, COUNT(*) FILTER (WHERE m >= (SELECT m FROM obs)) AS reach,
+       {ratio('COUNT(*) FILTER (WHERE m >= (SELECT m FROM obs))', 'COUNT(*)', 4)} AS reach_share
+FROM per""")
 
 # Cumulative Poisson(1) probabilities in units of 2**-32: a draw at or above the k-th is k at least.
 POISSON_CUTS = ["5e2d58d8", "bc5ab1b1", "eb715e1d", "fb239797", "ff1025f5", "ffd90f3b", "fffa8b71", "ffff540c", "ffffed1f",
