@@ -16,9 +16,9 @@ shingles, each weighing as often as it occurs: sum of minima / sum of maxima.
 
 All steps are DataFrame functions.  Null texts, and texts or items without a
 word, match nothing.  Repeated rows give their pairs once.  Empty tables give an
-empty result.  Other columns are not read.  The item side is broadcast only up
-to ``broadcast_bytes`` of item text, which is measured; beyond that it is
-shuffled.
+empty result.  Other columns are not read.  The items, and the windows found, are
+broadcast only up to ``broadcast_bytes``, which are measured; beyond that they
+are shuffled.
 """
 
 from __future__ import annotations
@@ -30,8 +30,6 @@ from pyspark.sql import functions as F
 
 from .common import fresh, materialize
 
-EMPTY = F.expr("CAST(array() AS ARRAY<INT>)")
-
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), 0)
@@ -39,7 +37,7 @@ def words(text: Column) -> Column:
 
 def positions(n: Column) -> Column:
     """1..n, empty for n < 1."""
-    return F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(EMPTY)
+    return F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.expr("CAST(array() AS ARRAY<INT>)"))
 
 
 def shingle_hashes(w: str, k: int) -> Column:
@@ -98,8 +96,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, s
         starts = hits.filter(first <= last).select("id", "row", "item", "m", "p", F.explode(F.sequence(first, last)).alias("start"))
         starts = starts.groupBy("id", "row", "item", "m", "start").agg(F.countDistinct("p").alias("c")).filter(F.col("c") >= need)
         windows = starts.groupBy("id", "row").agg(F.collect_set(F.struct("start", "m")).alias("windows"))  # few in a document
-        windows = windows.select(F.col("id").alias("i_"), F.col("row").alias("r_"), "windows")
-        texts = keyed.join(windows, F.col("id").eqNullSafe(F.col("i_")) & (F.col("row") == F.col("r_")))
+        windows = materialize(windows.select(F.col("id").alias("i_"), F.col("row").alias("r_"), "windows"), f"leak-windows-{k}")
+        size = windows.agg(F.sum(24 + 8 * F.size("windows"))).first()[0] or 0
+        texts = keyed.join(F.broadcast(windows) if size <= broadcast_bytes else windows, F.col("id").eqNullSafe(F.col("i_")) & (F.col("row") == F.col("r_")))
         texts = texts.select("id", "row", "t", "windows").dropDuplicates(["id", "row"]).withColumn("w", words(F.col("t")))
         cut = texts.select("id", "w", F.explode("windows").alias("x")).select(
             "id", F.col("x.start").alias("start"), F.expr(f"slice(w, x.start + 1, x.m + {k - 1})").alias("w"))
