@@ -25,7 +25,7 @@ def tree(df) -> str:
 
 def main() -> None:
     base, keys = sys.argv[1], sys.argv[2:]
-    spark = get_session("local[8]", 16)
+    spark = get_session("local[8]", 16, extra={"spark.ui.showConsoleProgress": "false"})
     for k in keys:
         print(f"### {k}\n\n```\n{tree(QUERIES[k](spark, base))}\n```\n")
 
