@@ -12,13 +12,15 @@ Let a set have n tokens, of which a partner must share at least t.
   extended (2 d + 2 tokens, d the largest difference of linked sets) that the
   differing tokens cannot part all shared neighbours.
 
-Sets that share a key are compared.  First each set meets one neighbour in a
-random chain through its key's sets; components of the links so found spare all
-comparisons within them.  Then sets of different components that share a key
-meet.  Pairs are refused by their sizes and by parity sketches, which never
-differ in more places than the sets do, and what is left is verified on the sets
-of the whole texts.  So no link between components is lost, and a large group of
-near copies costs about its size, not its square.
+Sets that share a key are compared.  First each set meets the hub of one of its
+keys, the set with the fewest tokens of its own; components of the links so
+found spare all comparisons within them.  Then sets of different components that
+share a key meet.  Pairs are refused by their sizes, by the tokens that no other
+set has, and by parity sketches, which never differ in more places than the sets
+do; what is left is verified on the sets of the whole texts.  So no link between
+components is lost, and a large group of near copies costs about its size.  Only
+sets that share frequent keys without being linked are tested in pairs, inside
+the join, by comparisons of a few words; such pairs leave no row.
 
 Empty and null texts and texts without words have an empty set, are linked with
 nothing and are their own component.  Texts with fewer than ``words`` words have
@@ -43,6 +45,8 @@ from .shingles import mix, odd_sketch, set_id, shingle_set, sketch_difference
 
 #: Bytes of a measured table up to which it is broadcast; larger ones are shuffled.
 BROADCAST = 32 << 20
+#: Bits of the sketch that the join itself compares.
+BRIEF = 256
 
 
 @dataclass(frozen=True)
@@ -67,7 +71,7 @@ class Rule:
         return self.most_different(n, n * self.den // self.num)
 
     def sketch_bits(self, n: int) -> int:
-        return max(64, 1 << (4 * self.widest(n)).bit_length())
+        return max(64, 1 << (8 * self.widest(n)).bit_length())
 
     def stored(self, n: int) -> int:
         """Tokens kept in the first pass: the prefix and some room for frequent ones."""
@@ -85,7 +89,7 @@ def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
 
 
 def first_pass(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``doc_id, n, cid, text_hash, sketch, low``: the set's size and id, its sketch and its first tokens."""
+    """``doc_id, n, cid, text_hash, sketch, brief, low``: the set's size and id, its sketches and its first tokens."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -93,15 +97,20 @@ def first_pass(docs: DataFrame, rule: Rule) -> DataFrame:
             for text in b.column(1).to_pylist():
                 s = shingle_set(text, rule.words)
                 n = len(s)
-                rows.append((n, set_id(s), odd_sketch(s, rule.sketch_bits(n)), s[: rule.stored(n)].astype("<u8").tobytes()) if n else (0, None, None, None))
-            n, cid, sketch, low = zip(*rows) if rows else ((), (), (), ())
+                if n:
+                    brief = np.frombuffer(odd_sketch(s, BRIEF), "<i8").tolist()
+                    rows.append((n, set_id(s), odd_sketch(s, rule.sketch_bits(n)), brief, s[: rule.stored(n)].astype("<u8").tobytes()))
+                else:
+                    rows.append((0, None, None, None, None))
+            n, cid, sketch, brief, low = zip(*rows) if rows else ((),) * 5
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int32()), pa.array(cid, pa.binary()), b.column(2), pa.array(sketch, pa.binary()), pa.array(low, pa.binary())],
-                names=["doc_id", "n", "cid", "text_hash", "sketch", "low"])
+                [b.column(0), pa.array(n, pa.int32()), pa.array(cid, pa.binary()), b.column(2), pa.array(sketch, pa.binary()),
+                 pa.array(brief, pa.list_(pa.int64())), pa.array(low, pa.binary())],
+                names=["doc_id", "n", "cid", "text_hash", "sketch", "brief", "low"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return rows.mapInArrow(run, f"doc_id {kind}, n int, cid binary, text_hash long, sketch binary, low binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, n int, cid binary, text_hash long, sketch binary, brief array<long>, low binary")
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -151,7 +160,7 @@ def classify(docs: DataFrame, classes: DataFrame, rule: Rule, frequent: int) ->
         prefix = F.col("n") - F.ceil(F.lit(rule.num) * F.col("n") / F.lit(rule.den)) + 1
         have = F.octet_length("low") / 8
         lacking = classes.join(lists, "cid").filter((have < F.col("n")) & (have - F.size("often") < prefix))
-        lacking = materialize(lacking.select("cid", "rep", "n", "sketch"), "short-prefixes")
+        lacking = materialize(lacking.select("cid", "rep", "n", "sketch", "brief"), "short-prefixes")
         if lacking.isEmpty():
             return classes, lists
         more = lacking.join(whole_sets(docs, lacking.select("cid", "rep"), rule), "cid")
@@ -159,36 +168,58 @@ def classify(docs: DataFrame, classes: DataFrame, rule: Rule, frequent: int) ->
         classes = materialize(rest.unionByName(more.select(*rest.columns)), "classes")
 
 
+def own_tokens(classes: DataFrame) -> DataFrame:
+    """``cid, own``: how many of its tokens a class shares with no other class whose whole set is stored."""
+    whole = classes.filter(F.octet_length("low") == 8 * F.col("n"))
+    once = tokens(whole).groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("cid").alias("cid")).filter("c = 1")
+    return once.groupBy("cid").agg(F.count(F.lit(1)).cast("int").alias("own"))
+
+
 def keys(classes: DataFrame, lists: DataFrame, rule: Rule) -> DataFrame:
-    """``cid, n, key``: single rare tokens, and neighbouring frequent tokens where the prefix holds some."""
+    """``cid, n, most, key``: single rare tokens, and neighbouring frequent tokens where the prefix holds some.
+
+    ``most`` bounds what the class can share with any other of the key: keys of
+    frequent tokens join whole stored sets, which lack the tokens of its own.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out, size = [], []
-            for n, low, often in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+            out, most = [], []
+            for n, low, often, own in zip(*(b.column(i).to_pylist() for i in range(1, 5))):
                 s = np.frombuffer(low, "<u8")
                 p = rule.prefix(n)
+                pairs = s[:0]
                 if often is None:
                     k = s[:p]
                 else:
                     heavy = np.isin(s, np.array(often, np.int64).view(np.uint64))
                     k = s[~heavy][:p]
-                    if len(k) < p:
+                    if len(k) < p and n - (own or 0) >= rule.least_shared(n):
                         h = s[heavy][: 2 * rule.widest(n) + 2]
                         pairs = mix(mix(h[:-1]) + h[1:]) if len(h) > 1 else mix(h + np.uint64(1))
-                        k = np.concatenate([k, pairs])
-                out.append(k)
-                size.append(len(k))
+                out.append(np.concatenate([k, pairs]))
+                most.append(np.repeat([n, n - (own or 0)], [len(k), len(pairs)]))
             if out:
-                at = pa.array(np.repeat(np.arange(len(out)), size))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(np.concatenate(out).view(np.int64))], names=["cid", "n", "key"])
+                at = pa.array(np.repeat(np.arange(len(out)), [len(k) for k in out]))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(at), b.column(1).take(at), pa.array(np.concatenate(most).astype(np.int32)), pa.array(np.concatenate(out).view(np.int64))],
+                    names=["cid", "n", "most", "key"])
+
+    rows = classes.select("cid", "n", "low").join(lists, "cid", "left").join(own_tokens(classes), "cid", "left")
+    return rows.select("cid", "n", "low", "often", "own").mapInArrow(run, "cid binary, n int, most int, key long")
+
 
-    rows = classes.select("cid", "n", "low").join(lists, "cid", "left").select("cid", "n", "low", "often")
-    return rows.mapInArrow(run, "cid binary, n int, key long")
+def may_link(rule: Rule):
+    """Sizes, and what both sets can share at most, do not rule a link of ``n, most`` and ``n2, most2`` out."""
+    sizes = (F.col("n") * rule.den >= F.col("n2") * rule.num) & (F.col("n2") * rule.den >= F.col("n") * rule.num)
+    return sizes & (F.least("most", "most2") * (rule.num + rule.den) >= (F.col("n") + F.col("n2")) * rule.num)
 
 
-def similar_sizes(rule: Rule):
-    return (F.col("n") * rule.den >= F.col("n2") * rule.num) & (F.col("n2") * rule.den >= F.col("n") * rule.num)
+def brief_differences(rule: Rule):
+    """The brief sketches ``s0.. / z0..`` differ in no more places than linked sets may."""
+    places = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"z{i}"))) for i in range(BRIEF // 64)), F.lit(0))
+    size = F.col("n") + F.col("n2")
+    return places <= size - 2 * F.ceil(size * rule.num / F.lit(rule.num + rule.den) - 1e-9)
 
 
 def refuse_by_sketch(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
@@ -229,28 +260,30 @@ def jaccard_classes(docs: DataFrame, rule: Rule, frequent: int = 24) -> tuple[Da
     """Rows ``doc_id, n_shingles, cid, text_hash`` and the components ``cid, root`` of the classes that are not their own root."""
     rows = materialize(first_pass(docs, rule), "shingle-sets")
     classes = rows.filter("n > 0").groupBy("cid").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("low").alias("low"))
+        F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("brief").alias("brief"), F.first("low").alias("low"))
     classes = materialize(classes, "classes")
     classes, lists = classify(docs, classes, rule, frequent)
     index = keys(classes, lists, rule)
     shared = index.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("c > 1")
-    shared = materialize(shared.select("cid", "n", "key"), "shared-keys")
-
-    # a random chain through the sets of each set's first key
-    mine = shared.groupBy("cid").agg(F.min(F.struct(F.xxhash64("key").alias("h"), "key", "n")).alias("k"))
-    order = Window.partitionBy("k.key").orderBy(F.xxhash64("k.key", "cid"), "cid")
-    chain = mine.select("cid", F.col("k.n").alias("n"), F.lag("cid").over(order).alias("cid2"), F.lag("k.n").over(order).alias("n2"))
-    chain = chain.filter(F.col("cid2").isNotNull() & similar_sizes(rule))
-    pairs = chain.select(F.least("cid", "cid2").alias("a"), F.greatest("cid", "cid2").alias("b")).distinct()
+    shared = materialize(shared.select("cid", "n", "most", "key"), "shared-keys")
+
+    # each set meets the hub of its first key
+    mine = shared.groupBy("cid").agg(F.min(F.struct(F.xxhash64("key").alias("h"), "key", "n", "most")).alias("k"))
+    mine = mine.select("cid", "k.key", "k.n", "k.most")
+    hubs = mine.groupBy("key").agg(F.max(F.struct((F.col("most") - F.col("n")).alias("rank"), F.col("cid").alias("cid2"),
+                                                  F.col("n").alias("n2"), F.col("most").alias("most2"))).alias("hub"))
+    star = mine.join(hubs.select("key", "hub.cid2", "hub.n2", "hub.most2"), "key").filter((F.col("cid") != F.col("cid2")) & may_link(rule))
+    pairs = star.select(F.least("cid", "cid2").alias("a"), F.greatest("cid", "cid2").alias("b")).distinct()
     links = materialize(verify(docs, materialize(refuse_by_sketch(pairs, classes, rule), "pairs"), classes, rule), "links")
 
     # sets of different components that share a key
     roots = components(links)
     placed = shared.join(roots.withColumnRenamed("v", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
-    placed = materialize(placed.join(split, "key").select("key", "cid", "n", "root"), "split-keys")
-    other = placed.select("key", F.col("cid").alias("cid2"), F.col("n").alias("n2"), F.col("root").alias("root2"))
-    meet = placed.join(other, "key").filter((F.col("root") < F.col("root2")) & similar_sizes(rule))
+    brief = classes.select("cid", *(F.col("brief")[i].alias(f"s{i}") for i in range(BRIEF // 64)))
+    placed = materialize(placed.join(split, "key").join(brief, "cid").drop("c"), "split-keys")
+    other = placed.select("key", *(F.col(c).alias(c + "2") for c in ("cid", "n", "most", "root")), *(F.col(f"s{i}").alias(f"z{i}") for i in range(BRIEF // 64)))
+    meet = placed.join(other, (placed["key"] == other["key"]) & (F.col("root") < F.col("root2")) & may_link(rule) & brief_differences(rule))
     pairs = meet.select(F.least("cid", "cid2").alias("a"), F.greatest("cid", "cid2").alias("b")).distinct()
     late = verify(docs, materialize(refuse_by_sketch(pairs, classes, rule), "late-pairs"), classes, rule)
     links = materialize(links.unionByName(late), "all-links")
