@@ -42,17 +42,26 @@ from .suffixes import anchors, context_keys, equal_classes, gram_keys, sort_suff
 
 LAST = np.iinfo(np.int64).max
 #: Bytes of a measured table up to which it is broadcast; larger ones are shuffled.
-BROADCAST = 48 << 20
+BROADCAST = 96 << 20
 #: Bytes of a gram's and a surrounding's hash that travel.
 WIDTH = 5
 
 
 @dataclass(frozen=True)
 class Plan:
+    """Sizes of the work.
+
+    A batch of texts takes about six times ``batch_bytes`` of memory, and the
+    task of a part about 60 bytes for each of its anchors (one per 14 bytes of
+    text, so 49 parts of 1 GB take 90 MB each).
+    """
+
     length: int = 50
     gram: int = 24
     parts: int = 8
-    batch_bytes: int = 24 << 20
+    batch_bytes: int = 16 << 20
+    #: groups of one part whose strings are sorted apart
+    pieces: int = 16
     #: different surroundings of a gram in a batch, beyond which it sends one entry
     crowd: int = 1024
     #: surroundings of a gram in all, beyond which its strings are compared by window
@@ -148,74 +157,77 @@ def ask(docs: DataFrame, plan: Plan) -> DataFrame:
 
 
 def answer(asked: DataFrame, plan: Plan) -> DataFrame:
-    """``doc_id, row, part, codes``: the codes of a document's anchors in a part, if any is not 0."""
+    """``doc_id, row, part, entry, open, inside``: the codes of a document's anchors in a part, if any is not 0.
+
+    ``entry`` is the part's number in three bytes, then two bits a code.
+    """
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-        grams, contexts, owners, ends, crowds, crowd_docs = [], [], [], [], [], []
-        total = 0
-        for docs, counts, hot, g, c in zip(pdf["docs"], pdf["counts"], pdf["hot"], pdf["grams"], pdf["contexts"]):
+        grams, contexts, crowds, held = [], [], [], []
+        for docs, rows, counts, hot, g, c in zip(*(pdf[n] for n in ("docs", "rows", "counts", "hot", "grams", "contexts"))):
             counts = np.frombuffer(counts, "<u4").astype(np.int64)
-            total += int(counts.sum())
-            ends.append(total)
-            isin = np.unpackbits(np.frombuffer(hot, np.uint8), count=int(counts.sum())).astype(bool)
-            owner = np.repeat(np.asarray(docs, np.int64), counts)
+            hot = np.unpackbits(np.frombuffer(hot, np.uint8), count=int(counts.sum())).astype(bool)
             keys = widen(np.frombuffer(g, np.uint8))
-            n = int((~isin).sum())
+            n = int((~hot).sum())
             grams.append(keys[:n])
             crowds.append(keys[n:])
-            crowd_docs.append(np.full(len(keys) - n, owner[isin].min() if isin.any() else 0, np.int64))
             contexts.append(widen(np.frombuffer(c, np.uint8)))
-            owners.append((owner, isin))
-        doc = np.concatenate([o[~h] for o, h in owners])
-        g, c = np.concatenate(grams), np.concatenate(contexts)
-        order = np.lexsort((doc, c, g))
-        gs, cs, ds = g[order], c[order], doc[order]
-        new_g = np.concatenate([[True], gs[1:] != gs[:-1]])[: len(gs)]
-        new_c = new_g | np.concatenate([[True], cs[1:] != cs[:-1]])[: len(gs)]
-        code = np.zeros(len(gs), np.uint8)
-        if len(gs):
-            first_c, run_c = np.flatnonzero(new_c), np.cumsum(new_c) - 1
-            first_g, run_g = np.flatnonzero(new_g), np.cumsum(new_g) - 1
-            inside = ds[first_c][run_c] < ds
-            several = np.bincount(run_g[first_c]) > 1
-            shared = several & (np.minimum.reduceat(ds, first_g) < np.maximum.reduceat(ds, first_g))
-            crowded = np.isin(gs[first_g], np.concatenate(crowds)) if crowds else np.zeros(len(first_g), bool)
-            hot = np.bincount(run_g[first_c]) > plan.hot
-            code = np.where(inside, 1, np.where((crowded | hot)[run_g], 3, np.where(shared[run_g], 2, 0))).astype(np.uint8)
-        flat = np.empty(len(gs), np.uint8)
-        flat[order] = code
-        out: list[tuple] = []
+            held.append((np.asarray(docs, np.int64), np.asarray(rows, np.int64), counts, hot))
+        doc = np.concatenate([np.repeat(d, n)[~h] for d, _, n, h in held])
+        flat = _codes(np.concatenate(grams), np.concatenate(contexts), doc, np.concatenate(crowds), plan)
+        part = np.int32(pdf["part"].iloc[0])
+        head = int(part).to_bytes(3, "little")
+        out: list[pd.DataFrame] = []
         at = 0
-        for (owner, isin), docs, rows, counts in zip(owners, pdf["docs"], pdf["rows"], pdf["counts"]):
-            mine = np.full(len(owner), 3, np.uint8)
-            n = int((~isin).sum())
-            mine[~isin] = flat[at : at + n]
+        for docs, rows, counts, hot in held:
+            mine = np.full(len(hot), 3, np.uint8)
+            n = int((~hot).sum())
+            mine[~hot] = flat[at : at + n]
             at += n
-            stop = np.cumsum(np.frombuffer(counts, "<u4"), dtype=np.int64)
-            for d, r, a, b in zip(docs, rows, np.concatenate([[0], stop[:-1]]).tolist(), stop.tolist()):
-                if mine[a:b].any():
-                    out.append((d, r, mine[a:b].tobytes()))
-        d, r, codes = zip(*out) if out else ((), (), ())
-        return pd.DataFrame({"doc_id": np.array(d, np.int64), "row": np.array(r, np.int64), "part": np.int32(pdf["part"].iloc[0]), "codes": list(codes)})
-
-    return asked.groupBy("part").applyInPandas(decide, "doc_id long, row long, part int, codes binary")
+            four = -(-counts // 4)  # bytes of each document's codes
+            wide = np.zeros(int(four.sum()) * 4, np.uint8)
+            wide[np.repeat((np.cumsum(four) - four) * 4 - (np.cumsum(counts) - counts), counts) + np.arange(len(mine))] = mine
+            raw = (wide.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8).tobytes()
+            start = np.cumsum(counts) - counts
+            open_, inside = (np.add.reduceat(x.astype(np.int64), start) > 0 for x in (mine >= 2, mine == 1))
+            keep = np.flatnonzero(open_ | inside)
+            stop = np.cumsum(four)
+            entries = [head + raw[a:b] for a, b in zip((stop - four)[keep].tolist(), stop[keep].tolist())]
+            out.append(pd.DataFrame({"doc_id": docs[keep], "row": rows[keep], "part": part, "entry": entries, "open": open_[keep], "inside": inside[keep]}))
+        return pd.concat(out)
+
+    return asked.groupBy("part").applyInPandas(decide, "doc_id long, row long, part int, entry binary, open boolean, inside boolean")
+
+
+def _codes(g: np.ndarray, c: np.ndarray, doc: np.ndarray, crowds: np.ndarray, plan: Plan) -> np.ndarray:
+    """The code of each anchor from its gram, surroundings and document."""
+    order = np.lexsort((doc, c, g))
+    g, c, doc = g[order], c[order], doc[order]
+    code = np.zeros(len(g), np.uint8)
+    if len(g):
+        new_g = np.concatenate([[True], g[1:] != g[:-1]])
+        new_c = new_g | np.concatenate([[True], c[1:] != c[:-1]])
+        first_c, run_c = np.flatnonzero(new_c), np.cumsum(new_c) - 1
+        first_g, run_g = np.flatnonzero(new_g), np.cumsum(new_g) - 1
+        inside = doc[first_c][run_c] < doc
+        around = np.bincount(run_g[first_c])
+        shared = (around > 1) & (np.minimum.reduceat(doc, first_g) < np.maximum.reduceat(doc, first_g))
+        hot = np.isin(g[first_g], crowds) | (shared & (around > plan.hot))
+        code[order] = np.where(inside, 1, np.where(hot[run_g], 3, np.where(shared[run_g], 2, 0))).astype(np.uint8)
+    return code
 
 
-def join_answers(docs: DataFrame, answers: DataFrame, how: str) -> DataFrame:
-    """``docs`` with the answers of their rows; broadcast if a measured size allows it."""
-    size = answers.agg(F.count(F.lit(1)), F.sum(F.octet_length("codes"))).first()
-    side = F.broadcast(answers) if size[0] * 48 + (size[1] or 0) <= BROADCAST else answers
-    return docs.join(side, ["doc_id", "row"], how)
+def merge(answers: DataFrame) -> DataFrame:
+    """``doc_id, row, codes``: the entries of a document, one for each part that has any, in one value."""
+    entries = F.sort_array(F.collect_set(F.struct("part", "entry"))).alias("e")
+    joined = F.expr("aggregate(e, CAST('' AS BINARY), (s, x) -> concat(s, x.entry))").alias("codes")
+    return answers.groupBy("doc_id", "row").agg(entries).select("doc_id", "row", joined)
 
 
-def write_codes(seen: dict[int, bytes]) -> bytes:
-    """The codes of a document by part: part number, then two bits a code."""
-    out = []
-    for p in sorted(seen):
-        codes = np.frombuffer(seen[p], np.uint8)
-        four = np.pad(codes, (0, -len(codes) % 4)).reshape(-1, 4)
-        out.append(np.array([p], "<u4").tobytes() + (four << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8).tobytes())
-    return b"".join(out)
+def small_side(answers: DataFrame) -> DataFrame:
+    """A written table of codes, with a broadcast hint if its measured size allows one."""
+    rows, size = answers.agg(F.count(F.lit(1)), F.sum(F.octet_length("codes"))).first()
+    return F.broadcast(answers) if rows * 48 + (size or 0) <= BROADCAST else answers
 
 
 def read_codes(codes: bytes | None, keys: np.ndarray, parts: int) -> np.ndarray:
@@ -227,11 +239,11 @@ def read_codes(codes: bytes | None, keys: np.ndarray, parts: int) -> np.ndarray:
         edge = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
         at = 0
         while at < len(codes):
-            p = int.from_bytes(codes[at : at + 4], "little")
+            p = int.from_bytes(codes[at : at + 3], "little")
             n = edge[p + 1] - edge[p]
-            four = np.frombuffer(codes, np.uint8, -(-n // 4), at + 4)
+            four = np.frombuffer(codes, np.uint8, -(-n // 4), at + 3)
             out[order[edge[p] : edge[p + 1]]] = ((four[:, None] >> np.array([0, 2, 4, 6], np.uint8)) & 3).reshape(-1)[:n]
-            at += 4 + len(four)
+            at += 3 + len(four)
     return out
 
 
@@ -239,7 +251,7 @@ def read_codes(codes: bytes | None, keys: np.ndarray, parts: int) -> np.ndarray:
 
 
 def open_strings(docs: DataFrame, plan: Plan) -> DataFrame:
-    """``part, gram, doc_id, row, at, off, windows, hot, bytes`` of each anchor of code 2 or 3."""
+    """``gram, doc_id, row, at, off, windows, hot, bytes`` of each anchor of code 2 or 3."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -250,17 +262,15 @@ def open_strings(docs: DataFrame, plan: Plan) -> DataFrame:
                 place, first, count = anchors(data, plan.length, plan.gram)
                 keys = gram_keys(data, place, plan.gram)
                 code = read_codes(codes.as_py(), keys, plan.parts)
-                pick = np.flatnonzero(code >= 2)
-                part = part_of(keys[pick], plan.parts)
-                for k, p in zip(pick.tolist(), part.tolist()):
+                for k in np.flatnonzero(code >= 2).tolist():
                     s, n = int(first[k]), int(count[k])
-                    out.append((p, int(keys[k].astype(np.int64)), i, r, s, int(place[k]) - s, n, bool(code[k] == 3), raw[s : s + n - 1 + plan.length]))
-            cols = list(zip(*out)) if out else [()] * 9
-            types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
+                    out.append((int(keys[k].astype(np.int64)), i, r, s, int(place[k]) - s, n, bool(code[k] == 3), raw[s : s + n - 1 + plan.length]))
+            cols = list(zip(*out)) if out else [()] * 8
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)],
-                                             names=["part", "gram", "doc_id", "row", "at", "off", "windows", "hot", "bytes"])
+                                             names=["gram", "doc_id", "row", "at", "off", "windows", "hot", "bytes"])
 
-    schema = "part int, gram long, doc_id long, row long, at int, off int, windows int, hot boolean, bytes binary"
+    schema = "gram long, doc_id long, row long, at int, off int, windows int, hot boolean, bytes binary"
     return docs.select("doc_id", "row", "text", "codes").mapInArrow(run, schema)
 
 
@@ -298,7 +308,8 @@ def repeated_windows(strings: DataFrame, plan: Plan) -> DataFrame:
         return pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[e], "row": pdf["row"].to_numpy()[e],
                              "low": (at[e] + step[first]).astype(np.int32), "high": (at[e] + step[last] + plan.length).astype(np.int32)})
 
-    return strings.filter(~F.col("hot")).groupBy("part").applyInPandas(decide, "doc_id long, row long, low int, high int")
+    piece = F.pmod(F.xxhash64("gram"), F.lit(plan.parts * plan.pieces)).alias("piece")
+    return strings.filter(~F.col("hot")).groupBy(piece).applyInPandas(decide, "doc_id long, row long, low int, high int")
 
 
 def repeated_hot_windows(strings: DataFrame, plan: Plan) -> DataFrame:
@@ -333,39 +344,25 @@ def covered(data: np.ndarray, codes: bytes | None, spans: list | None, plan: Pla
     return np.cumsum(change[:-1]) > 0
 
 
-def merge(answers: DataFrame) -> DataFrame:
-    """``doc_id, row, codes, open, inside``: the answers of each document in one value."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out, open_, inside = [], [], []
-            for entries in b.column(2).to_pylist():
-                seen = {e["part"]: e["codes"] for e in entries}
-                every = b"".join(seen.values())
-                out.append(write_codes(seen))
-                open_.append(b"\x02" in every or b"\x03" in every)
-                inside.append(b"\x01" in every)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary()), pa.array(open_, pa.bool_()), pa.array(inside, pa.bool_())],
-                                             names=["doc_id", "row", "codes", "open", "inside"])
-
-    each = answers.groupBy("doc_id", "row").agg(F.collect_set(F.struct("part", "codes")).alias("answers"))  # at most one a part
-    return each.mapInArrow(run, "doc_id long, row long, codes binary, open boolean, inside boolean")
-
-
 def find_repeats(rows: DataFrame, plan: Plan) -> DataFrame:
     """``doc_id, row, codes, spans`` of the rows of ``sources`` that lose bytes."""
-    packed = materialize(merge(answer(ask(rows, plan), plan)), "repeat-codes")
-    strings = open_strings(join_answers(rows, packed.filter("open"), "inner"), plan)
-    strings = materialize(strings, "repeat-strings")
+    answers = materialize(answer(ask(rows, plan), plan), "repeat-answers")
+    still = materialize(merge(answers.filter("open")), "repeat-open")
+    strings = materialize(open_strings(rows.join(small_side(still), ["doc_id", "row"]), plan), "repeat-strings")
     found = repeated_windows(strings, plan).unionByName(repeated_hot_windows(strings, plan))
     spans = found.groupBy("doc_id", "row").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
-    both = packed.join(spans, ["doc_id", "row"], "left").filter("inside OR spans IS NOT NULL")
-    return materialize(both.select("doc_id", "row", "codes", "spans"), "repeat-spans")
+    inside = merge(answers.filter("inside"))
+    return materialize(inside.join(spans, ["doc_id", "row"], "full"), "repeat-spans")
 
 
 def default_plan(docs: DataFrame, length: int = 50) -> Plan:
-    """One part for each shuffle partition; anchors of about half the length."""
-    return Plan(length=length, gram=max(1, length // 2 - 1), parts=max(2, shuffle_partitions(docs.sparkSession)))
+    """One part for each shuffle partition; anchors of about half the length.
+
+    Batches grow with the parts, so that a batch has at least some 150 anchors
+    for each part.
+    """
+    parts = max(2, shuffle_partitions(docs.sparkSession))
+    return Plan(length=length, gram=max(1, length // 2 - 1), parts=parts, batch_bytes=max(Plan.batch_bytes, 2048 * parts))
 
 
 def kept_bytes(text: str | None, codes: bytes | None, spans: list | None, plan: Plan) -> tuple[bytes, int, int, int]:
@@ -394,7 +391,7 @@ def digests(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
                                              names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = sources(docs)
-    joined = join_answers(rows, find_repeats(rows, plan), "left").select("doc_id", "text", "codes", "spans")
+    joined = rows.join(small_side(find_repeats(rows, plan)), ["doc_id", "row"], "left").select("doc_id", "text", "codes", "spans")
     out = joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != F.lit(int(LAST)), F.col("doc_id")))
 
@@ -405,10 +402,8 @@ def cut_texts(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     names = docs.columns
     i, r, codes, spans = (fresh(names, n) for n in ("repeat_id", "repeat_row", "repeat_codes", "repeat_spans"))
     found = find_repeats(sources(docs), plan)
-    size = found.agg(F.count(F.lit(1)), F.sum(F.octet_length("codes"))).first()
-    keys = found.select(F.col("doc_id").alias(i), F.col("row").alias(r), F.col("codes").alias(codes), F.col("spans").alias(spans))
-    side = F.broadcast(keys) if size[0] * 48 + (size[1] or 0) <= BROADCAST else keys
-    joined = docs.join(side, (F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))) == F.col(i)) & (F.xxhash64("text") == F.col(r)), "left")
+    keys = small_side(found).select(F.col("doc_id").alias(i), F.col("row").alias(r), F.col("codes").alias(codes), F.col("spans").alias(spans))
+    joined = docs.join(keys, (F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))) == F.col(i)) & (F.xxhash64("text") == F.col(r)), "left")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -12,7 +12,7 @@ import numpy as np
 
 from .shingles import mix, powers
 
-POSITION_BITS = 28  # of a text; the rest of a word holds the hash that orders grams
+POSITION_BITS = 31  # of a text, whose size Spark limits to 2 GB; the rest of a word holds the hash that orders grams
 
 
 def prefix_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -48,8 +48,6 @@ def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nd
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none, none, none
-    if len(data) >= 1 << POSITION_BITS:
-        raise ValueError(f"a text is longer than {1 << POSITION_BITS} bytes")
     sums, down = prefix_hashes(data)
     order = gram_hashes(sums, down, gram) * np.uint64(0xD6E8FEB86659FD93)
     packed = (order >> np.uint64(POSITION_BITS) << np.uint64(POSITION_BITS)) | np.arange(len(order), dtype=np.uint64)
