@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, release
 
 
 def _star(edges: DataFrame, small: bool) -> DataFrame:
@@ -36,6 +36,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     while True:
         mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == before or not mark[0]:
-            return edges.select(F.col("b").alias("v"), F.col("a").alias("root"))
-        before = mark
+            out = edges.select(F.col("b").alias("v"), F.col("a").alias("root"))
+            out.scratch_path = edges.scratch_path
+            return out
+        before, old = mark, edges
         edges = materialize(_star(_star(edges, small=False), small=True), name)
+        release(old)

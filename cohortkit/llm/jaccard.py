@@ -39,14 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize
+from .common import fresh, materialize, release
 from .components import components
 from .shingles import mix, odd_sketch, set_id, shingle_set, sketch_difference
 
 #: Bytes of a measured table up to which it is broadcast; larger ones are shuffled.
 BROADCAST = 32 << 20
 #: Bits of the sketch that the join itself compares.
-BRIEF = 256
+BRIEF = 512
 
 
 @dataclass(frozen=True)
@@ -157,15 +157,18 @@ def classify(docs: DataFrame, classes: DataFrame, rule: Rule, frequent: int) ->
         often = materialize(counted.select("token"), "frequent")
         held = tokens(classes).join(small_side(often, 16), "token")
         lists = materialize(held.groupBy("cid").agg(F.collect_list("token").alias("often")), "frequent-held")
+        release(often)
         prefix = F.col("n") - F.ceil(F.lit(rule.num) * F.col("n") / F.lit(rule.den)) + 1
         have = F.octet_length("low") / 8
         lacking = classes.join(lists, "cid").filter((have < F.col("n")) & (have - F.size("often") < prefix))
         lacking = materialize(lacking.select("cid", "rep", "n", "sketch", "brief"), "short-prefixes")
         if lacking.isEmpty():
+            release(lacking)
             return classes, lists
         more = lacking.join(whole_sets(docs, lacking.select("cid", "rep"), rule), "cid")
         rest = classes.join(small_side(lacking.select("cid"), 40), "cid", "left_anti")
-        classes = materialize(rest.unionByName(more.select(*rest.columns)), "classes")
+        old, classes = classes, materialize(rest.unionByName(more.select(*rest.columns)), "classes")
+        release(old, lists, lacking)
 
 
 def own_tokens(classes: DataFrame) -> DataFrame:
@@ -238,7 +241,7 @@ def refuse_by_sketch(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFr
 
 
 def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs ``a, b`` that are linked; each text is read once and goes to its pairs."""
+    """The pairs ``a, b`` (a written table, which goes) that are linked; each text is read once and goes to its pairs."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,19 +256,24 @@ def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, rule: Rule) ->
     members = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("cid")).join(rep, "cid").select("a", "b", "rep")
     members = materialize(members, "pair-members")
     both = texts_of(docs, small_side(members, 80)).groupBy("a", "b").agg(F.collect_set("text").alias("texts"))  # two texts
-    return both.mapInArrow(run, "a binary, b binary")
+    links = materialize(both.mapInArrow(run, "a binary, b binary"), "links")
+    release(members, pairs)
+    return links
 
 
 def jaccard_classes(docs: DataFrame, rule: Rule, frequent: int = 24) -> tuple[DataFrame, DataFrame]:
     """Rows ``doc_id, n_shingles, cid, text_hash`` and the components ``cid, root`` of the classes that are not their own root."""
-    rows = materialize(first_pass(docs, rule), "shingle-sets")
-    classes = rows.filter("n > 0").groupBy("cid").agg(
+    sets = materialize(first_pass(docs, rule), "shingle-sets")
+    classes = sets.filter("n > 0").groupBy("cid").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("brief").alias("brief"), F.first("low").alias("low"))
     classes = materialize(classes, "classes")
+    rows = materialize(sets.select("doc_id", F.col("n").alias("n_shingles"), "cid", "text_hash"), "shingle-rows")
+    release(sets)
     classes, lists = classify(docs, classes, rule, frequent)
     index = keys(classes, lists, rule)
     shared = index.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("c > 1")
     shared = materialize(shared.select("cid", "n", "most", "key"), "shared-keys")
+    release(lists)
 
     # each set meets the hub of its first key
     mine = shared.groupBy("cid").agg(F.min(F.struct(F.xxhash64("key").alias("h"), "key", "n", "most")).alias("k"))
@@ -274,7 +282,7 @@ def jaccard_classes(docs: DataFrame, rule: Rule, frequent: int = 24) -> tuple[Da
                                                   F.col("n").alias("n2"), F.col("most").alias("most2"))).alias("hub"))
     star = mine.join(hubs.select("key", "hub.cid2", "hub.n2", "hub.most2"), "key").filter((F.col("cid") != F.col("cid2")) & may_link(rule))
     pairs = star.select(F.least("cid", "cid2").alias("a"), F.greatest("cid", "cid2").alias("b")).distinct()
-    links = materialize(verify(docs, materialize(refuse_by_sketch(pairs, classes, rule), "pairs"), classes, rule), "links")
+    links = verify(docs, materialize(refuse_by_sketch(pairs, classes, rule), "pairs"), classes, rule)
 
     # sets of different components that share a key
     roots = components(links)
@@ -282,13 +290,16 @@ def jaccard_classes(docs: DataFrame, rule: Rule, frequent: int = 24) -> tuple[Da
     split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
     brief = classes.select("cid", *(F.col("brief")[i].alias(f"s{i}") for i in range(BRIEF // 64)))
     placed = materialize(placed.join(split, "key").join(brief, "cid").drop("c"), "split-keys")
+    release(shared, roots)
     other = placed.select("key", *(F.col(c).alias(c + "2") for c in ("cid", "n", "most", "root")), *(F.col(f"s{i}").alias(f"z{i}") for i in range(BRIEF // 64)))
     meet = placed.join(other, (placed["key"] == other["key"]) & (F.col("root") < F.col("root2")) & may_link(rule) & brief_differences(rule))
     pairs = meet.select(F.least("cid", "cid2").alias("a"), F.greatest("cid", "cid2").alias("b")).distinct()
     late = verify(docs, materialize(refuse_by_sketch(pairs, classes, rule), "late-pairs"), classes, rule)
-    links = materialize(links.unionByName(late), "all-links")
-    found = components(links).select(F.col("v").alias("cid"), "root")
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), "cid", "text_hash"), found
+    found = components(links.unionByName(late))
+    release(placed, links, late, classes)
+    found_path, found = found.scratch_path, found.select(F.col("v").alias("cid"), "root")
+    found.scratch_path = found_path
+    return rows, found
 
 
 def jaccard_components(docs: DataFrame, rule: Rule, frequent: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -317,6 +328,7 @@ def keep_one(docs: DataFrame, rule: Rule, frequent: int = 24, id_col: str = "doc
     each = placed.select("root", place.alias("place")).groupBy("root", "place").agg(F.count(F.lit(1)).alias("copies"))
     gone = each.join(stays, "root").select("place.doc_id", "place.text_hash", "copies", (F.col("place") == F.col("stays")).alias("stays"))
     listed = materialize(gone.filter(~F.col("stays") | (F.col("copies") > 1)), "near-copies")
+    release(rows, found)
     names = docs.columns
     d, h, again = (fresh(names, n) for n in ("copy_id", "copy_hash", "copy_again"))
     side = small_side(listed.select(F.col("doc_id").alias(d), F.col("text_hash").alias(h), F.col("stays").alias(again)), 40)

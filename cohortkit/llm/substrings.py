@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, shuffle_partitions
+from .common import fresh, materialize, release, shuffle_partitions
 from .suffixes import anchors, context_keys, equal_classes, gram_keys, sort_suffixes
 
 LAST = np.iinfo(np.int64).max
@@ -352,7 +352,9 @@ def find_repeats(rows: DataFrame, plan: Plan) -> DataFrame:
     found = repeated_windows(strings, plan).unionByName(repeated_hot_windows(strings, plan))
     spans = found.groupBy("doc_id", "row").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     inside = merge(answers.filter("inside"))
-    return materialize(inside.join(spans, ["doc_id", "row"], "full"), "repeat-spans")
+    out = materialize(inside.join(spans, ["doc_id", "row"], "full"), "repeat-spans")
+    release(answers, still, strings)
+    return out
 
 
 def default_plan(docs: DataFrame, length: int = 50) -> Plan:
