@@ -34,6 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,9 +97,9 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
 
 
 def ask(docs: DataFrame, plan: Plan) -> DataFrame:
-    """``part, docs, rows, counts, hot, grams, contexts``: one row for each batch of texts and part."""
+    """``batch, part, docs, rows, counts, hot, grams, contexts``: one row for each batch of texts and part."""
 
-    def pack(texts: list[np.ndarray], ids: list[int], rows: list[int]) -> Iterator[pa.RecordBatch]:
+    def pack(batch: int, texts: list[np.ndarray], ids: list[int], rows: list[int]) -> Iterator[pa.RecordBatch]:
         grams, contexts, owner = [], [], []
         for i, data in enumerate(texts):
             place, _, _ = anchors(data, plan.length, plan.gram)
@@ -128,15 +129,15 @@ def ask(docs: DataFrame, plan: Plan) -> DataFrame:
                 kept = at[~hot]
                 # one entry for a crowded gram: its gram, and the surroundings 0
                 crowd = np.unique(g[at[hot]])
-                out.append((p, [ids[i] for i in who], [rows[i] for i in who], counts.astype("<u4").tobytes(), np.packbits(hot).tobytes(),
+                out.append((batch, p, [ids[i] for i in who], [rows[i] for i in who], counts.astype("<u4").tobytes(), np.packbits(hot).tobytes(),
                             narrow(g[kept]).tobytes() + narrow(crowd).tobytes(), narrow(c[kept]).tobytes()))
         cols = list(zip(*out))
-        types = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], names=["part", "docs", "rows", "counts", "hot", "grams", "contexts"])
+        types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], names=["batch", "part", "docs", "rows", "counts", "hot", "grams", "contexts"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, np.ndarray]] = []
-        size = 0
+        size, number = 0, TaskContext.get().partitionId() << 24
         for b in batches:
             for i, r, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 if not t.is_valid:
@@ -147,19 +148,20 @@ def ask(docs: DataFrame, plan: Plan) -> DataFrame:
                 held.append((i, r, data))
                 size += len(data)
                 if size >= plan.batch_bytes:
-                    yield from pack([x for _, _, x in held], [x for x, _, _ in held], [x for _, x, _ in held])
-                    held, size = [], 0
+                    yield from pack(number, [x for _, _, x in held], [x for x, _, _ in held], [x for _, x, _ in held])
+                    held, size, number = [], 0, number + 1
         if held:
-            yield from pack([x for _, _, x in held], [x for x, _, _ in held], [x for _, x, _ in held])
+            yield from pack(number, [x for _, _, x in held], [x for x, _, _ in held], [x for _, x, _ in held])
 
     return docs.select("doc_id", "row", "text").mapInArrow(
-        run, "part int, docs array<long>, rows array<long>, counts binary, hot binary, grams binary, contexts binary")
+        run, "batch long, part int, docs array<long>, rows array<long>, counts binary, hot binary, grams binary, contexts binary")
 
 
 def answer(asked: DataFrame, plan: Plan) -> DataFrame:
-    """``doc_id, row, part, entry, open, inside``: the codes of a document's anchors in a part, if any is not 0.
+    """``batch, part, docs, rows, entries, kinds``: the codes of a batch's documents that have any but 0 in a part.
 
-    ``entry`` is the part's number in three bytes, then two bits a code.
+    An entry is the part's number in three bytes, then two bits a code; its kind
+    is 1 if it holds a code of 2 or 3, plus 2 if it holds a 1.
     """
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -177,9 +179,9 @@ def answer(asked: DataFrame, plan: Plan) -> DataFrame:
         flat = _codes(np.concatenate(grams), np.concatenate(contexts), doc, np.concatenate(crowds), plan)
         part = np.int32(pdf["part"].iloc[0])
         head = int(part).to_bytes(3, "little")
-        out: list[pd.DataFrame] = []
+        out: list[tuple] = []
         at = 0
-        for docs, rows, counts, hot in held:
+        for batch, (docs, rows, counts, hot) in zip(pdf["batch"], held):
             mine = np.full(len(hot), 3, np.uint8)
             n = int((~hot).sum())
             mine[~hot] = flat[at : at + n]
@@ -193,10 +195,12 @@ def answer(asked: DataFrame, plan: Plan) -> DataFrame:
             keep = np.flatnonzero(open_ | inside)
             stop = np.cumsum(four)
             entries = [head + raw[a:b] for a, b in zip((stop - four)[keep].tolist(), stop[keep].tolist())]
-            out.append(pd.DataFrame({"doc_id": docs[keep], "row": rows[keep], "part": part, "entry": entries, "open": open_[keep], "inside": inside[keep]}))
-        return pd.concat(out)
+            kinds = (open_[keep] + 2 * inside[keep]).astype(np.uint8).tobytes()
+            out.append((batch, part, docs[keep], rows[keep], entries, kinds))
+        return pd.DataFrame(out, columns=["batch", "part", "docs", "rows", "entries", "kinds"])
 
-    return asked.groupBy("part").applyInPandas(decide, "doc_id long, row long, part int, entry binary, open boolean, inside boolean")
+    return asked.groupBy("part").applyInPandas(
+        decide, "batch long, part int, docs array<long>, rows array<long>, entries array<binary>, kinds binary")
 
 
 def _codes(g: np.ndarray, c: np.ndarray, doc: np.ndarray, crowds: np.ndarray, plan: Plan) -> np.ndarray:
@@ -218,10 +222,23 @@ def _codes(g: np.ndarray, c: np.ndarray, doc: np.ndarray, crowds: np.ndarray, pl
 
 
 def merge(answers: DataFrame) -> DataFrame:
-    """``doc_id, row, codes``: the entries of a document, one for each part that has any, in one value."""
-    entries = F.sort_array(F.collect_set(F.struct("part", "entry"))).alias("e")
-    joined = F.expr("aggregate(e, CAST('' AS BINARY), (s, x) -> concat(s, x.entry))").alias("codes")
-    return answers.groupBy("doc_id", "row").agg(entries).select("doc_id", "row", joined)
+    """``doc_id, row, still, inside``: a document's entries with open anchors, and those with code 1, in part order."""
+
+    def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        found: dict[tuple[int, int], tuple[list[bytes], list[bytes]]] = {}
+        pdf = pdf.sort_values("part")
+        for docs, rows, entries, kinds in zip(pdf["docs"], pdf["rows"], pdf["entries"], pdf["kinds"]):
+            for d, r, e, k in zip(docs.tolist(), rows.tolist(), entries, kinds):
+                mine = found.setdefault((d, r), ([], []))
+                for bit, held in enumerate(mine):
+                    if k >> bit & 1 and held[-1:] != [e]:  # repeated rows have the same entries
+                        held.append(e)
+        d, r = zip(*found) if found else ((), ())
+        still, inside = ([b"".join(x[i]) or None for x in found.values()] for i in range(2))
+        return pd.DataFrame({"doc_id": np.array(d, np.int64), "row": np.array(r, np.int64), "still": still, "inside": inside})
+
+    merged = answers.groupBy("batch").applyInPandas(join, "doc_id long, row long, still binary, inside binary")
+    return merged.dropDuplicates(["doc_id", "row"])
 
 
 def small_side(answers: DataFrame) -> DataFrame:
@@ -346,14 +363,14 @@ def covered(data: np.ndarray, codes: bytes | None, spans: list | None, plan: Pla
 
 def find_repeats(rows: DataFrame, plan: Plan) -> DataFrame:
     """``doc_id, row, codes, spans`` of the rows of ``sources`` that lose bytes."""
-    answers = materialize(answer(ask(rows, plan), plan), "repeat-answers")
-    still = materialize(merge(answers.filter("open")), "repeat-open")
+    codes = materialize(merge(answer(ask(rows, plan), plan)), "repeat-codes")
+    still = codes.filter("still IS NOT NULL").select("doc_id", "row", F.col("still").alias("codes"))
     strings = materialize(open_strings(rows.join(small_side(still), ["doc_id", "row"]), plan), "repeat-strings")
     found = repeated_windows(strings, plan).unionByName(repeated_hot_windows(strings, plan))
     spans = found.groupBy("doc_id", "row").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
-    inside = merge(answers.filter("inside"))
+    inside = codes.filter("inside IS NOT NULL").select("doc_id", "row", F.col("inside").alias("codes"))
     out = materialize(inside.join(spans, ["doc_id", "row"], "full"), "repeat-spans")
-    release(answers, still, strings)
+    release(codes, strings)
     return out
 
 
