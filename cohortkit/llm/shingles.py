@@ -11,7 +11,7 @@ LOWER[65:91] += 32
 BLANK = np.zeros(256, bool)
 BLANK[[32, *range(9, 14)]] = True
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so its powers have inverses modulo 2**64
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_POWERS: dict[int, list[np.ndarray]] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -21,16 +21,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of ``BASE`` and of its inverse."""
-    if len(_POWERS[0]) < n:
+def powers(n: int, base: np.uint64 = BASE) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ``base``, which is odd, and of its inverse."""
+    held = _POWERS.setdefault(int(base), [np.ones(1, np.uint64), np.ones(1, np.uint64)])
+    if len(held[0]) < n:
         size = 1 << n.bit_length()
-        inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-        for i, base in enumerate((BASE, inverse)):
-            full = np.full(size, base, np.uint64)
+        inverse = np.uint64(pow(int(base), -1, 1 << 64))
+        for i, b in enumerate((base, inverse)):
+            full = np.full(size, b, np.uint64)
             full[0] = 1
-            _POWERS[i] = np.cumprod(full)
-    return _POWERS[0], _POWERS[1]
+            held[i] = np.cumprod(full)
+    return held[0], held[1]
 
 
 def word_hashes(text: str | None) -> np.ndarray:

@@ -7,14 +7,15 @@ a document with a smaller id.  Strings are judged on the input.
    bytes; equal windows have equal anchors at the same place.  Anchors meet by
    gram: those seen in one document alone need nothing more (code 0).  If a
    smaller document has the same bytes all around the anchor, all windows there
-   are repeated (code 1).  What is left (code 2) needs a closer look.
+   are repeated (code 1); 128-bit hashes of these bytes tell.  What is left
+   (code 2) needs a closer look.
 2. The strings around code-2 anchors meet by gram and are suffix-sorted: prefix
    polynomial hashes and binary search give common extensions, mergesort orders
    the suffixes, equal neighbours are verified byte by byte, and the smallest id
    of each class of equal windows decides.
 3. Covered bytes are cut out of each text.
 
-Anchors travel packed by batches: about 10 bytes each.  A gram with many
+Anchors travel packed by batches: about 21 bytes each.  A gram with many
 different surroundings in one batch sends one entry only, and its anchors there
 get code 2.  Strings of a gram with very many surroundings in all are compared
 by window instead of by gram (an aggregate on the window's hashes, so no task
@@ -39,12 +40,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, materialize, release, shuffle_partitions
-from .suffixes import anchors, context_keys, equal_classes, gram_keys, sort_suffixes
+from .suffixes import anchors, context_keys, equal_classes, gram_keys, sort_suffixes, surroundings
 
 LAST = np.iinfo(np.int64).max
 #: Bytes of a measured table up to which it is broadcast; larger ones are shuffled.
 BROADCAST = 96 << 20
-#: Bytes of a gram's and a surrounding's hash that travel.
+#: Bytes of a gram's hash that travel; equal hashes of different grams only send more strings to the sort.
 WIDTH = 5
 
 
@@ -53,8 +54,8 @@ class Plan:
     """Sizes of the work.
 
     A batch of texts takes about six times ``batch_bytes`` of memory, and the
-    task of a part about 60 bytes for each of its anchors (one per 14 bytes of
-    text, so 49 parts of 1 GB take 90 MB each).
+    task of a part about 90 bytes for each of its anchors (one per 14 bytes of
+    text, so 49 parts of 1 GB take 140 MB each).
     """
 
     length: int = 50
@@ -89,6 +90,12 @@ def widen(raw: np.ndarray) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
+def changes(x: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """True where ``x``, in ``order``, differs from the element before, and at the first."""
+    x = x[order]
+    return np.concatenate([[True], x[1:] != x[:-1]])
+
+
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
 
@@ -105,15 +112,15 @@ def ask(docs: DataFrame, plan: Plan) -> DataFrame:
             place, _, _ = anchors(data, plan.length, plan.gram)
             if len(place):
                 grams.append(gram_keys(data, place, plan.gram))
-                contexts.append(context_keys(data, place, plan.gram, plan.length)[0])
+                contexts.append(context_keys(data, place, plan.gram, plan.length))
                 owner.append(np.full(len(place), i, np.int64))
         if not grams:
             return
         g, c, d = np.concatenate(grams), np.concatenate(contexts), np.concatenate(owner)
         # crowded grams: more different surroundings than ``crowd`` in this batch
-        order = np.lexsort((c, g))
-        fresh_g = np.concatenate([[True], g[order][1:] != g[order][:-1]])
-        fresh_c = fresh_g | np.concatenate([[True], c[order][1:] != c[order][:-1]])
+        order = np.lexsort((c[:, 1], c[:, 0], g))
+        fresh_g = changes(g, order)
+        fresh_c = fresh_g | changes(c[:, 0], order) | changes(c[:, 1], order)
         run = np.cumsum(fresh_g) - 1
         crowded = np.zeros(len(g), bool)
         crowded[order] = (np.bincount(run[fresh_c]) > plan.crowd)[run]
@@ -130,7 +137,7 @@ def ask(docs: DataFrame, plan: Plan) -> DataFrame:
                 # one entry for a crowded gram: its gram, and the surroundings 0
                 crowd = np.unique(g[at[hot]])
                 out.append((batch, p, [ids[i] for i in who], [rows[i] for i in who], counts.astype("<u4").tobytes(), np.packbits(hot).tobytes(),
-                            narrow(g[kept]).tobytes() + narrow(crowd).tobytes(), narrow(c[kept]).tobytes()))
+                            narrow(g[kept]).tobytes() + narrow(crowd).tobytes(), c[kept].astype("<u8").tobytes()))
         cols = list(zip(*out))
         types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], names=["batch", "part", "docs", "rows", "counts", "hot", "grams", "contexts"])
@@ -173,7 +180,7 @@ def answer(asked: DataFrame, plan: Plan) -> DataFrame:
             n = int((~hot).sum())
             grams.append(keys[:n])
             crowds.append(keys[n:])
-            contexts.append(widen(np.frombuffer(c, np.uint8)))
+            contexts.append(np.frombuffer(c, "<u8").reshape(-1, 2))
             held.append((np.asarray(docs, np.int64), np.asarray(rows, np.int64), counts, hot))
         doc = np.concatenate([np.repeat(d, n)[~h] for d, _, n, h in held])
         flat = _codes(np.concatenate(grams), np.concatenate(contexts), doc, np.concatenate(crowds), plan)
@@ -204,13 +211,13 @@ def answer(asked: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _codes(g: np.ndarray, c: np.ndarray, doc: np.ndarray, crowds: np.ndarray, plan: Plan) -> np.ndarray:
-    """The code of each anchor from its gram, surroundings and document."""
-    order = np.lexsort((doc, c, g))
-    g, c, doc = g[order], c[order], doc[order]
+    """The code of each anchor from its gram, surroundings (two columns) and document."""
+    order = np.lexsort((doc, c[:, 1], c[:, 0], g))
     code = np.zeros(len(g), np.uint8)
     if len(g):
-        new_g = np.concatenate([[True], g[1:] != g[:-1]])
-        new_c = new_g | np.concatenate([[True], c[1:] != c[:-1]])
+        new_g = changes(g, order)
+        new_c = new_g | changes(c[:, 0], order) | changes(c[:, 1], order)
+        g, doc = g[order], doc[order]
         first_c, run_c = np.flatnonzero(new_c), np.cumsum(new_c) - 1
         first_g, run_g = np.flatnonzero(new_g), np.cumsum(new_g) - 1
         inside = doc[first_c][run_c] < doc
@@ -352,7 +359,7 @@ def covered(data: np.ndarray, codes: bytes | None, spans: list | None, plan: Pla
     if codes is not None:
         place, _, _ = anchors(data, plan.length, plan.gram)
         inside = place[read_codes(codes, gram_keys(data, place, plan.gram), plan.parts) == 1]
-        _, low, high = context_keys(data, inside, plan.gram, plan.length)
+        low, high = surroundings(len(data), inside, plan.gram, plan.length)
         np.add.at(change, low, 1)
         np.add.at(change, high, -1)
     for low, high in spans or ():

@@ -10,16 +10,22 @@ from __future__ import annotations
 
 import numpy as np
 
-from .shingles import mix, powers
+from .shingles import BASE, mix, powers
 
 POSITION_BITS = 31  # of a text, whose size Spark limits to 2 GB; the rest of a word holds the hash that orders grams
 
 
-def prefix_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+#: The byte values and base of a second polynomial, unrelated to those of the first.
+OTHER_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
+OTHER_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25))
+
+
+def prefix_hashes(data: np.ndarray, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums of a polynomial in the bytes, and the inverse powers that shift a substring to the origin."""
-    up, down = powers(len(data) + 1)
+    up, down = powers(len(data) + 1, OTHER_BASE if second else BASE)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    values = OTHER_BYTES[data] if second else data.astype(np.uint64) + np.uint64(1)
+    np.cumsum(values * up[: len(data)], out=sums[1:])
     return sums, down
 
 
@@ -132,9 +138,17 @@ def gram_keys(data: np.ndarray, places: np.ndarray, gram: int) -> np.ndarray:
     return mix((sums[places + gram] - sums[places]) * down[places])
 
 
-def context_keys(data: np.ndarray, places: np.ndarray, gram: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, begin and end of all that a ``length``-byte window around each gram can reach."""
-    sums, down = prefix_hashes(data)
-    low, high = np.maximum(places - (length - gram), 0), np.minimum(places + length, len(data))
-    key = mix((sums[high] - sums[low]) * down[low] + (places - low).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return mix(key + (high - places).astype(np.uint64)), low, high
+def surroundings(size: int, places: np.ndarray, gram: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of all that a ``length``-byte window around each gram of a text of ``size`` bytes can reach."""
+    return np.maximum(places - (length - gram), 0), np.minimum(places + length, size)
+
+
+def context_keys(data: np.ndarray, places: np.ndarray, gram: int, length: int) -> np.ndarray:
+    """128-bit hashes of the surroundings of each gram and its place in them: two unrelated polynomials, a column each."""
+    low, high = surroundings(len(data), places, gram, length)
+    out = np.zeros((len(places), 2), np.uint64)
+    for column in range(2):
+        sums, down = prefix_hashes(data, second=column == 1)
+        key = mix((sums[high] - sums[low]) * down[low] + (places - low).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        out[:, column] = mix(key + (high - places).astype(np.uint64))
+    return out

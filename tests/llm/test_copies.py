@@ -139,6 +139,19 @@ def test_repeats_equal_brute_force(spark, edge_docs, no_docs):
     assert substrings.digests(no_docs).count() == 0
 
 
+def test_surroundings_of_equal_40_bit_hashes_stay(spark):
+    """Two texts around one 24-byte gram that share no window, though 40 bits of the first hash of all their bytes agree."""
+    gram = "dsdgfloyyjzqmvyzuopgtizg"
+    docs = [(1, "qbcfcsefiglkpeddahxfrulned" + gram + "zuqhuarrfhfvrtgbbbilbtvseq"), (2, "xtgjcamrldylqtabgbegwzbzhf" + gram + "jjevtqcodmgssyzydokqbpxoua")]
+    docs += [(3, "kepbnhmahaehkkxumuowwhwewk" + gram + "tqqpnmprgyxiddlkxzlipultdu"), (4, "ucuwttsumwgunvdqldhsshkity" + gram + "edydpjgmcnfpxzwmaualiptseg"), (5, docs[1][1])]
+    raw = [np.frombuffer(t.encode(), np.uint8) for _, t in docs]
+    first, second = (suffixes.context_keys(x, np.array([26]), 24, 50)[0] for x in raw[:2])
+    assert first[0] & np.uint64(2**40 - 1) == second[0] & np.uint64(2**40 - 1) and first[1] != second[1]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = rows(substrings.digests(df, substrings.Plan(50, 24, 2)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert sorted(got) == sorted(brute_repeats(docs, 50)) and sum(r[2] for r in got) == 76
+
+
 def test_cut_texts_keeps_other_columns(spark, edge_docs):
     cut = substrings.cut_texts(edge_docs)
     assert cut.columns == edge_docs.columns and cut.count() == edge_docs.count()
