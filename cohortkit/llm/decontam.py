@@ -2,16 +2,17 @@
 
 Words are runs of letters and digits, lower-cased; a shingle is ``shingle``
 consecutive words (all words of an item that has fewer).  A window has as many
-words as an item.  Its similarity to the item is the weighted Jaccard of their
+words as an item, or is the whole text if that has fewer.  Its similarity to the item is the weighted Jaccard of their
 shingles, each weighing as often as it occurs: sum of minima / sum of maxima.
 
-1. A window of m shingles can reach ``similarity`` s only if at least
-   2 s m / (1 + s) of its shingles occur in the item.  Windows with so many are
+1. A window of a shingles can reach ``similarity`` s to an item of m only if at
+   least s (a + m) / (1 + s) of its shingles occur in the item.  Windows with so many are
    found from the shingles' positions; no other window is fingerprinted.
 2. Windows and items get a 64-bit SimHash.  The bits are cut into ``blocks``
    blocks; fingerprints within ``radius`` differ by at most radius // blocks
    bits in some block, so all items within that distance in a block are indexed
    and the windows probe their own block values.  No pair within ``radius`` is lost.
+   Texts shorter than the item skip this step: they meet the item itself.
 3. Candidates are verified by the exact similarity of their shingle strings.
 
 All steps are DataFrame functions.  Null texts, and texts or items without a
@@ -85,24 +86,28 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, s
     for k in sizes:
         own = items.filter(F.col("k") == k).withColumn("h", shingle_hashes("w", k)).withColumn("m", F.size("h"))
         terms = own.select("item", "m", F.explode("h").alias("h")).distinct()
-        need = F.ceil(F.lit(2 * similarity / (1 + similarity)) * F.col("m") - 1e-9)
+        need = F.ceil(F.lit(similarity / (1 + similarity)) * (F.least(F.col("len") - (k - 1), F.col("m")) + F.col("m")) - 1e-9)
         cut = keyed.select("id", "row", words(F.col("t")).alias("w"))
         spots = cut.select("id", "row", F.size("w").alias("len"), F.posexplode(shingle_hashes("w", k)).alias("p", "h"))
         hits = materialize(spots.join(side(terms), "h").select("id", "row", "len", "item", "m", "p"), f"leak-hits-{k}")
-        enough = hits.groupBy("id", "row", "item").agg(F.countDistinct("p").alias("c"), F.first("m").alias("m")).filter(F.col("c") >= need)
+        enough = hits.groupBy("id", "row", "item", "len").agg(F.countDistinct("p").alias("c"), F.min("m").alias("m")).filter(F.col("c") >= need)
         enough = enough.select(F.col("id").alias("i_"), F.col("row").alias("r_"), F.col("item").alias("t_"))
         hits = hits.join(enough, F.col("id").eqNullSafe(F.col("i_")) & (F.col("row") == F.col("r_")) & F.col("item").eqNullSafe(F.col("t_")), "left_semi")
-        first, last = F.greatest(F.col("p") - F.col("m") + 1, F.lit(0)), F.least(F.col("p"), F.col("len") - (k - 1) - F.col("m"))
-        starts = hits.filter(first <= last).select("id", "row", "item", "m", "p", F.explode(F.sequence(first, last)).alias("start"))
-        starts = starts.groupBy("id", "row", "item", "m", "start").agg(F.countDistinct("p").alias("c")).filter(F.col("c") >= need)
-        windows = starts.groupBy("id", "row").agg(F.collect_set(F.struct("start", "m")).alias("windows"))  # few in a document
+        first, last = F.greatest(F.col("p") - F.col("m") + 1, F.lit(0)), F.least(F.col("p"), F.greatest(F.col("len") - (k - 1) - F.col("m"), F.lit(0)))
+        starts = hits.select("id", "row", "len", "item", "m", "p", F.explode(F.sequence(first, last)).alias("start"))
+        starts = starts.groupBy("id", "row", "len", "item", "m", "start").agg(F.countDistinct("p").alias("c")).filter(F.col("c") >= need)
+        whole = F.col("len") - (k - 1) < F.col("m")  # the text is shorter than the item, and one window
+        of = F.when(whole, F.col("item")).alias("of")
+        windows = starts.groupBy("id", "row").agg(F.collect_set(F.struct("start", "m", whole.alias("whole"), of)).alias("windows"))  # few in a document
         windows = materialize(windows.select(F.col("id").alias("i_"), F.col("row").alias("r_"), "windows"), f"leak-windows-{k}")
-        size = windows.agg(F.sum(24 + 8 * F.size("windows"))).first()[0] or 0
+        size = windows.agg(F.sum(24 + 32 * F.size("windows"))).first()[0] or 0
         texts = keyed.join(F.broadcast(windows) if size <= broadcast_bytes else windows, F.col("id").eqNullSafe(F.col("i_")) & (F.col("row") == F.col("r_")))
         texts = texts.select("id", "row", "t", "windows").dropDuplicates(["id", "row"]).withColumn("w", words(F.col("t")))
         cut = texts.select("id", "w", F.explode("windows").alias("x")).select(
-            "id", F.col("x.start").alias("start"), F.expr(f"slice(w, x.start + 1, x.m + {k - 1})").alias("w"))
-        printed = cut.withColumn("h", shingle_hashes("w", k)).withColumn("fp", simhash("h")).select("id", "start", "w", "fp")
+            "id", F.col("x.start").alias("start"), F.expr(f"slice(w, x.start + 1, x.m + {k - 1})").alias("w"), "x.whole", "x.of", (F.col("x.m") + (k - 1)).alias("n"))
+        short = cut.filter("whole").select("id", "start", "of", F.col("n").alias("most"), "w")
+        short = short.join(side(own.select("item", "n", F.col("w").alias("iw"))), F.col("of").eqNullSafe(F.col("item")) & (F.col("most") == F.col("n")))
+        printed = cut.filter("NOT whole").withColumn("h", shingle_hashes("w", k)).withColumn("fp", simhash("h")).select("id", "start", "w", "fp")
         probes = printed.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block_")) \
             .withColumn("value", block_value("fp", F.col("block_"), width)).withColumn("len", F.size("w"))
         index = own.select("item", F.col("w").alias("iw"), F.col("n").alias("len"), simhash("h").alias("ifp")) \
@@ -110,8 +115,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, s
             .select("*", block_value("ifp", F.col("block_"), width).alias("own"), F.explode(F.array(*map(F.lit, flips(width, radius // blocks)))).alias("flip")) \
             .select("item", "iw", "len", "ifp", "block_", F.col("own").bitwiseXOR(F.col("flip")).alias("value"))
         near = probes.join(index, ["len", "block_", "value"]).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius)
-        pairs = near.select("id", "start", "item", "len", "w", "iw").distinct()
-        strings = lambda c: F.expr(f"transform(sequence(1, len - {k - 1}), i -> concat_ws(' ', slice({c}, i, {k})))")
+        pairs = near.select("id", "start", "item", "w", "iw").unionByName(short.select("id", "start", "item", "w", "iw")).distinct().withColumn("len", F.size("w"))
+        strings = lambda c: F.expr(f"transform(sequence(1, size({c}) - {k - 1}), i -> concat_ws(' ', slice({c}, i, {k})))")
         scored = pairs.withColumn("a", strings("w")).withColumn("b", strings("iw")).withColumn("common", weighted_overlap("a", "b"))
         score = F.col("common") / (F.size("a") + F.size("b") - F.col("common"))
         found.append(scored.select("id", "item", "start", "len", score.alias("s")).filter(F.col("s") >= similarity))

@@ -222,6 +222,43 @@ def test_leaks_equal_brute_force(spark, edge_docs, no_docs):
     assert decontam.find_leaks(no_docs, bench).count() == 0 and decontam.find_leaks(df, bench.limit(0)).count() == 0
 
 
+def brute_short_leaks(docs, items, shingle=5, least=0.8):
+    """Similarity of whole texts to the items that have more words."""
+    from collections import Counter
+
+    found = {}
+    for d, t in docs:
+        for i, x in items:
+            w, v = norm(t), norm(x)
+            k = min(shingle, len(v))
+            if len(w) < len(v):
+                a, b = (Counter(tuple(u[j : j + k]) for j in range(len(u) - k + 1)) for u in (w, v))
+                sim = sum((a & b).values()) / sum((a | b).values())
+                if sim >= least:
+                    found[d, i] = (round(max(found.get((d, i), (0,))[0], sim), 9), 0, len(w))
+    return found
+
+
+def test_texts_shorter_than_the_item_leak(spark):
+    w = [f"Item{i % 37}" for i in range(60)]
+    few = "one two three four five six seven eight nine".split()
+    items = [(1, " ".join(w)), (2, " ".join(few)), (3, "tiny one"), (None, "a null id item of nine words is here"), (5, "same six words in an item"), (5, "same six words in an item too")]
+    cuts = [w[1:], w[:-1], w[2:], w[5:-4], w[6:-6], w[:49], w[:30] + w[31:], ["x"] + w[1:-1], few[1:], few[:-1], few[1:-1], few[:4], few[:2] + few[3:], ["tiny"],
+            "null id item of nine words is here".split(), "same six words in an".split(), "same six words in an item".split(), []]
+    docs = [(i, " ".join(c)) for i, c in enumerate(cuts)] + [(3, None), (None, " ".join(w[1:])), (0, " ".join(w[1:]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = {k: x for k, x in brute_short_leaks(docs, items).items() if k not in brute_leaks(docs, items)}
+    assert {(0, 1), (2, 1), (8, 2), (14, None), (None, 1)} <= want.keys()
+    for limit in (8 << 20, 0):
+        got = {(d, i): (round(s, 9), a, n) for d, i, s, a, n in rows(
+            decontam.find_leaks(df, bench, broadcast_bytes=limit), "doc_id", "item_id", "similarity", "start", "n_words")}
+        assert {k: x for k, x in got.items() if k in want} == want
+        assert {k: x[0] for k, x in got.items() if k not in want} == brute_leaks(docs, items)
+    left = {d for d, in rows(decontam.drop_leaks(df, bench), "doc_id")}
+    assert left == {d for d, _ in docs} - {d for d, _ in got}
+
+
 def test_simhash_radius_loses_no_block():
     for width, most in ((8, 2), (16, 1)):
         masks = decontam.flips(width, most)
