@@ -47,6 +47,8 @@ LAST = np.iinfo(np.int64).max
 BROADCAST = 96 << 20
 #: Bytes of a gram's hash that travel; equal hashes of different grams only send more strings to the sort.
 WIDTH = 5
+#: Bytes of text whose anchors one part takes at most on average: some 2.4 million, 210 MB of memory.
+PART_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -382,12 +384,13 @@ def find_repeats(rows: DataFrame, plan: Plan) -> DataFrame:
 
 
 def default_plan(docs: DataFrame, length: int = 50) -> Plan:
-    """One part for each shuffle partition; anchors of about half the length.
+    """One part for each ``PART_BYTES`` of text, at least one for each shuffle partition; anchors of about half the length.
 
     Batches grow with the parts, so that a batch has at least some 150 anchors
     for each part.
     """
-    parts = max(2, shuffle_partitions(docs.sparkSession))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(2, shuffle_partitions(docs.sparkSession), -(-size // PART_BYTES))
     return Plan(length=length, gram=max(1, length // 2 - 1), parts=parts, batch_bytes=max(Plan.batch_bytes, 2048 * parts))
 
 

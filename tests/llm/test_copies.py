@@ -152,6 +152,16 @@ def test_surroundings_of_equal_40_bit_hashes_stay(spark):
     assert sorted(got) == sorted(brute_repeats(docs, 50)) and sum(r[2] for r in got) == 76
 
 
+def test_parts_grow_with_the_texts(spark, no_docs, monkeypatch):
+    docs = spark.createDataFrame([(1, "é" * 500), (2, None), (3, "x" * 24)], "doc_id long, text string")
+    least = substrings.default_plan(no_docs).parts
+    assert substrings.default_plan(docs).parts == least == max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    monkeypatch.setattr(substrings, "PART_BYTES", 10)
+    assert substrings.default_plan(docs).parts == max(least, 103)
+    monkeypatch.setattr(substrings, "PART_BYTES", 1)
+    assert substrings.default_plan(docs).parts == 1024
+
+
 def test_cut_texts_keeps_other_columns(spark, edge_docs):
     cut = substrings.cut_texts(edge_docs)
     assert cut.columns == edge_docs.columns and cut.count() == edge_docs.count()
