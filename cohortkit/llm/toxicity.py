@@ -1,9 +1,12 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Small transducers read the classes of a clause's words: insult, threat, target,
-negation and reported speech.  They run in step as one composed machine, which
-weighs a match by its context: an insult counts more beside a target, less when
-negated, less in reported speech; a threat counts only with a target.  The sum
+A clause's words have classes: insult, threat, target, negation and reported
+speech.  Memories of negation, report and target run in step as one composed
+machine, and one of targets backwards; they weigh a match by its context: an
+insult counts more beside a target, less when negated, less in reported speech.
+A threat has a fixed weight, counts only if its clause has a target, less when
+negated, and as much in reported speech.  There is no insult or threat machine:
+these are classes of single words, and a lone insult has its full weight.  The sum
 over matched clauses, capped by no list of isolated words, becomes a score by a
 logistic curve.
 
