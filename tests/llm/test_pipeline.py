@@ -15,7 +15,7 @@ from tests.llm.test_copies import brute_components, brute_leaks, brute_repeats
 
 def test_all_queries_are_registered():
     names = list(__spark_entry__.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and [s for s, _ in corpus_pipeline.STAGES] == ["quality", "near_copies", "repeated_text", "benchmark", "packing"]
 
