@@ -98,6 +98,39 @@ def median_of_counts(values: DataFrame, keys: Sequence[str], out: str = "median"
     return both.select(*keys, ((a + b).cast("double") * F.lit(0.5)).alias(out), count_col)
 
 
+def values_at_ranks(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``targets`` (``keys``, ``k`` and any other columns) with ``value``, the ``k``-th smallest of its group (``k`` from 1).
+
+    ``values`` is a ``counted`` table.  All targets are resolved in one search:
+    each pass counts the rows of 65,536 ranges within the ranges still wanted and
+    places every rank by one ordered window over these counts.  The first pass
+    takes the leading bits that tell the smallest value from the largest, so
+    narrow data needs fewer passes; one row (both ends) is read for that.
+    """
+    keys = list(keys)
+    low, high = values.agg(F.min("__v"), F.max("__v")).first()
+    spare = 0 if low is None else max(0, (high - low).bit_length() - 16)
+    names, state, outer = targets.columns, targets.withColumn("__k", F.col("k")), None
+    for shift in [*range(spare, 0, -16), 0]:
+        inside = values.withColumn("__node", F.shiftright("__v", shift))
+        parent = []
+        if outer is not None:
+            parent = ["__parent"]
+            inside = inside.withColumn("__parent", F.shiftright("__v", outer))
+            wanted = state.select(*[F.col(c).alias(f"{c}__w") for c in [*keys, *parent]]).distinct()
+            inside = inside.join(wanted, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{c}__w")) for c in [*keys, *parent]]), "left_semi")
+        ranges = inside.groupBy(*keys, *parent, "__node").agg(F.sum("__n").cast("long").alias("__c"))
+        up_to = Window.partitionBy(*keys, *parent).orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        before = F.sum("__c").over(Window.partitionBy(*keys, *parent).orderBy("__node").rowsBetween(Window.unboundedPreceding, -1))
+        starts = ranges.select(*keys, *parent, F.struct(F.coalesce(before, F.lit(0)).alias("before"), "__node").alias("__r")).withColumn("__at", F.col("__r.before") + 1)
+        asked = state.select(*keys, *parent, F.struct(*names, "__k").alias("__t"), F.col("__k").alias("__at"), F.lit(1).alias("__kind"))
+        mixed = starts.withColumn("__kind", F.lit(0)).unionByName(asked, allowMissingColumns=True)
+        placed = mixed.withColumn("__r", F.max("__r").over(up_to)).filter("__kind = 1")
+        state = placed.select(*[F.col(f"__t.{c}").alias(c) for c in names], (F.col("__t.__k") - F.col("__r.before")).alias("__k"), F.col("__r.__node").alias("__parent"))
+        outer = shift
+    return state.select(*names, F.col("__parent").alias("value"))
+
+
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median", count_col: str = "n") -> DataFrame:
     """Interpolated median per group (same as ``median``) of an integral column.
 

@@ -1,193 +1,100 @@
-"""Resampled noise baselines, all replicates in one job.
-
-Replicate draws come from ``sha256(row id || ':' || block)``: each digest
-holds eight 32-bit draws, one per replicate of the block.  Deterministic,
-reproducible by any SQL engine with ``sha256``, and evaluated inside each
-task, so the shuffle carries only partial aggregates per block and task,
-never the rows; all replicates run in one job.
+"""Resampled noise baselines from counts: no row is drawn, copied or shuffled for a replicate.
+
+A rate needs only how many hits an equal-size draw holds, a hypergeometric count
+of three numbers.  A median needs only which rank of the population the middle of
+a draw has, and that has a closed law too (``functions.draws``).  So the data is
+read once, whatever the number of replicates: aggregated to one row for a rate,
+counted by value for a median, whose ranks are then looked up together.  Every
+draw follows from the SHA-256 of the replicate's number, so any SQL engine can
+repeat it.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortkit.functions.draws import hypergeometric, sample_rank
 from cohortkit.functions.numeric import pct, round_half_up_ratio
-from cohortkit.operators.quantiles import counted, median_of_counts
+from cohortkit.operators.quantiles import counted, values_at_ranks
 
-TWO_32 = 4294967296
-SLOTS = 8  # 32-bit draws per SHA-256 digest (64 hex digits)
 
+def _replicates(df: DataFrame, reps: int) -> DataFrame:
+    return df.sparkSession.range(1, reps + 1).select(F.col("id").alias("rep"))
 
-def block_digest(id_col: Column | str, block_col: Column | str) -> Column:
-    """``sha256(id || ':' || block)`` as 64 lowercase hex digits."""
-    i = F.col(id_col) if isinstance(id_col, str) else id_col
-    b = F.col(block_col) if isinstance(block_col, str) else block_col
-    return F.sha2(F.concat(i.cast("string"), F.lit(":"), b.cast("string")), 256)
 
+def bootstrap_rate(tagged: DataFrame, cohort_col: str, observed: str, population: str, flag: Column, reps: int = 1000) -> DataFrame:
+    """How often a random draw from cohort ``population`` reaches the flag rate of cohort ``observed``.
 
-def slot_hex(digest: Column, slot: int) -> Column:
-    """Draw ``slot`` (0..7) of a block: 8 hex digits, i.e. a uniform 32-bit number.
-
-    Replicate ``r`` (1-based) uses block ``(r-1) div 8`` and slot ``(r-1) % 8``.
-    Fixed-width lowercase hex compares like the number it encodes.
+    Each replicate takes exactly as many rows as ``observed`` has (all, if there
+    are fewer), without replacement; the number of hits among them is drawn from
+    its exact law.  Rates are compared as DECIMAL products.
     """
-    return F.substring(digest, SLOTS * slot + 1, 8)
-
-
-def hex32(value: Column) -> Column:
-    """A number in [0, 2**32) as 8 lowercase hex digits, for comparison with ``slot_hex``."""
-    return F.lpad(F.lower(F.hex(value)), 8, "0")
-
-
-def _blocks(reps: int) -> int:
-    return (reps + SLOTS - 1) // SLOTS
-
-
-def _draws(rows: DataFrame, reps: int) -> DataFrame:
-    """``rows`` (with ``__id``) once for each replicate: ``rep`` and its ``draw`` (8 hex digits)."""
-    blocks = (rows.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(_blocks(reps) - 1))))
-              .withColumn("__h", block_digest("__id", "__block")))
-    slots = F.explode(F.array(*[F.struct(F.lit(j).alias("slot"), slot_hex(F.col("__h"), j).alias("draw"))
-                                for j in range(SLOTS)])).alias("__s")
-    return (blocks.select(*rows.columns, "__block", slots)
-            .select(*rows.columns, (F.col("__block") * SLOTS + F.col("__s.slot") + 1).alias("rep"), F.col("__s.draw").alias("draw"))
-            .filter(F.col("rep") <= reps))
+    is_in, is_out, hit = F.col(cohort_col) == observed, F.col(cohort_col) == population, F.coalesce(flag, F.lit(False))
+    size = tagged.agg(F.count_if(is_in).alias("observed_total"), F.count_if(is_in & hit).alias("observed_n"),
+                      F.count_if(is_out).alias("total"), F.count_if(is_out & hit).alias("hits"))
+    s = size.select(F.struct("*", F.least("observed_total", "total").alias("take")).alias("s")).scalar()
+    drawn = _replicates(tagged, reps).withColumn("s", s).select("rep", "s.*")
+    drawn = drawn.withColumn("k", hypergeometric("total", "hits", "take", "'rate'", "rep"))
+    wide = lambda c: F.col(c).cast("decimal(19,0)")
+    reach = (F.col("take") > 0) & (wide("k") * wide("observed_total") >= wide("observed_n") * wide("take"))
+    out = drawn.agg(F.count(F.lit(1)).alias("reps"), F.count_if(reach).alias("reach"), F.sum("take").cast("bigint").alias("drawn_rows"),
+                    F.max("observed_total").alias("observed_total"), F.max("observed_n").alias("observed_n"))
+    return out.select("reps", "observed_total", "observed_n", pct("observed_n", "observed_total").alias("observed_pct"),
+                      "drawn_rows", "reach", round_half_up_ratio("reach", "reps", 4).alias("reach_share"))
 
 
-def _ranked(rows: DataFrame, size: DataFrame, reps: int) -> DataFrame:
-    """Rows of each replicate in draw order: ``rep, draw, __id, n, hits, rank`` (``rank``: rows up to here).
+def _middles(df: DataFrame, n: str) -> DataFrame:
+    """Each row once for each rank (from 1) that the median of ``n`` values needs: one if ``n`` is odd, else two."""
+    return df.withColumn("k", F.explode(F.array_distinct(F.array(F.expr(f"({n} - 1) div 2 + 1"), F.expr(f"{n} div 2 + 1")))))
 
-    ``size`` is one row ``(take, total)``.  The replicate's last row lies
-    near the share ``take / total`` of all draws: rows far below it (8
-    standard deviations) are one aggregated row without a draw, rows far
-    above are left out, and only those between are ranked one by one.
-    """
-    q, total = F.col("take") / F.col("total"), F.col("total").cast("double")
-    spread = 8 * F.sqrt(q / total) + 16 / total
-    cut = lambda x: hex32(F.least(F.greatest(x * TWO_32, F.lit(0.0)), F.lit(float(TWO_32 - 1))).cast("bigint"))
-    bounds = size.select(F.struct(cut(q - spread).alias("low"), cut(q + spread).alias("high")).alias("b")).scalar()
-    near = _draws(rows.withColumn("__b", bounds), reps).filter(F.col("draw") <= F.col("__b.high"))
-    alone = F.col("draw") >= F.col("__b.low")
-    grouped = (near.groupBy("rep", F.when(alone, F.col("draw")).alias("draw"), F.when(alone, F.col("__id")).alias("__id"))
-               .agg(F.count(F.lit(1)).alias("n"), F.count_if("__flag").alias("hits")))
-    w = Window.partitionBy("rep").orderBy(F.asc_nulls_first("draw"), F.asc_nulls_first("__id")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return grouped.withColumn("rank", F.sum("n").over(w))
-
-
-def _sizes(tagged: DataFrame, cohort_col: str, observed: str, population: str, *more: Column) -> DataFrame:
-    """One row: rows of both cohorts, and how many a draw takes (the observed number, or all if there are fewer)."""
-    is_in, is_out = F.col(cohort_col) == observed, F.col(cohort_col) == population
-    row = tagged.agg(F.count_if(is_in).alias("observed_total"), F.count_if(is_out).alias("total"), *more)
-    return row.withColumn("take", F.least("observed_total", "total"))
-
-
-def bootstrap_rate(tagged: DataFrame, cohort_col: str, observed: str, population: str, id_col: str,
-                   flag: Column, reps: int = 1000) -> DataFrame:
-    """How often a random draw from cohort ``population`` reaches the flag rate of cohort ``observed``.
 
-    Each replicate takes exactly as many rows as ``observed`` has, without
-    replacement: those with the smallest draws, ties by id.  The shuffle
-    carries one aggregated row per replicate and task, and the few rows near
-    the replicate's last one.  Rates are compared as DECIMAL products.
-    """
-    hit = F.coalesce(flag, F.lit(False))
-    size = _sizes(tagged, cohort_col, observed, population, F.count_if((F.col(cohort_col) == observed) & hit).alias("observed_n"))
-    rows = tagged.filter(F.col(cohort_col) == population).select(F.col(id_col).alias("__id"), hit.alias("__flag"))
-    sc = size.select(F.struct("take", "observed_total", "observed_n").alias("s")).scalar()
-    drawn = (_ranked(rows, size, reps).withColumn("__s", sc).filter(F.col("rank") <= F.col("__s.take"))
-             .groupBy("rep").agg(F.sum("n").cast("bigint").alias("d"), F.sum("hits").cast("bigint").alias("k")))
-    all_reps = tagged.sparkSession.range(1, reps + 1).select(F.col("id").alias("rep"))
-    per_rep = (all_reps.join(drawn, "rep", "left")
-               .select("rep", F.coalesce("d", F.lit(0)).alias("d"), F.coalesce("k", F.lit(0)).alias("k")).withColumn("__s", sc))
-    wide = lambda c: c.cast("decimal(19,0)")
-    obs_total, obs_n = F.col("__s.observed_total"), F.col("__s.observed_n")
-    reach = (F.col("d") > 0) & (wide(F.col("k")) * wide(obs_total) >= wide(obs_n) * wide(F.col("d")))
-    out = per_rep.agg(F.count(F.lit(1)).alias("reps"), F.count_if(reach).alias("reach"),
-                      F.sum("d").cast("bigint").alias("drawn_rows"),
-                      F.max(obs_total).alias("observed_total"), F.max(obs_n).alias("observed_n"))
-    return out.select("reps", "observed_total", "observed_n",
-                      pct("observed_n", "observed_total").alias("observed_pct"),
-                      "drawn_rows", "reach", round_half_up_ratio("reach", "reps", 4).alias("reach_share"))
+def _median_of(picked: DataFrame, *by: str) -> DataFrame:
+    """``by, m`` from one or two middle ``value`` of each."""
+    both = picked.groupBy(*by).agg(F.min("value").cast("decimal(38,0)").alias("a"), F.max("value").cast("decimal(38,0)").alias("b"))
+    return both.select(*by, ((F.col("a") + F.col("b")).cast("double") * F.lit(0.5)).alias("m"))
 
 
-def median_baseline(tagged: DataFrame, cohort_col: str, observed: str, population: str, id_col: str, value_col: str,
-                    reps: int = 1000) -> DataFrame:
+def median_baseline(tagged: DataFrame, cohort_col: str, observed: str, population: str, value_col: str, reps: int = 1000) -> DataFrame:
     """How often the median of an equal-size random draw from ``population`` reaches the median of ``observed``.
 
-    ``value_col`` is integral; its nulls take no part.  The draws are those
-    of ``bootstrap_rate``: a first pass finds each replicate's last row, a
-    second counts the values up to it, and all medians come from one rank
-    search over these counts.
+    ``value_col`` is integral; its nulls take no part.  The values of both cohorts
+    are counted once.  Each replicate draws the population ranks of its middle
+    values (one or two, of one sample), and all ranks are looked up together.
+    Without rows in either cohort there is no replicate.
     """
-    known = tagged.filter(F.col(value_col).isNotNull())
-    size = _sizes(known, cohort_col, observed, population)
-    rows = (known.filter(F.col(cohort_col) == population)
-            .select(F.col(id_col).alias("__id"), F.lit(False).alias("__flag"), F.col(value_col).cast("long").alias("__v")))
-    take = size.select("take").scalar()
-    last = (_ranked(rows.drop("__v"), size, reps).withColumn("__t", take).filter(F.col("rank") >= F.col("__t"))
-            .groupBy("rep").agg(F.min(F.struct("rank", "draw", "__id")).alias("last")))  # one row a replicate
-    last = last.select("rep", F.col("last.draw").alias("__draw"), F.col("last.__id").alias("__last"))
-    j = _draws(rows, reps).join(last, "rep")
-    drawn = j.filter((F.col("draw") < F.col("__draw")) | ((F.col("draw") == F.col("__draw")) & (F.col("__id") <= F.col("__last"))))
-    own = known.filter(F.col(cohort_col) == observed).select(F.lit(0).alias("rep"), F.col(value_col).cast("long").alias("__v"))
-    medians = median_of_counts(counted(drawn.select("rep", "__v").unionByName(own), ["rep"]), ["rep"], "m", "n")
-    mine = medians.filter(F.col("rep") == 0).select(F.struct("m", "n").alias("s")).scalar()
-    draws = medians.filter(F.col("rep") > 0).withColumn("__s", mine)
-    out = draws.agg(F.count(F.lit(1)).alias("reps"), F.max("__s.n").alias("observed_n"), F.max("__s.m").alias("observed_median"),
-                    F.sum("n").cast("bigint").alias("drawn_rows"), F.count_if(F.col("m") >= F.col("__s.m")).alias("reach"))
+    side = F.when(F.col(cohort_col) == observed, 0).when(F.col(cohort_col) == population, 1)
+    known = tagged.select(side.alias("side"), F.col(value_col).cast("long").alias("__v")).filter(F.col("side").isNotNull() & F.col("__v").isNotNull())
+    values = counted(known, ["side"])
+    n_in, n_out = (F.coalesce(F.sum(F.when(F.col("side") == i, F.col("__n"))), F.lit(0)) for i in (0, 1))
+    s = values.agg(n_in.cast("long").alias("n"), n_out.cast("long").alias("total")).select(F.struct("n", "total", F.least("n", "total").alias("take")).alias("s")).scalar()
+    own = _replicates(tagged, 1).select(F.lit(0).alias("side"), F.lit(0).cast("long").alias("rep")).withColumn("s", s).select("side", "rep", "s.*").filter("n > 0")
+    drawn = _replicates(tagged, reps).withColumn("s", s).select(F.lit(1).alias("side"), "rep", "s.*").filter("take > 0")
+    ranks = _middles(own, "n").select("side", "rep", "k").unionByName(
+        _middles(drawn, "take").select("side", "rep", sample_rank("total", "take", "k", False, "'median'", "rep").alias("k")))
+    medians = _median_of(values_at_ranks(values, ranks, ["side"]), "side", "rep")
+    mine = medians.filter("rep = 0").select("m").scalar()
+    out = medians.filter("rep > 0").withColumn("__m", mine).withColumn("__s", s).agg(
+        F.count(F.lit(1)).alias("reps"), F.max("__s.n").alias("observed_n"), F.max("__m").alias("observed_median"),
+        F.sum("__s.take").cast("bigint").alias("drawn_rows"), F.count_if(F.col("m") >= F.col("__m")).alias("reach"))
     return out.withColumn("reach_share", round_half_up_ratio("reach", "reps", 4))
 
 
-def poisson_cuts(lam: float = 1.0) -> list[int]:
-    """The 32-bit numbers from which the Poisson(``lam``) count of a uniform 32-bit draw is 1, 2, ...
+def bootstrap_median(cell: DataFrame, value_col: str, reps: int = 200, ci: tuple[float, float] = (0.025, 0.975)) -> DataFrame:
+    """Bootstrap interval of one cell's median: each replicate draws as many rows as the cell has, with replacement.
 
-    The list ends where a further count has less than one draw out of 2**32.
-    """
-    cuts, cdf, p, k = [], 0.0, math.exp(-lam), 0
-    while True:
-        cdf += p
-        cut = int(cdf * TWO_32)
-        if cut >= TWO_32 - 1 or (cuts and cut == cuts[-1]):
-            return cuts
-        cuts.append(cut)
-        k += 1
-        p *= lam / k
-
-
-def poisson_weight(draw_hex: Column, lam: float = 1.0) -> Column:
-    """Poisson(``lam``) count by inverse CDF of a uniform 32-bit draw given as 8 hex digits."""
-    w = F.lit(0)
-    for cut in poisson_cuts(lam):
-        w = w + F.when(draw_hex >= F.lit(f"{cut:08x}"), 1).otherwise(0)
-    return w
-
-
-def bootstrap_median(cell: DataFrame, id_col: str, value_col: str, reps: int = 200,
-                     ci: tuple[float, float] = (0.025, 0.975)) -> DataFrame:
-    """Poisson-bootstrap interval of one cell's median (exact weighted median per replicate).
-
-    ``value_col`` is integral.  The weights are added up per replicate and
-    value and written once; all medians, the cell's own among them, come
-    from one rank search over these counts (``quantiles``), so no task holds
-    a replicate's values.  The band is taken over ``reps`` medians.
+    ``value_col`` is integral; its nulls take no part.  The values are counted
+    once; a replicate splits its draws binomially down a tree of rank ranges to
+    the ranks of its middle values, and all ranks are looked up together.
     """
-    rows = (cell.select(F.col(id_col).alias("__id"), F.col(value_col).cast("long").alias("__v"))
-            .filter(F.col("__v").isNotNull()))
-    blocks = (rows.select("__id", "__v", F.explode(F.sequence(F.lit(0), F.lit(_blocks(reps) - 1))).alias("block"))
-              .withColumn("__h", block_digest("__id", "block")))
-    slots = F.explode(F.array(*[F.struct(F.lit(j).alias("slot"), poisson_weight(slot_hex(F.col("__h"), j)).alias("w"))
-                                for j in range(SLOTS)])).alias("s")
-    drawn = (blocks.select("__v", "block", slots)
-             .select((F.col("block") * SLOTS + F.col("s.slot") + 1).alias("rep"), "__v", F.col("s.w").alias("__w"))
-             .filter((F.col("rep") <= reps) & (F.col("__w") > 0)))
-    own = rows.select(F.lit(0).alias("rep"), "__v", F.lit(1).alias("__w"))  # replicate 0 is the cell itself
-    medians = median_of_counts(counted(drawn.unionByName(own), ["rep"], "__w"), ["rep"], "m", "n")
+    values = counted(cell.select(F.col(value_col).cast("long").alias("__v")).filter("__v IS NOT NULL"), [])
+    n = values.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long")).scalar()
+    own = _replicates(cell, 1).select(F.lit(0).cast("long").alias("rep"), n.alias("n"))
+    drawn = _replicates(cell, reps).withColumn("n", n)
+    ranks = _middles(own.filter("n > 0"), "n").select("rep", "n", "k").unionByName(
+        _middles(drawn.filter("n > 0"), "n").select("rep", "n", sample_rank("n", "n", "k", True, "'cell'", "rep").alias("k")))
+    medians = _median_of(values_at_ranks(values, ranks, []), "rep", "n")
     own_row, draw = F.col("rep") == 0, F.col("rep") > 0
-    return medians.agg(F.max(F.when(own_row, F.col("m"))).alias("median"), F.max(F.when(own_row, F.col("n"))).alias("n"),
-                       F.count_if(draw).alias("reps"),
+    return medians.agg(F.max(F.when(own_row, F.col("m"))).alias("median"), F.max("n").alias("n"), F.count_if(draw).alias("reps"),
                        F.percentile(F.when(draw, F.col("m")), ci[0]).alias("ci_low"),
                        F.percentile(F.when(draw, F.col("m")), ci[1]).alias("ci_high"))

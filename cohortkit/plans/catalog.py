@@ -264,6 +264,18 @@ def clean_audit(spark, base):
     return a.unionByName(b)
 
 
+@query("clean_write_audit")
+def clean_write_audit(spark, base):
+    """The clean tables are written and audited in one pass each; the rows read back join the audit."""
+    orders, raw = scratch_path(spark, "orders-clean"), scratch_path(spark, "series-clean")
+    a = rules.write_clean(fx.dirty_orders(spark, base), fx.order_rules(), "orders_dirty", orders,
+                          checks={"all_null_measures": rules.all_null(["a", "b"])})
+    b = rules.write_clean(fx.raw_series(spark, base), series.series_rules(), "series_raw", raw, then=series.decode)
+    back = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("value")).select(F.lit(d).alias("dataset"), F.lit("written_row_count").alias("metric"), "value")
+            for d, p in (("orders_dirty", orders), ("series_raw", raw))]
+    return a.unionByName(b).unionByName(back[0]).unionByName(back[1])
+
+
 # ---------------------------------------------------------------- lookups, bridge
 def _items(spark, base):
     return L(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
@@ -655,7 +667,7 @@ BOOTSTRAP_REPS = 200
 def bootstrap_rate(spark, base):
     from cohortkit.operators import resample
 
-    return resample.bootstrap_rate(_tagged(spark, base), "cohort", cohort.IN_LABEL, cohort.OUT_LABEL, "o_orderkey",
+    return resample.bootstrap_rate(_tagged(spark, base), "cohort", cohort.IN_LABEL, cohort.OUT_LABEL,
                                    F.col("o_orderstatus") == "F", reps=DRAWS)
 
 
@@ -663,8 +675,8 @@ def bootstrap_rate(spark, base):
 def bootstrap_median_baseline(spark, base):
     from cohortkit.operators import resample
 
-    t = _tagged(spark, base).select("o_orderkey", "cohort", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
-    return resample.median_baseline(t, "cohort", cohort.IN_LABEL, cohort.OUT_LABEL, "o_orderkey", "cents", reps=DRAWS)
+    t = _tagged(spark, base).select("cohort", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    return resample.median_baseline(t, "cohort", cohort.IN_LABEL, cohort.OUT_LABEL, "cents", reps=DRAWS)
 
 
 @query("bootstrap_median")
@@ -672,8 +684,8 @@ def bootstrap_median(spark, base):
     from cohortkit.operators import resample
 
     t = _tagged(spark, base).filter((F.col("cohort") == cohort.IN_LABEL) & (F.col("o_orderpriority") == "1-URGENT"))
-    cell = t.select("o_orderkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
-    r = resample.bootstrap_median(cell, "o_orderkey", "cents", reps=BOOTSTRAP_REPS)
+    cell = t.select(F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    r = resample.bootstrap_median(cell, "cents", reps=BOOTSTRAP_REPS)
     # reported in cents precision (dollars, 2 places)
     return r.select(F.lit(cohort.IN_LABEL).alias("cohort"), F.lit("1-URGENT").alias("level"), "n", "reps",
                     F.round(F.col("median") / 100, 2).alias("median"), F.round(F.col("ci_low") / 100, 2).alias("ci_low"),

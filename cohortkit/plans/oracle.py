@@ -256,6 +256,12 @@ q("clean_audit", _audit_sql(DIRTY_ORDERS, "orders_dirty",
              [("non_target_series", f"NOT COALESCE(series_id IN ({lit_list(SERIES_IDS)}), false)"),
               ("period_m13", "NOT COALESCE(period <> 'M13', false)")]))
 
+q("clean_write_audit", f"""
+WITH a AS ({SQL["clean_audit"]})
+SELECT dataset, metric, value FROM a
+UNION ALL SELECT dataset, 'written_row_count', value FROM a WHERE metric = 'final_row_count'
+UNION ALL SELECT 'orders_dirty', 'all_null_measures', 0""")
+
 # ---------------------------------------------------------------- lookups, bridge
 q("lookup_left_join", "SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_type, p.p_brand FROM lineitem l "
   "LEFT JOIN part p ON l.l_partkey = p.p_partkey")
@@ -505,63 +511,83 @@ s AS (SELECT st.set_name, j.cohort, COUNT(*) AS set_n FROM j JOIN ({_sets}) st O
 SELECT s.set_name, s.cohort, tot.total, s.set_n, {pct('s.set_n', 'tot.total')} AS set_pct
 FROM s JOIN tot USING (cohort)""")
 R = 200
-# Equal-size draws: in each replicate the rows with the smallest 32-bit draws, ties by id.
-_DRAWN = """
-reps AS (SELECT range AS rep FROM range(1, 1001)),
-blocks AS (SELECT p.*, b.range AS block, sha256(CAST(p.o_orderkey AS VARCHAR) || ':' || CAST(b.range AS VARCHAR)) AS h
-           FROM pop p, range(0, 125) b),
-d AS (SELECT blocks.*, block * 8 + j.range + 1 AS rep, substr(h, CAST(8 * j.range + 1 AS INTEGER), 8) AS draw FROM blocks, range(0, 8) j),
-r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY rep ORDER BY draw, o_orderkey) AS rank FROM d),
-taken AS (SELECT * FROM r WHERE rank <= (SELECT observed_total FROM obs))"""
-q("bootstrap_rate", f"""
-WITH t AS ({TAGGED}),
-obs AS (SELECT COUNT(*) AS observed_total, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS observed_n
-        FROM t WHERE cohort = 'flagged'),
-pop AS (SELECT o_orderkey, COALESCE(o_orderstatus = 'F', false) AS flag FROM t WHERE cohort = 'rest'), {_DRAWN},
-per AS (SELECT reps.rep, COUNT(taken.rep) AS d, COUNT(*) FILTER (WHERE taken.flag) AS k
-        FROM reps LEFT JOIN taken ON reps.rep = taken.rep GROUP BY reps.rep)
-SELECT COUNT(*) AS reps, (SELECT observed_total FROM obs) AS observed_total, (SELECT observed_n FROM obs) AS observed_n,
-       {pct('(SELECT observed_n FROM obs)', '(SELECT observed_total FROM obs)')} AS observed_pct,
-       CAST(SUM(d) AS BIGINT) AS drawn_rows,
-       COUNT(*) FILTER (WHERE d > 0 AND k * (SELECT observed_total FROM obs) >= (SELECT observed_n FROM obs) * d) AS reach,
-       {ratio('COUNT(*) FILTER (WHERE d > 0 AND k * (SELECT observed_total FROM obs) >= (SELECT observed_n FROM obs) * d)', 'COUNT(*)', 4)} AS reach_share
-FROM per""")
-q("bootstrap_median_baseline", f"""
-WITH t AS (SELECT o_orderkey, cohort, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM ({TAGGED}) WHERE o_totalprice IS NOT NULL),
-obs AS (SELECT COUNT(*) AS observed_total, median(cents) AS m FROM t WHERE cohort = 'flagged'),
-pop AS (SELECT o_orderkey, cents FROM t WHERE cohort = 'rest'), {_DRAWN},
-per AS (SELECT rep, COUNT(*) AS d, median(cents) AS m FROM taken GROUP BY rep)
-SELECT COUNT(*) AS reps, (SELECT observed_total FROM obs) AS observed_n, (SELECT m FROM obs) AS observed_median,
-       CAST(SUM(d) AS BIGINT) AS drawn_rows, COUNT(*) FILTER (WHERE m >= (SELECT m FROM obs)) AS reach,
-       {ratio('COUNT(*) FILTER (WHERE m >= (SELECT m FROM obs))', 'COUNT(*)', 4)} AS reach_share
-FROM per""")
 
-# Cumulative Poisson(1) probabilities in units of 2**-32: a draw at or above the k-th is k at least.
-POISSON_CUTS = ["5e2d58d8", "bc5ab1b1", "eb715e1d", "fb239797", "ff1025f5", "ffd90f3b", "fffa8b71", "ffff540c", "ffffed1f",
-                "fffffe21", "ffffffd4", "fffffffc"]
 
+def _u(*parts: str) -> str:
+    """A uniform number from the first 13 hex digits of a hash."""
+    return f"('0x' || substr(sha256(concat_ws(':', {', '.join(parts)})), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE"
+
+
+def _choose(n: str, k: str) -> str:
+    return f"(lgamma({n} + 1) - lgamma({k} + 1) - lgamma({n} - {k} + 1))"
 
-def _poisson_sql(hex_expr: str) -> str:
-    return " + ".join(f"CASE WHEN {hex_expr} >= '{c}' THEN 1 ELSE 0 END" for c in POISSON_CUTS)
 
+# Outward order from the mode: mode, mode + 1, mode - 1, mode + 2, ..
+_OUTWARD = "2 * abs(x - mode) - (x > mode)::INT"
 
-_draw_hex = ("substr(sha256(CAST(c.id AS VARCHAR) || ':' || CAST((r.rep - 1) // 8 AS VARCHAR)), "
-             "8 * ((r.rep - 1) % 8) + 1, 8)")
+
+def _sample_ranks(start: str, mode: str, low: str, high: str, weight: str, seed: str) -> str:
+    """Ranks ``r`` (from 1) of ``start`` (rep, low, size, held, k): halve the ranks, draw the sampled rows of the lower half.
+
+    ``mode``, ``low``, ``high`` and ``weight`` (a logarithm) give the law of x among ``held`` for the half ``g`` of ``size``.
+    """
+    return f"""
+halved AS (
+  SELECT rep, k AS want, low, size, held, k FROM ({start})
+  UNION ALL
+  SELECT rep, want, IF(k <= h, low, low + g), IF(k <= h, g, size - g), IF(k <= h, h, held - h), IF(k <= h, k, k - h) FROM (
+    SELECT rep, want, low, size, held, k, g, arg_min(x, place) FILTER (u * total < upto) AS h FROM (
+      SELECT *, sum(p) OVER (PARTITION BY rep, want ORDER BY place) AS upto, sum(p) OVER (PARTITION BY rep, want) AS total FROM (
+        SELECT *, {_OUTWARD} AS place, exp({weight}) AS p FROM (
+          SELECT *, unnest(range(greatest({low}, mode - far), least({high}, mode + far) + 1)) AS x FROM (
+            SELECT *, {mode} AS mode, (9 * sqrt(held) / 2)::BIGINT + 40 AS far, {_u(seed, 'rep', 'low', 'size')} AS u
+            FROM (SELECT *, size // 2 AS g FROM halved WHERE size > 1)))))
+    GROUP BY ALL)),
+ranks AS (SELECT rep, want, low + 1 AS r FROM halved WHERE size <= 1)"""
+
+
+_WITHOUT_REPLACEMENT = dict(
+    mode="((held + 1) * (g + 1) // (size + 2))", low="greatest(0, held + g - size)", high="least(held, g)",
+    weight=f"{_choose('g', 'x')} + {_choose('(size - g)', '(held - x)')} - {_choose('size', 'held')}")
+_WITH_REPLACEMENT = dict(
+    mode="((held + 1) * g // size)", low="0", high="held", weight=f"{_choose('held', 'x')} + x * ln(g / size) + (held - x) * ln((size - g) / size)")
+q("bootstrap_rate", f"""
+WITH t AS ({TAGGED}),
+s AS (SELECT *, least(observed_total, total) AS take FROM (
+        SELECT COUNT(*) FILTER (WHERE cohort = 'flagged') AS observed_total, COUNT(*) FILTER (WHERE cohort = 'flagged' AND o_orderstatus = 'F') AS observed_n,
+               COUNT(*) FILTER (WHERE cohort = 'rest') AS total, COUNT(*) FILTER (WHERE cohort = 'rest' AND o_orderstatus = 'F') AS hits FROM t)),
+law AS (SELECT x, {_OUTWARD} AS place, exp({_choose('hits', 'x')} + {_choose('(total - hits)', '(take - x)')} - {_choose('total', 'take')}) AS p
+        FROM (SELECT *, (take + 1) * (hits + 1) // (total + 2) AS mode, unnest(range(greatest(0, take + hits - total), least(take, hits) + 1)) AS x FROM s)),
+steps AS (SELECT x, place, sum(p) OVER (ORDER BY place) AS upto, sum(p) OVER () AS total FROM law),
+per AS (SELECT rep, arg_min(x, place) AS k FROM (SELECT range AS rep, {_u("'rate'", 'range')} AS u FROM range(1, 1001)) JOIN steps ON u * total < upto GROUP BY rep)
+SELECT COUNT(*) AS reps, MAX(observed_total) AS observed_total, MAX(observed_n) AS observed_n,
+       {pct('MAX(observed_n)', 'MAX(observed_total)')} AS observed_pct, SUM(take)::BIGINT AS drawn_rows,
+       COUNT(*) FILTER (WHERE take > 0 AND k * observed_total >= observed_n * take) AS reach,
+       {ratio('COUNT(*) FILTER (WHERE take > 0 AND k * observed_total >= observed_n * take)', 'COUNT(*)', 4)} AS reach_share
+FROM per, s""")
+q("bootstrap_median_baseline", f"""
+WITH RECURSIVE t AS (SELECT cohort, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM ({TAGGED}) WHERE o_totalprice IS NOT NULL),
+s AS (SELECT *, least(n, total) AS take FROM (
+        SELECT COUNT(*) FILTER (WHERE cohort = 'flagged') AS n, COUNT(*) FILTER (WHERE cohort = 'rest') AS total,
+               median(cents) FILTER (WHERE cohort = 'flagged') AS m FROM t)),
+pop AS (SELECT cents, ROW_NUMBER() OVER (ORDER BY cents) AS r FROM t WHERE cohort = 'rest'),
+{_sample_ranks("SELECT range AS rep, 0::BIGINT AS low, total AS size, take AS held, unnest(list_distinct([(take - 1) // 2 + 1, take // 2 + 1])) AS k FROM range(1, 1001), s WHERE take > 0",
+               seed="'median'", **_WITHOUT_REPLACEMENT)},
+per AS (SELECT rep, (MIN(cents) + MAX(cents)) / 2.0 AS m FROM ranks JOIN pop USING (r) GROUP BY rep)
+SELECT COUNT(*) AS reps, MAX(s.n) AS observed_n, MAX(s.m) AS observed_median, SUM(take)::BIGINT AS drawn_rows,
+       COUNT(*) FILTER (WHERE per.m >= s.m) AS reach, {ratio('COUNT(*) FILTER (WHERE per.m >= s.m)', 'COUNT(*)', 4)} AS reach_share
+FROM per, s""")
 q("bootstrap_median", f"""
-WITH cell AS (SELECT o_orderkey AS id, CAST(round(o_totalprice * 100) AS BIGINT) AS x FROM ({TAGGED})
-              WHERE cohort = 'flagged' AND o_orderpriority = '1-URGENT' AND o_totalprice IS NOT NULL),
-reps AS (SELECT range AS rep FROM range(1, {R + 1})),
-w AS (SELECT r.rep, c.x, {_poisson_sql(_draw_hex)} AS w FROM cell c, reps r),
-agg AS (SELECT rep, x, SUM(w) AS w FROM w WHERE w > 0 GROUP BY rep, x),
-cum AS (SELECT rep, x, SUM(w) OVER (PARTITION BY rep ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cw,
-               SUM(w) OVER (PARTITION BY rep) AS total FROM agg),
-pos AS (SELECT DISTINCT rep, (total - 1) // 2 AS p_lo, total // 2 AS p_hi FROM cum),
-m AS (SELECT p.rep, (MIN(c.x) FILTER (WHERE c.cw > p.p_lo) + MIN(c.x) FILTER (WHERE c.cw > p.p_hi)) / 2.0 AS m
-      FROM pos p JOIN cum c ON c.rep = p.rep GROUP BY p.rep)
-SELECT 'flagged' AS cohort, '1-URGENT' AS level, (SELECT COUNT(*) FROM cell) AS n, COUNT(*) AS reps,
-       ROUND((SELECT median(x) FROM cell) / 100, 2) AS median,
-       ROUND(quantile_cont(m, 0.025) / 100, 2) AS ci_low, ROUND(quantile_cont(m, 0.975) / 100, 2) AS ci_high
-FROM m""")
+WITH RECURSIVE cell AS (SELECT CAST(round(o_totalprice * 100) AS BIGINT) AS x FROM ({TAGGED})
+                        WHERE cohort = 'flagged' AND o_orderpriority = '1-URGENT' AND o_totalprice IS NOT NULL),
+s AS (SELECT COUNT(*) AS n, median(x) AS m FROM cell),
+pop AS (SELECT x AS cents, ROW_NUMBER() OVER (ORDER BY x) AS r FROM cell),
+{_sample_ranks(f"SELECT range AS rep, 0::BIGINT AS low, n AS size, n AS held, unnest(list_distinct([(n - 1) // 2 + 1, n // 2 + 1])) AS k FROM range(1, {R + 1}), s WHERE n > 0",
+               seed="'cell'", **_WITH_REPLACEMENT)},
+per AS (SELECT rep, (MIN(cents) + MAX(cents)) / 2.0 AS m FROM ranks JOIN pop USING (r) GROUP BY rep)
+SELECT 'flagged' AS cohort, '1-URGENT' AS level, MAX(s.n) AS n, COUNT(*) AS reps, ROUND(MAX(s.m) / 100, 2) AS median,
+       ROUND(quantile_cont(per.m, 0.025) / 100, 2) AS ci_low, ROUND(quantile_cont(per.m, 0.975) / 100, 2) AS ci_high
+FROM per, s""")
 q("fuzzy_key_match", f"""
 WITH d AS ({DIRTY_CUSTOMERS}),
 k AS (SELECT DISTINCT {KEY} AS key FROM d WHERE {KEY} IS NOT NULL AND {KEY} <> ''),

@@ -10,7 +10,7 @@ the raw inputs are all-string frames as read by ``sources.read_quoted_csv``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortkit.functions import clean
@@ -36,10 +36,10 @@ SERIES_HEADER = ["series_id", "year", "period", "value", "footnote_codes"]
 POSTING_NUMERICS = ["min_salary", "max_salary", "med_salary", "normalized_salary", "views", "applies"]
 
 
-def clean_postings(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(postings, audit)``: derived columns, typed numerics, the two ordered drop rules."""
+def typed_postings(raw: DataFrame) -> DataFrame:
+    """Derived columns and typed numerics of the raw postings."""
     df = raw.select(*POSTING_COLUMNS)
-    df = df.select(
+    return df.select(
         *[c for c in POSTING_COLUMNS if c not in POSTING_NUMERICS + ["remote_allowed", "zip_code"]],
         *[clean.to_double(c).alias(c) for c in POSTING_NUMERICS],
         clean.to_flag("remote_allowed").alias("remote_allowed"),
@@ -49,33 +49,57 @@ def clean_postings(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         clean.epoch_millis_to_date("original_listed_time").alias("listed_date"),
         clean.canonical_key("company_name").alias("company_normalized"),
     )
-    rs = [rules.Rule("min_salary_gt_max_salary", rules.inverted_range("min_salary", "max_salary")),
-          rules.Rule("normalized_salary_out_of_bounds", rules.out_of_bounds("normalized_salary", *SALARY_BOUNDS))]
-    return rules.clean_with_audit(df, rs, "postings_clean")
 
 
-def clean_layoffs(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(layoffs, audit)``: lenient date and numbers, company key, drop rows with both measures NULL."""
-    df = raw.select(*LAYOFF_COLUMNS).select(
+def posting_rules() -> list[rules.Rule]:
+    return [rules.Rule("min_salary_gt_max_salary", rules.inverted_range("min_salary", "max_salary")),
+            rules.Rule("normalized_salary_out_of_bounds", rules.out_of_bounds("normalized_salary", *SALARY_BOUNDS))]
+
+
+def clean_postings(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(postings, audit)``: derived columns, typed numerics, the two ordered drop rules."""
+    return rules.clean_with_audit(typed_postings(raw), posting_rules(), "postings_clean")
+
+
+def typed_layoffs(raw: DataFrame) -> DataFrame:
+    """Lenient date and numbers and the company key of the raw layoff events."""
+    return raw.select(*LAYOFF_COLUMNS).select(
         "company", "location", clean.to_int("total_laid_off").alias("total_laid_off"),
         clean.parse_date("date").alias("date"), clean.to_double("percentage_laid_off").alias("percentage_laid_off"),
         "industry", "stage", "country", clean.canonical_key("company").alias("company_normalized"))
-    rs = [rules.Rule("both_laid_off_fields_null", rules.all_null(["total_laid_off", "percentage_laid_off"]))]
-    return rules.clean_with_audit(df, rs, "layoffs_clean")
+
+
+def layoff_rules() -> list[rules.Rule]:
+    return [rules.Rule("both_laid_off_fields_null", rules.all_null(["total_laid_off", "percentage_laid_off"]))]
+
+
+def clean_layoffs(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(layoffs, audit)``: lenient date and numbers, company key, drop rows with both measures NULL."""
+    return rules.clean_with_audit(typed_layoffs(raw), layoff_rules(), "layoffs_clean")
+
+
+def _skill_pairs(job_skills: DataFrame, skills: DataFrame) -> DataFrame:
+    """``job_id, skill_abr, skill_name`` with the joined ``rows`` of the pair and how many of them are ``named``."""
+    joined = job_skills.select("job_id", "skill_abr").join(skills.select("skill_abr", "skill_name"), "skill_abr", "left")
+    return joined.groupBy("job_id", "skill_abr").agg(
+        F.min("skill_name").alias("skill_name"), F.count(F.lit(1)).alias("rows"), F.count("skill_name").alias("named"))
+
+
+def _skill_counts() -> list[Column]:
+    kept = F.count_if(F.col("named") > 0)
+    return [F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("post_join_row_count"),
+            F.coalesce(F.sum("rows") - F.sum("named"), F.lit(0)).cast("bigint").alias("dropped_orphaned_skill_codes"),
+            F.coalesce(F.sum("named") - kept, F.lit(0)).cast("bigint").alias("dropped_duplicate_job_skill_pairs"), kept.alias("row_count")]
+
+
+def _bridge(pairs: DataFrame) -> DataFrame:
+    return pairs.filter(F.col("named") > 0).drop("rows", "named")
 
 
 def clean_skills(job_skills: DataFrame, skills: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(bridge, audit)``: lookup join, orphan codes dropped, one row per (job_id, skill_abr)."""
-    joined = job_skills.select("job_id", "skill_abr").join(skills.select("skill_abr", "skill_name"), "skill_abr", "left")
-    kept = joined.filter(F.col("skill_name").isNotNull())
-    bridge = kept.groupBy("job_id", "skill_abr").agg(F.min("skill_name").alias("skill_name"))
-    audit = (joined.groupBy("job_id", "skill_abr")
-             .agg(F.count(F.lit(1)).alias("rows"), F.count("skill_name").alias("named"))
-             .agg(F.sum("rows").cast("bigint").alias("post_join_row_count"),
-                  (F.sum("rows") - F.sum("named")).cast("bigint").alias("dropped_orphaned_skill_codes"),
-                  (F.sum("named") - F.count_if(F.col("named") > 0)).cast("bigint")
-                  .alias("dropped_duplicate_job_skill_pairs"),
-                  F.count_if(F.col("named") > 0).alias("row_count")))
+    pairs = _skill_pairs(job_skills, skills)
+    bridge, audit = _bridge(pairs), pairs.agg(*_skill_counts())
     stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value"))
                                   for c in audit.columns])).alias("m")
     return bridge, audit.select(stacked).select(F.lit("skills_clean").alias("dataset"), "m.metric", "m.value")
@@ -87,6 +111,24 @@ def clean_series(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return series.decode(rules.apply_rules(raw, rs)), rules.audit(raw, rs, "series_clean")
 
 
+def write_clean_tables(raw: dict[str, DataFrame], out_dir: str) -> tuple[dict[str, str], dict[str, DataFrame]]:
+    """Write the four clean tables below ``out_dir``; ``(paths, audits)`` by table name.
+
+    Each raw table is scanned once: its audit is gathered by the job that
+    writes it, the bridge's on its grouped pairs.
+    """
+    paths = {n: f"{out_dir}/{n}" for n in ("postings", "layoffs", "skills", "jolts")}
+    series_rules = series.series_rules()
+    audits = {
+        "postings": rules.write_clean(typed_postings(raw["postings"]), posting_rules(), "postings_clean", paths["postings"]),
+        "layoffs": rules.write_clean(typed_layoffs(raw["layoffs"]), layoff_rules(), "layoffs_clean", paths["layoffs"]),
+        "jolts": rules.write_clean(raw["jolts"], series_rules, "series_clean", paths["jolts"], then=series.decode),
+    }
+    seen = Observation()
+    sinks.write_parquet(_bridge(_skill_pairs(raw["job_skills"], raw["skills"]).observe(seen, *_skill_counts())), paths["skills"])
+    return paths, audits | {"skills": rules.observed_rows(raw["skills"], "skills_clean", seen)}
+
+
 def tag_postings(postings: DataFrame, layoffs: DataFrame) -> DataFrame:
     """Postings with ``subcohort``; aliases applied on the postings side; NULL keys removed."""
     p = keys.apply_aliases(postings, "company_normalized", keys.REFERENCE_ALIASES)
@@ -202,10 +244,9 @@ def run(spark: SparkSession, postings_csv: str, job_skills_csv: str, skills_csv:
     raw = {"postings": read_postings(spark, postings_csv), "layoffs": files.read_quoted_csv(spark, layoffs_csv),
            "job_skills": files.read_quoted_csv(spark, job_skills_csv), "skills": files.read_quoted_csv(spark, skills_csv),
            "jolts": read_jolts(spark, series_files)}
-    cleaned = {"postings": clean_postings(raw["postings"]), "layoffs": clean_layoffs(raw["layoffs"]),
-               "skills": clean_skills(raw["job_skills"], raw["skills"]), "jolts": clean_series(raw["jolts"])}
-    paths = {f"parquet/{name}": sinks.write_parquet(df, f"{out_dir}/parquet/{name}") for name, (df, _) in cleaned.items()}
-    postings, layoffs, bridge, jolts = (spark.read.parquet(paths[f"parquet/{n}"]) for n in ("postings", "layoffs", "skills", "jolts"))
+    written, audits = write_clean_tables(raw, f"{out_dir}/parquet")
+    paths = {f"parquet/{name}": path for name, path in written.items()}
+    postings, layoffs, bridge, jolts = (spark.read.parquet(written[n]) for n in ("postings", "layoffs", "skills", "jolts"))
     profiles = {"postings": profile_postings(raw["postings"]), "layoffs": profile_layoffs(raw["layoffs"]),
                 "skills": profile_skills(raw["job_skills"], raw["skills"]), "jolts": profile_series(raw["jolts"])}
     tagged = tag_postings(postings, layoffs)
@@ -215,7 +256,7 @@ def run(spark: SparkSession, postings_csv: str, job_skills_csv: str, skills_csv:
 
     tables = {
         **{f"profiles/{n}": (p, ["dataset", "column", "metric"]) for n, p in profiles.items()},
-        **{f"audits/{n}": (audit, ["metric"]) for n, (_, audit) in cleaned.items()},
+        **{f"audits/{n}": (audit, ["metric"]) for n, audit in audits.items()},
         "diagnostics/join_hit_rate": (join_diagnostic(postings, layoffs), ["position"]),
         "results/median_salary_by_level": (median_salary_by_level(tagged), ["experience_level", "subcohort"]),
         "results/experience_level_share": (experience_level_share(counts("formatted_experience_level"), "n"), ["experience_level", "subcohort"]),

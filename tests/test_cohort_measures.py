@@ -111,5 +111,5 @@ def test_bootstrap_rate_survives_totals_beyond_32_bits(spark):
     # totals are multiplied in DECIMAL; the same expression with these factors overflows BIGINT
     wide = spark.sql("SELECT (CAST(4294967296 AS DECIMAL(20, 0)) * CAST(5000000000 AS DECIMAL(18, 0))) div 7000000000 AS t").first()[0]
     assert wide == 4294967296 * 5000000000 // 7000000000
-    r = resample.bootstrap_rate(big, "cohort", "in", "out", "id", F.lit(True), reps=16).first()
+    r = resample.bootstrap_rate(big, "cohort", "in", "out", F.lit(True), reps=16).first()
     assert (r["reps"], r["observed_total"], r["observed_n"]) == (16, 1, 1)

@@ -70,3 +70,33 @@ def test_profile_approx_distinct_close_to_exact(spark):
     assert exact == {"k": 5000, "s": 1}
     # approx_count_distinct has a 5 % relative standard deviation by default: allow 3 sigma
     assert abs(approx["k"] - 5000) <= 750 and approx["s"] == 1
+
+
+def test_one_pass_writes_and_counts(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tests.conftest import plan_text
+
+    src = str(tmp_path / "raw")
+    spark.range(1000).selectExpr("id", "IF(id % 7 = 0, 5.0, 1.0) AS lo", "IF(id % 3 = 0, NULL, 2.0) AS hi", "id * 1000.0 AS v").write.parquet(src)
+    df = spark.read.parquet(src)
+    rs = [rules.Rule("inverted", rules.inverted_range("lo", "hi")), rules.Rule("bounds", rules.out_of_bounds("v", 10000, 900000))]
+    clean, _ = rules.observed_rules(df, rs)
+    plan = plan_text(clean, "simple")
+    assert plan.count("FileScan") == 1 and plan.count("CollectMetrics") == 1 and "Exchange" not in plan and "Aggregate" not in plan
+    out = str(tmp_path / "clean")
+    a = rules.write_clean(df, rs, "t", out, then=lambda d: d.withColumn("w", F.col("v") * 2), checks={"no_hi": F.col("hi").isNull()})
+    got = {m: v for _, m, v in rows(a)}
+    want = {m: v for _, m, v in rows(rules.audit(df, rs, "t"))}
+    back = spark.read.parquet(out)
+    assert got == want | {"no_hi": back.filter("hi IS NULL").count()} and back.columns == ["id", "lo", "hi", "v", "w"]
+    assert sorted(rows(back.drop("w"))) == sorted(rows(rules.apply_rules(df, rs))) and len(rows(back)) == got["final_row_count"] > 0
+
+
+def test_one_pass_of_nothing_and_of_nothing_left(spark, tmp_path):
+    rs = [rules.Rule("all", rules.not_in("c", ["x"]))]
+    for name, df in (("none", spark.createDataFrame([], "c string")), ("left", spark.createDataFrame([("a",), (None,)], "c string"))):
+        n = df.count()
+        got = {m: v for _, m, v in rows(rules.write_clean(df, rs, name, str(tmp_path / name)))}
+        assert got == {"raw_row_count": n, "final_row_count": 0, "dropped_all": n, "total_dropped": n}
+        assert spark.read.parquet(str(tmp_path / name)).columns == ["c"]
