@@ -29,22 +29,21 @@ def let(name: str, value: str, body: str) -> str:
 
 
 def _walk(law: str, low: str, high: str, mode: str, deviation: str, up: str, down: str, u: str) -> str:
-    """``up`` and ``down`` are the ratios of the weights at ``x + 1`` and ``x - 1`` to the one at ``x``; they are 0 at the support's ends."""
-    higher, lower = up.replace("{x}", "(m.mode + i - 1)"), down.replace("{x}", "(m.mode - i + 1)")
-    return let("q", law, let("m", f"""named_struct(
-             'mode', greatest({low}, least({high}, {mode})), 'span', {high} - {low},
-             'far', least({high} - {low}, CAST(9 * {deviation} + 30 AS BIGINT)))""",
+    """``up`` and ``down`` are the ratios of the weights at ``x + 1`` and ``x - 1`` to the one at ``x``; they are 0 at the support's ends.
+
+    ``a`` and ``b`` are the weights of the places that the next step visits.
+    """
+    higher, lower = (f"(s.{w} * {r})" for w, r in (("a", up.replace("{x}", "(m.mode + i)")), ("b", down.replace("{x}", "(m.mode - i)"))))
+    start = f"'a', {up.replace('{x}', 'm.mode')}, 'b', {down.replace('{x}', 'm.mode')}"
+    weight = f"""aggregate(steps, named_struct('sum', 1.0D, {start}),
+                 (s, i) -> named_struct('sum', s.sum + s.a + s.b, 'a', {higher}, 'b', {lower}), s -> s.sum)"""
+    return let("q", law, let("m", f"""named_struct('mode', greatest({low}, least({high}, {mode})), 'far', least({high} - {low}, CAST(9 * {deviation} + 12 AS BIGINT)))""",
              let("steps", "CASE WHEN m.far > 0 THEN sequence(1L, m.far) ELSE CAST(array() AS ARRAY<BIGINT>) END", f"""
-      aggregate(steps,
-        named_struct('left', {u} * aggregate(steps, named_struct('sum', 1.0D, 'a', 1.0D, 'b', 1.0D),
-                       (s, i) -> {let('w', f"named_struct('a', s.a * {higher}, 'b', s.b * {lower})",
-                                      "named_struct('sum', s.sum + w.a + w.b, 'a', w.a, 'b', w.b)")}, s -> s.sum) - 1.0D,
-                     'x', m.mode, 'a', 1.0D, 'b', 1.0D),
-        (s, i) -> CASE WHEN s.left < 0 THEN s ELSE
-          {let('w', f"named_struct('a', s.a * {higher}, 'b', s.b * {lower})", '''
-            CASE WHEN s.left < w.a THEN named_struct('left', -1.0D, 'x', m.mode + i, 'a', w.a, 'b', w.b)
-                 WHEN s.left < w.a + w.b THEN named_struct('left', -1.0D, 'x', m.mode - i, 'a', w.a, 'b', w.b)
-                 ELSE named_struct('left', s.left - w.a - w.b, 'x', s.x, 'a', w.a, 'b', w.b) END''')} END,
+      aggregate(steps, named_struct('left', {u} * {weight} - 1.0D, 'x', m.mode, {start}),
+        (s, i) -> CASE WHEN s.left < 0 THEN s
+                       WHEN s.left < s.a THEN named_struct('left', -1.0D, 'x', m.mode + i, 'a', s.a, 'b', s.b)
+                       WHEN s.left < s.a + s.b THEN named_struct('left', -1.0D, 'x', m.mode - i, 'a', s.a, 'b', s.b)
+                       ELSE named_struct('left', s.left - s.a - s.b, 'x', s.x, 'a', {higher}, 'b', {lower}) END,
         s -> s.x)""")))
 
 
@@ -73,6 +72,26 @@ def hypergeometric(total: str, good: str, drawn: str, *key: str) -> Column:
     return F.expr(hypergeometric_sql(total, good, drawn, uniform_sql(*key)))
 
 
+def _descent(start: str, replace: bool, pair: bool, *key: str) -> str:
+    """Halve the ranks of ``start`` (low, size, held, k, h) until one is left, or for a ``pair`` until k and k + 1 part.
+
+    ``held`` sampled rows lie in the range; ``h`` is their number in its lower
+    half where the pair parts, else -1.
+    """
+    u = uniform_sql(*key, "s.low", "s.size")
+    half = "(s.size div 2)"
+    count = binomial_sql("s.held", half, "s.size", u) if replace else hypergeometric_sql("s.size", half, "s.held", u)
+    lower = f"named_struct('low', s.low, 'size', {half}, 'held', t, 'k', s.k, 'h', -1L)"
+    upper = f"named_struct('low', s.low + {half}, 'size', s.size - {half}, 'held', s.held - t, 'k', s.k - t, 'h', -1L)"
+    parted = "WHEN s.k = t THEN named_struct('low', s.low, 'size', s.size, 'held', s.held, 'k', s.k, 'h', t)" if pair else ""
+    return f"""aggregate(sequence(1, 63), {start},
+        (s, level) -> CASE WHEN s.size <= 1 OR s.h >= 0 THEN s ELSE {let('t', count, f'CASE {parted} WHEN s.k <= t THEN {lower} ELSE {upper} END')} END)"""
+
+
+def _range(low: str, size: str, held: str, k: str) -> str:
+    return f"named_struct('low', CAST({low} AS BIGINT), 'size', CAST({size} AS BIGINT), 'held', CAST({held} AS BIGINT), 'k', CAST({k} AS BIGINT), 'h', -1L)"
+
+
 def sample_rank(total: str, drawn: str, k: str, replace: bool, *key: str) -> Column:
     """The rank (from 1) in a population of ``total`` rows of the ``k``-th smallest of ``drawn`` sampled ones.
 
@@ -81,12 +100,17 @@ def sample_rank(total: str, drawn: str, k: str, replace: bool, *key: str) -> Col
     count, drawn for the key and the range, so all ``k`` of a key see one
     sample.  About the base-2 logarithm of ``total`` counts are drawn.
     """
-    u = uniform_sql(*key, "s.low", "s.size")
-    half = "(s.size div 2)"
-    count = binomial_sql("s.held", half, "s.size", u) if replace else hypergeometric_sql("s.size", half, "s.held", u)
-    lower = f"named_struct('low', s.low, 'size', {half}, 'held', h, 'k', s.k)"
-    upper = f"named_struct('low', s.low + {half}, 'size', s.size - {half}, 'held', s.held - h, 'k', s.k - h)"
-    return F.expr(f"""aggregate(sequence(1, 63),
-        named_struct('low', 0L, 'size', CAST({total} AS BIGINT), 'held', CAST({drawn} AS BIGINT), 'k', CAST({k} AS BIGINT)),
-        (s, level) -> CASE WHEN s.size <= 1 THEN s ELSE {let('h', count, f'CASE WHEN s.k <= h THEN {lower} ELSE {upper} END')} END,
-        s -> s.low + 1)""")
+    return F.expr(f"{_descent(_range('0', total, drawn, k), replace, False, *key)}.low + 1")
+
+
+def sample_middle_ranks(total: str, drawn: str, replace: bool, *key: str) -> Column:
+    """Array of the one or two ranks that the median of such a sample needs, as ``sample_rank`` gives them.
+
+    Two ranks share their way down to where they part.
+    """
+    one = f"{_descent(_range('0', total, drawn, f'({drawn} + 1) div 2'), replace, False, *key)}.low + 1"
+    below = _descent(_range("z.low", "z.size div 2", "z.h", "z.h"), replace, False, *key)
+    above = _descent(_range("z.low + z.size div 2", "z.size - z.size div 2", "z.held - z.h", "1"), replace, False, *key)
+    two = let("z", _descent(_range("0", total, drawn, f"{drawn} div 2"), replace, True, *key),
+              f"CASE WHEN z.h < 0 THEN array(z.low + 1, z.low + 1) ELSE array({below}.low + 1, {above}.low + 1) END")
+    return F.expr(f"CASE WHEN {drawn} % 2 = 1 THEN array({one}) ELSE {two} END")

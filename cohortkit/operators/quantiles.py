@@ -28,10 +28,14 @@ PASSES = 4
 def counted(values: DataFrame, keys: Sequence[str], weight: str | None = None) -> DataFrame:
     """``(keys, __v, __n)`` from ``(keys, __v[, weight])``, written to the shared folder and read back."""
     n = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
-    path = scratch_path(values.sparkSession, "counted-values")
-    table = values.groupBy(*keys, "__v").agg(n.alias("__n"))
+    return written(values.groupBy(*keys, "__v").agg(n.alias("__n")), "counted-values")
+
+
+def written(table: DataFrame, name: str) -> DataFrame:
+    """``table``, written to the shared folder and read back: what reads it several times computes it once."""
+    path = scratch_path(table.sparkSession, name)
     table.write.parquet(path)
-    return values.sparkSession.read.schema(table.schema).parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def _same(left: str, right: str, keys: Sequence[str]):
@@ -110,7 +114,8 @@ def values_at_ranks(values: DataFrame, targets: DataFrame, keys: Sequence[str])
     keys = list(keys)
     low, high = values.agg(F.min("__v"), F.max("__v")).first()
     spare = 0 if low is None else max(0, (high - low).bit_length() - 16)
-    names, state, outer = targets.columns, targets.withColumn("__k", F.col("k")), None
+    names, outer = targets.columns, None
+    state = written(targets, "wanted-ranks").withColumn("__k", F.col("k"))
     for shift in [*range(spare, 0, -16), 0]:
         inside = values.withColumn("__node", F.shiftright("__v", shift))
         parent = []

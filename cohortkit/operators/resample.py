@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.functions.draws import hypergeometric, sample_rank
+from cohortkit.functions.draws import hypergeometric, sample_middle_ranks
 from cohortkit.functions.numeric import pct, round_half_up_ratio
 from cohortkit.operators.quantiles import counted, values_at_ranks
 
@@ -44,9 +44,9 @@ def bootstrap_rate(tagged: DataFrame, cohort_col: str, observed: str, population
                       "drawn_rows", "reach", round_half_up_ratio("reach", "reps", 4).alias("reach_share"))
 
 
-def _middles(df: DataFrame, n: str) -> DataFrame:
-    """Each row once for each rank (from 1) that the median of ``n`` values needs: one if ``n`` is odd, else two."""
-    return df.withColumn("k", F.explode(F.array_distinct(F.array(F.expr(f"({n} - 1) div 2 + 1"), F.expr(f"{n} div 2 + 1")))))
+def _middles(n: int) -> Column:
+    """The ranks (from 1) that the median of ``n`` values needs: one if ``n`` is odd, else two."""
+    return F.array(*[F.lit(k).cast("long") for k in sorted({(n + 1) // 2, n // 2 + 1})])
 
 
 def _median_of(picked: DataFrame, *by: str) -> DataFrame:
@@ -61,22 +61,21 @@ def median_baseline(tagged: DataFrame, cohort_col: str, observed: str, populatio
     ``value_col`` is integral; its nulls take no part.  The values of both cohorts
     are counted once.  Each replicate draws the population ranks of its middle
     values (one or two, of one sample), and all ranks are looked up together.
-    Without rows in either cohort there is no replicate.
+    Without rows in one of the cohorts there is no replicate.
     """
     side = F.when(F.col(cohort_col) == observed, 0).when(F.col(cohort_col) == population, 1)
     known = tagged.select(side.alias("side"), F.col(value_col).cast("long").alias("__v")).filter(F.col("side").isNotNull() & F.col("__v").isNotNull())
     values = counted(known, ["side"])
-    n_in, n_out = (F.coalesce(F.sum(F.when(F.col("side") == i, F.col("__n"))), F.lit(0)) for i in (0, 1))
-    s = values.agg(n_in.cast("long").alias("n"), n_out.cast("long").alias("total")).select(F.struct("n", "total", F.least("n", "total").alias("take")).alias("s")).scalar()
-    own = _replicates(tagged, 1).select(F.lit(0).alias("side"), F.lit(0).cast("long").alias("rep")).withColumn("s", s).select("side", "rep", "s.*").filter("n > 0")
-    drawn = _replicates(tagged, reps).withColumn("s", s).select(F.lit(1).alias("side"), "rep", "s.*").filter("take > 0")
-    ranks = _middles(own, "n").select("side", "rep", "k").unionByName(
-        _middles(drawn, "take").select("side", "rep", sample_rank("total", "take", "k", False, "'median'", "rep").alias("k")))
-    medians = _median_of(values_at_ranks(values, ranks, ["side"]), "side", "rep")
-    mine = medians.filter("rep = 0").select("m").scalar()
-    out = medians.filter("rep > 0").withColumn("__m", mine).withColumn("__s", s).agg(
-        F.count(F.lit(1)).alias("reps"), F.max("__s.n").alias("observed_n"), F.max("__m").alias("observed_median"),
-        F.sum("__s.take").cast("bigint").alias("drawn_rows"), F.count_if(F.col("m") >= F.col("__m")).alias("reach"))
+    n, total = values.agg(*[F.coalesce(F.sum(F.when(F.col("side") == i, F.col("__n"))), F.lit(0)).cast("long") for i in (0, 1)]).first()
+    take = min(n, total)
+    own = _replicates(tagged, 1).filter(F.lit(n > 0)).select(F.lit(0).alias("side"), F.lit(0).cast("long").alias("rep"), F.explode(_middles(n)).alias("k"))
+    drawn = _replicates(tagged, reps).filter(F.lit(take > 0)).select(
+        F.lit(1).alias("side"), "rep", F.explode(sample_middle_ranks(f"{total}L", f"{take}L", False, "'median'", "rep")).alias("k"))
+    medians = _median_of(values_at_ranks(values, own.unionByName(drawn), ["side"]), "side", "rep")
+    both = medians.agg(F.max(F.when(F.col("rep") == 0, F.col("m"))).alias("observed_median"), F.collect_list(F.when(F.col("rep") > 0, F.col("m"))).alias("draws"))
+    reached = F.size(F.filter("draws", lambda m: m >= F.col("observed_median"))).cast("bigint")
+    done = F.size("draws").cast("bigint")
+    out = both.select(done.alias("reps"), F.lit(n).cast("long").alias("observed_n"), "observed_median", (done * take).alias("drawn_rows"), reached.alias("reach"))
     return out.withColumn("reach_share", round_half_up_ratio("reach", "reps", 4))
 
 
@@ -88,13 +87,11 @@ def bootstrap_median(cell: DataFrame, value_col: str, reps: int = 200, ci: tuple
     the ranks of its middle values, and all ranks are looked up together.
     """
     values = counted(cell.select(F.col(value_col).cast("long").alias("__v")).filter("__v IS NOT NULL"), [])
-    n = values.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long")).scalar()
-    own = _replicates(cell, 1).select(F.lit(0).cast("long").alias("rep"), n.alias("n"))
-    drawn = _replicates(cell, reps).withColumn("n", n)
-    ranks = _middles(own.filter("n > 0"), "n").select("rep", "n", "k").unionByName(
-        _middles(drawn.filter("n > 0"), "n").select("rep", "n", sample_rank("n", "n", "k", True, "'cell'", "rep").alias("k")))
-    medians = _median_of(values_at_ranks(values, ranks, []), "rep", "n")
+    n = values.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long")).first()[0]
+    own = _replicates(cell, 1).select(F.lit(0).cast("long").alias("rep"), F.explode(_middles(n)).alias("k"))
+    drawn = _replicates(cell, reps).select("rep", F.explode(sample_middle_ranks(f"{n}L", f"{n}L", True, "'cell'", "rep")).alias("k"))
+    medians = _median_of(values_at_ranks(values, own.unionByName(drawn).filter(F.lit(n > 0)), []), "rep")
     own_row, draw = F.col("rep") == 0, F.col("rep") > 0
-    return medians.agg(F.max(F.when(own_row, F.col("m"))).alias("median"), F.max("n").alias("n"), F.count_if(draw).alias("reps"),
+    return medians.agg(F.max(F.when(own_row, F.col("m"))).alias("median"), F.lit(n).cast("long").alias("n"), F.count_if(draw).alias("reps"),
                        F.percentile(F.when(draw, F.col("m")), ci[0]).alias("ci_low"),
                        F.percentile(F.when(draw, F.col("m")), ci[1]).alias("ci_high"))

@@ -52,6 +52,10 @@ def test_sampled_ranks_have_the_law_of_a_sample(spark, replace):
         every = list(combinations(range(1, total + 1), take))
     law = Counter((s[1], s[2]) for s in every)  # both middle ranks of one sample
     close(got, {x: c / len(every) for x, c in law.items()})
+    pairs = Counter(tuple(r) for (r,) in rows(spark.range(N).select(draws.sample_middle_ranks(f"{total}L", f"{take}L", replace, "'r'", "id"))))
+    assert pairs == got  # the two middle ranks share their way down
+    odd = spark.range(500).select(draws.sample_middle_ranks("9L", "5L", replace, "'o'", "id").alias("m"), draws.sample_rank("9L", "5L", "3L", replace, "'o'", "id").alias("r"))
+    assert all(m == [r] for m, r in rows(odd))
 
 
 def test_draws_of_large_counts_are_few_steps_wide(spark):
@@ -99,7 +103,7 @@ def test_baselines_without_rows(spark):
         m = resample.median_baseline(empty, "cohort", "in", "out", "v", reps=20).first()
         assert (m.reps, m.reach) == (0, 0)
     b = resample.bootstrap_median(t.limit(0), "v", reps=20).first()
-    assert (b.reps, b.n, b.median, b.ci_low) == (0, None, None, None)
+    assert (b.reps, b.n, b.median, b.ci_low) == (0, 0, None, None)
 
 
 def test_median_draws_equal_drawing_rows(spark):
