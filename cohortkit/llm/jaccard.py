@@ -12,15 +12,17 @@ Let a set have n tokens, of which a partner must share at least t.
   extended (2 d + 2 tokens, d the largest difference of linked sets) that the
   differing tokens cannot part all shared neighbours.
 
-Sets that share a key are compared.  First each set meets the hub of one of its
-keys, the set with the fewest tokens of its own; components of the links so
-found spare all comparisons within them.  Then sets of different components that
-share a key meet.  Pairs are refused by their sizes, by the tokens that no other
-set has, and by parity sketches, which never differ in more places than the sets
-do; what is left is verified on the sets of the whole texts.  So no link between
-components is lost, and a large group of near copies costs about its size.  Only
-sets that share frequent keys without being linked are tested in pairs, inside
-the join, by comparisons of a few words; such pairs leave no row.
+Sets that share a key are compared.  First every set meets the hub of each of its
+keys, the set with the fewest tokens of its own; components of the links so found
+spare all comparisons within them.  Then sets of different components that share
+a key meet.  Two sets meet at the first key of every run of keys that they share,
+so a pair of near copies meets a few times, not once a key.  Pairs are refused
+inside the join by their sizes, by the tokens that no other set has, and by parity
+sketches, which never differ in more places than the sets do; what is left is
+verified on the sets of the whole texts, which are made once for each class.  So no
+link between components is lost, and a large group of near copies costs about its
+size.  Only sets that share frequent keys without being linked are tested in
+pairs, by comparisons of a few words; such pairs leave no row.
 
 Empty and null texts and texts without words have an empty set, are linked with
 nothing and are their own component.  Texts with fewer than ``words`` words have
@@ -47,6 +49,8 @@ from .shingles import mix, odd_sketch, set_id, shingle_set, sketch_difference
 BROADCAST = 32 << 20
 #: Bits of the sketch that the join itself compares.
 BRIEF = 512
+#: Rows of an Arrow batch that a task hands back, so that neither side holds a large one.
+CHUNK = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -83,6 +87,13 @@ class Rule:
         return self.den * shared >= self.num * (len(a) + len(b) - shared)
 
 
+def chunks(arrays: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The columns as batches of at most ``CHUNK`` rows."""
+    whole = pa.RecordBatch.from_arrays(arrays, names=names)
+    for at in range(0, whole.num_rows, CHUNK):
+        yield whole.slice(at, CHUNK)
+
+
 def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
     """``df`` (a written table) with a broadcast hint, if its measured size allows one."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST else df
@@ -133,83 +144,105 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     return texts.select("cid", "text").mapInArrow(run, "cid binary, low binary").dropDuplicates(["cid"])
 
 
-def tokens(classes: DataFrame) -> DataFrame:
-    """``cid, token`` of the stored tokens."""
+def tokens(classes: DataFrame, owner: bool) -> DataFrame:
+    """``token`` of the stored tokens, with the ``sid`` that holds it if ``owner``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                low = [np.frombuffer(x, "<i8") for x in b.column(1).to_pylist()]
-                cid = b.column(0).take(pa.array(np.repeat(np.arange(len(low)), [len(x) for x in low])))
-                yield pa.RecordBatch.from_arrays([cid, pa.array(np.concatenate(low))], names=["cid", "token"])
+            for at in range(0, b.num_rows, 512):
+                low = [np.frombuffer(x, "<i8") for x in b.column(0).slice(at, 512).to_pylist()]
+                held = [pa.array(np.concatenate(low))]
+                if owner:
+                    held.append(b.column(1).slice(at, 512).take(pa.array(np.repeat(np.arange(len(low)), [len(x) for x in low]))))
+                yield from chunks(held, names)
 
-    return classes.select("cid", "low").mapInArrow(run, "cid binary, token long")
+    names = ["token", "sid"] if owner else ["token"]
+    return classes.select("low", *names[1:]).mapInArrow(run, "token long" + ", sid long" * owner)
 
 
 def classify(docs: DataFrame, classes: DataFrame, rule: Rule, frequent: int) -> tuple[DataFrame, DataFrame]:
-    """The classes with as many tokens as their prefixes need, and their frequent tokens (``cid, often``).
+    """The classes with as many tokens as their prefixes need, and their frequent tokens (``sid, often``).
 
     Where a set's stored tokens hold too few rare ones, the whole set is taken,
     and frequencies are counted again, until all prefixes are known.
     """
     while True:
-        counted = tokens(classes).groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > frequent)
+        counted = tokens(classes, False).groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > frequent)
         often = materialize(counted.select("token"), "frequent")
-        held = tokens(classes).join(small_side(often, 16), "token")
-        lists = materialize(held.groupBy("cid").agg(F.collect_list("token").alias("often")), "frequent-held")
+        held = tokens(classes, True).join(small_side(often, 16), "token")
+        lists = materialize(held.groupBy("sid").agg(F.collect_list("token").alias("often")), "frequent-held")
         release(often)
         prefix = F.col("n") - F.ceil(F.lit(rule.num) * F.col("n") / F.lit(rule.den)) + 1
         have = F.octet_length("low") / 8
-        lacking = classes.join(lists, "cid").filter((have < F.col("n")) & (have - F.size("often") < prefix))
-        lacking = materialize(lacking.select("cid", "rep", "n", "sketch", "brief"), "short-prefixes")
+        lacking = classes.join(lists, "sid").filter((have < F.col("n")) & (have - F.size("often") < prefix))
+        lacking = materialize(lacking.select("sid", "cid", "rep", "n", "sketch", "brief"), "short-prefixes")
         if lacking.isEmpty():
             release(lacking)
             return classes, lists
         more = lacking.join(whole_sets(docs, lacking.select("cid", "rep"), rule), "cid")
-        rest = classes.join(small_side(lacking.select("cid"), 40), "cid", "left_anti")
+        rest = classes.join(small_side(lacking.select("sid"), 16), "sid", "left_anti")
         old, classes = classes, materialize(rest.unionByName(more.select(*rest.columns)), "classes")
         release(old, lists, lacking)
 
 
 def own_tokens(classes: DataFrame) -> DataFrame:
-    """``cid, own``: how many of its tokens a class shares with no other class whose whole set is stored."""
+    """``sid, own``: how many of its tokens a class shares with no other class whose whole set is stored."""
     whole = classes.filter(F.octet_length("low") == 8 * F.col("n"))
-    once = tokens(whole).groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("cid").alias("cid")).filter("c = 1")
-    return once.groupBy("cid").agg(F.count(F.lit(1)).cast("int").alias("own"))
+    once = tokens(whole, True).groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("sid").alias("sid")).filter("c = 1")
+    return once.groupBy("sid").agg(F.count(F.lit(1)).cast("int").alias("own"))
 
 
-def keys(classes: DataFrame, lists: DataFrame, rule: Rule) -> DataFrame:
-    """``cid, n, most, key``: single rare tokens, and neighbouring frequent tokens where the prefix holds some.
+def keys(rows: DataFrame, rule: Rule, pairs: bool) -> DataFrame:
+    """``sid, n, most, key, prev``: single rare tokens, or neighbouring frequent tokens where the prefix holds some.
 
-    ``most`` bounds what the class can share with any other of the key: keys of
-    frequent tokens join whole stored sets, which lack the tokens of its own.
+    ``rows`` are classes with ``often`` and ``own``.  ``most`` bounds what the class
+    can share with any other of the key: keys of frequent tokens join whole stored
+    sets, which lack the tokens of its own.  ``prev`` is the key before this one.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out, most = [], []
-            for n, low, often, own in zip(*(b.column(i).to_pylist() for i in range(1, 5))):
-                s = np.frombuffer(low, "<u8")
-                p = rule.prefix(n)
-                pairs = s[:0]
-                if often is None:
-                    k = s[:p]
-                else:
-                    heavy = np.isin(s, np.array(often, np.int64).view(np.uint64))
-                    k = s[~heavy][:p]
-                    if len(k) < p and n - (own or 0) >= rule.least_shared(n):
-                        h = s[heavy][: 2 * rule.widest(n) + 2]
-                        pairs = mix(mix(h[:-1]) + h[1:]) if len(h) > 1 else mix(h + np.uint64(1))
-                out.append(np.concatenate([k, pairs]))
-                most.append(np.repeat([n, n - (own or 0)], [len(k), len(pairs)]))
-            if out:
-                at = pa.array(np.repeat(np.arange(len(out)), [len(k) for k in out]))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(at), b.column(1).take(at), pa.array(np.concatenate(most).astype(np.int32)), pa.array(np.concatenate(out).view(np.int64))],
-                    names=["cid", "n", "most", "key"])
-
-    rows = classes.select("cid", "n", "low").join(lists, "cid", "left").join(own_tokens(classes), "cid", "left")
-    return rows.select("cid", "n", "low", "often", "own").mapInArrow(run, "cid binary, n int, most int, key long")
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                out, most = [], []
+                for n, low, often, own in zip(*(part.column(i).to_pylist() for i in range(1, 5))):
+                    s = np.frombuffer(low, "<u8")
+                    p = rule.prefix(n)
+                    heavy = np.zeros(len(s), bool) if often is None else np.isin(s, np.array(often, np.int64).view(np.uint64))
+                    k, bound = s[~heavy][:p], n
+                    if pairs:
+                        h, bound = s[heavy][: 2 * rule.widest(n) + 2], n - (own or 0)
+                        wanted = len(k) < p and bound >= rule.least_shared(n)
+                        k = s[:0] if not wanted else mix(mix(h[:-1]) + h[1:]) if len(h) > 1 else mix(h + np.uint64(1))
+                    out.append(k)
+                    most.append(bound)
+                size = np.array([len(k) for k in out])
+                key = np.concatenate(out).view(np.int64)
+                head = np.zeros(len(key), bool)
+                head[(np.cumsum(size) - size)[size > 0]] = True
+                owner = pa.array(np.repeat(np.arange(len(out)), size))
+                yield from chunks([part.column(0).take(owner), part.column(1).take(owner), pa.array(np.repeat(np.array(most, np.int32), size)), pa.array(key),
+                                   pa.array(np.concatenate([key[:1], key[:-1]]), mask=head)], ["sid", "n", "most", "key", "prev"])
+
+    return rows.select("sid", "n", "low", "often", "own").mapInArrow(run, "sid long, n int, most int, key long, prev long")
+
+
+def shared_keys(classes: DataFrame, lists: DataFrame, rule: Rule) -> DataFrame:
+    """The keys that two classes or more have.
+
+    At most ``frequent`` classes have a single token, so a window counts these.  A
+    combination may be in any number of classes: its rows are counted by map-side
+    aggregates, and the counts are joined back, which adaptive execution may split.
+    """
+    rows = classes.select("sid", "n", "low").join(lists, "sid", "left").withColumn("own", F.lit(None).cast("int"))
+    single = keys(rows, rule, False).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("c > 1").drop("c")
+    rows = classes.select("sid", "n", "low").join(lists, "sid").join(own_tokens(classes), "sid", "left")
+    pairs = materialize(keys(rows, rule, True), "pair-keys")
+    several = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
+    brief = classes.select("sid", *(F.col("brief")[i].alias(f"s{i}") for i in range(BRIEF // 64)))
+    out = materialize(single.unionByName(pairs.join(several, "key").select(*single.columns)).join(brief, "sid"), "shared-keys")
+    release(pairs)
+    return out
 
 
 def may_link(rule: Rule):
@@ -225,6 +258,12 @@ def brief_differences(rule: Rule):
     return places <= size - 2 * F.ceil(size * rule.num / F.lit(rule.num + rule.den) - 1e-9)
 
 
+def meeting(rule: Rule):
+    """The rows of two sets at one key, the second's columns with a 2 or z: not refused, and the first of a run of shared keys."""
+    first = ~F.col("prev").eqNullSafe(F.col("prev2")) | F.col("prev").isNull()
+    return first & may_link(rule) & brief_differences(rule)
+
+
 def refuse_by_sketch(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Pairs ``a, b`` whose sketches do not rule a link out."""
 
@@ -234,30 +273,36 @@ def refuse_by_sketch(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFr
             keep = [sketch_difference(x, y) <= rule.most_different(i, j) for i, j, x, y in zip(na, nb, sa, sb)]
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = classes.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    two = classes.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    one = classes.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    two = classes.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     rows = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb")
-    return rows.mapInArrow(run, "a binary, b binary")
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs ``a, b`` (a written table, which goes) that are linked; each text is read once and goes to its pairs."""
+    """The pairs ``a, b`` (a written table, which goes) that are linked.
+
+    The set of every class in a pair is made once, from one text.  A pair takes
+    the set of ``a`` along to the task of ``b``, whose set is sent there once.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = batch.column(2).to_pylist()
-            keep = []
-            for a, b, texts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sides):
-                sets = {set_id(s): s for s in (shingle_set(t, rule.words) for t in texts)}
-                keep.append(a in sets and b in sets and rule.linked(sets[a], sets[b]))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    rep = classes.select("cid", "rep")
-    members = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("cid")).join(rep, "cid").select("a", "b", "rep")
-    members = materialize(members, "pair-members")
-    both = texts_of(docs, small_side(members, 80)).groupBy("a", "b").agg(F.collect_set("text").alias("texts"))  # two texts
-    links = materialize(both.mapInArrow(run, "a binary, b binary"), "links")
-    release(members, pairs)
+        for b in batches:
+            for cid, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                s = shingle_set(text, rule.words)
+                if set_id(s) == cid:
+                    yield pa.RecordBatch.from_arrays([pa.array([cid], pa.binary()), pa.array([s.view(np.int64)], pa.list_(pa.int64()))], names=["cid", "set"])
+
+    held = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    wanted = materialize(classes.select("sid", "cid", "rep").join(held, "sid"), "pair-classes")
+    texts = texts_of(docs, small_side(wanted.select("cid", "rep"), 48)).select("cid", "text")
+    made = texts.mapInArrow(run, "cid binary, set array<long>").join(wanted.select("sid", "cid"), "cid").dropDuplicates(["sid"])
+    sets = materialize(made.select("sid", "set"), "pair-sets")
+    one, two = (sets.select(F.col("sid").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    linked = common * rule.den >= (F.size("set_a") + F.size("set_b") - common) * rule.num
+    links = materialize(pairs.join(one, "a").join(two, "b").filter(linked).select("a", "b"), "links")
+    release(wanted, sets, pairs)
     return links
 
 
@@ -266,40 +311,38 @@ def jaccard_classes(docs: DataFrame, rule: Rule, frequent: int = 24) -> tuple[Da
     sets = materialize(first_pass(docs, rule), "shingle-sets")
     classes = sets.filter("n > 0").groupBy("cid").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("brief").alias("brief"), F.first("low").alias("low"))
-    classes = materialize(classes, "classes")
+    classes = materialize(classes.withColumn("sid", F.monotonically_increasing_id()), "classes")
     rows = materialize(sets.select("doc_id", F.col("n").alias("n_shingles"), "cid", "text_hash"), "shingle-rows")
     release(sets)
     classes, lists = classify(docs, classes, rule, frequent)
-    index = keys(classes, lists, rule)
-    shared = index.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("c > 1")
-    shared = materialize(shared.select("cid", "n", "most", "key"), "shared-keys")
+    shared = shared_keys(classes, lists, rule)
     release(lists)
-
-    # each set meets the hub of its first key
-    mine = shared.groupBy("cid").agg(F.min(F.struct(F.xxhash64("key").alias("h"), "key", "n", "most")).alias("k"))
-    mine = mine.select("cid", "k.key", "k.n", "k.most")
-    hubs = mine.groupBy("key").agg(F.max(F.struct((F.col("most") - F.col("n")).alias("rank"), F.col("cid").alias("cid2"),
-                                                  F.col("n").alias("n2"), F.col("most").alias("most2"))).alias("hub"))
-    star = mine.join(hubs.select("key", "hub.cid2", "hub.n2", "hub.most2"), "key").filter((F.col("cid") != F.col("cid2")) & may_link(rule))
-    pairs = star.select(F.least("cid", "cid2").alias("a"), F.greatest("cid", "cid2").alias("b")).distinct()
+    words = range(BRIEF // 64)
+
+    # each set meets the hub of each of its keys
+    seen = ("sid", "n", "most", "prev", *(f"s{i}" for i in words))
+    names = ("sid2", "n2", "most2", "prev2", *(f"z{i}" for i in words))
+    hubs = shared.groupBy("key").agg(F.max(F.struct((F.col("most") - F.col("n")).alias("rank"), *(F.col(c).alias(d) for c, d in zip(seen, names)))).alias("hub"))
+    star = shared.join(hubs.select("key", *(F.col(f"hub.{d}") for d in names)), "key").filter((F.col("sid") != F.col("sid2")) & meeting(rule))
+    pairs = star.select(F.least("sid", "sid2").alias("a"), F.greatest("sid", "sid2").alias("b")).distinct()
     links = verify(docs, materialize(refuse_by_sketch(pairs, classes, rule), "pairs"), classes, rule)
 
     # sets of different components that share a key
     roots = components(links)
-    placed = shared.join(roots.withColumnRenamed("v", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    placed = shared.join(roots.withColumnRenamed("v", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
-    brief = classes.select("cid", *(F.col("brief")[i].alias(f"s{i}") for i in range(BRIEF // 64)))
-    placed = materialize(placed.join(split, "key").join(brief, "cid").drop("c"), "split-keys")
+    placed = materialize(placed.join(split, "key"), "split-keys")
     release(shared, roots)
-    other = placed.select("key", *(F.col(c).alias(c + "2") for c in ("cid", "n", "most", "root")), *(F.col(f"s{i}").alias(f"z{i}") for i in range(BRIEF // 64)))
-    meet = placed.join(other, (placed["key"] == other["key"]) & (F.col("root") < F.col("root2")) & may_link(rule) & brief_differences(rule))
-    pairs = meet.select(F.least("cid", "cid2").alias("a"), F.greatest("cid", "cid2").alias("b")).distinct()
+    other = placed.select("key", F.col("root").alias("root2"), *(F.col(c).alias(d) for c, d in zip(seen, names)))
+    meet = placed.join(other, (placed["key"] == other["key"]) & (F.col("root") < F.col("root2")) & meeting(rule))
+    pairs = meet.select(F.least("sid", "sid2").alias("a"), F.greatest("sid", "sid2").alias("b")).distinct()
     late = verify(docs, materialize(refuse_by_sketch(pairs, classes, rule), "late-pairs"), classes, rule)
     found = components(links.unionByName(late))
-    release(placed, links, late, classes)
-    found_path, found = found.scratch_path, found.select(F.col("v").alias("cid"), "root")
-    found.scratch_path = found_path
-    return rows, found
+    named = classes.select("sid", "cid")
+    ends = found.join(named.withColumnRenamed("sid", "v"), "v").join(named.select(F.col("sid").alias("root"), F.col("cid").alias("root_cid")), "root")
+    out = materialize(ends.select("cid", F.col("root_cid").alias("root")), "class-roots")
+    release(placed, links, late, classes, found)
+    return rows, out
 
 
 def jaccard_components(docs: DataFrame, rule: Rule, frequent: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

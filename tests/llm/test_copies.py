@@ -86,6 +86,34 @@ def test_jaccard_components_equal_brute_force(spark, edge_docs):
         assert sorted(got, key=str) == sorted(brute_components(docs, rule), key=str)
 
 
+def test_components_of_unlinked_families_and_of_nothing(spark, no_docs):
+    """Texts that share most of their words without being linked, chains of links, and one text in very many copies."""
+    rng = np.random.default_rng(6)
+    base = [f"c{i}" for i in range(50)]
+    docs = [(i, " ".join(base[:38] + [f"z{i}_{j}" for j in range(9)])) for i in range(60)]
+    docs += [(100 + i, " ".join(base[i : i + 40])) for i in range(10)]
+    docs += [(200 + i, " ".join(rng.permutation(base)[:30])) for i in range(20)] + [(300 + i, " ".join(base)) for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    for rule, frequent in ((jaccard.Rule(3, 90, 100), 1000), (jaccard.Rule(2, 8, 10), 5)):
+        got = rows(jaccard.jaccard_components(df, rule, frequent=frequent), "doc_id", "n_shingles", "component_id")
+        assert sorted(got) == sorted(brute_components(docs, rule))
+    assert jaccard.jaccard_components(no_docs, jaccard.Rule()).count() == 0
+
+
+def test_two_sets_meet_at_the_head_of_a_run_of_shared_keys(spark):
+    """``prev`` names the key before, so a pair skips the keys behind a shared one, and never its first shared key."""
+    rule = jaccard.Rule(1, 8, 10)
+    sets = [np.arange(10, 60), np.concatenate([[3], np.arange(10, 59)])]
+    low = [(i, len(s), s.astype("<u8").tobytes()) for i, s in enumerate(sets)]
+    df = spark.createDataFrame([(i, n, bytearray(x), None, None) for i, n, x in low], "sid long, n int, low binary, often array<long>, own int")
+    got = rows(jaccard.keys(df, rule, False), "sid", "key", "prev")
+    for i, s in enumerate(sets):
+        mine = [(k, p) for j, k, p in got if j == i]
+        assert mine == [(int(k), int(p) if n else None) for n, (k, p) in enumerate(zip(s[:11], np.concatenate([[0], s])))]
+    one, two = ({k: p for j, k, p in got if j == i} for i in (0, 1))
+    assert [k for k in one if k in two and (one[k] is None or one[k] != two[k])] == [10]
+
+
 def test_one_of_each_group_stays(spark, edge_docs, no_docs):
     rule = jaccard.Rule()
     kept = jaccard.keep_one(edge_docs, rule)
@@ -195,6 +223,7 @@ def norm(text):
 
 
 def brute_leaks(docs, items, shingle=5, least=0.8):
+    """Best similarity of each document and item over windows of the item's words; a shorter text is one window."""
     from collections import Counter
 
     found = {}
@@ -206,8 +235,9 @@ def brute_leaks(docs, items, shingle=5, least=0.8):
             if not v:
                 continue
             b = Counter(tuple(v[j : j + k]) for j in range(len(v) - k + 1))
-            for s in range(len(w) - len(v) + 1):
-                a = Counter(tuple(w[s + j : s + j + k]) for j in range(len(v) - k + 1))
+            for s in range(max(1, len(w) - len(v) + 1)):
+                u = w[s : s + len(v)]
+                a = Counter(tuple(u[j : j + k]) for j in range(len(u) - k + 1))
                 sim = sum((a & b).values()) / sum((a | b).values())
                 if sim >= least:
                     found[d, i] = max(found.get((d, i), 0), sim)
@@ -232,23 +262,6 @@ def test_leaks_equal_brute_force(spark, edge_docs, no_docs):
     assert decontam.find_leaks(no_docs, bench).count() == 0 and decontam.find_leaks(df, bench.limit(0)).count() == 0
 
 
-def brute_short_leaks(docs, items, shingle=5, least=0.8):
-    """Similarity of whole texts to the items that have more words."""
-    from collections import Counter
-
-    found = {}
-    for d, t in docs:
-        for i, x in items:
-            w, v = norm(t), norm(x)
-            k = min(shingle, len(v))
-            if len(w) < len(v):
-                a, b = (Counter(tuple(u[j : j + k]) for j in range(len(u) - k + 1)) for u in (w, v))
-                sim = sum((a & b).values()) / sum((a | b).values())
-                if sim >= least:
-                    found[d, i] = (round(max(found.get((d, i), (0,))[0], sim), 9), 0, len(w))
-    return found
-
-
 def test_texts_shorter_than_the_item_leak(spark):
     w = [f"Item{i % 37}" for i in range(60)]
     few = "one two three four five six seven eight nine".split()
@@ -258,13 +271,16 @@ def test_texts_shorter_than_the_item_leak(spark):
     docs = [(i, " ".join(c)) for i, c in enumerate(cuts)] + [(3, None), (None, " ".join(w[1:])), (0, " ".join(w[1:]))]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     bench = spark.createDataFrame(items, "item_id long, text string")
-    want = {k: x for k, x in brute_short_leaks(docs, items).items() if k not in brute_leaks(docs, items)}
+    want = brute_leaks(docs, items)
     assert {(0, 1), (2, 1), (8, 2), (14, None), (None, 1)} <= want.keys()
+    size = {i: [len(norm(x)) for j, x in items if j == i] for i, _ in items}
     for limit in (8 << 20, 0):
         got = {(d, i): (round(s, 9), a, n) for d, i, s, a, n in rows(
             decontam.find_leaks(df, bench, broadcast_bytes=limit), "doc_id", "item_id", "similarity", "start", "n_words")}
-        assert {k: x for k, x in got.items() if k in want} == want
-        assert {k: x[0] for k, x in got.items() if k not in want} == brute_leaks(docs, items)
+        assert {k: x[0] for k, x in got.items()} == want
+        for (d, i), (_, start, n) in got.items():  # the window has the item's words, or is the whole shorter text
+            words = [len(norm(t)) for e, t in docs if e == d]
+            assert any(n == m and start + n <= w for m in size[i] for w in words) or (start == 0 and n in words)
     left = {d for d, in rows(decontam.drop_leaks(df, bench), "doc_id")}
     assert left == {d for d, _ in docs} - {d for d, _ in got}
 
