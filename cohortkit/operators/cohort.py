@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.functions.numeric import pct
+from cohortkit.operators import sketches
 from cohortkit.operators.joins import combine_scalars, per_key
 
 IN_LABEL, OUT_LABEL = "flagged", "rest"
@@ -60,6 +61,22 @@ def tag(facts: DataFrame, member_keys: DataFrame, fact_key: str, member_key: str
             .drop("__member_key", "__hit"))
 
 
+def tag_prefiltered(facts: DataFrame, member_keys: DataFrame, fact_key: str, member_key: str | None = None,
+                    labels: tuple[str, str] = (IN_LABEL, OUT_LABEL), cohort_col: str = "cohort", log2_bits: int = 20) -> DataFrame:
+    """``tag`` for a cohort that is a small part of very many facts: only facts that may be members are joined.
+
+    A bit array of the member keys (``sketches.key_filter``, 2 ** ``log2_bits``
+    bits) tells which facts cannot be members; they get their label where they
+    are scanned and are not shuffled.  False positives are settled by the join,
+    so the result is that of ``tag`` for any size of the filter.
+    """
+    member_key = member_key or fact_key
+    maybe = sketches.may_hold(sketches.key_filter(member_keys, member_key, log2_bits).scalar(), F.col(fact_key), log2_bits)
+    known = facts.filter(F.col(fact_key).isNotNull())
+    joined = tag(known.filter(maybe), member_keys, fact_key, member_key, labels, cohort_col)
+    return joined.unionByName(known.filter(~maybe).withColumn(cohort_col, F.lit(labels[1])))
+
+
 def semi_join_count(facts: DataFrame, member_keys: DataFrame, fact_key: str,
                     member_key: str | None = None) -> DataFrame:
     """Number of fact rows whose key is a member (``IN (SELECT DISTINCT ...)``).

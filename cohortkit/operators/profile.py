@@ -146,6 +146,17 @@ def table_profile(df: DataFrame, dataset: str, categoricals: Sequence[str] = (),
     return out
 
 
-def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
-    """Any ``n`` rows, as a look at the table; which ones is not defined (``orderBy`` first for a fixed sample)."""
-    return df.limit(n)
+def sample_rows(df: DataFrame, n: int, key: str, seed: int = 0, by: Sequence[str] = ()) -> DataFrame:
+    """The ``n`` rows (of each group ``by``) with the smallest SHA-256 of ``seed:key``.
+
+    A uniform sample without replacement if ``key`` identifies rows.  It does not
+    depend on partitioning, any SQL engine can repeat it, and the samples of two
+    parts merge into the sample of both (the ``n`` smallest of the union).  Each
+    task keeps ``n`` rows (of a group) before anything is shuffled.  Rows with
+    one key come together, in no defined order; a NULL key is hashed as no text.
+    """
+    order = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))), 256)
+    if not by:
+        return df.orderBy(order).limit(n)
+    w = Window.partitionBy(*by).orderBy(order)
+    return df.withColumn("__place", F.row_number().over(w)).filter(F.col("__place") <= n).drop("__place")

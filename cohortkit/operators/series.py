@@ -161,6 +161,25 @@ def completeness(series: DataFrame, keys: Sequence[str] = ("industry", "metric")
                         & (F.col("rows") == F.col("expected_months"))))
 
 
+def missing_months(series: DataFrame, keys: Sequence[str] = ("industry", "metric"), first: str | None = None, last: str | None = None) -> DataFrame:
+    """``(keys, missing_month)``: the months of each series' calendar without an observation.
+
+    The calendar runs from the series' first month to its last, or over the
+    given range (``yyyy-mm-dd``) for all series; a series with dates outside
+    the range is still only asked for the range.  Undated rows take no part.
+    """
+    dated = series.filter(F.col("obs_date").isNotNull()).select(*keys, F.trunc("obs_date", "month").alias("__m")).distinct()
+    ends = dated.groupBy(*keys).agg(F.min("__m").alias("lo"), F.max("__m").alias("hi"))
+    lo, hi = (F.trunc(F.lit(x).cast("date"), "month") if x else F.col(c) for x, c in ((first, "lo"), (last, "hi")))
+    months = F.when(lo <= hi, F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).otherwise(F.expr("CAST(array() AS ARRAY<DATE>)"))
+    calendar = ends.select(*keys, F.explode(months).alias("missing_month"))
+    seen = dated.select(*[F.col(k).alias(f"__{k}") for k in keys], "__m")
+    same = F.col("missing_month") == F.col("__m")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return calendar.join(seen, same, "left_anti")
+
+
 def composite(series: DataFrame, weights: DataFrame, weight_col: str = "weight",
               keys: Sequence[str] = ("obs_date", "metric")) -> DataFrame:
     """Weighted average across industries per date and metric: ``sum(w*v)/sum(w)``.

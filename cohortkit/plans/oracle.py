@@ -184,6 +184,22 @@ q("numeric_summary", "\nUNION ALL\n".join(
     for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
 q("ordered_sample", "SELECT * FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 5")
 
+q("row_sample", "SELECT * FROM orders ORDER BY sha256('11:' || o_orderkey) LIMIT 500")
+q("row_sample_by_level", """
+SELECT o_orderkey, o_orderpriority, o_totalprice FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY sha256('11:' || o_orderkey)) AS place FROM orders) WHERE place <= 40""")
+_SKETCHED = ["o_custkey", "o_orderpriority", "o_orderdate", "o_totalprice", "o_orderkey"]
+q("distinct_sketch_merge", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", (SELECT COUNT(*) FROM (SELECT DISTINCT {c} FROM orders)) AS exact, true AS merges_agree, true AS within_error"
+    for c in _SKETCHED))
+q("frequent_values", """
+WITH v AS (SELECT 'l_partkey' AS "column", CAST(l_partkey AS VARCHAR) AS value FROM lineitem
+           UNION ALL SELECT 'o_custkey', CAST(o_custkey AS VARCHAR) FROM orders
+           UNION ALL SELECT 'user_id', CAST(user_id AS VARCHAR) FROM events),
+c AS (SELECT "column", value, COUNT(*) AS n FROM v GROUP BY 1, 2),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY "column" ORDER BY n DESC, value ASC NULLS FIRST) AS rank FROM c)
+SELECT "column", value, n, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""")
+
 # ---------------------------------------------------------------- scalar cleaning
 q("split_location", f"""
 SELECT c_custkey, location, lower(trim(string_split(location, ',')[1])) AS city,
@@ -274,6 +290,7 @@ q("dedup_pairs", DEDUP)
 # ---------------------------------------------------------------- cohort core
 q("cohort_members", MEMBERS)
 q("cohort_tag", f"SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice, cohort FROM ({TAGGED})")
+q("cohort_tag_prefiltered", SQL["cohort_tag"])
 q("semi_join_count", f"SELECT COUNT(*) AS matched_facts FROM orders f WHERE f.o_custkey IN ({MEMBERS})")
 _diag_keys = f"SELECT DISTINCT user_id AS k FROM ({COHORT_EVENTS}) WHERE user_id IS NOT NULL"
 _diag_fk = f"SELECT o_custkey AS k, COUNT(*) AS rows FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey"
@@ -322,7 +339,10 @@ def topk(counts: str, cat_col: str, k: int = 10) -> str:
             f"WHERE rank <= {k}")
 
 
+q("median_sketch_merge", """
+SELECT o_orderpriority AS level, COUNT(*) AS n, true AS within_error FROM orders WHERE o_orderpriority IS NOT NULL AND o_totalprice IS NOT NULL GROUP BY 1""")
 q("topk_tags", topk(BRAND_COUNTS, "p_brand"))
+q("topk_tags_bucketed", SQL["topk_tags"])
 REGION_COUNTS = (f"SELECT t.cohort, upper(n.n_name) AS region, COUNT(*) AS n FROM ({TAGGED}) t "
                  f"JOIN customer c ON c.c_custkey = t.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey "
                  f"WHERE n.n_name IS NOT NULL AND n.n_name <> '' GROUP BY 1, 2")
@@ -402,6 +422,11 @@ FROM (SELECT industry, metric, COUNT(*) AS rows, COUNT(DISTINCT obs_date) AS mon
              MIN(obs_date) AS first_month, MAX(obs_date) AS last_month,
              CAST(datediff('month', MIN(obs_date), MAX(obs_date)) + 1 AS INTEGER) AS expected_months
       FROM ({SERIES}) WHERE obs_date IS NOT NULL GROUP BY industry, metric)""")
+q("series_missing_months", f"""
+WITH kept AS (SELECT industry, metric, obs_date FROM ({SERIES}) WHERE obs_date IS NOT NULL AND strftime(obs_date, '%Y-%m') NOT IN ('1993-04', '1995-11', '1995-12', '1997-06')),
+ends AS (SELECT industry, metric, MIN(obs_date)::TIMESTAMP AS lo, MAX(obs_date)::TIMESTAMP AS hi FROM kept GROUP BY ALL),
+calendar AS (SELECT industry, metric, unnest(generate_series(lo, hi, INTERVAL 1 MONTH))::DATE AS missing_month FROM ends)
+SELECT c.* FROM calendar c ANTI JOIN kept k ON k.industry = c.industry AND k.metric = c.metric AND k.obs_date = c.missing_month""")
 _weights_label = case_map(case_map("o_orderstatus", STATUS_INDUSTRY, "NULL"), INDUSTRY_BY_CODE,
                           case_map("o_orderstatus", STATUS_INDUSTRY, "NULL"))
 q("series_composite", f"""
