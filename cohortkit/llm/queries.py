@@ -102,6 +102,21 @@ SQL = {
           GROUP BY ALL)
         SELECT c.page_id, c.host, c.path, b.rule, coalesce(b.verdict, 'allow') AS verdict
         FROM cut c LEFT JOIN best b USING (page_id)""",
+    "op5_jaccard_join": r"""
+        WITH RECURSIVE split AS (
+          SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (
+          SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                              ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS shingles
+          FROM split),
+        sized AS (SELECT doc_id, shingles, len(shingles) AS n FROM sets),
+        held AS (SELECT doc_id, n, unnest(shingles) AS s FROM sized),
+        common AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c FROM held a JOIN held b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+        near AS (SELECT a, b FROM common WHERE 100 * c >= 90 * (na + nb - c)),
+        links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+        reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+        lowest AS (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a)
+        SELECT doc_id, n::BIGINT AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id FROM sized LEFT JOIN lowest USING (doc_id)""",
     # crc32 bit by bit from its polynomial, over the distinct words
     "op11_importance_resampling": r"""
         WITH place AS (

@@ -17,52 +17,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
-
-#: Standard deviations of a count on either side of its mode; what lies beyond has a probability below 1e-300.
-SPREAD = 40
-
+from cohortkit.functions.draws import hypergeometric_sql
 
-def draw_sql(total: str, good: str, drawn: str, u: str) -> str:
-    """SQL for a hypergeometric count: ``drawn`` of ``total`` rows are taken, ``good`` of them count.
+from .common import materialize
 
-    The probabilities around the mode follow from their ratios, which needs no
-    factorials; ``u`` in [0, 1) picks the count from their running sums.
-    """
-    return f"""(
-      CASE WHEN {good} <= 0 OR {drawn} <= 0 THEN 0L
-           WHEN {good} >= {total} THEN {drawn}
-           WHEN {drawn} >= {total} THEN {good}
-      ELSE transform(array(named_struct(
-             'lo', greatest(0L, {drawn} + {good} - {total}), 'hi', least({good}, {drawn}),
-             'mode', CAST(floor((CAST({drawn} AS DOUBLE) + 1) * ({good} + 1) / ({total} + 2)) AS BIGINT),
-             'sd', CAST(1 + ceil({SPREAD} * sqrt(CAST({drawn} AS DOUBLE) * {good} / {total} * ({total} - {good}) / {total})) AS BIGINT))),
-        p -> transform(array(named_struct(
-             'm', greatest(p.lo, least(p.hi, p.mode)),
-             'a', greatest(p.lo, p.mode - p.sd), 'b', least(p.hi, p.mode + p.sd))),
-        q -> transform(array(named_struct(
-             'up', aggregate(CASE WHEN q.b > q.m THEN sequence(q.m, q.b - 1) ELSE CAST(array() AS ARRAY<BIGINT>) END, array(1.0D),
-                     (s, k) -> concat(s, array(element_at(s, -1) * (CAST({good} - k AS DOUBLE) / (k + 1)) * (CAST({drawn} - k AS DOUBLE) / ({total} - {good} - {drawn} + k + 1))))),
-             'down', aggregate(CASE WHEN q.m > q.a THEN sequence(q.m, q.a + 1, -1L) ELSE CAST(array() AS ARRAY<BIGINT>) END, array(1.0D),
-                     (s, k) -> concat(s, array(element_at(s, -1) * (CAST(k AS DOUBLE) / ({good} - k + 1)) * (CAST({total} - {good} - {drawn} + k AS DOUBLE) / ({drawn} - k + 1))))))),
-        w -> aggregate(
-               concat(reverse(slice(w.down, 2, size(w.down))), w.up),
-               named_struct('left', {u} * (aggregate(w.up, 0.0D, (x, y) -> x + y) + aggregate(w.down, -1.0D, (x, y) -> x + y)), 'k', q.a - 1),
-               (s, y) -> CASE WHEN s.left < 0 THEN s ELSE named_struct('left', s.left - y, 'k', s.k + 1) END,
-               s -> least(s.k, q.b)))[0])[0])[0]
-      END)"""
+#: Rows that one task ranks at a time, on average.
+TASK_ROWS = 1 << 16
 
 
-def communication_matrix(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
-    """``block_, counts`` (rows for each shard) from ``block_, n``.
+def matrix_sql(shards: int, seed: str) -> str:
+    """SQL for the rows of the matrix from ``blocks`` (array of ``block_, n``) and ``rows``, all draws from ``seed``.
 
-    The draws depend on each other, so they are one fold over the blocks; its
-    size is blocks x shards, both parameters.
+    A count is a few numbers of state (``functions.draws``); a draw takes about 20
+    standard deviations of steps, so the fold costs blocks x shards draws, which
+    grow with the square root of the rows in a block.
     """
-    folded = blocks.groupBy().agg(F.sort_array(F.collect_list(F.struct("block_", "n"))).alias("blocks"), F.sum("n").alias("rows"))
-    u = f"(pmod(xxhash64({int(seed)}, b.block_, j), 9007199254740992L) / 9007199254740992.0D)"
-    count = draw_sql("t.rest", "t.need[j]", "t.take", u)
-    fold = f"""
+    u = f"(pmod(xxhash64({seed}, b.block_, j), 9007199254740992L) / 9007199254740992.0D)"
+    count = hypergeometric_sql("t.rest", "t.need[j]", "t.take", u)
+    return f"""
       aggregate(blocks,
         named_struct('need', transform(sequence(0, {shards - 1}), j -> (rows div {shards}) + IF(j < rows % {shards}, 1L, 0L)),
                      'out', CAST(array() AS ARRAY<STRUCT<block_: INT, counts: ARRAY<BIGINT>>>)),
@@ -74,7 +46,16 @@ def communication_matrix(blocks: DataFrame, shards: int, seed: int) -> DataFrame
           t -> named_struct('need', zip_with(s.need, t.counts, (x, y) -> x - y),
                             'out', concat(s.out, array(named_struct('block_', b.block_, 'counts', t.counts)))))[0],
         s -> s.out)"""
-    return folded.select(F.explode(F.expr(fold)).alias("m")).select("m.block_", "m.counts")
+
+
+def communication_matrix(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
+    """``block_, counts`` (rows for each shard) from ``block_, n``.
+
+    The draws depend on each other, so they are one fold over the blocks; its
+    size is blocks x shards, both parameters.
+    """
+    folded = blocks.groupBy().agg(F.sort_array(F.collect_list(F.struct("block_", "n"))).alias("blocks"), F.sum("n").alias("rows"))
+    return folded.select(F.explode(F.expr(matrix_sql(shards, str(int(seed))))).alias("m")).select("m.block_", "m.counts")
 
 
 def ranks(df: DataFrame, group: str, order: str, pieces: int) -> DataFrame:
@@ -100,17 +81,18 @@ def text_facts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
 
 
-def shard_rows(rows: DataFrame, shards: int, seed: int = 17, blocks: int = 64, pieces: int = 64) -> DataFrame:
+def shard_rows(rows: DataFrame, shards: int, seed: int = 17, blocks: int = 64) -> DataFrame:
     """``rows`` with ``shard`` and ``slot`` (gapless from 0 in each shard).
 
-    ``blocks`` bounds the matrix; ``pieces`` bounds the share of a block or a
-    shard that one task sorts (both may grow with the cluster).  Rows and their
-    random orders are written first, so a retried task sees the same numbers.
+    ``blocks`` bounds the matrix.  Blocks and shards are ranked in as many pieces
+    as their rows need, about ``TASK_ROWS`` in each.  Rows and their random orders
+    are written first, so a retried task sees the same numbers.
     """
     names = rows.columns
     base = materialize(rows.select(
         *names, F.pmod(F.spark_partition_id(), F.lit(blocks)).alias("block_"), F.monotonically_increasing_id().alias("row_"),
         F.rand(seed).alias("first_"), F.rand(seed + 1).alias("second_")), "shard-rows")
+    pieces = -(-base.count() // (min(blocks, shards) * TASK_ROWS)) + 1
     matrix = communication_matrix(base.groupBy("block_").agg(F.count(F.lit(1)).alias("n")), shards, seed)
     ends = F.expr("aggregate(counts, named_struct('sum', 0L, 'out', CAST(array() AS ARRAY<BIGINT>)), "
                   "(s, c) -> named_struct('sum', s.sum + c, 'out', concat(s.out, array(s.sum + c))), s -> s.out)")

@@ -2,6 +2,8 @@
 
 import math
 import zlib
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -49,7 +51,7 @@ def test_digest_collisions_are_told_apart(tmp_path, monkeypatch):
 
 
 def test_shards_are_exact_and_uniform(spark, edge_docs, no_docs):
-    got = rows(sharding.shard_rows(sharding.text_facts(edge_docs), 5, blocks=4, pieces=3), "doc_id", "size", "text_crc32", "shard", "slot")
+    got = rows(sharding.shard_rows(sharding.text_facts(edge_docs), 5, blocks=4), "doc_id", "size", "text_crc32", "shard", "slot")
     source = rows(edge_docs, "doc_id", "text")
     raw = [(i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in source]
     assert sorted((r[:3] for r in got), key=str) == sorted(raw, key=str)
@@ -59,16 +61,27 @@ def test_shards_are_exact_and_uniform(spark, edge_docs, no_docs):
     assert sharding.shard_rows(sharding.text_facts(no_docs), 5).count() == 0
 
 
-def test_hypergeometric_draw_follows_its_law(spark):
-    total, good, drawn, n = 20, 8, 6, 8000
-    u = F.expr(sharding.draw_sql(f"{total}L", f"{good}L", f"{drawn}L", f"(id + 0.5D) / {n}"))
-    counts = dict(rows(spark.range(n).select(u.alias("k")).groupBy("k").count()))
-    for k in range(drawn + 1):
-        want = math.comb(good, k) * math.comb(total - good, drawn - k) / math.comb(total, drawn)
-        assert abs(counts.get(k, 0) / n - want) < 2 / n
-    for t, g, d in ((5, 0, 3), (5, 5, 3), (5, 2, 5), (5, 2, 0)):
-        k = spark.range(1).select(F.expr(sharding.draw_sql(f"{t}L", f"{g}L", f"{d}L", "0.5D"))).first()[0]
-        assert k == (d if g == t else g if d == t else 0)
+def test_every_matrix_is_as_likely_as_its_assignments(spark):
+    """Blocks of 2, 3 and 1 rows into 2 shards of 3: each matrix occurs in proportion to the assignments that give it."""
+    n = 20000
+    blocks = "array(named_struct('block_', 0, 'n', 2L), named_struct('block_', 1, 'n', 3L), named_struct('block_', 2, 'n', 1L))"
+    drawn = spark.range(n).selectExpr("id", f"{blocks} AS blocks", "6L AS rows").select(F.expr(sharding.matrix_sql(2, "id")).alias("m"))
+    got = Counter(tuple(x.counts[0] for x in m) for m, in rows(drawn))
+    block = [0, 0, 1, 1, 1, 2]
+    every = Counter(tuple(sum(block[r] == k for r in first) for k in range(3)) for first in combinations(range(6), 3))
+    assert set(got) == set(every)
+    for x, ways in every.items():
+        p = ways / 20
+        assert abs(got[x] - n * p) < 5 * math.sqrt(n * p * (1 - p))
+
+
+def test_all_assignments_of_a_tiny_table_occur_alike(spark):
+    """Four rows, two shards: the 24 orders of the rows over shards and slots, over many seeds."""
+    df = spark.createDataFrame([(i, i, i) for i in range(4)], "doc_id long, size long, text_crc32 long").repartition(2)
+    got = Counter()
+    for seed in range(36):
+        got[tuple(d for d, *_ in sorted(rows(sharding.shard_rows(df, 2, seed=seed, blocks=2), "doc_id", "shard", "slot"), key=lambda r: r[1:]))] += 1
+    assert len(got) >= 14 and max(got.values()) <= 7  # of 24 orders, 36 draws leave 5 out on average
 
 
 def test_communication_matrix_has_exact_margins(spark):
