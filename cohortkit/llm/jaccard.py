@@ -18,11 +18,12 @@ spare all comparisons within them.  Then sets of different components that share
 a key meet.  Two sets meet at the first key of every run of keys that they share,
 so a pair of near copies meets a few times, not once a key.  Pairs are refused
 inside the join by their sizes, by the tokens that no other set has, and by parity
-sketches, which never differ in more places than the sets do; what is left is
-verified on the sets of the whole texts, which are made once for each class.  So no
-link between components is lost, and a large group of near copies costs about its
-size.  Only sets that share frequent keys without being linked are tested in
-pairs, by comparisons of a few words; such pairs leave no row.
+sketches, which never differ in more places than the sets do (for rare keys behind
+the join, as these meet ``frequent`` sets at most); what is left is verified on the
+sets of the whole texts, which are made once for each class.  So no link between
+components is lost, and a large group of near copies costs about its size.  Only
+sets that share frequent keys without being linked are tested in pairs, by
+comparisons of a few words; such pairs leave no row.
 
 Empty and null texts and texts without words have an empty set, are linked with
 nothing and are their own component.  Texts with fewer than ``words`` words have
@@ -38,7 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, materialize, release
@@ -160,6 +161,11 @@ def tokens(classes: DataFrame, owner: bool) -> DataFrame:
     return classes.select("low", *names[1:]).mapInArrow(run, "token long" + ", sid long" * owner)
 
 
+def prefix_size(rule: Rule) -> Column:
+    """``Rule.prefix`` of the column ``n``."""
+    return F.col("n") - F.ceil(F.lit(rule.num) * F.col("n") / F.lit(rule.den)) + 1
+
+
 def classify(docs: DataFrame, classes: DataFrame, rule: Rule, frequent: int) -> tuple[DataFrame, DataFrame]:
     """The classes with as many tokens as their prefixes need, and their frequent tokens (``sid, often``).
 
@@ -172,10 +178,10 @@ def classify(docs: DataFrame, classes: DataFrame, rule: Rule, frequent: int) ->
         held = tokens(classes, True).join(small_side(often, 16), "token")
         lists = materialize(held.groupBy("sid").agg(F.collect_list("token").alias("often")), "frequent-held")
         release(often)
-        prefix = F.col("n") - F.ceil(F.lit(rule.num) * F.col("n") / F.lit(rule.den)) + 1
-        have = F.octet_length("low") / 8
-        lacking = classes.join(lists, "sid").filter((have < F.col("n")) & (have - F.size("often") < prefix))
-        lacking = materialize(lacking.select("sid", "cid", "rep", "n", "sketch", "brief"), "short-prefixes")
+        have = classes.select("sid", "n", (F.octet_length("low") / 8).alias("have")).filter("have < n")
+        short = have.join(lists, "sid").filter(F.col("have") - F.size("often") < prefix_size(rule)).select("sid")
+        lacking = classes.select("sid", "cid", "rep", "n", "sketch", "brief").join(small_side(materialize(short, "short-ids"), 16), "sid")
+        lacking = materialize(lacking, "short-prefixes")
         if lacking.isEmpty():
             release(lacking)
             return classes, lists
@@ -227,22 +233,26 @@ def keys(rows: DataFrame, rule: Rule, pairs: bool) -> DataFrame:
     return rows.select("sid", "n", "low", "often", "own").mapInArrow(run, "sid long, n int, most int, key long, prev long")
 
 
-def shared_keys(classes: DataFrame, lists: DataFrame, rule: Rule) -> DataFrame:
-    """The keys that two classes or more have.
+def shared_keys(classes: DataFrame, lists: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """The single and the combined keys that two classes or more have, the latter with brief sketches ``s0..``.
 
-    At most ``frequent`` classes have a single token, so a window counts these.  A
-    combination may be in any number of classes: its rows are counted by map-side
-    aggregates, and the counts are joined back, which adaptive execution may split.
+    At most ``frequent`` classes have a single token, so windows may gather these.
+    A combination may be in any number of classes: its rows are counted by
+    map-side aggregates, and the counts are joined back, which adaptive execution
+    may split.  Only sets that are stored whole and are short of rare tokens have
+    combinations.
     """
     rows = classes.select("sid", "n", "low").join(lists, "sid", "left").withColumn("own", F.lit(None).cast("int"))
-    single = keys(rows, rule, False).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("c > 1").drop("c")
-    rows = classes.select("sid", "n", "low").join(lists, "sid").join(own_tokens(classes), "sid", "left")
+    singles = keys(rows, rule, False).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("c > 1").drop("c")
+    singles = materialize(singles, "single-keys")
+    whole = classes.filter(F.octet_length("low") == 8 * F.col("n")).select("sid", "n", "low")
+    rows = whole.join(lists, "sid").filter(F.col("n") - F.size("often") < prefix_size(rule)).join(own_tokens(classes), "sid", "left")
     pairs = materialize(keys(rows, rule, True), "pair-keys")
     several = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
     brief = classes.select("sid", *(F.col("brief")[i].alias(f"s{i}") for i in range(BRIEF // 64)))
-    out = materialize(single.unionByName(pairs.join(several, "key").select(*single.columns)).join(brief, "sid"), "shared-keys")
+    shared = materialize(pairs.join(several, "key").join(brief, "sid"), "shared-pair-keys")
     release(pairs)
-    return out
+    return singles, shared
 
 
 def may_link(rule: Rule):
@@ -258,10 +268,9 @@ def brief_differences(rule: Rule):
     return places <= size - 2 * F.ceil(size * rule.num / F.lit(rule.num + rule.den) - 1e-9)
 
 
-def meeting(rule: Rule):
-    """The rows of two sets at one key, the second's columns with a 2 or z: not refused, and the first of a run of shared keys."""
-    first = ~F.col("prev").eqNullSafe(F.col("prev2")) | F.col("prev").isNull()
-    return first & may_link(rule) & brief_differences(rule)
+def meeting(rule: Rule) -> Column:
+    """The rows of two sets at one key (the second's columns end in 2): the first of a run of shared keys, and not refused by sizes."""
+    return (~F.col("prev").eqNullSafe(F.col("prev2")) | F.col("prev").isNull()) & may_link(rule)
 
 
 def refuse_by_sketch(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
@@ -315,33 +324,51 @@ def jaccard_classes(docs: DataFrame, rule: Rule, frequent: int = 24) -> tuple[Da
     rows = materialize(sets.select("doc_id", F.col("n").alias("n_shingles"), "cid", "text_hash"), "shingle-rows")
     release(sets)
     classes, lists = classify(docs, classes, rule, frequent)
-    shared = shared_keys(classes, lists, rule)
+    singles, combined = shared_keys(classes, lists, rule)
     release(lists)
-    words = range(BRIEF // 64)
+    plain = [("sid", "sid2"), ("n", "n2"), ("most", "most2"), ("prev", "prev2")]
+    sketched = plain + [(f"s{i}", f"z{i}") for i in range(BRIEF // 64)]
+    by_key = Window.partitionBy("key")
+
+    def hub(cols: list[tuple[str, str]]) -> Column:
+        return F.max(F.struct((F.col("most") - F.col("n")).alias("rank"), *(F.col(c).alias(d) for c, d in cols)))
+
+    def ends(met: DataFrame) -> DataFrame:
+        return met.select(F.least("sid", "sid2").alias("a"), F.greatest("sid", "sid2").alias("b"))
+
+    def linked(one: DataFrame, two: DataFrame) -> DataFrame:
+        pairs = ends(one).unionByName(ends(two)).distinct()
+        return verify(docs, materialize(refuse_by_sketch(pairs, classes, rule), "pairs"), classes, rule)
 
     # each set meets the hub of each of its keys
-    seen = ("sid", "n", "most", "prev", *(f"s{i}" for i in words))
-    names = ("sid2", "n2", "most2", "prev2", *(f"z{i}" for i in words))
-    hubs = shared.groupBy("key").agg(F.max(F.struct((F.col("most") - F.col("n")).alias("rank"), *(F.col(c).alias(d) for c, d in zip(seen, names)))).alias("hub"))
-    star = shared.join(hubs.select("key", *(F.col(f"hub.{d}") for d in names)), "key").filter((F.col("sid") != F.col("sid2")) & meeting(rule))
-    pairs = star.select(F.least("sid", "sid2").alias("a"), F.greatest("sid", "sid2").alias("b")).distinct()
-    links = verify(docs, materialize(refuse_by_sketch(pairs, classes, rule), "pairs"), classes, rule)
+    other = F.col("sid") != F.col("sid2")
+    star = singles.withColumn("hub", hub(plain).over(by_key)).select("*", "hub.*").filter(other & meeting(rule))
+    hubs = combined.groupBy("key").agg(hub(sketched).alias("hub")).select("key", *(F.col(f"hub.{d}") for _, d in sketched))
+    links = linked(star, combined.join(hubs, "key").filter(other & meeting(rule) & brief_differences(rule)))
 
     # sets of different components that share a key
     roots = components(links)
-    placed = shared.join(roots.withColumnRenamed("v", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
-    placed = materialize(placed.join(split, "key"), "split-keys")
-    release(shared, roots)
-    other = placed.select("key", F.col("root").alias("root2"), *(F.col(c).alias(d) for c, d in zip(seen, names)))
-    meet = placed.join(other, (placed["key"] == other["key"]) & (F.col("root") < F.col("root2")) & meeting(rule))
-    pairs = meet.select(F.least("sid", "sid2").alias("a"), F.greatest("sid", "sid2").alias("b")).distinct()
-    late = verify(docs, materialize(refuse_by_sketch(pairs, classes, rule), "late-pairs"), classes, rule)
+    apart = F.col("root") < F.col("root2")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.join(roots.withColumnRenamed("v", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+
+    def second(rows: DataFrame, cols: list[tuple[str, str]]) -> DataFrame:
+        return rows.select(F.col("key").alias("key2"), F.col("root").alias("root2"), *(F.col(c).alias(d) for c, d in cols))
+
+    mixed = (F.min("root").over(by_key) != F.max("root").over(by_key)).alias("mixed")
+    split = materialize(placed(singles).select("*", mixed).filter("mixed").drop("mixed"), "split-singles")
+    several = placed(combined).groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
+    crowd = materialize(placed(combined).join(several, "key"), "split-pairs")
+    release(singles, combined, roots)
+    one = split.join(second(split, plain), (F.col("key") == F.col("key2")) & apart & meeting(rule))
+    two = crowd.join(second(crowd, sketched), (F.col("key") == F.col("key2")) & apart & meeting(rule) & brief_differences(rule))
+    late = linked(one, two)
     found = components(links.unionByName(late))
     named = classes.select("sid", "cid")
-    ends = found.join(named.withColumnRenamed("sid", "v"), "v").join(named.select(F.col("sid").alias("root"), F.col("cid").alias("root_cid")), "root")
-    out = materialize(ends.select("cid", F.col("root_cid").alias("root")), "class-roots")
-    release(placed, links, late, classes, found)
+    both = found.join(named.withColumnRenamed("sid", "v"), "v").join(named.select(F.col("sid").alias("root"), F.col("cid").alias("root_cid")), "root")
+    out = materialize(both.select("cid", F.col("root_cid").alias("root")), "class-roots")
+    release(split, crowd, links, late, classes, found)
     return rows, out
 
 
