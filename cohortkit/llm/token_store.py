@@ -4,7 +4,9 @@ A block file image holds the ids of consecutive documents and the n + 1 bounds
 of these documents as an Elias-Fano sequence: the low bits of each bound in a
 packed array, the high bits in unary in a bit vector, with a sample of the
 select structure every 64 ones.  So a bound costs about 2 + log2(mean length)
-bits and no 64-bit table is kept.  Images are rows of Parquet files in ascending
+bits and no 64-bit table is kept, neither in the files nor by the reader, which
+selects each bound it needs.  Document ids ascend, so they are another such
+sequence, of their distances from the block's first id.  Images are rows of Parquet files in ascending
 document order, so Spark's committer makes their writing safe on any store.
 
 Null texts count as empty and hold the end id alone.  Null ids sort first.
@@ -28,7 +30,7 @@ from .tokens import encoder, slices
 
 SAMPLE = 64
 MAGIC = b"EFT1"
-BLOCKS = "part int, block int, n_docs long, n_tokens long, doc_ids array<long>, image binary"
+BLOCKS = "part int, block int, n_docs long, n_tokens long, n_null long, first_id long, id_image binary, image binary"
 
 
 class EliasFano:
@@ -68,14 +70,6 @@ class EliasFano:
         one = (byte << 3) + (word & -word).bit_length() - 1
         return ((one - i) << self.low_bits) | self._low(i)
 
-    def values(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little"))[: self.n]
-        low = np.zeros(self.n, np.int64)
-        if self.low_bits:
-            bits = np.unpackbits(np.frombuffer(self.low, np.uint8), bitorder="little")[: self.n * self.low_bits]
-            low = bits.reshape(self.n, self.low_bits).astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64))
-        return ((ones - np.arange(self.n)) << self.low_bits) | low
-
     def to_bytes(self) -> bytes:
         head = struct.pack("<QBQQQ", self.n, self.low_bits, len(self.low), len(self.high), len(self.samples))
         return head + self.low + self.high + self.samples.tobytes()
@@ -88,6 +82,13 @@ class EliasFano:
                    np.frombuffer(raw, "<u4", samples, at + low + high))
 
 
+def id_image(ids: pa.Array) -> tuple[int, int, bytes]:
+    """How many ids are null (they come first), the first other id, and the Elias-Fano sequence of the distances from it."""
+    known = ids.drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
+    first = int(known[0]) if len(known) else 0
+    return ids.null_count, first, EliasFano.encode(known.view(np.uint64) - np.int64(first).view(np.uint64)).to_bytes()
+
+
 def block_image(ids: np.ndarray, bounds: np.ndarray) -> bytes:
     """The file image of a block: magic, id width, sizes, bounds, ids."""
     ef = EliasFano.encode(bounds).to_bytes()
@@ -123,8 +124,8 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                 image = block_image(whole, bounds)
                 yield pa.RecordBatch.from_arrays(
                     [part.slice(a, 1), pa.array([made], pa.int32()), pa.array([b - a], pa.int64()), pa.array([len(whole)], pa.int64()),
-                     pa.array([doc.slice(a, b - a)], pa.list_(pa.int64())), pa.array([image], pa.binary())],
-                    names=["part", "block", "n_docs", "n_tokens", "doc_ids", "image"])
+                     *(pa.array([x], kind) for x, kind in zip(id_image(doc.slice(a, b - a)), (pa.int64(), pa.int64(), pa.binary()))), pa.array([image], pa.binary())],
+                    names=["part", "block", "n_docs", "n_tokens", "n_null", "first_id", "id_image", "image"])
                 made += 1
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
@@ -139,19 +140,24 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
     def documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            part, block, doc_ids, images = (batch.column(i) for i in range(4))
+            part, block, n_null, first, id_images, images = (batch.column(i) for i in range(6))
             for i in range(batch.num_rows):
                 ids, bounds = read_image(images[i].as_buffer().to_pybytes())
-                ends = bounds.values()
-                wide = ids.astype("<u4")
-                crc = [zlib.crc32(wide[a:b]) for a, b in zip(ends, ends[1:])]
-                n = len(crc)
+                places = EliasFano.from_bytes(id_images[i].as_py())
+                doc = [None] * n_null[i].as_py() + [first[i].as_py() + places.select(k) for k in range(places.n)]
+                start, size, crc, b = [], [], [], bounds.select(0)
+                for k in range(1, bounds.n):
+                    a, b = b, bounds.select(k)
+                    start.append(a)
+                    size.append(b - a)
+                    crc.append(zlib.crc32(ids[a:b].astype("<u4")))
+                n = len(doc)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, part[i].as_py(), np.int32)), pa.array(np.full(n, block[i].as_py(), np.int32)), doc_ids[i].values,
-                     pa.array(ends[:-1]), pa.array(np.diff(ends)), pa.array(crc, pa.int64())],
+                    [pa.array(np.full(n, part[i].as_py(), np.int32)), pa.array(np.full(n, block[i].as_py(), np.int32)),
+                     *(pa.array(c, pa.int64()) for c in (doc, start, size, crc))],
                     names=["part", "block", "doc_id", "local", "n_tokens", "ids_crc32"])
 
-    found = blocks.select("part", "block", "doc_ids", "image").mapInArrow(
+    found = blocks.select("part", "block", "n_null", "first_id", "id_image", "image").mapInArrow(
         documents, "part int, block int, doc_id long, local long, n_tokens long, ids_crc32 long")
     # ids before each part (one row a part), and before each block of a part
     parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("tokens"))

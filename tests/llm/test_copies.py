@@ -197,6 +197,12 @@ def test_cut_texts_keeps_other_columns(spark, edge_docs):
     assert (2, "") in left and (3, None) in left and (5, "short") in left
 
 
+def test_stages_of_nothing(spark, no_docs, edge_docs):
+    bench = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    assert substrings.cut_texts(no_docs).collect() == [] and decontam.drop_leaks(no_docs, bench).collect() == []
+    assert decontam.drop_leaks(edge_docs, bench.limit(0)).count() == edge_docs.count()
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.text("ab", min_size=6, max_size=14), min_size=1, max_size=12))
 def test_suffix_sort_orders_and_classes(texts):

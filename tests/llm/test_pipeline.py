@@ -72,3 +72,15 @@ def test_stages_equal_brute_force(spark, small, tmp_path):
 
 def test_run_applies_all_stages(spark, small):
     assert corpus_pipeline.run(spark, small).count() > 100
+
+
+def test_run_on_edge_rows_and_on_nothing(spark, edge_docs, no_docs, small, tmp_path):
+    """Nulls, repeated rows, very long texts and clashing columns pass all stages; an empty table gives no row."""
+    for name, docs in (("edge", edge_docs), ("none", no_docs)):
+        base = tmp_path / name
+        docs.write.parquet(str(base / "documents.parquet"))
+        for t in ("benchmark", "labels"):
+            spark.read.parquet(f"{small}/{t}.parquet").write.parquet(str(base / f"{t}.parquet"))
+        out = rows(corpus_pipeline.run(spark, str(base)), "doc_id", "piece", "start", "length", "sequence_id", "offset")
+        assert (len(out) > 0) == (name == "edge")
+        assert all(0 < n <= 2048 and offset + n <= 2048 for _, _, _, n, _, offset in out)

@@ -51,15 +51,24 @@ def test_slices_cover_all_rows():
 def test_elias_fano_round_trip_and_select(gaps):
     values = np.cumsum([0, *gaps])
     ef = token_store.EliasFano.from_bytes(token_store.EliasFano.encode(values).to_bytes())
-    assert ef.values().tolist() == values.tolist()
-    for i in range(0, len(values), 7):
-        assert ef.select(i) == values[i]
+    assert [ef.select(i) for i in range(ef.n)] == values.tolist()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(-2**63, 2**63 - 1), max_size=70), st.integers(0, 3))
+def test_ids_of_a_block_are_distances_from_its_first(ids, nulls):
+    ids = sorted(ids)
+    n_null, first, raw = token_store.id_image(pa.array([None] * nulls + ids, pa.int64()))
+    ef = token_store.EliasFano.from_bytes(raw)
+    assert n_null == nulls and [first + ef.select(i) for i in range(ef.n)] == ids
+    near = token_store.id_image(pa.array(range(10**15, 10**15 + 3000)))[2]
+    assert len(near) < 3000  # 2 bits an id and the samples, not 64
 
 
 def test_block_image_round_trip():
     ids = np.arange(1000, dtype="<u2")
     got, ef = token_store.read_image(token_store.block_image(ids, np.array([0, 10, 10, 1000])))
-    assert np.array_equal(got, ids) and ef.values().tolist() == [0, 10, 10, 1000]
+    assert np.array_equal(got, ids) and [ef.select(i) for i in range(ef.n)] == [0, 10, 10, 1000]
 
 
 @settings(max_examples=60, deadline=None)
@@ -118,3 +127,29 @@ def test_token_store_of_edge_rows(spark, library, edge_docs, no_docs):
     order = [(i is not None, i or 0) for _, i, _, _ in got]
     assert order == sorted(order)  # nulls first, then ascending
     assert token_store.encode_and_read(no_docs, PATH).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 11), max_size=40))
+def test_every_piece_goes_where_the_sum_of_squares_is_least(lengths):
+    """Each placement against all others: every open gap that fits, and a new sequence."""
+    capacity = 12
+    bins, offsets = packing.sum_of_squares(np.array(lengths, np.int64), capacity)
+    gap: dict[int, int] = {}  # gap of each sequence
+
+    def total(gaps):
+        n = [0] * capacity
+        for g in gaps:
+            n[g] += 1
+        return sum(x * x for x in n[1:])
+
+    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+        s = lengths[i]
+        choices = []
+        for b, g in gap.items():
+            if g >= s:
+                choices.append((total([*(h for c, h in gap.items() if c != b), g - s]), 0, g, b))
+        choices.append((total([*gap.values(), capacity - s]), 1, capacity, len(gap)))
+        want = min(choices)  # of equal sums an open sequence, the smaller gap, the older sequence
+        assert (bins[i], offsets[i]) == (want[3], capacity - want[2])
+        gap[int(bins[i])] = want[2] - s
