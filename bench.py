@@ -35,7 +35,10 @@ HEADLINE = [
     # joins with skew-prone keys
     "semi_join_count", "orphan_tags", "unmatched_top", "recency_cohort", "null_aware_rate",
     # heavier derived operators
-    "median_exact", "topk_rank_compare", "bootstrap_rate", "bootstrap_median", "fuzzy_key_match", "integrity_checks",
+    "median_exact", "topk_rank_compare", "bootstrap_rate", "bootstrap_median_baseline", "bootstrap_median", "fuzzy_key_match", "integrity_checks",
+    # one pass with the write, stored summaries, co-located and prefiltered joins
+    "clean_write_audit", "frequent_values", "distinct_sketch_merge", "median_sketch_merge", "topk_tags_bucketed", "cohort_tag_prefiltered",
+    "row_sample", "series_missing_months",
 ]
 
 

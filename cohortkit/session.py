@@ -43,14 +43,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def app_id(spark: SparkSession) -> str:
-    """Identifier of the running application (also on a Spark Connect session)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
-        return spark.conf.get("spark.app.id", None) or str(id(spark))
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 

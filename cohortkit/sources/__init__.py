@@ -3,7 +3,6 @@
 from cohortkit.sources.files import (
     TABLES,
     load,
-    load_tables,
     read_padded_tsv,
     read_quoted_csv,
     read_result,
@@ -11,5 +10,5 @@ from cohortkit.sources.files import (
 )
 from cohortkit.sources.sinks import write_bucketed, write_parquet, write_quoted_csv, write_single_csv
 
-__all__ = ["TABLES", "load", "load_tables", "read_padded_tsv", "read_quoted_csv", "read_result", "union_all",
+__all__ = ["TABLES", "load", "read_padded_tsv", "read_quoted_csv", "read_result", "union_all",
            "write_bucketed", "write_parquet", "write_quoted_csv", "write_single_csv"]
