@@ -79,9 +79,9 @@ def test_all_assignments_of_a_tiny_table_occur_alike(spark):
     """Four rows, two shards: the 24 orders of the rows over shards and slots, over many seeds."""
     df = spark.createDataFrame([(i, i, i) for i in range(4)], "doc_id long, size long, text_crc32 long").repartition(2)
     got = Counter()
-    for seed in range(36):
+    for seed in range(16):
         got[tuple(d for d, *_ in sorted(rows(sharding.shard_rows(df, 2, seed=seed, blocks=2), "doc_id", "shard", "slot"), key=lambda r: r[1:]))] += 1
-    assert len(got) >= 14 and max(got.values()) <= 7  # of 24 orders, 36 draws leave 5 out on average
+    assert len(got) >= 8 and max(got.values()) <= 5  # 16 draws hit 12 of the 24 orders on average
 
 
 def test_communication_matrix_has_exact_margins(spark):
