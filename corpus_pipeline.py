@@ -12,12 +12,17 @@ folder, and all but the last return the columns of ``documents``.
   item, on five-word shingles, go.
 * ``packing``: the rest is cut into pieces of at most 2048 ids and packed.
 
+Texts are long, so a stage hands at most ``BATCH_ROWS`` of them to a Python task
+at a time; a smaller setting of the session stays.
+
 Null texts: quality judges them as empty; the other stages let them through and
 packing gives them the end id alone.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,26 +32,47 @@ from cohortkit.llm.queries import tokenizer_path
 
 CAPACITY = 2048
 END_ID = 0
+#: Rows of an Arrow batch; with Spark's default of 10,000 the batches of two tasks take several hundred MB.
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded(stage):
+    """The stage with Arrow batches of at most ``BATCH_ROWS`` rows, its returned frame included."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        held = int(spark.conf.get(BATCH_SETTING))
+        if held <= 0 or held > BATCH_ROWS:
+            spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
 
 
+@bounded
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.learn(docs, table(spark, sf_dir, "labels"), folds=3, held_out=1)
     return quality.keep_good(docs, model)
 
 
+@bounded
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return jaccard.keep_one(docs, jaccard.Rule(words=5, num=8, den=10))
 
 
+@bounded
 def cut_repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = substrings.cut_texts(docs)
     return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
 
+@bounded
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+@bounded
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(docs, tokenizer_path(), CAPACITY, END_ID), CAPACITY)
 
