@@ -763,8 +763,8 @@ BOOTSTRAP_REPS = 200
 def bootstrap_rate(spark, base):
     from cohortkit.operators import resample
 
-    return resample.bootstrap_rate(_tagged(spark, base), "cohort", cohort.IN_LABEL, cohort.OUT_LABEL,
-                                   F.col("o_orderstatus") == "F", reps=DRAWS)
+    return resample.drawn_rate(_tagged(spark, base), "cohort", cohort.IN_LABEL, cohort.OUT_LABEL, "o_orderkey",
+                               F.col("o_orderstatus") == "F", reps=DRAWS)
 
 
 @query("bootstrap_median_baseline")
