@@ -771,8 +771,8 @@ def bootstrap_rate(spark, base):
 def bootstrap_median_baseline(spark, base):
     from cohortkit.operators import resample
 
-    t = _tagged(spark, base).select("cohort", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
-    return resample.median_baseline(t, "cohort", cohort.IN_LABEL, cohort.OUT_LABEL, "cents", reps=DRAWS)
+    t = _tagged(spark, base).select("o_orderkey", "cohort", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    return resample.drawn_median(t, "cohort", cohort.IN_LABEL, cohort.OUT_LABEL, "o_orderkey", "cents", reps=DRAWS)
 
 
 @query("bootstrap_median")

@@ -73,6 +73,6 @@ def test_queries_draw_rows(spark, base, monkeypatch):
 
     seen, draws = [], resample._draws
     monkeypatch.setattr(resample, "_draws", lambda rows, reps, high: seen.append(reps) or draws(rows, reps, high))
-    for query in (catalog.bootstrap_rate,):
+    for query in (catalog.bootstrap_rate, catalog.bootstrap_median_baseline):
         query(spark, base)
-    assert seen == [1000]
+    assert seen == [1000, 1000]
