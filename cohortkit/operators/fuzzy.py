@@ -8,6 +8,11 @@ true pair.  A join block (one variant) only holds keys within ``2d`` edits
 of each other, so block sizes follow the size of the answer rather than of
 the input, and there is no cap on partners.  Candidates are verified with
 the built-in ``levenshtein(l, r, threshold)``.
+
+A key has about as many variants as characters, but Spark estimates the
+expanded side at the size of its input and would broadcast it.  So the join
+on variants names its strategy: both sides are shuffled and merged, and
+adaptive execution may split a crowded partition.
 """
 
 from __future__ import annotations
@@ -40,7 +45,7 @@ def fuzzy_pairs(left: DataFrame, left_col: str, right: DataFrame, right_col: str
     rk = right.select(F.col(right_col).alias("s")).filter(F.col("s").isNotNull()).distinct()
     lv = deletion_variants(lk, max_dist).withColumnRenamed("s", "left_key")
     rv = deletion_variants(rk, max_dist).withColumnRenamed("s", "right_key")
-    cands = lv.join(rv, "v").select("left_key", "right_key").distinct()
+    cands = lv.join(rv.hint("merge"), "v").select("left_key", "right_key").distinct()
     out = (cands.withColumn("distance", F.levenshtein("left_key", "right_key", max_dist))
            .filter(F.col("distance") >= 0))
     if not include_equal:
