@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from .common import fresh, materialize, release
 from .components import components
 from .shingles import mix, odd_sketch, set_id, shingle_set, sketch_difference
+from .tokens import forget_encoders
 
 #: Bytes of a measured table up to which it is broadcast; larger ones are shuffled.
 BROADCAST = 32 << 20
@@ -52,6 +53,8 @@ BROADCAST = 32 << 20
 BRIEF = 512
 #: Rows of an Arrow batch that a task hands back, so that neither side holds a large one.
 CHUNK = 1 << 16
+#: Whole sets that a task makes before it hands them back; each may take 8 bytes a word.
+SETS = 64
 
 
 @dataclass(frozen=True)
@@ -104,6 +107,7 @@ def first_pass(docs: DataFrame, rule: Rule) -> DataFrame:
     """``doc_id, n, cid, text_hash, sketch, brief, low``: the set's size and id, its sketches and its first tokens."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for b in batches:
             rows = []
             for text in b.column(1).to_pylist():
@@ -135,11 +139,14 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     """``cid, low`` with all tokens of the classes ``wanted`` (``cid, rep``), from their texts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for b in batches:
-            sets = [shingle_set(t, rule.words) for t in b.column(1).to_pylist()]
-            same = [set_id(s) == c for s, c in zip(sets, b.column(0).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).filter(pa.array(same, pa.bool_())), pa.array([s.astype("<u8").tobytes() for s, ok in zip(sets, same) if ok], pa.binary())], names=["cid", "low"])
+            for at in range(0, b.num_rows, SETS):
+                part = b.slice(at, SETS)
+                sets = [shingle_set(t, rule.words) for t in part.column(1).to_pylist()]
+                same = [set_id(s) == c for s, c in zip(sets, part.column(0).to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).filter(pa.array(same, pa.bool_())), pa.array([s.astype("<u8").tobytes() for s, ok in zip(sets, same) if ok], pa.binary())], names=["cid", "low"])
 
     texts = texts_of(docs, small_side(wanted, 48))
     return texts.select("cid", "text").mapInArrow(run, "cid binary, low binary").dropDuplicates(["cid"])
@@ -296,6 +303,7 @@ def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, rule: Rule) ->
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for b in batches:
             for cid, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 s = shingle_set(text, rule.words)

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import fresh
 from .labelled import remainder, training_sample
+from .tokens import forget_encoders
 
 PASSAGE = 48
 
@@ -184,6 +185,7 @@ def keep_good(docs: DataFrame, model: AttentionMIL | None, text_col: str = "text
     at = docs.columns.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for b in batches:
             for a in range(0, b.num_rows, 200):
                 part = b.slice(a, 200)

@@ -183,6 +183,11 @@ def encoder(tokenizer_path: str) -> WordEncoder:
     return _ENCODERS[tokenizer_path]
 
 
+def forget_encoders() -> None:
+    """Frees the encoders that earlier tasks left in this worker process: their memos may hold a million words."""
+    _ENCODERS.clear()
+
+
 def slices(texts: pa.Array, chars: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column of about ``chars`` bytes each; a longer text stands alone."""
     size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
