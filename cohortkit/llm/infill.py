@@ -24,6 +24,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tokens import slices
+
+#: Bytes of text that are cut at a time; a longer text stands alone.
+SLICE = 1 << 20
+
 
 @dataclass(frozen=True)
 class Infill:
@@ -68,19 +73,20 @@ def fill_in_middle(docs: DataFrame, spec: Infill = Infill(), id_col: str = "doc_
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pattern, (p, s, m) = spec.units(), spec.marks()
-        for b in batches:
-            rows = []
-            for text, h1, h2, h3, h4 in zip(*(b.column(i).to_pylist() for i in range(1, 6))):
-                text = text or ""
-                ends = unit_ends(pattern, text)
-                if not text or any(mark in text for mark in (p, s, m)) or h3 % 100 >= spec.rate:
-                    rows.append((len(ends), "plain", None, None, text))
-                    continue
-                x, y = cut(text, ends, h1, h2)
-                head, mid, tail = text[:x], text[x:y], text[y:]
-                form, parts = ("spm", (s, tail, p, head)) if h4 % 100 < spec.spm else ("psm", (p, head, s, tail))
-                rows.append((len(ends), form, x, y - x, "".join([*parts, m, mid])))
-            if rows:
+        for whole in batches:
+            for low, high in slices(whole.column(1), SLICE):
+                b = whole.slice(low, high - low)
+                rows = []
+                for text, h1, h2, h3, h4 in zip(*(b.column(i).to_pylist() for i in range(1, 6))):
+                    text = text or ""
+                    ends = unit_ends(pattern, text)
+                    if not text or any(mark in text for mark in (p, s, m)) or h3 % 100 >= spec.rate:
+                        rows.append((len(ends), "plain", None, None, text))
+                        continue
+                    x, y = cut(text, ends, h1, h2)
+                    head, mid, tail = text[:x], text[x:y], text[y:]
+                    form, parts = ("spm", (s, tail, p, head)) if h4 % 100 < spec.spm else ("psm", (p, head, s, tail))
+                    rows.append((len(ends), form, x, y - x, "".join([*parts, m, mid])))
                 n, form, x, y, out = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array(n, pa.int64()), pa.array(form, pa.string()), pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(out, pa.string())],

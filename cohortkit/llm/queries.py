@@ -79,8 +79,8 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = infill.Infill(seed=7, rate=100, spm=50)
     cut = infill.fill_in_middle(table(spark, sf_dir, "documents"), spec)
     return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
-                      F.sha2(F.encode("output", "UTF-8"), 256).alias("output_sha256"),
-                      F.sha2(F.encode(infill.restored(spec), "UTF-8"), 256).alias("restored_sha256"))
+                      F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(infill.restored(spec).cast("binary"), 256).alias("restored_sha256"))
 
 
 QUERIES = {f.__name__: f for f in (

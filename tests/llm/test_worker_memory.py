@@ -1,9 +1,9 @@
-"""What a Python worker keeps from one kind of task to the next."""
+"""What a Python worker holds at a time, and keeps from one kind of task to the next."""
 
 import pyarrow as pa
 import pytest
 
-from cohortkit.llm import jaccard, quality, tokens
+from cohortkit.llm import infill, jaccard, quality, tokens
 from cohortkit.llm.shingles import set_id, shingle_set
 
 RULE = jaccard.Rule(words=2)
@@ -38,3 +38,16 @@ def test_whole_sets_are_handed_back_in_parts(tasks, monkeypatch):
     assert max(b.num_rows for b in out) <= jaccard.SETS and not tokens._ENCODERS
     low = [x for b in out for x in b.column(1).to_pylist()]
     assert low == [shingle_set(t, 2).astype("<u8").tobytes() for i, t in enumerate(texts) if i != 7]
+
+
+def test_cut_texts_are_handed_back_in_slices(tasks, monkeypatch):
+    monkeypatch.setattr(infill, "SLICE", 5000)
+    texts = [f"{i}\nline é\n" * 40 for i in range(200)] + ["", None, "x" * 20_000, "<P>"]
+    n = len(texts)
+    docs = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(texts), *(pa.array([(7 * i + k) % 101 for i in range(n)]) for k in range(4))], names=["doc_id", "text", "h1", "h2", "h3", "h4"])
+    run = infill.fill_in_middle(tasks[0])
+    out = list(run(iter([docs, docs.slice(0, 0)])))
+    assert max(b.nbytes for b in out if n - 2 not in b.column(0).to_pylist()) < 20_000 < docs.nbytes
+    got = [r for b in out for r in b.to_pylist()]
+    assert [r["doc_id"] for r in got] == list(range(n)) and [r["n"] for r in got] == [80] * 200 + [0, 0, 1, 1]
+    assert [r["output"] for r in got if r["form"] == "plain"] == ["", "", "<P>"]
