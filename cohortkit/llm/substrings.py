@@ -49,25 +49,28 @@ BROADCAST = 96 << 20
 WIDTH = 5
 #: Bytes of text whose anchors one part takes at most on average: some 2.4 million, 210 MB of memory.
 PART_BYTES = 32 << 20
+#: Bytes of packed anchors that a task hands back at a time, so that neither side holds a large batch.
+SENT = 2 << 20
 
 
 @dataclass(frozen=True)
 class Plan:
     """Sizes of the work.
 
-    A batch of texts takes about six times ``batch_bytes`` of memory, and the
+    A batch of texts takes about ten times ``batch_bytes`` of memory, and the
     task of a part about 90 bytes for each of its anchors (one per 14 bytes of
-    text, so 49 parts of 1 GB take 140 MB each).
+    text, so 49 parts of 1 GB take 140 MB each).  Half the ``batch_bytes`` hold
+    half as many surroundings, so ``crowd`` goes with them.
     """
 
     length: int = 50
     gram: int = 24
     parts: int = 8
-    batch_bytes: int = 16 << 20
+    batch_bytes: int = 8 << 20
     #: groups of one part whose strings are sorted apart
     pieces: int = 16
     #: different surroundings of a gram in a batch, beyond which it sends one entry
-    crowd: int = 1024
+    crowd: int = 512
     #: surroundings of a gram in all, beyond which its strings are compared by window
     hot: int = 1 << 16
 
@@ -108,17 +111,7 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
 def ask(docs: DataFrame, plan: Plan) -> DataFrame:
     """``batch, part, docs, rows, counts, hot, grams, contexts``: one row for each batch of texts and part."""
 
-    def pack(batch: int, texts: list[np.ndarray], ids: list[int], rows: list[int]) -> Iterator[pa.RecordBatch]:
-        grams, contexts, owner = [], [], []
-        for i, data in enumerate(texts):
-            place, _, _ = anchors(data, plan.length, plan.gram)
-            if len(place):
-                grams.append(gram_keys(data, place, plan.gram))
-                contexts.append(context_keys(data, place, plan.gram, plan.length))
-                owner.append(np.full(len(place), i, np.int64))
-        if not grams:
-            return
-        g, c, d = np.concatenate(grams), np.concatenate(contexts), np.concatenate(owner)
+    def pack(batch: int, ids: np.ndarray, rows: np.ndarray, g: np.ndarray, c: np.ndarray, d: np.ndarray) -> Iterator[pa.RecordBatch]:
         # crowded grams: more different surroundings than ``crowd`` in this batch
         order = np.lexsort((c[:, 1], c[:, 0], g))
         fresh_g = changes(g, order)
@@ -126,10 +119,13 @@ def ask(docs: DataFrame, plan: Plan) -> DataFrame:
         run = np.cumsum(fresh_g) - 1
         crowded = np.zeros(len(g), bool)
         crowded[order] = (np.bincount(run[fresh_c]) > plan.crowd)[run]
+        del order, fresh_g, fresh_c, run
         part = part_of(g, plan.parts)
         by_part = np.argsort(part, kind="stable")
         edge = np.searchsorted(part[by_part], np.arange(plan.parts + 1))
+        del part
         out: list[tuple] = []
+        size = 0
         for p in range(plan.parts):
             at = by_part[edge[p] : edge[p + 1]]
             if len(at):
@@ -138,15 +134,26 @@ def ask(docs: DataFrame, plan: Plan) -> DataFrame:
                 kept = at[~hot]
                 # one entry for a crowded gram: its gram, and the surroundings 0
                 crowd = np.unique(g[at[hot]])
-                out.append((batch, p, [ids[i] for i in who], [rows[i] for i in who], counts.astype("<u4").tobytes(), np.packbits(hot).tobytes(),
+                out.append((batch, p, ids[who], rows[who], counts.astype("<u4").tobytes(), np.packbits(hot).tobytes(),
                             narrow(g[kept]).tobytes() + narrow(crowd).tobytes(), c[kept].astype("<u8").tobytes()))
-        cols = list(zip(*out))
-        types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], names=["batch", "part", "docs", "rows", "counts", "hot", "grams", "contexts"])
+                size += 24 * len(who) + 21 * len(at)
+            if out and (size >= SENT or p == plan.parts - 1):
+                types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+                cols, out, size = [pa.array(x, t) for x, t in zip(zip(*out), types)], [], 0
+                yield pa.RecordBatch.from_arrays(cols, names=["batch", "part", "docs", "rows", "counts", "hot", "grams", "contexts"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, np.ndarray]] = []
+        ids, rows, held = [], [], []
         size, number = 0, TaskContext.get().partitionId() << 24
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            owner = np.repeat(np.arange(len(held)), [len(g) for g, _ in held])
+            g, c = (np.concatenate([x[k] for x in held]) for k in range(2))
+            who = np.array(ids, np.int64), np.array(rows, np.int64)
+            for x in (ids, rows, held):
+                x.clear()
+            return pack(number, *who, g, c, owner)
+
         for b in batches:
             for i, r, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 if not t.is_valid:
@@ -154,13 +161,16 @@ def ask(docs: DataFrame, plan: Plan) -> DataFrame:
                 data = to_bytes(t.as_py())
                 if len(data) < plan.length:
                     continue
-                held.append((i, r, data))
+                place, _, _ = anchors(data, plan.length, plan.gram)
+                ids.append(i)
+                rows.append(r)
+                held.append((gram_keys(data, place, plan.gram), context_keys(data, place, plan.gram, plan.length)))
                 size += len(data)
                 if size >= plan.batch_bytes:
-                    yield from pack(number, [x for _, _, x in held], [x for x, _, _ in held], [x for _, x, _ in held])
-                    held, size, number = [], 0, number + 1
+                    yield from packed()
+                    size, number = 0, number + 1
         if held:
-            yield from pack(number, [x for _, _, x in held], [x for x, _, _ in held], [x for _, x, _ in held])
+            yield from packed()
 
     return docs.select("doc_id", "row", "text").mapInArrow(
         run, "batch long, part int, docs array<long>, rows array<long>, counts binary, hot binary, grams binary, contexts binary")

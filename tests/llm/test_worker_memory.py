@@ -1,9 +1,10 @@
 """What a Python worker holds at a time, and keeps from one kind of task to the next."""
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
-from cohortkit.llm import infill, jaccard, quality, tokens
+from cohortkit.llm import infill, jaccard, quality, substrings, tokens
 from cohortkit.llm.shingles import set_id, shingle_set
 
 RULE = jaccard.Rule(words=2)
@@ -40,6 +41,26 @@ def test_whole_sets_are_handed_back_in_parts(tasks, monkeypatch):
     assert low == [shingle_set(t, 2).astype("<u8").tobytes() for i, t in enumerate(texts) if i != 7]
 
 
+def test_anchors_are_handed_back_in_parts(tasks, monkeypatch):
+    monkeypatch.setattr(substrings.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda: 0}))
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("abcdefgh "), 4000)) for _ in range(40)] + ["short", None, "", "ab" * 3000]
+    n = len(texts)
+    docs = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(range(100, 100 + n)), pa.array(texts)], names=["doc_id", "row", "text"])
+    run = substrings.ask(substrings.sources(tasks[0]), substrings.Plan(parts=7, batch_bytes=60_000, crowd=3))
+
+    def sent(most):
+        monkeypatch.setattr(substrings, "SENT", most)
+        return list(run(iter([docs])))
+
+    whole, some, single = sent(1 << 30), sent(8192), sent(1)
+    assert len({b for x in whole for b in x.column(0).to_pylist()}) == len(whole) == 3
+    assert max(x.num_rows for x in whole) == 7 > max(x.num_rows for x in some) > max(x.num_rows for x in single) == 1
+    assert max(x.nbytes for x in some) < 3 * 8192
+    held = [[r for x in out for r in x.to_pylist()] for out in (whole, some, single)]
+    assert held[0] == held[1] == held[2] and {d for r in held[0] for d in r["docs"]} == {*range(40), n - 1}
+
+
 def test_cut_texts_are_handed_back_in_slices(tasks, monkeypatch):
     monkeypatch.setattr(infill, "SLICE", 5000)
     texts = [f"{i}\nline é\n" * 40 for i in range(200)] + ["", None, "x" * 20_000, "<P>"]
