@@ -176,10 +176,11 @@ class WordEncoder:
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def encoder(tokenizer_path: str) -> WordEncoder:
+def encoder(tokenizer_path: str, memo_words: int = 500_000) -> WordEncoder:
     """The worker process's encoder for a tokenizer file, kept between tasks."""
     if tokenizer_path not in _ENCODERS:
         _ENCODERS[tokenizer_path] = WordEncoder(tokenizer_path)
+    _ENCODERS[tokenizer_path].memo_words = memo_words
     return _ENCODERS[tokenizer_path]
 
 

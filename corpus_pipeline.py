@@ -34,6 +34,9 @@ CAPACITY = 2048
 END_ID = 0
 #: Rows of an Arrow batch; with Spark's default of 10,000 the batches of two tasks take several hundred MB.
 BATCH_ROWS = 1000
+#: Words that packing remembers, and bytes of text that it encodes at a time; the executors are fuller here than in op2.
+MEMO_WORDS = 50_000
+SLICE = 1 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -74,7 +77,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 @bounded
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.token_pieces(docs, tokenizer_path(), CAPACITY, END_ID), CAPACITY)
+    return packing.pack(packing.token_pieces(docs, tokenizer_path(), CAPACITY, END_ID, memo_words=MEMO_WORDS, chars=SLICE), CAPACITY)
 
 
 STAGES = [

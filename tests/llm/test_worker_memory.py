@@ -4,7 +4,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from cohortkit.llm import infill, jaccard, quality, substrings, tokens
+import corpus_pipeline
+from cohortkit.llm import infill, jaccard, packing, quality, substrings, tokens
+from cohortkit.llm.queries import tokenizer_path
 from cohortkit.llm.shingles import set_id, shingle_set
 
 RULE = jaccard.Rule(words=2)
@@ -72,3 +74,21 @@ def test_cut_texts_are_handed_back_in_slices(tasks, monkeypatch):
     got = [r for b in out for r in b.to_pylist()]
     assert [r["doc_id"] for r in got] == list(range(n)) and [r["n"] for r in got] == [80] * 200 + [0, 0, 1, 1]
     assert [r["output"] for r in got if r["form"] == "plain"] == ["", "", "<P>"]
+
+
+def test_packing_in_the_pipeline_remembers_fewer_words(spark, tasks, monkeypatch):
+    monkeypatch.setattr(tokens, "_ENCODERS", {})
+    monkeypatch.setattr(corpus_pipeline, "MEMO_WORDS", 50)
+    monkeypatch.setattr(corpus_pipeline, "SLICE", 400)
+    monkeypatch.setattr(packing, "pack", lambda pieces, capacity: pieces)
+    texts = [" ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(i, i + 40)) for i in range(0, 600, 5)] + [None, "", "a  b\n c"]
+    docs = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+
+    def pieces(task):
+        return [r for b in task(iter([docs])) for r in b.to_pylist()]
+
+    few = pieces(corpus_pipeline.pack_sequences(spark, tasks[0], ""))
+    (enc,) = tokens._ENCODERS.values()
+    assert len(enc.memo) + len(enc.memo.older) < 300 < len({w for t in texts if t for w in t.split()})
+    tokens.forget_encoders()
+    assert few == pieces(packing.token_pieces(tasks[0], tokenizer_path(), corpus_pipeline.CAPACITY, corpus_pipeline.END_ID))
