@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, release
+from .common import fresh, lean, materialize, release
 from .components import components
 from .shingles import mix, odd_sketch, set_id, shingle_set, sketch_difference
 from .tokens import forget_encoders
@@ -106,6 +106,7 @@ def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
 def first_pass(docs: DataFrame, rule: Rule) -> DataFrame:
     """``doc_id, n, cid, text_hash, sketch, brief, low``: the set's size and id, its sketches and its first tokens."""
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_encoders()
         for b in batches:
@@ -138,6 +139,7 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def whole_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     """``cid, low`` with all tokens of the classes ``wanted`` (``cid, rep``), from their texts."""
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_encoders()
         for b in batches:
@@ -155,6 +157,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
 def tokens(classes: DataFrame, owner: bool) -> DataFrame:
     """``token`` of the stored tokens, with the ``sid`` that holds it if ``owner``."""
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 512):
@@ -213,6 +216,7 @@ def keys(rows: DataFrame, rule: Rule, pairs: bool) -> DataFrame:
     sets, which lack the tokens of its own.  ``prev`` is the key before this one.
     """
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 512):
@@ -283,6 +287,7 @@ def meeting(rule: Rule) -> Column:
 def refuse_by_sketch(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Pairs ``a, b`` whose sketches do not rule a link out."""
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             na, nb, sa, sb = (b.column(i).to_pylist() for i in range(2, 6))
@@ -302,6 +307,7 @@ def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, rule: Rule) ->
     the set of ``a`` along to the task of ``b``, whose set is sent there once.
     """
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_encoders()
         for b in batches:

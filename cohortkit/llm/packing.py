@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import lean, lean_group, materialize
 from .tokens import encoder, slices
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -41,6 +41,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: in
     A smaller memo of ``memo_words`` and slices of fewer ``chars`` bytes cost time and spare memory, with the same rows.
     """
 
+    @lean
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path, memo_words)
         for batch in batches:
@@ -99,6 +100,7 @@ def pack(pieces: DataFrame, capacity: int, group_rows: int = 1 << 16) -> DataFra
     short = kept.filter(F.col("length") < capacity)
     groups = max(1, -(-short.count() // group_rows))
 
+    @lean_group
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
         bins, offsets = sum_of_squares(pdf["length"].to_numpy(), capacity)
         pdf["sequence_id"] = (pdf["group_"].to_numpy(np.int64) << 32) + bins

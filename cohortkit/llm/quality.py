@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, lean
 from .labelled import remainder, training_sample
 from .tokens import forget_encoders
 
@@ -142,6 +142,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, label:
     features only.
     """
 
+    @lean
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw = [passage_features(t).astype("<f4").tobytes() for t in b.column(1).to_pylist()]
@@ -184,6 +185,7 @@ def keep_good(docs: DataFrame, model: AttentionMIL | None, text_col: str = "text
     """The rows of ``docs`` that score at least 0.5, with all their columns."""
     at = docs.columns.index(text_col)
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_encoders()
         for b in batches:

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, release, shuffle_partitions
+from .common import fresh, lean, lean_group, materialize, release, shuffle_partitions
 from .suffixes import anchors, context_keys, equal_classes, gram_keys, sort_suffixes, surroundings
 
 LAST = np.iinfo(np.int64).max
@@ -142,6 +142,7 @@ def ask(docs: DataFrame, plan: Plan) -> DataFrame:
                 cols, out, size = [pa.array(x, t) for x, t in zip(zip(*out), types)], [], 0
                 yield pa.RecordBatch.from_arrays(cols, names=["batch", "part", "docs", "rows", "counts", "hot", "grams", "contexts"])
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, rows, held = [], [], []
         size, number = 0, TaskContext.get().partitionId() << 24
@@ -183,6 +184,7 @@ def answer(asked: DataFrame, plan: Plan) -> DataFrame:
     is 1 if it holds a code of 2 or 3, plus 2 if it holds a 1.
     """
 
+    @lean_group
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
         grams, contexts, crowds, held = [], [], [], []
         for docs, rows, counts, hot, g, c in zip(*(pdf[n] for n in ("docs", "rows", "counts", "hot", "grams", "contexts"))):
@@ -243,6 +245,7 @@ def _codes(g: np.ndarray, c: np.ndarray, doc: np.ndarray, crowds: np.ndarray, pl
 def merge(answers: DataFrame) -> DataFrame:
     """``doc_id, row, still, inside``: a document's entries with open anchors, and those with code 1, in part order."""
 
+    @lean_group
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         found: dict[tuple[int, int], tuple[list[bytes], list[bytes]]] = {}
         pdf = pdf.sort_values("part")
@@ -289,6 +292,7 @@ def read_codes(codes: bytes | None, keys: np.ndarray, parts: int) -> np.ndarray:
 def open_strings(docs: DataFrame, plan: Plan) -> DataFrame:
     """``gram, doc_id, row, at, off, windows, hot, bytes`` of each anchor of code 2 or 3."""
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
@@ -313,6 +317,7 @@ def open_strings(docs: DataFrame, plan: Plan) -> DataFrame:
 def repeated_windows(strings: DataFrame, plan: Plan) -> DataFrame:
     """``doc_id, row, low, high``: runs of bytes covered by windows that a smaller id has too."""
 
+    @lean_group
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
         size = pdf["bytes"].str.len().to_numpy(np.int64)
         data = np.frombuffer(b"".join(pdf["bytes"]), np.uint8)
@@ -419,6 +424,7 @@ def digests(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every row."""
     plan = plan or default_plan(docs)
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
@@ -444,6 +450,7 @@ def cut_texts(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     keys = small_side(found).select(F.col("doc_id").alias(i), F.col("row").alias(r), F.col("codes").alias(codes), F.col("spans").alias(spans))
     joined = docs.join(keys, (F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))) == F.col(i)) & (F.xxhash64("text") == F.col(r)), "left")
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [None if not t.is_valid else kept_bytes(t.as_py(), c, s, plan)[0].decode("utf-8", "ignore")

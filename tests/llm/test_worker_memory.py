@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from cohortkit.llm import infill, jaccard, packing, quality, substrings, tokens
+from cohortkit.llm import common, infill, jaccard, packing, quality, substrings, tokens
 from cohortkit.llm.queries import tokenizer_path
 from cohortkit.llm.shingles import set_id, shingle_set
 
@@ -92,3 +92,58 @@ def test_packing_in_the_pipeline_remembers_fewer_words(spark, tasks, monkeypatch
     assert len(enc.memo) + len(enc.memo.older) < 300 < len({w for t in texts if t for w in t.split()})
     tokens.forget_encoders()
     assert few == pieces(packing.token_pieces(tasks[0], tokenizer_path(), corpus_pipeline.CAPACITY, corpus_pipeline.END_ID))
+
+
+def test_smaller_batches_of_the_session_stay(spark):
+    session = spark.newSession()
+    for setting, want in (("64m", "1048576"), ("67108864b", "1048576"), ("700k", "700k"), ("1000", "1000"), ("1MB", "1MB"), ("1gb", "1048576")):
+        session.conf.set(corpus_pipeline.BYTES_SETTING, setting)
+        corpus_pipeline.bounded(lambda spark, docs, sf_dir: docs)(session, None, "")
+        assert session.conf.get(corpus_pipeline.BYTES_SETTING) == want
+
+
+def test_a_stage_hands_few_long_texts_to_a_task(spark):
+    held = {k: spark.conf.get(k) for k in (corpus_pipeline.BATCH_SETTING, corpus_pipeline.BYTES_SETTING)}
+    docs = spark.range(40).repartition(1).selectExpr("id AS doc_id", "repeat('abcdefgh', 50000) AS text")
+
+    def count(spark, docs, sf_dir):
+        return docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows], "size": [b.nbytes]}) for b in batches), "n long, size long")
+
+    try:
+        got = corpus_pipeline.bounded(count)(spark, docs, "").collect()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert sum(r.n for r in got) == 40 and max(r.size for r in got) < 2 * corpus_pipeline.BATCH_BYTES
+
+
+def test_tasks_give_freed_memory_back(tasks, monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    made = [*tasks[1:], packing.token_pieces(tasks[0], tokenizer_path(), 8, 0), substrings.ask(substrings.sources(tasks[0]), substrings.Plan())]
+    monkeypatch.setattr(substrings.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda: 0}))
+    for task in made:
+        given.clear()
+        assert list(task(iter([]))) == [] and len(given) == 2  # at its start and at its end
+
+
+def test_a_task_gives_memory_back_while_it_runs(monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    monkeypatch.setattr(common, "PAUSE", -1)
+    assert list(common.lean(iter)([7, 8])) == [7, 8] and len(given) == 4
+    assert common.lean_group(str)(9) == "9" and len(given) == 5
+
+
+def test_freed_memory_goes_back_to_the_system():
+    def held():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    common.give_back()
+    kept = [[bytes(2000) for _ in range(3)] for _ in range(20_000)]  # small pieces, which glibc keeps below a piece in use
+    last = bytes(2000)
+    before = held()
+    del kept
+    common.give_back()
+    assert len(last) and held() < before - (60 << 20)
